@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from sessionlake import schemas
 from sessionlake.functions import time_id
+from sessionlake.session import broadcast_if_small
+
+# Session keys of this many incoming rows take about a hundred megabytes when broadcast.
+LOAD_BROADCAST_ROWS = 500_000
 
 
 def conform_fact(sessions: DataFrame) -> DataFrame:
@@ -49,14 +53,17 @@ def _same_session(left: str, right: str) -> Column:
 def new_facts(fact: DataFrame, existing: DataFrame) -> DataFrame:
     """Facts whose session is not in ``existing`` yet.
 
-    ``existing`` is the large side. It is first cut down to the incoming sessions: when the
-    load is small, adaptive execution broadcasts the incoming keys and the existing table is
-    filtered where it lies, without being shuffled. Large loads fall back to a merge join.
+    ``existing`` is the large side. It is first cut down to the incoming sessions: a load of
+    up to ``LOAD_BROADCAST_ROWS`` rows has its keys broadcast, and the existing table is
+    filtered where it lies; a larger one is matched by a merge join. Either way only matches
+    are left for the anti join. ``fact`` is counted for this, so it should be a written
+    table or cheap to derive from one.
     """
     keys = list(schemas.SESSION_KEY)
+    incoming = broadcast_if_small(fact.select(*keys), LOAD_BROADCAST_ROWS)
     seen = (
         existing.select(*keys)
         .alias("old")
-        .join(fact.select(*keys).alias("incoming"), _same_session("old", "incoming"), "left_semi")
+        .join(incoming.alias("incoming"), _same_session("old", "incoming"), "left_semi")
     )
     return fact.alias("new").join(seen.alias("seen"), _same_session("new", "seen"), "left_anti")

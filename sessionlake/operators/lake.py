@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 
 from sessionlake import schemas
 from sessionlake.session import broadcast_if_small, materialize
+from sessionlake.sources.tables import DIRECT_READ_FOLDERS
 
-# Above this many directories a read lists the whole table instead of the directories.
-DIRECT_READ_DIRECTORIES = 1000
 
 
 def new_commits(commit_log: DataFrame, processed: DataFrame, branch: str) -> DataFrame:
@@ -75,7 +74,7 @@ def read_at(spark: SparkSession, root: str, files: DataFrame, schema: T.StructTy
 
     The file list stays distributed: rows are kept by a semi join on the path each row came
     from. Only directories, of which there are few per load, are looked at on the driver;
-    when there are more than ``DIRECT_READ_DIRECTORIES`` the whole table is scanned instead,
+    when there are more than ``DIRECT_READ_FOLDERS`` the whole table is scanned instead,
     with the same semi join. An empty list gives an empty frame of ``schema``.
     """
     root = root.rstrip("/")
@@ -83,11 +82,11 @@ def read_at(spark: SparkSession, root: str, files: DataFrame, schema: T.StructTy
     directory = F.regexp_replace("_path", "/[^/]*$", "")
     directories = [
         row[0]
-        for row in wanted.select(directory).distinct().take(DIRECT_READ_DIRECTORIES + 1)
+        for row in wanted.select(directory).distinct().take(DIRECT_READ_FOLDERS + 1)
     ]
     if not directories:
         return spark.createDataFrame([], schema)
-    if len(directories) > DIRECT_READ_DIRECTORIES:
+    if len(directories) > DIRECT_READ_FOLDERS:
         paths = [root]
     else:
         paths = sorted(f"{root}/{d}" for d in directories)

@@ -75,24 +75,34 @@ def valid_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.where(is_valid()).drop(*_COUNTERS)
 
 
-def invalid_sessions(sessions: DataFrame) -> DataFrame:
-    """The complement of :func:`valid_sessions`, each row with the reasons it was held back."""
+def quarantine_sessions(sessions: DataFrame, *further_reasons: Column) -> DataFrame:
+    """Sessions with at least one reason to hold them back, reasons joined by commas.
+
+    ``further_reasons`` are text columns, NULL where they do not apply.
+    """
     starts, stops = F.col("start_events"), F.col("completion_events")
     reasons = F.concat_ws(
         ",",
         F.when(starts == 0, F.lit("no_start")),
         F.when(starts > 1, F.lit("multiple_starts")),
         F.when(stops == 0, F.lit("no_stop")),
+        F.when(is_valid(), F.coalesce(*further_reasons)) if further_reasons else F.lit(None),
     )
-    return sessions.where(~is_valid()).withColumn("reason", reasons).drop(*_COUNTERS)
+    return sessions.withColumn("reason", reasons).where(F.col("reason") != "").drop(*_COUNTERS)
+
+
+def invalid_sessions(sessions: DataFrame) -> DataFrame:
+    """The complement of :func:`valid_sessions`, each row with the reasons it was held back."""
+    return quarantine_sessions(sessions)
 
 
-def session_quality(sessions: DataFrame) -> DataFrame:
-    """Total, valid and invalid session counts, in one pass."""
+def session_quality(sessions: DataFrame, *further: Column) -> DataFrame:
+    """Total, valid and invalid session counts, and any further aggregates, in one pass."""
     valid = F.count_if(is_valid())
     total = F.count(F.lit(1))
     return sessions.agg(
         total.alias("total_sessions"),
         valid.alias("valid_sessions"),
         (total - valid).alias("invalid_sessions"),
+        *further,
     )

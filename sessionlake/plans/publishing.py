@@ -24,7 +24,7 @@ from sessionlake.operators.lake import (
 )
 from sessionlake.operators.quality import audit_batch
 from sessionlake.session import broadcast_if_small, materialize
-from sessionlake.sources.tables import open_table
+from sessionlake.sources.tables import open_table, read_partitions
 from sessionlake.streaming import ingest
 
 MAIN = "main"
@@ -36,23 +36,27 @@ def main_commits(spark: SparkSession, root: str) -> DataFrame:
     return open_table(spark, f"{root.rstrip('/')}/{MAIN_COMMITS}", schemas.MAIN_COMMIT)
 
 
-def main_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Every row in the main table, those of unfinished publishes included."""
-    return open_table(spark, f"{root.rstrip('/')}/{MAIN}", schemas.MAIN_EVENT)
+def main_events(spark: SparkSession, root: str, buckets: DataFrame | None = None) -> DataFrame:
+    """Published events with bucket and commit id, of all buckets or the listed ones. Rows of
+    an unfinished publish are left out."""
+    path = f"{root.rstrip('/')}/{MAIN}"
+    if buckets is None:
+        rows = open_table(spark, path, schemas.MAIN_EVENT)
+    else:
+        rows = read_partitions(spark, path, schemas.MAIN_EVENT, schemas.BUCKET_COLUMN, buckets)
+    logged = main_commits(spark, root).select("commit_id")
+    return rows.join(broadcast_if_small(logged), "commit_id", "left_semi")
 
 
-def main_events(spark: SparkSession, root: str, commit_id: str | None = None) -> DataFrame:
-    """Published events, now or as of a commit."""
-    commits = main_commits(spark, root)
-    rows = main_rows(spark, root)
-    if commit_id is not None:
-        return as_of(rows, commits, commit_id)
-    return rows.join(commits.select("commit_id"), "commit_id", "left_semi")
+def main_events_as_of(spark: SparkSession, root: str, commit_id: str) -> DataFrame:
+    """Published events as they were at a commit."""
+    rows = open_table(spark, f"{root.rstrip('/')}/{MAIN}", schemas.MAIN_EVENT)
+    return as_of(rows, main_commits(spark, root), commit_id)
 
 
 def publish_staged(spark: SparkSession, root: str) -> int:
     """Audit what is staged and not published yet, bucket by bucket, and publish the buckets
-    that pass. Returns the number of merge commits made."""
+    that pass. Returns the number of merge commits made. One publisher runs at a time."""
     root = root.rstrip("/")
     bucket = schemas.BUCKET_COLUMN
     log = main_commits(spark, root)
@@ -62,11 +66,11 @@ def publish_staged(spark: SparkSession, root: str) -> int:
     seq = 0 if head["seq"] is None else head["seq"] + 1
 
     pending = materialize(unpublished(ingest.branch_commits(spark, root), log), "pending")
-    staged = ingest.staged_events(spark, root)
+    staged = read_partitions(
+        spark, f"{root}/{schemas.EVENTS_DIRECTORY}", schemas.STAGED_EVENT, "batch_id", pending
+    ).drop("raw")
     candidates = staged.join(
-        broadcast_if_small(pending.where(F.col("batch_id") >= 0).select("batch_id", bucket)),
-        ["batch_id", bucket],
-        "left_semi",
+        broadcast_if_small(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
     )
     passed = audit_batch(candidates, by=[bucket]).where("ok").select(bucket)
     accepted = pending.join(passed, bucket, "left_semi")

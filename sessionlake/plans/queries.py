@@ -12,7 +12,7 @@ from sessionlake import fixtures, schemas
 from sessionlake.functions import leading_int, range_bucket, surrogate_id, time_id, time_id_to_ts
 from sessionlake.operators import dimensions, facts, lake, quality, sessions, star, timedim
 from sessionlake.plans import publishing, warehouse
-from sessionlake.session import new_folder
+from sessionlake.session import materialize, new_folder
 from sessionlake.sources import delimited, documents, events, tables
 from sessionlake.streaming import ingest
 
@@ -213,10 +213,10 @@ def read_at_commit(spark, sf_dir):
     """The second batch's files are what merging its branches adds to the first batch's."""
     root = _stage_in_two(spark, sf_dir)
     log = lake.branch_history(ingest.branch_commits(spark, root))
-    written = ingest.branch_files(spark, root).join(log.select("commit_id", "seq"), "commit_id")
+    written = ingest.branch_files(spark, root)
     first, second = F.lit("first"), F.lit("second")
     listing = written.select(second.alias("commit_id"), "path").unionByName(
-        written.where(F.col("seq") == 0).select(first.alias("commit_id"), "path")
+        written.where(F.col("batch_id") == 0).select(first.alias("commit_id"), "path")
     )
     merge = (
         log.groupBy().agg(F.max("seq").alias("seq")).select(
@@ -485,6 +485,8 @@ def battery_capacities(spark, sf_dir):
 
 
 def _star(spark: SparkSession, sf_dir: str, fact: DataFrame, unmatched: str) -> DataFrame:
+    # Written once: the time dimension and the view both start from the facts.
+    fact = materialize(fact, "facts")
     return star.star_view(
         fact,
         dimensions.conform_stations(fixtures.station_docs(spark, sf_dir)),

@@ -9,21 +9,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake import schemas
+from sessionlake.functions import time_id
 from sessionlake.operators.facts import (
     conform_fact,
     loadable_facts,
     new_facts,
-    rejected_facts,
 )
 from sessionlake.operators.lake import merge_commits, new_commits
 from sessionlake.operators.sessions import (
     assemble_sessions,
-    invalid_sessions,
     is_valid,
+    quarantine_sessions,
     session_quality,
     valid_sessions,
 )
@@ -42,13 +42,6 @@ QUARANTINE = "session_quarantine"
 PROCESSED = "processed_commits"
 FACT = "fact_charging_sessions"
 
-_KEY_AND_REASON = ", ".join(f"{k} STRING" for k in schemas.SESSION_KEY) + (
-    ", start_time TIMESTAMP_NTZ, stop_time TIMESTAMP_NTZ, energy_delivered DOUBLE, "
-    f"duration_minutes DOUBLE, reason STRING, {schemas.BUCKET_COLUMN} BIGINT"
-)
-_PROCESSED = "commit_id STRING"
-
-
 @dataclass(frozen=True)
 class SessionLoad:
     """What a session load did."""
@@ -81,13 +74,11 @@ def load_sessions(
     """
     spark = events.sparkSession
     sessions = materialize(assemble_sessions(events, carry=carry), "sessions")
-    quality = session_quality(sessions).first()
+    counts = session_quality(sessions, F.count_if(is_valid() & ~_has_times()).alias("bad_time"))
+    summary = counts.first()
 
-    facts = conform_fact(valid_sessions(sessions))
-    rejected = rejected_facts(facts).count()
-    fresh = materialize(
-        new_facts(loadable_facts(facts), read_table(spark, warehouse, FACT)), "facts"
-    )
+    facts = loadable_facts(conform_fact(valid_sessions(sessions)))
+    fresh = materialize(new_facts(facts, read_table(spark, warehouse, FACT)), "facts")
     hours = append_table(
         merge_time_dim(read_table(spark, warehouse, "dim_time"), session_time_ids(fresh), holidays),
         table_folder(warehouse, "dim_time"),
@@ -95,43 +86,38 @@ def load_sessions(
     added = append_table(fresh, table_folder(warehouse, FACT))
     _write_quarantine(sessions, warehouse)
     return SessionLoad(
-        total_sessions=quality["total_sessions"],
-        valid_sessions=quality["valid_sessions"],
-        invalid_sessions=quality["invalid_sessions"],
-        rejected_facts=rejected,
+        total_sessions=summary["total_sessions"],
+        valid_sessions=summary["valid_sessions"],
+        invalid_sessions=summary["invalid_sessions"],
+        rejected_facts=summary["bad_time"],
         new_facts=added,
         new_hours=hours,
     )
 
 
+def _has_times() -> Column:
+    # The same test as for facts: an hour key exists exactly when the hour fits one.
+    return time_id(F.col("start_time")).isNotNull() & time_id(F.col("stop_time")).isNotNull()
+
+
 def _write_quarantine(sessions: DataFrame, warehouse: str) -> None:
-    """Replace the quarantined sessions of the buckets at hand."""
+    """Replace the quarantined sessions of the buckets at hand: incomplete ones, and complete
+    ones without a usable time."""
     bucket = schemas.BUCKET_COLUMN
     if bucket not in sessions.columns:
         sessions = sessions.withColumn(bucket, F.lit(None).cast("bigint"))
-    untimed = sessions.where(
-        is_valid() & (F.col("start_time").isNull() | F.col("stop_time").isNull())
-    ).withColumn("reason", F.lit("bad_time"))
-    held = invalid_sessions(sessions)
-    held.unionByName(untimed.select(*held.columns)).hint("rebalance", bucket).write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(
-        table_folder(warehouse, QUARANTINE)
-    )
+    held = quarantine_sessions(sessions, F.when(~_has_times(), F.lit("bad_time")))
+    held.hint("rebalance", bucket).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(bucket).parquet(table_folder(warehouse, QUARANTINE))
 
 
 def open_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
     """Quarantined sessions that have not been loaded since."""
-    held = open_table(spark, table_folder(warehouse, QUARANTINE), _schema(_KEY_AND_REASON))
+    held = open_table(spark, table_folder(warehouse, QUARANTINE), schemas.QUARANTINED_SESSION)
     return new_facts(held, read_table(spark, warehouse, FACT))
 
 
-def _schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
-
-
 def load_published(
     spark: SparkSession, lake: str, warehouse: str, holidays: DataFrame | None = None
 ) -> SessionLoad | None:
@@ -144,15 +130,14 @@ def load_published(
     """
     bucket = schemas.BUCKET_COLUMN
     folder = table_folder(warehouse, PROCESSED)
-    processed = open_table(spark, folder, _schema(_PROCESSED))
+    processed = open_table(spark, folder, schemas.PROCESSED_COMMIT)
     commits = merge_commits(
         new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
     )
     fresh = materialize(commits.select("commit_id", bucket), "new-commits")
     if fresh.isEmpty():
         return None
-    changed = fresh.where(F.col(bucket) > 0).select(bucket).distinct()
-    events = main_events(spark, lake).join(changed, bucket, "left_semi")
+    events = main_events(spark, lake, buckets=fresh)
     result = load_sessions(events, warehouse, holidays, carry=(bucket,))
     append_table(fresh.select("commit_id"), folder)
     return result

@@ -78,6 +78,7 @@ BRANCH_COMMIT = T.StructType(
         T.StructField(BUCKET_COLUMN, T.LongType()),
         T.StructField("branch", T.StringType()),
         T.StructField("message", T.StringType()),
+        T.StructField("path", T.StringType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -91,10 +92,21 @@ MAIN_COMMIT = T.StructType(
     ]
 )
 
-COMMIT_FILES = T.StructType(
+PROCESSED_COMMIT = T.StructType([T.StructField("commit_id", T.StringType())])
+
+# --- Sessions held back ---
+
+QUARANTINED_SESSION = T.StructType(
     [
-        T.StructField("commit_id", T.StringType()),
-        T.StructField("path", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("station_id", T.StringType()),
+        T.StructField("vehicle_id", T.StringType()),
+        T.StructField("start_time", T.TimestampNTZType()),
+        T.StructField("stop_time", T.TimestampNTZType()),
+        T.StructField("energy_delivered", T.DoubleType()),
+        T.StructField("duration_minutes", T.DoubleType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField(BUCKET_COLUMN, T.LongType()),
     ]
 )
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionlake import schemas
+from sessionlake.session import broadcast_if_small
+
+# More partition folders than this are not named one by one to a reader.
+DIRECT_READ_FOLDERS = 1000
 
 
 def jdbc_options(table: str, options: Mapping[str, str]) -> dict[str, str]:
@@ -49,6 +53,26 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, values: DataFrame
+) -> DataFrame:
+    """Rows of a partitioned table whose partition ``column`` is among ``values``.
+
+    A load touches few partitions of a large table, so their folders are named to the reader
+    and the rest of the table is not even listed. Beyond ``DIRECT_READ_FOLDERS`` values the
+    table is read as a whole and cut down by a semi join. ``values`` should be a written
+    list; its values must exist in the table, as those of a commit log do.
+    """
+    wanted = values.select(column).distinct()
+    found = [row[0] for row in wanted.take(DIRECT_READ_FOLDERS + 1)]
+    if not found:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    if len(found) <= DIRECT_READ_FOLDERS:
+        return reader.parquet(*[f"{path}/{column}={value}" for value in sorted(found)])
+    return reader.parquet(path).join(broadcast_if_small(wanted), column, "left_semi")
+
+
 def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     """A file-backed warehouse table."""
     return open_table(spark, table_folder(warehouse, name), schemas.TABLES[name])

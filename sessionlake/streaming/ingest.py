@@ -3,8 +3,7 @@
 Layout below the lake root::
 
     charging-events/batch_id=B/session_number_range=N/*.parquet   staged events
-    branch-commits/batch_id=B/*.parquet                           one commit per bucket
-    branch-files/batch_id=B/*.parquet                             files of each commit
+    branch-commits/batch_id=B/*.parquet                           its commits, file by file
 
 Every write replaces the folder of its batch, so a replayed batch changes nothing. Commits
 are written last: a batch without them was not finished and is not seen by readers.
@@ -14,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,7 +24,6 @@ from sessionlake.sources.events import decode_events
 from sessionlake.sources.tables import open_table
 
 BRANCH_COMMITS = "branch-commits"
-BRANCH_FILES = "branch-files"
 
 
 def with_bucket(events: DataFrame, width: int = schemas.BUCKET_WIDTH) -> DataFrame:
@@ -85,62 +83,56 @@ def quarantined_events(spark: SparkSession, root: str) -> DataFrame:
     return read_staged(spark, root).where(F.col(schemas.BUCKET_COLUMN).isNull())
 
 
-def record_commits(batch: DataFrame, batch_id: int) -> DataFrame:
-    """One commit per bucket of a batch. The id depends on batch and bucket only."""
+def _commit(batch_id: int) -> list[Column]:
+    """Columns of the commit of one bucket; the id depends on batch and bucket only."""
     bucket = F.col(schemas.BUCKET_COLUMN)
-    return (
-        batch.where(bucket.isNotNull())
+    return [
+        branch_commit_id(F.lit(batch_id), bucket).alias("commit_id"),
+        bucket,
+        branch_name(bucket).alias("branch"),
+        F.concat(F.lit("Committing batch "), bucket.cast("string")).alias("message"),
+    ]
+
+
+def record_commits(batch: DataFrame, batch_id: int) -> DataFrame:
+    """One commit per bucket of a batch, with its number of rows."""
+    counts = (
+        batch.where(F.col(schemas.BUCKET_COLUMN).isNotNull())
         .groupBy(schemas.BUCKET_COLUMN)
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(
-            branch_commit_id(F.lit(batch_id), bucket).alias("commit_id"),
-            bucket,
-            branch_name(bucket).alias("branch"),
-            F.concat(F.lit("Committing batch "), bucket.cast("string")).alias("message"),
-            F.col("n_rows"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
     )
-
-
-def record_files(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """(commit_id, path) of the files a staged batch consists of."""
-    bucket = F.col(schemas.BUCKET_COLUMN)
-    return (
-        read_staged(spark, root, batch_id)
-        .where(bucket.isNotNull())
-        .select(
-            branch_commit_id(F.lit(batch_id), bucket).alias("commit_id"),
-            relative_path(root).alias("path"),
-        )
-        .distinct()
+    return counts.select(
+        *_commit(batch_id), "n_rows", F.lit(batch_id).cast("bigint").alias("batch_id")
     )
 
 
 def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Log the commits of a staged batch.
+    """Log the commits of a staged batch, one row per data file.
 
     Counts and paths come from the files just written, not from the source: only footers and
     partition values are read, and the log says what is really there.
     """
     root = root.rstrip("/")
-    for folder, rows in (
-        (BRANCH_FILES, record_files(spark, root, batch_id)),
-        (BRANCH_COMMITS, record_commits(read_staged(spark, root, batch_id), batch_id)),
-    ):
-        rows.drop("batch_id").write.mode("overwrite").parquet(
-            f"{root}/{folder}/batch_id={batch_id}"
-        )
+    files = (
+        read_staged(spark, root, batch_id)
+        .where(F.col(schemas.BUCKET_COLUMN).isNotNull())
+        .groupBy(schemas.BUCKET_COLUMN, relative_path(root).alias("path"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    files.select(*_commit(batch_id), "path", "n_rows").write.mode("overwrite").parquet(
+        f"{root}/{BRANCH_COMMITS}/batch_id={batch_id}"
+    )
 
 
-def branch_commits(spark: SparkSession, root: str) -> DataFrame:
-    """Log of the commits of all batches."""
+def branch_files(spark: SparkSession, root: str) -> DataFrame:
+    """The commit log of all batches, one row per data file a commit added."""
     return open_table(spark, f"{root.rstrip('/')}/{BRANCH_COMMITS}", schemas.BRANCH_COMMIT)
 
 
-def branch_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files added by each branch commit."""
-    return open_table(spark, f"{root.rstrip('/')}/{BRANCH_FILES}", schemas.COMMIT_FILES)
+def branch_commits(spark: SparkSession, root: str) -> DataFrame:
+    """The commit log of all batches, one row per commit."""
+    commit = [f.name for f in schemas.BRANCH_COMMIT.fields if f.name not in ("path", "n_rows")]
+    return branch_files(spark, root).groupBy(*commit).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def batch_writer(
