@@ -42,14 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local-mode session may go without that setting; it then uses a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sessionlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sessionlake-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
