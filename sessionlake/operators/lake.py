@@ -104,6 +104,8 @@ def relative_path(root: str) -> Column:
 
     Spark reports URI-encoded paths; a plus sign stands for itself there.
     """
+    if "://" not in root and not root.startswith("/"):
+        raise ValueError(f"the root must be an absolute path or a URI: {root!r}")
     plain_root = root.split("://", 1)[-1].rstrip("/") + "/"
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     full = F.url_decode(encoded)

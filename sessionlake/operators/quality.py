@@ -37,57 +37,50 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def audit_batch(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def audit_batch(
+    events: DataFrame, by: Sequence[str] = (), repeats: bool = True
+) -> DataFrame:
     """Quality metrics of a batch of lake events and a verdict, one row (or one per ``by``).
 
-    Equal events are collapsed first, with map-side partials; everything else is summed over
-    the collapsed rows, so repeated events cost no more than distinct ones. A batch passes
-    when it has rows, none of them undecodable and none without a session key. Unknown event
-    types and repeated events are reported but do not fail it.
+    A batch passes when it has rows, none of them undecodable and none without a session
+    key. Unknown event types and repeated events are reported but do not fail it.
+
+    Counting repeats takes a shuffle by event, in which equal events collapse on the map side
+    first. With ``repeats=False`` that count is left out and only per-task totals are moved.
     """
-    identity = ["session_id", "event_type", "_time"]
-    fields = ("event_type", "session_id", "session_number", "station_id", "vehicle_id")
+    group = list(by)
+    kind = F.col("event_type")
     empty = F.col("payload").isNull()
-    for field in fields:
+    for field in ("event_type", "session_id", "session_number", "station_id", "vehicle_id"):
         empty = empty & F.col(field).isNull()
     key_missing = F.col("session_id").isNull() | F.col("session_number").isNull()
-    group = [name for name in by]
-    collapsed = (
-        events.select(
-            *group,
-            "session_id",
-            "event_type",
-            F.col("payload")[schemas.PAYLOAD_TIME].alias("_time"),
-            empty.alias("_malformed"),
-            key_missing.alias("_null_key"),
-        )
-        .groupBy(*group, *identity)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.count_if("_malformed").alias("_malformed"),
-            F.count_if(F.col("_null_key") & ~F.col("_malformed")).alias("_null_key"),
-        )
+    checks = {
+        "malformed_rows": empty,
+        "null_keys": key_missing & ~empty,
+        "start_events": kind == schemas.START_EVENT,
+        "stop_events": kind == schemas.STOP_EVENT,
+        "other_events": ~kind.isin(schemas.START_EVENT, schemas.STOP_EVENT),
+        "untyped_events": kind.isNull(),
+    }
+    time = F.col("payload")[schemas.PAYLOAD_TIME].alias("_time")
+    checked = events.select(
+        *group, "session_id", "event_type", time, *[c.alias(n) for n, c in checks.items()]
     )
-    kind = F.col("event_type")
+    counts = [F.count_if(n).alias(n) for n in checks]
+    if repeats:
+        collapsed = checked.groupBy(*group, "session_id", "event_type", "_time").agg(
+            F.count(F.lit(1)).alias("n_rows"), *counts
+        )
 
-    def total(value: Column, name: str) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0)).alias(name)
-
-    def rows_where(condition: Column, name: str) -> Column:
-        return total(F.when(condition, F.col("_n")).otherwise(0), name)
-
-    metrics = collapsed.groupBy(*group).agg(
-        total(F.col("_n"), "n_rows"),
-        total(F.col("_malformed"), "malformed_rows"),
-        total(F.col("_null_key"), "null_keys"),
-        rows_where(kind == schemas.START_EVENT, "start_events"),
-        rows_where(kind == schemas.STOP_EVENT, "stop_events"),
-        rows_where(~kind.isin(schemas.START_EVENT, schemas.STOP_EVENT), "other_events"),
-        rows_where(kind.isNull(), "untyped_events"),
-        total(
-            F.when(F.col("session_id").isNotNull(), F.col("_n") - 1).otherwise(0),
-            "repeated_events",
-        ),
-    )
+        def total(value: Column, name: str) -> Column:
+            return F.coalesce(F.sum(value), F.lit(0)).alias(name)
+
+        repeated = F.when(F.col("session_id").isNotNull(), F.col("n_rows") - 1).otherwise(0)
+        metrics = collapsed.groupBy(*group).agg(
+            *[total(F.col(n), n) for n in ("n_rows", *checks)],
+            total(repeated, "repeated_events"),
+        )
+    else:
+        metrics = checked.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
     ok = (F.col("n_rows") > 0) & (F.col("malformed_rows") == 0) & (F.col("null_keys") == 0)
     return metrics.withColumn("ok", ok)

@@ -176,9 +176,19 @@ _TIME_ATTRIBUTES = ("hour", "day", "month", "year", "day_of_week", "is_weekend",
 
 
 def _star(fact: str, defaults: bool = False) -> str:
+    plain = {
+        "charging_capacity": "DOUBLE",
+        "installation_year": "DOUBLE",
+        "renewable_energy_source": "VARCHAR",
+    }
+
     def shown(alias: str, column: str, name: str, default: str) -> str:
         value = f"{alias}.{column}"
-        return f"{f'coalesce({value}, {default})' if defaults else value} AS {name}"
+        if defaults:
+            value = f"coalesce({value}, {default})"
+        if name in plain:
+            value = f"CAST({value} AS {plain[name]})"
+        return f"{value} AS {name}"
 
     columns = [
         "f.session_id", "f.start_time_id", "f.end_time_id", "f.energy_delivered",

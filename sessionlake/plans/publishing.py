@@ -72,7 +72,7 @@ def publish_staged(spark: SparkSession, root: str) -> int:
     candidates = staged.join(
         broadcast_if_small(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
     )
-    passed = audit_batch(candidates, by=[bucket]).where("ok").select(bucket)
+    passed = audit_batch(candidates, by=[bucket], repeats=False).where("ok").select(bucket)
     accepted = pending.join(passed, bucket, "left_semi")
     merges = materialize(merges_for(accepted, head["id"], seq), "merges")
     made = merges.count()

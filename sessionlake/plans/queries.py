@@ -496,19 +496,36 @@ def _star(spark: SparkSession, sf_dir: str, fact: DataFrame, unmatched: str) ->
     )
 
 
+def star_view_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star view over the session events of ``events``, with its own column types."""
+    return _star(spark, sf_dir, _m1_facts(spark, sf_dir), "null")
+
+
+def _plain_view(view: DataFrame) -> DataFrame:
+    """A star view in plain types. Its station columns may be NULL, and engines hand over
+    nullable integers and booleans differently, so these become DOUBLE and text."""
+    return _plain(view).withColumns(
+        {
+            "charging_capacity": F.col("charging_capacity").cast("double"),
+            "installation_year": F.col("installation_year").cast("double"),
+            "renewable_energy_source": F.col("renewable_energy_source").cast("string"),
+        }
+    )
+
+
 @_query
 def star_view(spark, sf_dir):
-    return _plain(_star(spark, sf_dir, _m1_facts(spark, sf_dir), "null"))
+    return _plain_view(star_view_typed(spark, sf_dir))
 
 
 @_query
 def star_view_defaults(spark, sf_dir):
-    return _plain(_star(spark, sf_dir, _m1_facts(spark, sf_dir), "default"))
+    return _plain_view(_star(spark, sf_dir, _m1_facts(spark, sf_dir), "default"))
 
 
 @_query
 def star_view_bulk(spark, sf_dir):
-    return _plain(_star(spark, sf_dir, _m2_facts(spark, sf_dir), "null"))
+    return _plain_view(_star(spark, sf_dir, _m2_facts(spark, sf_dir), "null"))
 
 
 @_query
@@ -524,4 +541,4 @@ def stream_to_star(spark, sf_dir):
         dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir)), target, "dim_vehicle"
     )
     warehouse.load_published(spark, lake_root, target)
-    return _plain(warehouse.warehouse_view(spark, target))
+    return _plain_view(warehouse.warehouse_view(spark, target))
