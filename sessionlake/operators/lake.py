@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionlake import schemas
-from sessionlake.session import broadcast_if_small, materialize
+from sessionlake.session import broadcast_if_small, is_small, materialize
 from sessionlake.sources.tables import DIRECT_READ_FOLDERS
 
 
@@ -78,8 +78,8 @@ def read_at(spark: SparkSession, root: str, files: DataFrame, schema: T.StructTy
     with the same semi join. An empty list gives an empty frame of ``schema``.
     """
     root = root.rstrip("/")
-    wanted = materialize(files.select(F.col("path").alias("_path")).distinct(), "file-list")
-    directory = F.regexp_replace("_path", "/[^/]*$", "")
+    wanted = materialize(files.select("path").distinct(), "file-list")
+    directory = F.regexp_replace("path", "/[^/]*$", "")
     directories = [
         row[0]
         for row in wanted.select(directory).distinct().take(DIRECT_READ_FOLDERS + 1)
@@ -94,21 +94,25 @@ def read_at(spark: SparkSession, root: str, files: DataFrame, schema: T.StructTy
         spark.read.schema(schema)
         .option("basePath", root)
         .parquet(*paths)
-        .select("*", relative_path(root).alias("_path"))
+        .select("*", F.col("_metadata.file_path").alias("_file"))
     )
-    return rows.join(broadcast_if_small(wanted), "_path", "left_semi").drop("_path")
+    # Addresses are worked out once per file; a row is matched by its file's own address.
+    present = rows.select("_file").distinct().withColumn("path", relative_path(root, "_file"))
+    matched = present.join(broadcast_if_small(wanted), "path", "left_semi").select("_file")
+    if is_small(wanted):
+        matched = F.broadcast(matched)
+    return rows.join(matched, "_file", "left_semi").drop("_file")
 
 
-def relative_path(root: str) -> Column:
-    """Path below ``root`` of the file a row was read from.
+def relative_path(root: str, address: str) -> Column:
+    """Path below ``root`` of a file whose full address is in column ``address``.
 
-    Spark reports URI-encoded paths; a plus sign stands for itself there.
+    Spark reports URI-encoded addresses; a plus sign stands for itself there.
     """
     if "://" not in root and not root.startswith("/"):
         raise ValueError(f"the root must be an absolute path or a URI: {root!r}")
     plain_root = root.split("://", 1)[-1].rstrip("/") + "/"
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    full = F.url_decode(encoded)
+    full = F.url_decode(F.replace(F.col(address), F.lit("+"), F.lit("%2B")))
     start = F.instr(full, plain_root) + F.lit(len(plain_root))
     return F.substring(full, start, F.char_length(full))
 
@@ -193,11 +197,5 @@ def merged_batches(commits: DataFrame, merges: DataFrame) -> DataFrame:
 
 def publish(staged: DataFrame, merged: DataFrame) -> DataFrame:
     """Rows that a publish adds to main: the staged rows of the ``merged`` batches, each with
-    the id of its merge commit.
-
-    (batch_id, bucket) are the partition columns of the staged table, so batches that are not
-    being published are not read. ``merged`` has one row per commit and should be a written
-    table, as its size decides the join.
-    """
-    known = merged.where(F.col("batch_id") >= 0)
-    return staged.join(broadcast_if_small(known), ["batch_id", schemas.BUCKET_COLUMN])
+    the id of its merge commit. ``merged`` has one row per published (batch_id, bucket)."""
+    return staged.join(merged, ["batch_id", schemas.BUCKET_COLUMN])

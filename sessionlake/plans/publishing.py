@@ -23,7 +23,7 @@ from sessionlake.operators.lake import (
     unpublished,
 )
 from sessionlake.operators.quality import audit_batch
-from sessionlake.session import broadcast_if_small, materialize
+from sessionlake.session import broadcast_if_small, is_small, materialize
 from sessionlake.sources.tables import open_table, read_partitions
 from sessionlake.streaming import ingest
 
@@ -54,6 +54,10 @@ def main_events_as_of(spark: SparkSession, root: str, commit_id: str) -> DataFra
     return as_of(rows, main_commits(spark, root), commit_id)
 
 
+def _no_hint(df: DataFrame) -> DataFrame:
+    return df
+
+
 def publish_staged(spark: SparkSession, root: str) -> int:
     """Audit what is staged and not published yet, bucket by bucket, and publish the buckets
     that pass. Returns the number of merge commits made. One publisher runs at a time."""
@@ -66,11 +70,13 @@ def publish_staged(spark: SparkSession, root: str) -> int:
     seq = 0 if head["seq"] is None else head["seq"] + 1
 
     pending = materialize(unpublished(ingest.branch_commits(spark, root), log), "pending")
+    # One row per commit; its count bounds everything that is joined to the events below.
+    hint = F.broadcast if is_small(pending) else _no_hint
     staged = read_partitions(
         spark, f"{root}/{schemas.EVENTS_DIRECTORY}", schemas.STAGED_EVENT, "batch_id", pending
     ).drop("raw")
     candidates = staged.join(
-        broadcast_if_small(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
+        hint(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
     )
     passed = audit_batch(candidates, by=[bucket], repeats=False).where("ok").select(bucket)
     accepted = pending.join(passed, bucket, "left_semi")
@@ -78,9 +84,8 @@ def publish_staged(spark: SparkSession, root: str) -> int:
     made = merges.count()
     if made == 0:
         return 0
-    merged = materialize(merged_batches(pending, merges), "merged")
     (
-        publish(staged, merged)
+        publish(staged, hint(merged_batches(pending, hint(merges))))
         .drop("batch_id")
         .hint("rebalance", bucket)
         .write.mode("overwrite")

@@ -67,8 +67,13 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a key list may be broadcast. It should be cheap to count, such as a written
+    table."""
+    return keys.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast of a narrow key list after counting that it is small; else leave the
-    join to Spark. The list should be cheap to count, such as a written table."""
-    counted = keys.limit(max_rows + 1).count()
-    return F.broadcast(keys) if counted <= max_rows else keys
+    join to Spark."""
+    return F.broadcast(keys) if is_small(keys, max_rows) else keys

@@ -116,8 +116,9 @@ def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
     files = (
         read_staged(spark, root, batch_id)
         .where(F.col(schemas.BUCKET_COLUMN).isNotNull())
-        .groupBy(schemas.BUCKET_COLUMN, relative_path(root).alias("path"))
+        .groupBy(schemas.BUCKET_COLUMN, F.col("_metadata.file_path").alias("_file"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
+        .withColumn("path", relative_path(root, "_file"))
     )
     files.select(*_commit(batch_id), "path", "n_rows").write.mode("overwrite").parquet(
         f"{root}/{BRANCH_COMMITS}/batch_id={batch_id}"
