@@ -391,22 +391,21 @@ def fact_sessions(spark, sf_dir):
 @_query
 def fact_load_idempotent(spark, sf_dir):
     """The same load twice; the second one must add nothing."""
-    target = new_folder(spark, "warehouse")
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
     batch = fixtures.m1_events(spark, sf_dir)
     warehouse.load_sessions(batch, target)
     warehouse.load_sessions(batch, target)
-    return _plain(tables.read_table(spark, target, warehouse.FACT))
+    return _plain(target.read(spark, warehouse.FACT))
 
 
 @_query
 def table_append(spark, sf_dir):
     """Append, an empty append that is skipped, and read back."""
-    target = new_folder(spark, "warehouse")
-    folder = tables.table_folder(target, "dim_vehicle")
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
     rows = dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir))
-    tables.append_table(rows, folder)
-    tables.append_table(rows.where(F.col("id").isNull()), folder)
-    return _plain(tables.read_table(spark, target, "dim_vehicle"))
+    target.append(rows, "dim_vehicle")
+    target.append(rows.where(F.col("id").isNull()), "dim_vehicle")
+    return _plain(target.read(spark, "dim_vehicle"))
 
 
 # --- Dimensions and files ---
@@ -533,7 +532,7 @@ def stream_to_star(spark, sf_dir):
     """The whole way: ingest a stream, publish, load, and read the star view."""
     lake_root = _ingest_stream(spark, sf_dir)
     publishing.publish_staged(spark, lake_root)
-    target = new_folder(spark, "warehouse")
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
     warehouse.load_dimension(
         dimensions.conform_stations(fixtures.station_docs(spark, sf_dir)), target, "dim_station"
     )

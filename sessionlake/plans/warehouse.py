@@ -1,9 +1,4 @@
-"""Warehouse loads: dimensions, sessions, and the incremental load of what was published.
-
-The warehouse here is a folder of parquet tables. Over JDBC the same frames go through
-``append_table(..., fmt="jdbc")``, and the existing rows come from ``spark.read`` on the same
-connection.
-"""
+"""Warehouse loads: dimensions, sessions, and the incremental load of what was published."""
 
 from __future__ import annotations
 
@@ -31,12 +26,7 @@ from sessionlake.operators.star import star_view
 from sessionlake.operators.timedim import merge_time_dim, session_time_ids
 from sessionlake.plans.publishing import main_commits, main_events
 from sessionlake.session import materialize
-from sessionlake.sources.tables import (
-    append_table,
-    open_table,
-    read_table,
-    table_folder,
-)
+from sessionlake.sources.tables import Warehouse, append_table, open_table
 
 QUARANTINE = "session_quarantine"
 PROCESSED = "processed_commits"
@@ -54,16 +44,19 @@ class SessionLoad:
     new_hours: int
 
 
-def load_dimension(rows: DataFrame, warehouse: str, name: str) -> int:
+def load_dimension(rows: DataFrame, warehouse: Warehouse, name: str) -> int:
     """Append conformed dimension rows; ids the table already has are left alone, so a retried
     load adds nothing."""
     rows = schemas.validate_schema(rows, name)
-    existing = read_table(rows.sparkSession, warehouse, name).select("id")
-    return append_table(rows.join(existing, "id", "left_anti"), table_folder(warehouse, name))
+    existing = warehouse.read(rows.sparkSession, name).select("id")
+    return warehouse.append(rows.join(existing, "id", "left_anti"), name)
 
 
 def load_sessions(
-    events: DataFrame, warehouse: str, holidays: DataFrame | None = None, carry: tuple = ()
+    events: DataFrame,
+    warehouse: Warehouse,
+    holidays: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> SessionLoad:
     """Assemble sessions from events and load the complete ones.
 
@@ -71,19 +64,31 @@ def load_sessions(
     facts and quarantine are all taken from that much smaller table. Running a load again
     adds nothing: facts and hours are inserted only if absent. The time dimension goes first,
     so a fact never refers to an hour that is not there.
+
+    Only the stretch of the fact table between the first and last start hour at hand is
+    compared. That is exact: a complete session has one start event, so a fact loaded for it
+    earlier has the same start hour.
     """
     spark = events.sparkSession
     sessions = materialize(assemble_sessions(events, carry=carry), "sessions")
-    counts = session_quality(sessions, F.count_if(is_valid() & ~_has_times()).alias("bad_time"))
-    summary = counts.first()
+    start_hour = F.when(is_valid(), time_id(F.col("start_time")))
+    summary = session_quality(
+        sessions,
+        F.count_if(is_valid() & ~_has_times()).alias("bad_time"),
+        F.min(start_hour).alias("first_hour"),
+        F.max(start_hour).alias("last_hour"),
+    ).first()
 
     facts = loadable_facts(conform_fact(valid_sessions(sessions)))
-    fresh = materialize(new_facts(facts, read_table(spark, warehouse, FACT)), "facts")
-    hours = append_table(
-        merge_time_dim(read_table(spark, warehouse, "dim_time"), session_time_ids(fresh), holidays),
-        table_folder(warehouse, "dim_time"),
+    existing = warehouse.read(spark, FACT).where(
+        F.col("start_time_id").between(
+            F.lit(summary["first_hour"]).cast("int"), F.lit(summary["last_hour"]).cast("int")
+        )
     )
-    added = append_table(fresh, table_folder(warehouse, FACT))
+    fresh = materialize(new_facts(facts, existing), "facts")
+    hours = merge_time_dim(warehouse.read(spark, "dim_time"), session_time_ids(fresh), holidays)
+    new_hours = warehouse.append(materialize(hours, "hours"), "dim_time")
+    added = warehouse.append(fresh, FACT)
     _write_quarantine(sessions, warehouse)
     return SessionLoad(
         total_sessions=summary["total_sessions"],
@@ -91,7 +96,7 @@ def load_sessions(
         invalid_sessions=summary["invalid_sessions"],
         rejected_facts=summary["bad_time"],
         new_facts=added,
-        new_hours=hours,
+        new_hours=new_hours,
     )
 
 
@@ -100,7 +105,7 @@ def _has_times() -> Column:
     return time_id(F.col("start_time")).isNotNull() & time_id(F.col("stop_time")).isNotNull()
 
 
-def _write_quarantine(sessions: DataFrame, warehouse: str) -> None:
+def _write_quarantine(sessions: DataFrame, warehouse: Warehouse) -> None:
     """Replace the quarantined sessions of the buckets at hand: incomplete ones, and complete
     ones without a usable time."""
     bucket = schemas.BUCKET_COLUMN
@@ -109,17 +114,17 @@ def _write_quarantine(sessions: DataFrame, warehouse: str) -> None:
     held = quarantine_sessions(sessions, F.when(~_has_times(), F.lit("bad_time")))
     held.hint("rebalance", bucket).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(bucket).parquet(table_folder(warehouse, QUARANTINE))
+    ).partitionBy(bucket).parquet(warehouse.path(QUARANTINE))
 
 
-def open_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
+def open_quarantine(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """Quarantined sessions that have not been loaded since."""
-    held = open_table(spark, table_folder(warehouse, QUARANTINE), schemas.QUARANTINED_SESSION)
-    return new_facts(held, read_table(spark, warehouse, FACT))
+    held = open_table(spark, warehouse.path(QUARANTINE), schemas.QUARANTINED_SESSION)
+    return new_facts(held, warehouse.read(spark, FACT))
 
 
 def load_published(
-    spark: SparkSession, lake: str, warehouse: str, holidays: DataFrame | None = None
+    spark: SparkSession, lake: str, warehouse: Warehouse, holidays: DataFrame | None = None
 ) -> SessionLoad | None:
     """Load what was published since the last call; None when there is nothing new.
 
@@ -129,7 +134,7 @@ def load_published(
     processed last; if the job dies before, the next call repeats it to the same effect.
     """
     bucket = schemas.BUCKET_COLUMN
-    folder = table_folder(warehouse, PROCESSED)
+    folder = warehouse.path(PROCESSED)
     processed = open_table(spark, folder, schemas.PROCESSED_COMMIT)
     commits = merge_commits(
         new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
@@ -143,12 +148,12 @@ def load_published(
     return result
 
 
-def warehouse_view(spark: SparkSession, warehouse: str, unmatched: str = "null") -> DataFrame:
+def warehouse_view(spark: SparkSession, warehouse: Warehouse, unmatched: str = "null") -> DataFrame:
     """The star view over the warehouse's tables."""
     return star_view(
-        read_table(spark, warehouse, FACT),
-        read_table(spark, warehouse, "dim_station"),
-        read_table(spark, warehouse, "dim_vehicle"),
-        read_table(spark, warehouse, "dim_time"),
+        warehouse.read(spark, FACT),
+        warehouse.read(spark, "dim_station"),
+        warehouse.read(spark, "dim_vehicle"),
+        warehouse.read(spark, "dim_time"),
         unmatched,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +74,28 @@ def read_partitions(
     return reader.parquet(path).join(broadcast_if_small(wanted), column, "left_semi")
 
 
-def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A file-backed warehouse table."""
-    return open_table(spark, table_folder(warehouse, name), schemas.TABLES[name])
+@dataclass(frozen=True)
+class Warehouse:
+    """Where the star schema lives: parquet tables below ``folder``, or, with ``jdbc``
+    connection options, tables of that database. Bookkeeping of the loads (quarantine,
+    processed commits) is always kept below ``folder``."""
 
+    folder: str
+    jdbc: Mapping[str, str] | None = None
 
-def table_folder(warehouse: str, name: str) -> str:
-    return f"{warehouse.rstrip('/')}/{name}"
+    def path(self, name: str) -> str:
+        return f"{self.folder.rstrip('/')}/{name}"
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        schema = schemas.TABLES[name]
+        if self.jdbc is None:
+            return open_table(spark, self.path(name), schema)
+        loaded = spark.read.format("jdbc").options(**jdbc_options(name, self.jdbc)).load()
+        return loaded.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        )
+
+    def append(self, df: DataFrame, name: str) -> int:
+        if self.jdbc is None:
+            return append_table(df, self.path(name))
+        return append_table(df, name, "jdbc", self.jdbc)
