@@ -187,11 +187,9 @@ def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third commit has been processed already."""
-    k = F.col("o_orderkey")
-    return (
-        table(spark, sf_dir, "orders").where(k % 3 == 0).select(k.cast("string").alias("commit_id"))
-    )
+    """The commits of open orders have been processed already."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O")
+    return orders.select(_text("o_orderkey").alias("commit_id"))
 
 
 def commit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,14 +216,13 @@ def _quoted(text: Column) -> Column:
 
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited lines with a quoted comma; some have a field too many."""
-    k = F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
         F.concat_ws(
             ",",
-            k.cast("string"),
+            _text("p_partkey"),
             _quoted(F.concat_ws(", ", "p_name", "p_brand")),
             F.concat(_text("p_size"), F.lit(" km")),
-            F.when(k % 7 == 0, F.lit("extra")),
+            F.when(F.col("p_type") == "PROMO", F.lit("extra")),
         ).alias("line")
     )
 

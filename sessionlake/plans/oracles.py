@@ -309,7 +309,7 @@ ORACLES: dict[str, str] = {
     "new_commits": f"""WITH {_CLOG}
         SELECT commit_id, seq, branch, message FROM clog
         WHERE commit_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders
-                                WHERE o_orderkey % 3 = 0)""",
+                                WHERE o_orderstatus = 'O')""",
     "merge_commits": f"WITH {_CLOG} SELECT commit_id, seq, base, tip FROM clog WHERE is_merge",
     "files_at": f"""WITH {_CLOG}
         SELECT c.commit_id, c.tip, f.path FROM clog c JOIN cfiles f ON f.commit_id = c.tip
@@ -399,7 +399,7 @@ ORACLES: dict[str, str] = {
     "document_load": _DIM_STATION,
     "delimited_load": """SELECT CAST(p_partkey AS VARCHAR) AS id,
           p_name || ', ' || p_brand AS label, p_size AS size_km
-        FROM part WHERE p_partkey % 7 <> 0""",
+        FROM part WHERE p_type <> 'PROMO'""",
     "station_file_load": _STATION_FROM_FILE,
     "vehicle_file_load": _VEHICLE_FROM_FILE,
     "surrogate_ids": f"""SELECT o_orderkey, {_surrogate('o_orderkey', 'o_orderpriority')} AS id

@@ -57,6 +57,7 @@ def stage_batch(
     (
         staged.hint("rebalance", schemas.BUCKET_COLUMN)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(schemas.BUCKET_COLUMN)
         .parquet(target)
     )
