@@ -49,7 +49,7 @@ FROM_LAKE = {
     "lake_facts": lambda lake: conform_fact(valid_sessions(assemble_sessions(lake))),
     "lake_audit": lambda lake: audit_batch(lake, by=[schemas.BUCKET_COLUMN], repeats=False),
 }
-REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "1"))
 
 
 def _best(build) -> float:
