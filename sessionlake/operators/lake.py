@@ -15,7 +15,6 @@ from sessionlake.session import broadcast_if_small, is_small, materialize
 from sessionlake.sources.tables import DIRECT_READ_FOLDERS
 
 
-
 def new_commits(commit_log: DataFrame, processed: DataFrame, branch: str) -> DataFrame:
     """Commits on ``branch`` that are not in ``processed`` (column commit_id)."""
     return commit_log.where(F.col("branch") == branch).join(

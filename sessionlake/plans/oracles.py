@@ -282,7 +282,7 @@ FROM part"""
 ORACLES: dict[str, str] = {
     "encode_decode_events": f"WITH {_M1} SELECT {_EVENT_FIELDS} FROM m1n",
     "session_numbers": f"WITH {_M1} SELECT session_id, first_ts, session_number FROM numbers",
-    "range_buckets": """SELECT o_orderkey,
+    "range_bucket": """SELECT o_orderkey,
         CAST(greatest(ceil((o_orderkey - 5) / 1000.0), 1) * 1000 AS BIGINT) AS bucket
         FROM orders""",
     "batch_buckets": f"WITH {_M1} SELECT DISTINCT session_number_range FROM m1n",
@@ -376,9 +376,9 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS total_sessions, count(*) FILTER ({_VALID}) AS valid_sessions,
           count(*) FILTER (NOT ({_VALID})) AS invalid_sessions
         FROM ({_M2_SESSIONS})""",
-    "time_ids": f"""SELECT event_id, {_hour_key('ts')} AS time_id,
-          {_hour_key('ts')} AS text_time_id, date_trunc('hour', ts) AS hour_start
-        FROM events""",
+    "time_id": f"""SELECT event_id, {_hour_key('ts')} AS time_id,
+          {_hour_key('ts')} AS text_time_id FROM events""",
+    "time_id_to_ts": "SELECT event_id, date_trunc('hour', ts) AS hour_start FROM events",
     "session_time_ids": f"{_M1_FACT} {_HOURS}",
     "time_dim": f"{_M1_FACT} {_time_dim(_HOURS)}",
     "time_dim_holidays": f"""{_M2_FACT}, calendar AS (

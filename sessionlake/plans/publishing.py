@@ -58,9 +58,13 @@ def _no_hint(df: DataFrame) -> DataFrame:
     return df
 
 
-def publish_staged(spark: SparkSession, root: str) -> int:
+def publish_staged(spark: SparkSession, root: str, accept: str = "ok") -> int:
     """Audit what is staged and not published yet, bucket by bucket, and publish the buckets
-    that pass. Returns the number of merge commits made. One publisher runs at a time."""
+    that pass. Returns the number of merge commits made. One publisher runs at a time.
+
+    ``accept`` is an SQL condition on the audit's columns, by default its verdict. A bucket that
+    fails stays staged, and is looked at again next time, until a condition lets it pass.
+    """
     root = root.rstrip("/")
     bucket = schemas.BUCKET_COLUMN
     log = main_commits(spark, root)
@@ -78,7 +82,7 @@ def publish_staged(spark: SparkSession, root: str) -> int:
     candidates = staged.join(
         hint(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
     )
-    passed = audit_batch(candidates, by=[bucket], repeats=False).where("ok").select(bucket)
+    passed = audit_batch(candidates, by=[bucket], repeats=False).where(accept).select(bucket)
     accepted = pending.join(passed, bucket, "left_semi")
     merges = materialize(merges_for(accepted, head["id"], seq), "merges")
     made = merges.count()

@@ -25,7 +25,7 @@ SPLIT_TIME = "2024-01-16 00:00:00"
 
 
 def _query(function: Query) -> Query:
-    CATALOGUE[function.__name__] = function
+    CATALOGUE[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -72,7 +72,7 @@ def session_numbers(spark, sf_dir):
 
 
 @_query
-def range_buckets(spark, sf_dir):
+def range_bucket_query(spark, sf_dir):
     number = F.col("o_orderkey") - 5
     return fixtures.table(spark, sf_dir, "orders").select(
         "o_orderkey", range_bucket(number).alias("bucket")
@@ -327,16 +327,18 @@ def session_quality_bulk(spark, sf_dir):
 
 
 @_query
-def time_ids(spark, sf_dir):
-    source = fixtures.table(spark, sf_dir, "events")
-    key = time_id(F.col("ts"))
-    return source.select(
-        "event_id",
-        key.alias("time_id"),
-        time_id(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).alias(
-            "text_time_id"
-        ),
-        time_id_to_ts(key).alias("hour_start"),
+def time_id_query(spark, sf_dir):
+    """Hour keys of timestamps and of ISO texts with a zone suffix."""
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    return fixtures.table(spark, sf_dir, "events").select(
+        "event_id", time_id(F.col("ts")).alias("time_id"), time_id(text).alias("text_time_id")
+    )
+
+
+@_query
+def time_id_to_ts_query(spark, sf_dir):
+    return fixtures.table(spark, sf_dir, "events").select(
+        "event_id", time_id_to_ts(time_id(F.col("ts"))).alias("hour_start")
     )
 
 

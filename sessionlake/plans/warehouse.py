@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionlake import schemas
 from sessionlake.functions import time_id
-from sessionlake.operators.facts import (
-    conform_fact,
-    loadable_facts,
-    new_facts,
-)
+from sessionlake.operators.facts import conform_fact, loadable_facts, new_facts
 from sessionlake.operators.lake import merge_commits, new_commits
 from sessionlake.operators.sessions import (
     assemble_sessions,
@@ -32,6 +28,7 @@ QUARANTINE = "session_quarantine"
 PROCESSED = "processed_commits"
 FACT = "fact_charging_sessions"
 
+
 @dataclass(frozen=True)
 class SessionLoad:
     """What a session load did."""

@@ -6,7 +6,8 @@ Layout below the lake root::
     branch-commits/batch_id=B/*.parquet                           its commits, file by file
 
 Every write replaces the folder of its batch, so a replayed batch changes nothing. Commits
-are written last: a batch without them was not finished and is not seen by readers.
+are written last: a batch without them was not finished, and is not published. A lake root
+belongs to one checkpoint, because batches are numbered by it.
 """
 
 from __future__ import annotations
