@@ -7,10 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlake.llm import byte_bpe, exact_dedup, mixing, sharding, token_files
+from sessionlake.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    mixing,
+    sharding,
+    token_files,
+    toxicity,
+)
 from sessionlake.llm.common import load
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_digest(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digest(
         load(spark, folder, "documents"),
@@ -19,6 +31,10 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify_digest(load(spark, folder, "documents"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_digest(load(spark, folder, "documents"))
 
@@ -40,7 +56,9 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_token_files": op4_token_files,
+    "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
