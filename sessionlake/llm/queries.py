@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlake.llm import (
     byte_bpe,
     exact_dedup,
     language_id,
     mixing,
+    privacy,
     sharding,
     token_files,
+    topk,
     toxicity,
 )
 from sessionlake.llm.common import load
@@ -23,6 +26,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_digest(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+def op3_privacy(spark: SparkSession, folder: str) -> DataFrame:
+    return privacy.span_digest(load(spark, folder, "documents"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digest(
         load(spark, folder, "documents"),
@@ -31,6 +38,10 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(load(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify_digest(load(spark, folder, "documents"))
 
@@ -57,7 +68,9 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_privacy": op3_privacy,
     "op4_token_files": op4_token_files,
+    "op5_topk": op5_topk,
     "op6_language_id": op6_language_id,
     "op7_sharding": op7_sharding,
     "op8_exact_dedup": op8_exact_dedup,
@@ -65,4 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_topk": topk.ORACLE,
+    "op8_exact_dedup": exact_dedup.ORACLE,
+}
