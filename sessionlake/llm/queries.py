@@ -13,6 +13,7 @@ from sessionlake.llm import (
     exact_dedup,
     language_id,
     mixing,
+    ngram_join,
     privacy,
     sharding,
     token_files,
@@ -26,6 +27,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_digest(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicate_classes(load(spark, folder, "documents"))
+
+
 def op3_privacy(spark: SparkSession, folder: str) -> DataFrame:
     return privacy.span_digest(load(spark, folder, "documents"))
 
@@ -68,6 +73,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_join": op2_ngram_join,
     "op3_privacy": op3_privacy,
     "op4_token_files": op4_token_files,
     "op5_topk": op5_topk,
