@@ -294,27 +294,29 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, data binary")
 
 
-def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encode and decode every document and return the digests of both.
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Encode every document, decode its ids, and return the ids and the digests of both.
 
-    Both happen in one pass over a slice of rows, so that neither ids nor texts are stored.
+    Columns doc_id, n_tokens, ids_sha256, decoded_sha256, ids. All happen in one pass over
+    a slice of rows. Null and empty texts have no ids; every row gives a row.
     """
     importable(docs.sparkSession)
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(ranks_path, pattern)
         for rows in small_slices(batches):
-            counts, ids_digests, text_digests = [], [], []
-            for text in rows.column("text").to_pylist():
-                ids = bpe.encode(text)
-                counts.append(len(ids) // 4)
-                ids_digests.append(hashlib.sha256(ids).hexdigest())
-                text_digests.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            ids = [bpe.encode(text) for text in rows.column("text").to_pylist()]
             yield pa.record_batch(
-                [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [
+                    rows.column("doc_id"),
+                    pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+                    pa.array([hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids], pa.string()),
+                    pa.array(ids, pa.binary()),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"],
             )
 
     return id_and_text(docs).mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
     )

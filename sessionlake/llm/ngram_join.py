@@ -225,7 +225,7 @@ def list_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
 
 # --- step 2: the shortest lists of each document ----------------------------------------
 
-_SETS = "id long, n int, own double, set_key binary, short array<long>, shingles binary"
+_SETS = "id long, text_key long, n int, own double, set_key binary, short array<long>, shingles binary"
 
 
 def _levels_of(ids: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -272,16 +272,20 @@ def document_sets(
             yield pa.record_batch(
                 [
                     rows.column("doc_id"),
+                    rows.column("text_key"),
                     pa.array(n, pa.int32()),
                     pa.array(own, pa.float64()),
                     pa.array(key, pa.binary()),
                     pa.array(short, pa.list_(pa.int64())),
                     pa.array(whole, pa.binary()),
                 ],
-                ["id", "n", "own", "set_key", "short", "shingles"],
+                ["id", "text_key", "n", "own", "set_key", "short", "shingles"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")
+    )
     return rows.mapInArrow(sets, _SETS)
 
 
@@ -424,7 +428,8 @@ def _search(threshold: int):
 def near_duplicate_classes(
     docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, block: int = BLOCK
 ) -> DataFrame:
-    """Per row of ``docs`` (``doc_id``, ``text``): doc_id, n_shingles, component_id.
+    """Per row of ``docs`` (``doc_id``, ``text``): doc_id, n_shingles, component_id, text_key (a
+    hash of the text, which tells rows of the same id apart).
 
     ``component_id`` is the smallest doc_id that links lead to, its own included. Null, empty
     and blank texts have no shingles and link with nothing; texts of fewer words than a
@@ -501,12 +506,10 @@ def near_duplicate_classes(
     by_key = labelled.select("set_key", "component").join(least, "component").select(
         F.col("set_key").alias("_key"), "component_id"
     )
-    joined = open_.select("id", "n", "set_key").join(by_key, F.col("set_key") == F.col("_key"))
-    alone = sets.filter("set_key is null").select("id", "n", F.col("id").alias("component_id"))
-    return (
-        joined.select("id", "n", "component_id")
-        .unionByName(alone)
-        .select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    joined = open_.join(by_key, F.col("set_key") == F.col("_key")).select("id", "text_key", "n", "component_id")
+    alone = sets.filter("set_key is null").select("id", "text_key", "n", F.col("id").alias("component_id"))
+    return joined.unionByName(alone).select(
+        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id", "text_key"
     )
 
 
@@ -515,16 +518,19 @@ def keep_one_of_each(
 ) -> DataFrame:
     """``docs`` with the document of the smallest id of each group of near duplicates.
 
-    Rows that link with nothing, null ids and blank texts all stay. Only ids of rows that go
-    are joined with ``docs``.
+    Rows that link with nothing, null ids and blank texts all stay. Rows of the same id are one
+    document. Only the ids of rows that go are joined with ``docs``.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    id_name, key_name = free_name(docs, "_gone"), free_name(docs, "_gone_key")
     gone = (
         near_duplicate_classes(narrow, words, threshold)
         .filter("doc_id <> component_id")
-        .select(F.col("doc_id").alias(free_name(docs, "_gone")))
+        .select(F.col("doc_id").alias(id_name), F.col("text_key").alias(key_name))
         .distinct()
     )
     gone = materialize(gone, "ngram-gone")
-    return docs.join(gone, F.col(id_col).cast("long") == gone[gone.columns[0]], "left_anti")
-
+    same = (F.col(id_col).cast("long") == gone[id_name]) & (
+        F.xxhash64(F.col(text_col).cast("string")) == gone[key_name]
+    )
+    return docs.join(gone, same, "left_anti")

@@ -64,11 +64,11 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.round_trip_digest(
+    return byte_bpe.round_trip(
         load(spark, folder, "documents"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
-    )
+    ).drop("ids")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -300,13 +300,14 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return id_and_text(docs).mapInArrow(score, "doc_id long, score double")
 
 
-def _learnable(docs: DataFrame) -> DataFrame:
+def learnable(docs: DataFrame) -> DataFrame:
+    """The rows that labels may be learned from: those that aren't held out."""
     return docs.filter(~held_out("doc_id", 3, 1))
 
 
 def score_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns: learn from the rows that aren't held out, score all rows."""
-    model = train(_learnable(docs), _learnable(labels))
+    model = train(learnable(docs), learnable(labels))
     return score_documents(docs, model).select(
         "doc_id",
         held_out("doc_id", 3, 1).alias("held_out"),
