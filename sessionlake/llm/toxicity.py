@@ -56,6 +56,10 @@ class Featurizer:
         return np.array(sorted(found), dtype=np.int32)
 
 
+def _sigmoid(margin: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60)))
+
+
 @dataclass
 class Model:
     """An ensemble of linear classifiers over the same hashed features."""
@@ -69,7 +73,7 @@ class Model:
         if not len(self.bias):
             return 0.0
         margin = self.bias + (self.weights[hits].sum(axis=0) if hits else 0.0)
-        return float(np.mean(1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60)))))
+        return float(np.mean(_sigmoid(margin)))
 
 
 def select_features(
@@ -112,16 +116,17 @@ def fit_nnpu(
     unlabelled: list[np.ndarray],
     prior: float,
     features: np.ndarray,
-    steps: int = 400,
-    rate: float = 0.05,
-    decay: float = 2e-4,
+    steps: int = 800,
+    rate: float = 0.2,
+    decay: float = 1e-6,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk with the logistic loss.
+    """Weights and bias that minimise the non-negative risk with the sigmoid loss.
 
     With class prior ``prior``, the risk is ``prior * E_p[l(+)] + max(0, E_u[l(-)] -
     prior * E_p[l(-)])``: the unlabelled text stands for the negatives once the toxic share
     is taken off. Where that difference falls below 0, the step follows its opposite, so that
-    the classifier doesn't profit from fitting the sample's positives as negatives.
+    the classifier doesn't profit from fitting the sample's positives as negatives. The loss is
+    bounded, so the sample's own share of toxic documents needn't hit the prior exactly.
     """
     x = [_incidence(positive, features), _incidence(unlabelled, features)]
     n = [max(len(positive), 1), max(len(unlabelled), 1)]
@@ -140,11 +145,11 @@ def fit_nnpu(
         return out / n[k]
 
     for step in range(1, steps + 1):
-        p, u = margins(0), margins(1)
-        sp, su = 1 / (1 + np.exp(-np.clip(p, -60, 60))), 1 / (1 + np.exp(-np.clip(u, -60, 60)))
-        negative = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
-        of_negative = gradient(1, su) - prior * gradient(0, sp)
-        grad = prior * gradient(0, sp - 1) + of_negative if negative >= 0 else -of_negative
+        sp, su = _sigmoid(margins(0)), _sigmoid(margins(1))
+        negative = su.mean() - prior * sp.mean()
+        of_negative = gradient(1, su * (1 - su)) - prior * gradient(0, sp * (1 - sp))
+        of_positive = prior * gradient(0, -sp * (1 - sp))
+        grad = of_positive + of_negative if negative >= 0 else -of_negative
         grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
