@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import held_out, id_and_text, importable, small_slices
+from sessionlake.session import materialize
 
 # Characters of labelled text per language that an automaton is built from: a bounded sample.
-SAMPLE_CHARS = 60_000
+SAMPLE_CHARS = 80_000
+
+# The sample has an excerpt of each of its documents, so that no long one fills it.
+EXCERPT_CHARS = 800
 
 # The parse starts anew after so many characters, so that long texts are parsed in pieces side
 # by side; every piece of every text is parsed.
@@ -175,56 +179,46 @@ def phrase_counts(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _seeded(id_col: str):
-    return F.pmod(F.xxhash64(F.lit(7), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-
-
-def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Build an automaton per language from labelled documents (``doc_id``, ``text``, ``lang``).
-
-    Whole documents are taken in a seeded order until ``sample_chars`` characters are reached;
-    the last one ends there. Rows without a language or a text teach nothing. Each automaton
-    is built by a task of its own.
-    """
+def _sample(docs: DataFrame, sample_chars: int) -> DataFrame:
+    """``lang``, ``at`` (a seeded order), ``text``: excerpts of about three times the wanted
+    characters per language, so that a language's rows stay bounded."""
     spark = docs.sparkSession
-    importable(spark)
     labelled = docs.select("doc_id", "text", "lang").filter("lang is not null and length(text) > 0")
+    size = F.least(F.char_length("text"), F.lit(EXCERPT_CHARS))
     # one number per language
-    totals = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("n")).collect()
-    if not totals:
-        return Model.of({}, np.zeros(0, np.int64))
-    # a seeded share with a few times the wanted characters, so that a group stays bounded
+    totals = labelled.groupBy("lang").agg(F.sum(size).alias("n")).collect()
     shares = spark.createDataFrame(
-        [(r["lang"], min(1.0, 4.0 * sample_chars / r["n"] + 0.0)) for r in totals], "lang string, share double"
+        [(r["lang"], min(1.0, 3.0 * sample_chars / r["n"])) for r in totals], "lang string, share double"
     )
-    sample = (
+    start = F.pmod(
+        F.xxhash64(F.lit(8), "doc_id"), F.greatest(F.char_length("text") - EXCERPT_CHARS, F.lit(0)) + 1
+    ) + 1
+    at = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30))
+    return (
         labelled.join(F.broadcast(shares), "lang")
-        .withColumn("at", _seeded("doc_id"))
-        .filter("at <= share")
-        .select("lang", "at", F.substring("text", 1, sample_chars).alias("text"))
+        .withColumn("at", at)
+        .filter(F.col("at") / F.lit(float(1 << 30)) <= F.col("share"))
+        .select("lang", "at", F.substring("text", start.cast("int"), F.lit(EXCERPT_CHARS)).alias("text"))
     )
 
-    def trimmed(rows: pd.DataFrame) -> list[str]:
-        out, left = [], sample_chars
-        for text in rows.sort_values(["at", "text"])["text"]:
-            out.append(text[:left])
-            left -= len(text)
-            if left <= 0:
-                break
-        return out
 
-    def letters(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"letters": [alphabet_of(trimmed(rows)).tolist()]})
+def _trimmed(rows: pd.DataFrame, sample_chars: int) -> list[str]:
+    """The first texts of the seeded order, up to the wanted characters."""
+    out, left = [], sample_chars
+    for text in rows.sort_values(["at", "text"])["text"]:
+        out.append(text[:left])
+        left -= len(text)
+        if left <= 0:
+            break
+    return out
 
-    ranked: Counter = Counter()
-    for row in sample.groupBy("lang").applyInPandas(letters, "letters array<long>").collect():
-        ranked.update({c: _SYMBOLS - i for i, c in enumerate(row["letters"])})
-    order = sorted(ranked, key=lambda c: (-ranked[c], c))
-    alphabet = np.array(order[: _SYMBOLS - 2], dtype=np.int64)
+
+def _build(sample: DataFrame, alphabet: np.ndarray, sample_chars: int) -> Model:
+    """An automaton per language, each by a task of its own."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         table = symbol_table(alphabet)
-        automaton = suffix_automaton([symbols(t, table) for t in trimmed(rows)])
+        automaton = suffix_automaton([symbols(t, table) for t in _trimmed(rows, sample_chars)])
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "moves": [automaton.tobytes()]})
 
     built = sample.groupBy("lang").applyInPandas(build, "lang string, moves binary").collect()
@@ -233,6 +227,51 @@ def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     )
 
 
+def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
+    """Build an automaton per language from labelled documents (``doc_id``, ``text``, ``lang``).
+
+    Excerpts of documents are taken in a seeded order until ``sample_chars`` characters are
+    reached. Labelled documents quote other languages; so excerpts that automata of the other
+    half of the sample take for another language are left out first, unless that is all of
+    a language. Rows without a language or a text teach nothing.
+    """
+    spark = docs.sparkSession
+    importable(spark)
+    sample = materialize(_sample(docs, sample_chars), "language-sample")
+
+    def letters(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"letters": [alphabet_of(_trimmed(rows, sample_chars)).tolist()]})
+
+    ranked: Counter = Counter()
+    for row in sample.groupBy("lang").applyInPandas(letters, "letters array<long>").collect():
+        ranked.update({c: _SYMBOLS - i for i, c in enumerate(row["letters"])})
+    order = sorted(ranked, key=lambda c: (-ranked[c], c))
+    alphabet = np.array(order[: _SYMBOLS - 2], dtype=np.int64)
+
+    halves = [_build(sample.filter(F.col("at") % 2 == k), alphabet, sample_chars // 2) for k in (0, 1)]
+    judges = spark.sparkContext.broadcast(halves)
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = symbol_table(alphabet)
+        for rows in small_slices(batches):
+            texts = [symbols(t, table) for t in rows.column("text").to_pylist()]
+            langs = rows.column("lang").to_pylist()
+            fits = [True] * len(texts)
+            for k, model in enumerate(judges.value):
+                mine = [i for i, at in enumerate(rows.column("at").to_pylist()) if at % 2 != k]
+                counts = phrase_counts(model, [texts[i] for i in mine])
+                for i, n in zip(mine, counts, strict=True):
+                    if langs[i] in model.languages:
+                        fits[i] = bool(n[model.languages.index(langs[i])] == n.min())
+            yield pa.record_batch([*rows.columns, pa.array(fits)], [*rows.schema.names, "fits"])
+
+    judged = sample.mapInArrow(judge, "lang string, at long, text string, fits boolean")
+    judged = materialize(judged, "language-judged")
+    some = judged.groupBy("lang").agg(F.max("fits").alias("some"))
+    clean = judged.join(some, "lang").filter("fits or not some").select("lang", "at", "text")
+    return _build(clean, alphabet, sample_chars)
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` for every row of ``docs``.
 
