@@ -36,8 +36,10 @@ HEADLINES = (
     "encode_decode_events",
     "read_at_commit",
     "publish",
+    "publish_in_two",
     "stream_ingest",
     "fact_load_idempotent",
+    "load_in_two",
     "stream_to_star",
 )
 
@@ -47,7 +49,7 @@ FROM_LAKE = {
     "lake_assemble_sessions": lambda lake: assemble_sessions(lake),
     "lake_assemble_sessions_string": lambda lake: assemble_sessions(lake, "string"),
     "lake_facts": lambda lake: conform_fact(valid_sessions(assemble_sessions(lake))),
-    "lake_audit": lambda lake: audit_batch(lake, by=[schemas.BUCKET_COLUMN], repeats=False),
+    "lake_audit": lambda lake: audit_batch(lake, by=[schemas.BUCKET_COLUMN]),
 }
 REPEATS = int(os.environ.get("BENCH_REPEATS", "1"))
 
@@ -79,7 +81,7 @@ def main() -> None:
             seconds[name] = _best(lambda name=name: CATALOGUE[name](spark, sf_dir))
     if any(name in FROM_LAKE for name in chosen):
         root = new_folder(spark, "bench-lake")
-        ingest.stage_batch(fixtures.m2_events(spark, sf_dir), root, 0, LAKE_WIDTH)
+        ingest.batch_writer(root, LAKE_WIDTH)(fixtures.m2_events(spark, sf_dir), 0)
         for name in chosen:
             if name in FROM_LAKE:
                 seconds[name] = _best(

@@ -34,13 +34,12 @@ def _payload(event_type: Column, time: Column, energy: Column, duration: Column)
 
 
 def m1_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session events without numbers: one session per user and day of ``events``.
+    """Session events without numbers: one session per user and day of ``events``. Views start
+    a session, purchases stop it, all other types are unknown to it.
 
     ``ts`` and ``event_id`` stay alongside for ordering and splitting.
     """
-    source = table(spark, sf_dir, "events").where(
-        F.col("event_type").isin("view", "purchase", "error")
-    )
+    source = table(spark, sf_dir, "events")
     kind = (
         F.when(F.col("event_type") == "view", schemas.START_EVENT)
         .when(F.col("event_type") == "purchase", schemas.STOP_EVENT)
@@ -78,6 +77,39 @@ def m1_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def m1_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of all session events with some faults, by event id modulo 50: 0 cut short,
+    1 without a session, 2 without a number, 3 sent twice. ``event_id`` and ``ts`` stay
+    alongside."""
+    fault = F.col("event_id") % 50
+    numbered = m1_numbered(spark, sf_dir)
+    faulty = numbered.withColumns(
+        {
+            "session_id": F.when(fault != 1, F.col("session_id")),
+            "session_number": F.when(fault != 2, F.col("session_number")),
+            "_copies": F.when(fault == 3, 2).otherwise(1),
+        }
+    )
+    value = F.col("_encoded").cast("string")
+    message = F.to_json(
+        F.struct(
+            *[
+                F.col("vehicle_id" if n == "ev_id" else n).alias(n)
+                for n in schemas.EVENT_MESSAGE.fieldNames()
+            ]
+        )
+    )
+    return (
+        faulty.withColumn("_encoded", message)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(
+            F.when(fault == 0, F.substring(value, 1, 20)).otherwise(value).cast("binary").alias("value"),
+            "event_id",
+            "ts",
+        )
+    )
+
+
 def m2_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk session events: a start per order, a stop per line item."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

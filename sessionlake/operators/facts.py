@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -10,22 +11,21 @@ from pyspark.sql import functions as F
 
 from sessionlake import schemas
 from sessionlake.functions import time_id
-from sessionlake.session import broadcast_if_small
 
-# Session keys of this many incoming rows take about a hundred megabytes when broadcast.
-LOAD_BROADCAST_ROWS = 500_000
 
-
-def conform_fact(sessions: DataFrame) -> DataFrame:
-    """Valid sessions as ``fact_charging_sessions`` rows: hour ids instead of times."""
+def conform_fact(sessions: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Valid sessions as ``fact_charging_sessions`` rows: hour ids instead of times. ``carry``
+    names further columns to keep behind them."""
     fact = sessions.select(
         *schemas.SESSION_KEY,
         time_id(F.col("start_time")).alias("start_time_id"),
         time_id(F.col("stop_time")).alias("end_time_id"),
         F.col("energy_delivered").try_cast("float").alias("energy_delivered"),
         F.col("duration_minutes").try_cast("float").alias("duration_minutes"),
+        *carry,
     )
-    return schemas.validate_schema(fact, "fact_charging_sessions")
+    checked = schemas.validate_schema(fact.drop(*carry), "fact_charging_sessions")
+    return fact.select(*checked.columns, *carry)
 
 
 def _has_hours() -> Column:
@@ -42,7 +42,7 @@ def rejected_facts(fact: DataFrame) -> DataFrame:
     return fact.where(~_has_hours()).withColumn("reason", F.lit("bad_time"))
 
 
-def _same_session(left: str, right: str) -> Column:
+def same_session(left: str, right: str) -> Column:
     # NULL-safe: sessions group NULL stations and vehicles together, so NULLs must match here.
     return reduce(
         and_,
@@ -53,17 +53,15 @@ def _same_session(left: str, right: str) -> Column:
 def new_facts(fact: DataFrame, existing: DataFrame) -> DataFrame:
     """Facts whose session is not in ``existing`` yet.
 
-    ``existing`` is the large side. It is first cut down to the incoming sessions: a load of
-    up to ``LOAD_BROADCAST_ROWS`` rows has its keys broadcast, and the existing table is
-    filtered where it lies; a larger one is matched by a merge join. Either way only matches
-    are left for the anti join. ``fact`` is counted for this, so it should be a written
-    table or cheap to derive from one.
+    ``existing`` is the large side. It is first cut down to the incoming sessions; when those
+    are few enough by their size, Spark broadcasts them and the existing table is filtered where
+    it lies, otherwise both are matched by a merge join. Either way only matches are left for
+    the anti join. ``fact`` should be a written table, whose size is known.
     """
     keys = list(schemas.SESSION_KEY)
-    incoming = broadcast_if_small(fact.select(*keys), LOAD_BROADCAST_ROWS)
     seen = (
         existing.select(*keys)
         .alias("old")
-        .join(incoming.alias("incoming"), _same_session("old", "incoming"), "left_semi")
+        .join(fact.select(*keys).alias("incoming"), same_session("old", "incoming"), "left_semi")
     )
-    return fact.alias("new").join(seen.alias("seen"), _same_session("new", "seen"), "left_anti")
+    return fact.alias("new").join(seen.alias("seen"), same_session("new", "seen"), "left_anti")

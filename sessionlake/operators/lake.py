@@ -6,13 +6,12 @@ each commit, the paths visible at it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionlake import schemas
-from sessionlake.session import broadcast_if_small, is_small, materialize
-from sessionlake.sources.tables import DIRECT_READ_FOLDERS
+from sessionlake.session import materialize
 
 
 def new_commits(commit_log: DataFrame, processed: DataFrame, branch: str) -> DataFrame:
@@ -68,39 +67,80 @@ def snapshot_path(root: str, commit: Column, path: Column) -> Column:
     return F.concat_ws("/", F.lit(root.rstrip("/")), commit, path)
 
 
-def read_at(spark: SparkSession, root: str, files: DataFrame, schema: T.StructType) -> DataFrame:
+def read_at(
+    spark: SparkSession,
+    root: str,
+    files: DataFrame,
+    schema: T.StructType,
+    commit_column: str | None = None,
+) -> DataFrame:
     """All rows of all the data files listed in ``files`` (column path, relative to ``root``).
 
-    The file list stays distributed: rows are kept by a semi join on the path each row came
-    from. Only directories, of which there are few per load, are looked at on the driver;
-    when there are more than ``DIRECT_READ_FOLDERS`` the whole table is scanned instead,
-    with the same semi join. An empty list gives an empty frame of ``schema``.
+    One way for any number of files: the tables that the files belong to are read, cut down by
+    a semi join on the listed partitions (which Spark turns into partition pruning) and by one
+    on the path each row came from. The list itself stays distributed; the driver sees the
+    tables' folders and partition columns only. A listed file that is not there, or has no row
+    while the list's ``n_rows`` says so, fails the call: nothing is left out silently. An empty
+    list gives an empty frame of ``schema``.
+
+    In a store that shows each commit as a folder of its own, ``commit_column`` names the column
+    of ``files`` with the commit to read each file at; paths are then relative to that folder.
     """
     root = root.rstrip("/")
-    wanted = materialize(files.select("path").distinct(), "file-list")
-    directory = F.regexp_replace("path", "/[^/]*$", "")
-    directories = [
-        row[0]
-        for row in wanted.select(directory).distinct().take(DIRECT_READ_FOLDERS + 1)
-    ]
-    if not directories:
-        return spark.createDataFrame([], schema)
-    if len(directories) > DIRECT_READ_FOLDERS:
-        paths = [root]
-    else:
-        paths = sorted(f"{root}/{d}" for d in directories)
-    rows = (
-        spark.read.schema(schema)
-        .option("basePath", root)
-        .parquet(*paths)
-        .select("*", F.col("_metadata.file_path").alias("_file"))
+    path = F.col("path") if commit_column is None else F.concat_ws("/", commit_column, "path")
+    expected = F.col("n_rows") if "n_rows" in files.columns else F.lit(None).cast("bigint")
+    wanted = materialize(
+        files.select(path.alias("path"), expected.alias("_expected")).distinct(), "file-list"
     )
-    # Addresses are worked out once per file; a row is matched by its file's own address.
-    present = rows.select("_file").distinct().withColumn("path", relative_path(root, "_file"))
-    matched = present.join(broadcast_if_small(wanted), "path", "left_semi").select("_file")
-    if is_small(wanted):
-        matched = F.broadcast(matched)
-    return rows.join(matched, "_file", "left_semi").drop("_file")
+    folder = F.regexp_extract("path", "^((?:[^/=]+/)*)", 1)
+    columns = F.regexp_extract_all("path", F.lit("([^/=]+)="), 1)
+    tables = wanted.select(folder.alias("folder"), columns.alias("columns")).distinct().collect()
+    if not tables:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for table in sorted(tables, key=lambda t: (t["folder"], t["columns"])):
+        listed = wanted.where((folder == table["folder"]) & (columns == F.array(*map(F.lit, table["columns"]))))
+        address = f"{root}/{table['folder']}".rstrip("/")
+        rows = _rows_with_file(spark, address, schema, root)
+        present = rows.groupBy("path").agg(F.count(F.lit(1)).alias("_rows"))
+        missing = (
+            listed.join(present, "path", "left")
+            .where(F.coalesce("_rows", F.lit(0)) < F.coalesce("_expected", F.lit(1)))
+            .take(1)
+        )
+        if missing:
+            raise FileNotFoundError(
+                f"{root}/{missing[0]['path']}: {missing[0]['_rows'] or 0} rows found, "
+                f"{missing[0]['_expected'] or 'some'} expected"
+            )
+        kept = rows
+        if table["columns"]:
+            values = [
+                F.nullif(
+                    F.url_decode(F.replace(F.regexp_extract("path", f"(?:^|/){c}=([^/]*)", 1), F.lit("+"), F.lit("%2B"))),
+                    F.lit("__HIVE_DEFAULT_PARTITION__"),
+                ).cast(kept.schema[c].dataType).alias(f"_{c}")
+                for c in table["columns"]
+            ]
+            folders = listed.select(*values).distinct()
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in table["columns"]]
+            kept = kept.join(folders, same, "left_semi")
+        parts.append(kept.join(listed, "path", "left_semi").select(*[f.name for f in _struct(schema).fields]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _struct(schema) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _rows_with_file(spark: SparkSession, address: str, schema, root: str) -> DataFrame:
+    """A table's rows with the path, below ``root``, of the file that each is in."""
+    rows = spark.read.schema(schema).parquet(address)
+    with_file = rows.select("*", F.col("_metadata.file_path").alias("_file"))
+    return with_file.withColumn("path", relative_path(root, "_file"))
 
 
 def relative_path(root: str, address: str) -> Column:
@@ -117,11 +157,14 @@ def relative_path(root: str, address: str) -> Column:
 
 
 def as_of(main: DataFrame, commit_log: DataFrame, commit_id: str | Column) -> DataFrame:
-    """Rows of ``main`` as they were at a commit: those of it and of the commits before it.
+    """Rows of ``main`` as they were at a commit: those of it and of the commits before it. A
+    commit that the log doesn't have is an error.
 
     ``main`` carries commit_id; as a partition column, other commits' files are not read.
     """
-    target = commit_log.where(F.col("commit_id") == commit_id).agg(F.max("seq")).scalar()
+    target = commit_log.where(F.col("commit_id") == commit_id).agg(F.max("seq")).first()[0]
+    if target is None:
+        raise ValueError(f"no commit {commit_id} in the log")
     visible = commit_log.where(F.col("seq") <= target).select("commit_id")
     return main.join(visible, "commit_id", "left_semi")
 
@@ -135,32 +178,10 @@ def branch_commit_id(batch_id: Column, bucket: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def branch_history(branch_commits: DataFrame) -> DataFrame:
-    """Branch commits as commit-log rows: each commit's parent is the one before it.
-
-    Parents are derived here rather than looked up at write time, which would make every
-    micro-batch read the whole log. A window holds one branch's commits, not its events.
-    """
-    by_batch = Window.partitionBy("branch").orderBy("batch_id")
-    parent = F.lag("commit_id").over(by_batch)
-    return branch_commits.select(
-        "commit_id",
-        F.col("batch_id").alias("seq"),
-        "branch",
-        F.array_compact(F.array(parent)).alias("parents"),
-        "message",
-    )
-
-
-def unpublished(branch_commits: DataFrame, main_commits: DataFrame) -> DataFrame:
-    """Branch commits newer than the last one published from their bucket."""
-    bucket = schemas.BUCKET_COLUMN
-    published = main_commits.groupBy(bucket).agg(F.max("tip_batch_id").alias("_published"))
-    return (
-        branch_commits.join(published, bucket, "left")
-        .where(F.col("batch_id") > F.coalesce(F.col("_published"), F.lit(-1)))
-        .drop("_published")
-    )
+def unpublished(branch_files: DataFrame, main_files: DataFrame) -> DataFrame:
+    """Log entries of staged files whose batch and bucket no publish has taken in yet."""
+    taken = main_files.select("batch_id", schemas.BUCKET_COLUMN).distinct()
+    return branch_files.join(taken, ["batch_id", schemas.BUCKET_COLUMN], "left_anti")
 
 
 def merges_for(
@@ -188,13 +209,10 @@ def merges_for(
     )
 
 
-def merged_batches(commits: DataFrame, merges: DataFrame) -> DataFrame:
-    """(batch_id, bucket, commit_id): which merge commit takes in which staged batch."""
+def published_files(files: DataFrame, merges: DataFrame) -> DataFrame:
+    """The staged files that the merges take in, as rows of the log of main: publishing
+    moves no event."""
     bucket = schemas.BUCKET_COLUMN
-    return commits.select("batch_id", bucket).join(merges.select(bucket, "commit_id"), bucket)
-
-
-def publish(staged: DataFrame, merged: DataFrame) -> DataFrame:
-    """Rows that a publish adds to main: the staged rows of the ``merged`` batches, each with
-    the id of its merge commit. ``merged`` has one row per published (batch_id, bucket)."""
-    return staged.join(merged, ["batch_id", schemas.BUCKET_COLUMN])
+    return files.drop("commit_id", "branch", "message").join(
+        merges.select(bucket, "commit_id", "seq"), bucket
+    ).select(*schemas.MAIN_FILE.fieldNames())

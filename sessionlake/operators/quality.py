@@ -37,26 +37,36 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def audit_batch(
-    events: DataFrame, by: Sequence[str] = (), repeats: bool = True
-) -> DataFrame:
+def _undecodable() -> Column:
+    empty = F.col("payload").isNull()
+    for field in ("event_type", "session_id", "session_number", "station_id", "vehicle_id"):
+        empty = empty & F.col(field).isNull()
+    return empty
+
+
+def _key_missing() -> Column:
+    return F.col("session_id").isNull() | F.col("session_number").isNull()
+
+
+def event_fault() -> Column:
+    """Why a row is no usable event: ``malformed`` or ``null_key``; NULL for a usable one."""
+    return F.when(_undecodable(), F.lit("malformed")).when(_key_missing(), F.lit("null_key"))
+
+
+def audit_batch(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Quality metrics of a batch of lake events and a verdict, one row (or one per ``by``).
 
     A batch passes when it has rows, none of them undecodable and none without a session
     key. Unknown event types and repeated events are reported but do not fail it.
 
-    Counting repeats takes a shuffle by event, in which equal events collapse on the map side
-    first. With ``repeats=False`` that count is left out and only per-task totals are moved.
+    Counting repeats takes a shuffle by event, of session, type and time only, in which equal
+    events collapse on the map side first.
     """
     group = list(by)
     kind = F.col("event_type")
-    empty = F.col("payload").isNull()
-    for field in ("event_type", "session_id", "session_number", "station_id", "vehicle_id"):
-        empty = empty & F.col(field).isNull()
-    key_missing = F.col("session_id").isNull() | F.col("session_number").isNull()
     checks = {
-        "malformed_rows": empty,
-        "null_keys": key_missing & ~empty,
+        "malformed_rows": _undecodable(),
+        "null_keys": _key_missing() & ~_undecodable(),
         "start_events": kind == schemas.START_EVENT,
         "stop_events": kind == schemas.STOP_EVENT,
         "other_events": ~kind.isin(schemas.START_EVENT, schemas.STOP_EVENT),
@@ -66,21 +76,28 @@ def audit_batch(
     checked = events.select(
         *group, "session_id", "event_type", time, *[c.alias(n) for n, c in checks.items()]
     )
-    counts = [F.count_if(n).alias(n) for n in checks]
-    if repeats:
-        collapsed = checked.groupBy(*group, "session_id", "event_type", "_time").agg(
-            F.count(F.lit(1)).alias("n_rows"), *counts
-        )
-
-        def total(value: Column, name: str) -> Column:
-            return F.coalesce(F.sum(value), F.lit(0)).alias(name)
-
-        repeated = F.when(F.col("session_id").isNotNull(), F.col("n_rows") - 1).otherwise(0)
-        metrics = collapsed.groupBy(*group).agg(
-            *[total(F.col(n), n) for n in ("n_rows", *checks)],
-            total(repeated, "repeated_events"),
-        )
-    else:
-        metrics = checked.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
-    ok = (F.col("n_rows") > 0) & (F.col("malformed_rows") == 0) & (F.col("null_keys") == 0)
-    return metrics.withColumn("ok", ok)
+    collapsed = checked.groupBy(*group, "session_id", "event_type", "_time").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(n).alias(n) for n in checks]
+    )
+    repeated = F.when(F.col("session_id").isNotNull(), F.col("n_rows") - 1).otherwise(0)
+    metrics = collapsed.groupBy(*group).agg(
+        *[_total(F.col(n), n) for n in ("n_rows", *checks)], _total(repeated, "repeated_events")
+    )
+    return metrics.withColumn("ok", _passes())
+
+
+def _total(value: Column, name: str) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0)).alias(name)
+
+
+def _passes() -> Column:
+    return (F.col("n_rows") > 0) & (F.col("malformed_rows") == 0) & (F.col("null_keys") == 0)
+
+
+def combined_audits(audits: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Metrics of several audited batches added up, one row per ``by``, with the verdict.
+    Repeats are those within a batch."""
+    metrics = [
+        f.name for f in schemas.BATCH_AUDIT.fields if f.name not in (schemas.BUCKET_COLUMN, "batch_id")
+    ]
+    return audits.groupBy(*by).agg(*[_total(F.col(n), n) for n in metrics]).withColumn("ok", _passes())

@@ -28,8 +28,9 @@ def star_view(
 
     Facts without a matching dimension row keep NULLs, or type defaults (0, '', false) with
     ``unmatched="default"``. No broadcast is forced: Spark broadcasts a dimension when its
-    size, estimated from the files or measured at run time, is below the threshold, and
-    otherwise uses a merge join whose hot keys adaptive execution splits.
+    size is below the threshold, and otherwise uses a merge join whose hot keys adaptive
+    execution splits. Pass dimensions as stored tables, or write them first with
+    ``materialize``: a derived one's size is only measured after the facts have been shuffled.
     """
     if unmatched not in ("null", "default"):
         raise ValueError(f"unknown value for unmatched: {unmatched!r}")

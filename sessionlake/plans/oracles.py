@@ -16,7 +16,7 @@ m1 AS (
          THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS energy_delivered,
     CASE WHEN event_type = 'purchase'
          THEN regexp_extract(props, '"k": *([0-9]+)', 1) END AS duration_minutes
-  FROM events WHERE event_type IN ('view', 'purchase', 'error')
+  FROM events
 ),
 numbers AS (
   SELECT session_id, first_ts,
@@ -227,7 +227,7 @@ _EVENT_FIELDS = (
     "event_type, session_id, session_number, station_id, vehicle_id, "
     "event_time, energy_delivered, duration_minutes"
 )
-_BATCH = "CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 0 END"
+_BATCH = "CASE WHEN ts >= TIMESTAMP '2024-01-16 12:00:00' THEN 1 ELSE 0 END"
 _BRANCH_COMMITS = f"""
 commits AS (
   SELECT batch_id, session_number_range,
@@ -236,6 +236,29 @@ commits AS (
   FROM (SELECT DISTINCT CAST({_BATCH} AS BIGINT) AS batch_id, session_number_range FROM m1n)
 )"""
 
+# Messages with faults, as decoded: by event id modulo 50, cut short, no session, no number, twice.
+_MESSAGES = """
+messages AS (
+  SELECT CASE fault WHEN 0 THEN 'malformed' WHEN 1 THEN 'null_key' WHEN 2 THEN 'null_key' END
+      AS reason,
+    CASE WHEN fault <> 0 THEN event_type END AS event_type,
+    CASE WHEN fault NOT IN (0, 1) THEN session_id END AS session_id,
+    CASE WHEN fault NOT IN (0, 2) THEN session_number END AS session_number,
+    CASE WHEN fault <> 0 THEN station_id END AS station_id,
+    event_time, session_number_range,
+    CAST(CASE WHEN fault = 0 THEN 20 ELSE length(
+      '{'
+      || CASE WHEN fault <> 1 THEN '"session_id":"' || session_id || '",' ELSE '' END
+      || CASE WHEN fault <> 2 THEN '"session_number":' || session_number || ',' ELSE '' END
+      || '"station_id":"' || station_id || '","ev_id":"' || vehicle_id
+      || '","event_type":"' || event_type || '","payload":{"timestamp":"' || event_time || '"'
+      || CASE WHEN event_type = 'stop' THEN ',"energy_delivered":"' || energy_delivered
+         || '","duration_minutes":"' || duration_minutes || '"' ELSE '' END
+      || '}}') END AS BIGINT) AS raw_length
+  FROM (SELECT *, event_id % 50 AS fault FROM m1n), range(2) copies(copy)
+  WHERE copy = 0 OR fault = 3
+)"""
+
 _AUDIT_METRICS = """
     CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
     CAST(0 AS BIGINT) AS malformed_rows,
@@ -290,19 +313,30 @@ ORACLES: dict[str, str] = {
         SELECT sha256('batch|0|' || CAST(session_number_range AS VARCHAR)) AS commit_id,
           session_number_range,
           'batch_' || CAST(session_number_range AS VARCHAR) AS branch,
-          'Committing batch ' || CAST(session_number_range AS VARCHAR) AS message,
+          'Events of micro-batch 0, bucket ' || CAST(session_number_range AS VARCHAR) AS message,
           count(*) AS n_rows, CAST(0 AS BIGINT) AS batch_id
         FROM m1n GROUP BY session_number_range""",
     "stage_batch_roundtrip": f"""WITH {_M1}
         SELECT {_EVENT_FIELDS}, session_number_range, CAST({_BATCH} AS BIGINT) AS batch_id
         FROM m1n""",
-    "branch_history": f"""WITH {_M1}, {_BRANCH_COMMITS}
-        SELECT commit_id, batch_id AS seq,
-          'batch_' || CAST(session_number_range AS VARCHAR) AS branch,
-          coalesce(lag(commit_id) OVER (PARTITION BY session_number_range ORDER BY batch_id), '')
-            AS parents,
-          'Committing batch ' || CAST(session_number_range AS VARCHAR) AS message
-        FROM commits""",
+    "decode_malformed": f"""WITH {_M1}, {_MESSAGES}
+        SELECT reason, count(*) AS n_rows, count(*) FILTER (reason IS DISTINCT FROM 'malformed')
+          AS n_payloads, min(raw_length) AS shortest
+        FROM messages GROUP BY reason""",
+    "staged_quarantine": f"""WITH {_M1}, {_MESSAGES}
+        SELECT reason, event_type, session_id, CAST(session_number AS DOUBLE) AS session_number,
+          station_id, raw_length, CAST(0 AS BIGINT) AS batch_id
+        FROM messages WHERE reason IS NOT NULL""",
+    "publish_with_bad_rows": f"""WITH {_M1}, {_MESSAGES}, groups AS (
+          SELECT session_number_range, session_id, event_type, event_time, count(*) AS n
+          FROM messages WHERE reason IS NULL GROUP BY ALL)
+        SELECT session_number_range, CAST(sum(n) AS BIGINT) AS n_events,
+          CAST(sum(CASE WHEN event_type = 'start' THEN n ELSE 0 END) AS BIGINT) AS start_events,
+          CAST(sum(CASE WHEN event_type = 'stop' THEN n ELSE 0 END) AS BIGINT) AS stop_events,
+          CAST(sum(CASE WHEN event_type NOT IN ('start', 'stop') THEN n ELSE 0 END) AS BIGINT)
+            AS other_events,
+          CAST(sum(n - 1) AS BIGINT) AS repeated_events
+        FROM groups GROUP BY session_number_range""",
     "stream_ingest": f"""WITH {_M1}
         SELECT session_number_range, event_type, count(*) AS n_events, count(*) AS n_timed
         FROM m1n GROUP BY session_number_range, event_type""",
@@ -334,6 +368,17 @@ ORACLES: dict[str, str] = {
           sha256('merge||' || any_value(tip)) AS commit_id
         FROM m1n e JOIN tips t ON e.session_number_range = t.session_number_range
         GROUP BY e.session_number_range, event_type""",
+    "publish_in_two": f"""WITH {_M1}, {_BRANCH_COMMITS},
+        first AS (SELECT max(sha256('merge||' || commit_id)) AS head FROM commits WHERE batch_id = 0)
+        SELECT e.session_number_range, count(*) AS n_events,
+          sha256('merge|' || CASE WHEN c.batch_id = 0 THEN '' ELSE head END || '|' || c.commit_id)
+            AS commit_id
+        FROM (SELECT *, {_BATCH} AS batch_id FROM m1n) e
+        JOIN commits c ON c.batch_id = e.batch_id
+          AND c.session_number_range = e.session_number_range, first
+        GROUP BY e.session_number_range, c.batch_id, c.commit_id, head""",
+    "compact_published": f"WITH {_M1} SELECT {_EVENT_FIELDS}, session_number_range FROM m1n",
+    "scan_sample": "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_known",
     "scan_audit": """SELECT event_type, count(*) AS n_events,
           (SELECT count(*) FROM events) AS rows_scanned
         FROM events GROUP BY event_type""",
@@ -392,7 +437,30 @@ ORACLES: dict[str, str] = {
         {_time_dim(f'''SELECT DISTINCT {_hour_key('ts')} AS time_id FROM events
             WHERE {_hour_key('ts')} NOT IN (SELECT time_id FROM hours)''')}""",
     "fact_sessions": f"{_M1_FACT} SELECT * FROM fact",
+    "rejected_facts": f"""WITH {_M1}
+        SELECT session_id, station_id, vehicle_id, 'bad_time' AS reason
+        FROM ({_M1_SESSIONS}) WHERE {_VALID} AND date_part('day', stop_time) % 2 <> 0""",
     "fact_load_idempotent": f"{_M1_FACT} SELECT * FROM fact",
+    "session_load_counts": f"""{_M1_FACT}, counts AS (
+          SELECT count(*) AS total_sessions, count(*) FILTER ({_VALID}) AS valid_sessions,
+            count(*) FILTER (NOT ({_VALID})) AS invalid_sessions
+          FROM ({_M1_SESSIONS}))
+        SELECT load, total_sessions, valid_sessions, invalid_sessions,
+          CAST(0 AS BIGINT) AS rejected_facts,
+          CASE WHEN load = 0 THEN (SELECT count(*) FROM fact) ELSE 0 END AS new_facts,
+          CAST(0 AS BIGINT) AS removed_facts,
+          CASE WHEN load = 0 THEN (SELECT count(*) FROM ({_HOURS})) ELSE 0 END AS new_hours
+        FROM counts, range(2) loads(load)""",
+    "load_in_two": f"{_M1_FACT} SELECT * FROM fact",
+    "quarantine_in_two": f"""WITH {_M1}
+        SELECT {_SESSION_COLUMNS}, session_number_range,
+          concat_ws(',', CASE WHEN start_events = 0 THEN 'no_start' END,
+            CASE WHEN start_events > 1 THEN 'multiple_starts' END,
+            CASE WHEN completion_events = 0 THEN 'no_stop' END) AS reason
+        FROM ({_M1_SESSIONS}) JOIN (SELECT DISTINCT session_id, session_number_range FROM m1n)
+          USING (session_id)
+        WHERE NOT ({_VALID})""",
+    "dimension_load": _DIM_VEHICLE,
     "table_append": _DIM_VEHICLE,
     "dim_station": _DIM_STATION,
     "dim_vehicle": _DIM_VEHICLE,
@@ -400,6 +468,9 @@ ORACLES: dict[str, str] = {
     "delimited_load": """SELECT CAST(p_partkey AS VARCHAR) AS id,
           p_name || ', ' || p_brand AS label, p_size AS size_km
         FROM part WHERE p_type <> 'PROMO'""",
+    "delimited_extra_column": """SELECT CAST(p_partkey AS VARCHAR) AS id,
+          p_name || ', ' || p_brand AS label, p_size AS size_km
+        FROM part WHERE p_type <> 'PROMO'""",
     "station_file_load": _STATION_FROM_FILE,
     "vehicle_file_load": _VEHICLE_FROM_FILE,
     "surrogate_ids": f"""SELECT o_orderkey, {_surrogate('o_orderkey', 'o_orderpriority')} AS id

@@ -1,101 +1,192 @@
-"""Write, audit, publish: move audited staged batches to the main table.
+"""Write, audit, publish: log audited staged batches as the main table.
 
 Layout below the lake root, next to the staged events::
 
-    main/session_number_range=N/commit_id=C/*.parquet   published events
-    main-commits/seq=S/*.parquet                        merge commits of publish S
+    main-files/seq=S/*.parquet      the staged files that publish S took in
+    publish-state/seq=S/*.parquet   up to which batch nothing is left to publish
+    main-commits/seq=S/*.parquet    merge commits of publish S
 
-A publish becomes visible when its commits are written, which is the last step. Rows left
-behind by a publish that did not finish belong to no logged commit, so no reader sees them.
+Publishing moves no event: main *is* the staged files that are logged. A publish becomes visible
+when its commits are written, which is the last step; file entries of a publish that did not
+finish belong to no logged commit, so no reader sees them, and the next publish replaces them.
+Small files of old publishes are joined by :func:`compact_published`, a job of its own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlake import schemas
 from sessionlake.operators.lake import (
     as_of,
-    merged_batches,
     merges_for,
-    publish,
+    published_files,
+    read_at,
+    relative_path,
     unpublished,
 )
-from sessionlake.operators.quality import audit_batch
-from sessionlake.session import broadcast_if_small, is_small, materialize
-from sessionlake.sources.tables import open_table, read_partitions
+from sessionlake.operators.quality import combined_audits
+from sessionlake.session import intermediates_removed, materialize
 from sessionlake.streaming import ingest
 
-MAIN = "main"
+MAIN_FILES = "main-files"
 MAIN_COMMITS = "main-commits"
+PUBLISH_STATE = "publish-state"
+COMPACTED = "compacted-events"
+
+# Events with the folders that they are in.
+_PLACED_EVENT = T.StructType(
+    schemas.LAKE_EVENT.fields
+    + [f for f in schemas.STAGED_EVENT.fields if f.name in ("batch_id", "attempt")]
+)
 
 
 def main_commits(spark: SparkSession, root: str) -> DataFrame:
     """Merge commits of all finished publishes."""
-    return open_table(spark, f"{root.rstrip('/')}/{MAIN_COMMITS}", schemas.MAIN_COMMIT)
+    return ingest.lake_table(spark, root, MAIN_COMMITS, schemas.MAIN_COMMIT)
+
+
+def main_files(spark: SparkSession, root: str) -> DataFrame:
+    """The staged files of all finished publishes, with the commit that took each in."""
+    files = ingest.lake_table(spark, root, MAIN_FILES, schemas.MAIN_FILE)
+    return files.join(main_commits(spark, root).select("commit_id"), "commit_id", "left_semi")
 
 
 def main_events(spark: SparkSession, root: str, buckets: DataFrame | None = None) -> DataFrame:
-    """Published events with bucket and commit id, of all buckets or the listed ones. Rows of
-    an unfinished publish are left out."""
-    path = f"{root.rstrip('/')}/{MAIN}"
-    if buckets is None:
-        rows = open_table(spark, path, schemas.MAIN_EVENT)
-    else:
-        rows = read_partitions(spark, path, schemas.MAIN_EVENT, schemas.BUCKET_COLUMN, buckets)
-    logged = main_commits(spark, root).select("commit_id")
-    return rows.join(broadcast_if_small(logged), "commit_id", "left_semi")
+    """Published events with bucket and commit id, of all buckets or the listed ones."""
+    files = main_files(spark, root)
+    if buckets is not None:
+        files = files.join(
+            buckets.select(schemas.BUCKET_COLUMN).distinct(), schemas.BUCKET_COLUMN, "left_semi"
+        )
+    return _events_of(spark, root, files)
 
 
 def main_events_as_of(spark: SparkSession, root: str, commit_id: str) -> DataFrame:
     """Published events as they were at a commit."""
-    rows = open_table(spark, f"{root.rstrip('/')}/{MAIN}", schemas.MAIN_EVENT)
-    return as_of(rows, main_commits(spark, root), commit_id)
+    return _events_of(spark, root, as_of(main_files(spark, root), main_commits(spark, root), commit_id))
 
 
-def _no_hint(df: DataFrame) -> DataFrame:
-    return df
+def _events_of(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """The events of logged files with their commit; fails if a file or some rows are gone."""
+    rows = read_at(spark, root, files, _PLACED_EVENT)
+    commits = files.select("batch_id", schemas.BUCKET_COLUMN, "commit_id").distinct()
+    return rows.join(commits, ["batch_id", schemas.BUCKET_COLUMN]).select(
+        *schemas.MAIN_EVENT.fieldNames()
+    )
 
 
 def publish_staged(spark: SparkSession, root: str, accept: str = "ok") -> int:
-    """Audit what is staged and not published yet, bucket by bucket, and publish the buckets
-    that pass. Returns the number of merge commits made. One publisher runs at a time.
+    """Publish, bucket by bucket, what is staged and not published yet, if its audit passes.
+    Returns the number of merge commits made. One publisher runs at a time.
 
-    ``accept`` is an SQL condition on the audit's columns, by default its verdict. A bucket that
-    fails stays staged, and is looked at again next time, until a condition lets it pass.
+    ``accept`` is an SQL condition on the audit's columns, by default its verdict. Rows that are
+    no usable event were held back when they were staged, so they don't fail a bucket; a bucket
+    that fails another condition stays staged, and is looked at again next time. Files whose
+    rows are not all there fail the publish before anything is logged.
     """
-    root = root.rstrip("/")
+    with intermediates_removed(spark):
+        return _publish(spark, root.rstrip("/"), accept)
+
+
+def _publish(spark: SparkSession, root: str, accept: str) -> int:
     bucket = schemas.BUCKET_COLUMN
-    log = main_commits(spark, root)
-    head = log.agg(
-        F.max("seq").alias("seq"), F.max_by("commit_id", F.struct("seq", "commit_id")).alias("id")
-    ).first()
-    seq = 0 if head["seq"] is None else head["seq"] + 1
-
-    pending = materialize(unpublished(ingest.branch_commits(spark, root), log), "pending")
-    # One row per commit; its count bounds everything that is joined to the events below.
-    hint = F.broadcast if is_small(pending) else _no_hint
-    staged = read_partitions(
-        spark, f"{root}/{schemas.EVENTS_DIRECTORY}", schemas.STAGED_EVENT, "batch_id", pending
-    ).drop("raw")
-    candidates = staged.join(
-        hint(pending.select("batch_id", bucket)), ["batch_id", bucket], "left_semi"
+    commits = main_commits(spark, root).select("seq").distinct()
+    state = (
+        ingest.lake_table(spark, root, PUBLISH_STATE, schemas.PUBLISH_STATE)
+        .join(commits, "seq", "left_semi")
+        .agg(F.max(F.struct("seq", "done_batch_id", "head")).alias("last"))
+        .first()["last"]
     )
-    passed = audit_batch(candidates, by=[bucket], repeats=False).where(accept).select(bucket)
-    accepted = pending.join(passed, bucket, "left_semi")
-    merges = materialize(merges_for(accepted, head["id"], seq), "merges")
+    seq, done, head = (0, -1, None) if state is None else (state["seq"] + 1, state["done_batch_id"], state["head"])
+
+    # Only the log of batches that some earlier publish has not finished with is read.
+    late = F.col("batch_id") > done
+    staged = ingest.branch_files(spark, root).where(late & F.col(bucket).isNotNull())
+    pending = materialize(unpublished(staged, main_files(spark, root).where(late)), "pending")
+    if pending.isEmpty():
+        return 0
+    here = pending.select("batch_id", bucket).distinct()
+    audits = ingest.batch_audits(spark, root).where(late).join(here, ["batch_id", bucket], "left_semi")
+    passed = combined_audits(audits, by=[bucket]).where(accept).select(bucket)
+    accepted = materialize(pending.join(passed, bucket, "left_semi"), "accepted")
+    merges = materialize(merges_for(accepted, head, seq), "merges")
     made = merges.count()
     if made == 0:
         return 0
-    (
-        publish(staged, hint(merged_batches(pending, hint(merges))))
-        .drop("batch_id")
-        .hint("rebalance", bucket)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(bucket, "commit_id")
-        .parquet(f"{root}/{MAIN}")
+    _check_rows(spark, root, accepted)
+    last = ingest.branch_files(spark, root).where(late).agg(F.max("batch_id")).first()[0]
+    left = pending.join(passed, bucket, "left_anti").agg(F.min("batch_id")).first()[0]
+    published_files(accepted, merges).drop("seq").write.mode("overwrite").parquet(
+        f"{root}/{MAIN_FILES}/seq={seq}"
     )
+    merges.agg(
+        F.lit(last if left is None else left - 1).cast("bigint").alias("done_batch_id"),
+        F.max("commit_id").alias("head"),
+    ).write.mode("overwrite").parquet(f"{root}/{PUBLISH_STATE}/seq={seq}")
     merges.drop("seq").write.mode("overwrite").parquet(f"{root}/{MAIN_COMMITS}/seq={seq}")
     return made
+
+
+def _check_rows(spark: SparkSession, root: str, files: DataFrame) -> None:
+    """Raise unless every file is there with the rows that the log says. Only footers are read."""
+    rows = read_at(spark, root, files, _PLACED_EVENT)
+    key = ["batch_id", schemas.BUCKET_COLUMN]
+    there = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("there"))
+    wrong = (
+        files.groupBy(*key)
+        .agg(F.sum("n_rows").alias("logged"))
+        .join(there, key, "left")
+        .where(~F.col("logged").eqNullSafe(F.col("there")))
+        .take(1)
+    )
+    if wrong:
+        raise ValueError(f"staged rows don't match the log: {wrong[0].asDict()}")
+
+
+def compact_published(spark: SparkSession, root: str, up_to_seq: int | None = None) -> int:
+    """Join the small files of published batches; returns the number of files replaced.
+
+    Events are rewritten by bucket, commit and batch into a folder of their own, and the log of
+    files of those publishes is written anew to name the new files; events, commits and time
+    travel stay the same. The old files are left for readers that still have them open; they
+    belong to the staging area, whose owner removes them. Runs while nobody publishes.
+    """
+    root = root.rstrip("/")
+    with intermediates_removed(spark):
+        files = main_files(spark, root)
+        if up_to_seq is not None:
+            files = files.where(F.col("seq") <= up_to_seq)
+        old = materialize(files, "old-files")
+        n = old.count()
+        if n == 0:
+            return 0
+        attempt = f"c{spark.sparkContext.applicationId.replace('-', '')}{old.agg(F.max('seq')).first()[0]}"
+        rows = read_at(spark, root, old, _PLACED_EVENT)
+        key = ["batch_id", schemas.BUCKET_COLUMN]
+        folder = f"{root}/{COMPACTED}"
+        (
+            rows.withColumn("attempt", F.lit(attempt))
+            .hint("rebalance", *key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id", "attempt", schemas.BUCKET_COLUMN)
+            .parquet(folder)
+        )
+        written = spark.read.schema(_PLACED_EVENT).parquet(folder).where(F.col("attempt") == attempt)
+        listed = (
+            written.groupBy(*key, "attempt", F.col("_metadata.file_path").alias("_file"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("path", relative_path(root, "_file"))
+        )
+        commits = old.select(*key, "commit_id", "seq").distinct()
+        new = listed.join(commits, key).select(*schemas.MAIN_FILE.fieldNames())
+        new = materialize(new, "new-files")
+        if new.agg(F.sum("n_rows")).first()[0] != old.agg(F.sum("n_rows")).first()[0]:
+            raise ValueError("the compacted files don't have the rows of the old ones")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "seq"
+        ).parquet(f"{root}/{MAIN_FILES}")
+        return n

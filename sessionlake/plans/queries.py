@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CATALOGUE: dict[str, Query] = {}
 
-# The first half of the event month; splits the events into two successive batches.
-SPLIT_TIME = "2024-01-16 00:00:00"
+# Noon in the middle of the event month: splits the events into two successive batches, and that
+# day's sessions with them.
+SPLIT_TIME = "2024-01-16 12:00:00"
 
 
 def _query(function: Query) -> Query:
@@ -99,11 +101,14 @@ def _split(events_frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _stage_in_two(spark: SparkSession, sf_dir: str) -> str:
+def _stage_in_two(spark: SparkSession, sf_dir: str, between=None) -> str:
+    """A lake with the events in two batches; ``between(root)`` is called after each."""
     root = new_folder(spark, "lake")
+    write = ingest.batch_writer(root)
     for batch_id, part in enumerate(_split(fixtures.m1_numbered(spark, sf_dir))):
-        ingest.stage_batch(part, root, batch_id)
-        ingest.commit_batch(spark, root, batch_id)
+        write(part, batch_id)
+        if between is not None:
+            between(root)
     return root
 
 
@@ -115,12 +120,53 @@ def stage_batch_roundtrip(spark, sf_dir):
     )
 
 
+def _stage_faulty(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with one batch of messages, some of them faulty."""
+    root = new_folder(spark, "lake")
+    batch = events.decode_events(fixtures.m1_messages(spark, sf_dir), keep_raw=True)
+    ingest.batch_writer(root)(batch, 0)
+    return root
+
+
 @_query
-def branch_history(spark, sf_dir):
-    root = _stage_in_two(spark, sf_dir)
-    history = lake.branch_history(ingest.branch_commits(spark, root))
-    return history.select(
-        "commit_id", "seq", "branch", F.array_join("parents", ",").alias("parents"), "message"
+def decode_malformed(spark, sf_dir):
+    """What becomes of messages that are cut short or lack a key."""
+    decoded = events.decode_events(fixtures.m1_messages(spark, sf_dir), keep_raw=True)
+    return (
+        decoded.withColumn("reason", quality.event_fault())
+        .groupBy("reason")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("payload").alias("n_payloads"),
+            F.min(F.length("raw")).cast("bigint").alias("shortest"),
+        )
+    )
+
+
+@_query
+def staged_quarantine(spark, sf_dir):
+    held = ingest.quarantined_events(spark, _stage_faulty(spark, sf_dir))
+    return held.select(
+        "reason", "event_type", "session_id", F.col("session_number").cast("double"), "station_id",
+        F.length("raw").cast("bigint").alias("raw_length"), "batch_id",
+    )
+
+
+@_query
+def publish_with_bad_rows(spark, sf_dir):
+    """Faulty rows are held back; the rest of their buckets is published, on a condition that
+    uses all that the audit counts."""
+    root = _stage_faulty(spark, sf_dir)
+    publishing.publish_staged(
+        spark, root, accept="ok AND malformed_rows + null_keys = 0 AND repeated_events >= 0"
+    )
+    published = publishing.main_events(spark, root).groupBy(schemas.BUCKET_COLUMN).agg(
+        F.count(F.lit(1)).alias("n_events")
+    )
+    found = ingest.batch_audits(spark, root)
+    return published.join(found, schemas.BUCKET_COLUMN).select(
+        schemas.BUCKET_COLUMN, "n_events", "start_events", "stop_events", "other_events",
+        "repeated_events",
     )
 
 
@@ -210,20 +256,11 @@ def as_of(spark, sf_dir):
 
 @_query
 def read_at_commit(spark, sf_dir):
-    """The second batch's files are what merging its branches adds to the first batch's."""
-    root = _stage_in_two(spark, sf_dir)
-    log = lake.branch_history(ingest.branch_commits(spark, root))
-    written = ingest.branch_files(spark, root)
-    first, second = F.lit("first"), F.lit("second")
-    listing = written.select(second.alias("commit_id"), "path").unionByName(
-        written.where(F.col("batch_id") == 0).select(first.alias("commit_id"), "path")
-    )
-    merge = (
-        log.groupBy().agg(F.max("seq").alias("seq")).select(
-            F.lit("merge").alias("commit_id"), "seq", F.array(first, second).alias("parents")
-        )
-    )
-    added = lake.files_added(listing, lake.merge_commits(merge, strict=True))
+    """The files that the second publish's merge commits took in, as the engine logged them."""
+    root = _stage_in_two(spark, sf_dir, lambda lake_root: publishing.publish_staged(spark, lake_root))
+    log = lake.merge_commits(publishing.main_commits(spark, root), strict=True)
+    latest = log.where(F.col("seq") == log.agg(F.max("seq")).scalar())
+    added = publishing.main_files(spark, root).join(latest.select("commit_id"), "commit_id", "left_semi")
     rows = lake.read_at(spark, root, added, schemas.LAKE_EVENT)
     return rows.select(*_EVENT_COLUMNS, *_payload_columns(), schemas.BUCKET_COLUMN)
 
@@ -242,9 +279,40 @@ def publish(spark, sf_dir):
     )
 
 
+@_query
+def publish_in_two(spark, sf_dir):
+    """Each batch published on its own: a commit for each bucket of each."""
+    root = _stage_in_two(spark, sf_dir, lambda lake_root: publishing.publish_staged(spark, lake_root))
+    return (
+        publishing.main_events(spark, root)
+        .groupBy(schemas.BUCKET_COLUMN, "commit_id")
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    )
+
+
+@_query
+def compact_published(spark, sf_dir):
+    """The events of two publishes, after their files were joined."""
+    root = _stage_in_two(spark, sf_dir, lambda lake_root: publishing.publish_staged(spark, lake_root))
+    publishing.compact_published(spark, root)
+    rows = publishing.main_events(spark, root)
+    return rows.select(*_EVENT_COLUMNS, *_payload_columns(), schemas.BUCKET_COLUMN)
+
+
 # --- Quality ---
 
 
+@_query
+def scan_sample(spark, sf_dir):
+    """Five rows to look at: how many there are, and how many of them the table has."""
+    table = fixtures.table(spark, sf_dir, "events")
+    sample = materialize(quality.sample_rows(table), "sample")
+    known = table.select(F.col("event_id").alias("known")).distinct()
+    return sample.join(known, F.col("event_id") == F.col("known"), "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_known")
+    )
+
+
 @_query
 def scan_audit(spark, sf_dir):
     scanned, observation = quality.audit(fixtures.table(spark, sf_dir, "events"), "events")
@@ -390,6 +458,19 @@ def fact_sessions(spark, sf_dir):
     return _plain(_m1_facts(spark, sf_dir))
 
 
+@_query
+def rejected_facts(spark, sf_dir):
+    """Sessions whose events of some days have no readable time."""
+    faulty = fixtures.m1_events(spark, sf_dir).withColumn(
+        "payload",
+        F.when(F.dayofmonth("ts") % 2 == 0, F.col("payload")).otherwise(
+            F.create_map(F.lit(schemas.PAYLOAD_TIME), F.lit("some time"))
+        ),
+    )
+    found = facts.conform_fact(sessions.valid_sessions(sessions.assemble_sessions(faulty)))
+    return facts.rejected_facts(found).select("session_id", "station_id", "vehicle_id", "reason")
+
+
 @_query
 def fact_load_idempotent(spark, sf_dir):
     """The same load twice; the second one must add nothing."""
@@ -397,7 +478,52 @@ def fact_load_idempotent(spark, sf_dir):
     batch = fixtures.m1_events(spark, sf_dir)
     warehouse.load_sessions(batch, target)
     warehouse.load_sessions(batch, target)
-    return _plain(target.read(spark, warehouse.FACT))
+    return _plain(warehouse.facts(spark, target))
+
+
+@_query
+def session_load_counts(spark, sf_dir):
+    """What a first load, and the same load again, say that they did."""
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+    batch = fixtures.m1_numbered(spark, sf_dir)
+    loads = [
+        (i, *dataclasses.astuple(warehouse.load_sessions(batch, target))) for i in (0, 1)
+    ]
+    names = ["load", *[f.name for f in dataclasses.fields(warehouse.SessionLoad)]]
+    return spark.createDataFrame(loads, ", ".join(f"{n} BIGINT" for n in names))
+
+
+def _load_in_two(spark: SparkSession, sf_dir: str) -> tables.Warehouse:
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+
+    def publish_and_load(root: str) -> None:
+        publishing.publish_staged(spark, root)
+        warehouse.load_published(spark, root, target)
+
+    _stage_in_two(spark, sf_dir, publish_and_load)
+    return target
+
+
+@_query
+def load_in_two(spark, sf_dir):
+    """Two publishes and loads, cut inside sessions, leave the facts of one load."""
+    return _plain(warehouse.facts(spark, _load_in_two(spark, sf_dir)))
+
+
+@_query
+def quarantine_in_two(spark, sf_dir):
+    """And its quarantine: what became complete, or has become spoilt, has moved."""
+    return warehouse.open_quarantine(spark, _load_in_two(spark, sf_dir))
+
+
+@_query
+def dimension_load(spark, sf_dir):
+    """Every source row twice, loaded twice: one dimension row each."""
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+    rows = dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir))
+    for _ in (0, 1):
+        warehouse.load_dimension(rows.unionByName(rows), target, "dim_vehicle")
+    return _plain(target.read(spark, "dim_vehicle"))
 
 
 @_query
@@ -442,6 +568,20 @@ def delimited_load(spark, sf_dir):
     return rows.select("id", "label", leading_int(F.col("size")).alias("size_km"))
 
 
+@_query
+def delimited_extra_column(spark, sf_dir):
+    """A file with one more column than the layout: its first columns are taken."""
+    layout = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "label", "size")])
+    lines = fixtures.part_lines(spark, sf_dir)
+    folder = fixtures.write_lines(
+        lines.select(F.concat(F.col("line"), F.lit(",more")).alias("line")),
+        new_folder(spark, "delimited"),
+        [*layout.fieldNames(), "note"],
+    )
+    rows = delimited.read_delimited(spark, folder, layout)
+    return rows.select("id", "label", leading_int(F.col("size")).alias("size_km"))
+
+
 @_query
 def station_file_load(spark, sf_dir):
     folder = fixtures.write_lines(
@@ -486,13 +626,14 @@ def battery_capacities(spark, sf_dir):
 
 
 def _star(spark: SparkSession, sf_dir: str, fact: DataFrame, unmatched: str) -> DataFrame:
-    # Written once: the time dimension and the view both start from the facts.
+    # Written once: the time dimension and the view both start from the facts, and Spark knows
+    # the size of written dimensions before it decides how to join the facts with them.
     fact = materialize(fact, "facts")
     return star.star_view(
         fact,
-        dimensions.conform_stations(fixtures.station_docs(spark, sf_dir)),
-        dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir)),
-        timedim.time_dim(fact),
+        materialize(dimensions.conform_stations(fixtures.station_docs(spark, sf_dir)), "station"),
+        materialize(dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir)), "vehicle"),
+        materialize(timedim.time_dim(fact), "time"),
         unmatched,
     )
 

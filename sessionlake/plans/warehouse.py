@@ -1,16 +1,35 @@
-"""Warehouse loads: dimensions, sessions, and the incremental load of what was published."""
+"""Warehouse loads: dimensions, sessions, and the incremental load of what was published.
+
+Over files, the sessions of a bucket are one unit, written anew by each load that touches the
+bucket and never changed::
+
+    fact_charging_sessions/session_number_range=N/load_id=L/*.parquet
+    session_quarantine/session_number_range=N/load_id=L/*.parquet
+    session-versions/seq=S/*.parquet        which load of a bucket is the valid one
+
+The versions are written last, so facts and quarantine of a load become visible together. A
+warehouse behind JDBC can only be appended to; there, sessions that are loaded stay as they are.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlake import schemas
 from sessionlake.functions import time_id
-from sessionlake.operators.facts import conform_fact, loadable_facts, new_facts
+from sessionlake.operators.facts import (
+    conform_fact,
+    loadable_facts,
+    new_facts,
+    same_session,
+)
 from sessionlake.operators.lake import merge_commits, new_commits
+from sessionlake.operators.quality import assert_unique
 from sessionlake.operators.sessions import (
     assemble_sessions,
     is_valid,
@@ -21,78 +40,138 @@ from sessionlake.operators.sessions import (
 from sessionlake.operators.star import star_view
 from sessionlake.operators.timedim import merge_time_dim, session_time_ids
 from sessionlake.plans.publishing import main_commits, main_events
-from sessionlake.session import materialize
-from sessionlake.sources.tables import Warehouse, append_table, open_table
+from sessionlake.session import intermediates_removed, materialize
+from sessionlake.sources.tables import Warehouse, append_table, open_table, ordered
 
 QUARANTINE = "session_quarantine"
+VERSIONS = "session-versions"
 PROCESSED = "processed_commits"
 FACT = "fact_charging_sessions"
 
+# Bucket of sessions whose events carry none.
+NO_BUCKET = -1
+
+_PLACE = [T.StructField(schemas.BUCKET_COLUMN, T.LongType()), T.StructField("load_id", T.StringType())]
+
 
 @dataclass(frozen=True)
 class SessionLoad:
-    """What a session load did."""
+    """What a session load did. ``new_facts``: facts of sessions that had none; ``removed_facts``:
+    facts of sessions that turned out incomplete since."""
 
     total_sessions: int
     valid_sessions: int
     invalid_sessions: int
     rejected_facts: int
     new_facts: int
+    removed_facts: int
     new_hours: int
 
 
 def load_dimension(rows: DataFrame, warehouse: Warehouse, name: str) -> int:
-    """Append conformed dimension rows; ids the table already has are left alone, so a retried
-    load adds nothing."""
+    """Append conformed dimension rows; returns their number.
+
+    Equal rows are one; two rows of one id that differ fail the load before anything is
+    written. Ids the table already has are left alone, so a retried load adds nothing.
+    """
+    spark = rows.sparkSession
     rows = schemas.validate_schema(rows, name)
-    existing = warehouse.read(rows.sparkSession, name).select("id")
-    return warehouse.append(rows.join(existing, "id", "left_anti"), name)
+    with intermediates_removed(spark):
+        distinct = assert_unique(materialize(rows.distinct(), "dimension"), ["id"])
+        existing = warehouse.read(spark, name).select("id")
+        fresh = distinct.join(existing, "id", "left_anti")
+        return warehouse.append(ordered(fresh, "id"), name)
+
+
+def _versions(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """The valid load of each bucket."""
+    versions = open_table(spark, warehouse.path(VERSIONS), schemas.SESSION_VERSION)
+    return versions.groupBy(schemas.BUCKET_COLUMN).agg(
+        F.max_by("load_id", "seq").alias("load_id")
+    )
+
+
+def _valid_rows(
+    spark: SparkSession, warehouse: Warehouse, name: str, schema: T.StructType, buckets: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the valid loads, with their bucket; of all buckets or the listed ones. The join
+    is on the table's folders, so other loads' files are not read."""
+    place = [f.name for f in _PLACE]
+    plain = [f for f in schema.fields if f.name != schemas.BUCKET_COLUMN]
+    rows = open_table(spark, warehouse.path(name), T.StructType(plain + _PLACE))
+    versions = _versions(spark, warehouse)
+    if buckets is not None:
+        versions = versions.join(buckets, schemas.BUCKET_COLUMN, "left_semi")
+    return rows.join(versions, place, "left_semi").drop("load_id")
+
+
+def facts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """The fact table as of the last finished load."""
+    if warehouse.jdbc is not None:
+        return warehouse.read(spark, FACT)
+    rows = _valid_rows(spark, warehouse, FACT, schemas.FACT_SESSION)
+    return rows.select(*schemas.FACT_SESSION.fieldNames())
+
+
+def open_quarantine(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Sessions held back, as of the last finished load."""
+    held = _valid_rows(spark, warehouse, QUARANTINE, schemas.QUARANTINED_SESSION)
+    bucket = F.nullif(schemas.BUCKET_COLUMN, F.lit(NO_BUCKET)).alias(schemas.BUCKET_COLUMN)
+    plain = [n for n in schemas.QUARANTINED_SESSION.fieldNames() if n != schemas.BUCKET_COLUMN]
+    return held.select(*plain, bucket)
 
 
 def load_sessions(
     events: DataFrame,
     warehouse: Warehouse,
     holidays: DataFrame | None = None,
-    carry: tuple[str, ...] = (),
+    whole_buckets: bool = False,
 ) -> SessionLoad:
-    """Assemble sessions from events and load the complete ones.
+    """Assemble sessions from events and load the complete ones; hold back the others.
 
-    The aggregate over the events runs once: its result is written, and counts, time ids,
-    facts and quarantine are all taken from that much smaller table. Running a load again
-    adds nothing: facts and hours are inserted only if absent. The time dimension goes first,
-    so a fact never refers to an hour that is not there.
+    ``events`` has all events of the sessions at hand: their facts and quarantine entries are
+    replaced, so a late stop updates its session and a second start takes its fact back. With
+    ``whole_buckets`` it has all events of its buckets, and those are replaced without a look
+    at what they had; otherwise their other sessions are carried over. Running a load again
+    changes nothing.
 
-    Only the stretch of the fact table between the first and last start hour at hand is
-    compared. That is exact: a complete session has one start event, so a fact loaded for it
-    earlier has the same start hour.
+    The aggregate over the events runs once: its result is written, and counts, time ids, facts
+    and quarantine are all taken from that much smaller table. The time dimension goes first,
+    so a fact never refers to an hour that is not there.
     """
-    spark = events.sparkSession
-    sessions = materialize(assemble_sessions(events, carry=carry), "sessions")
-    start_hour = F.when(is_valid(), time_id(F.col("start_time")))
+    with intermediates_removed(events.sparkSession):
+        return _load(events, warehouse, holidays, whole_buckets)
+
+
+def _load(
+    events: DataFrame, warehouse: Warehouse, holidays: DataFrame | None, whole_buckets: bool
+) -> SessionLoad:
+    spark, bucket = events.sparkSession, schemas.BUCKET_COLUMN
+    if bucket not in events.columns:
+        events = events.withColumn(bucket, F.lit(None).cast("bigint"))
+    sessions = materialize(
+        assemble_sessions(events, carry=(bucket,)).withColumn(
+            bucket, F.coalesce(bucket, F.lit(NO_BUCKET).cast("bigint"))
+        ),
+        "sessions",
+    )
     summary = session_quality(
-        sessions,
-        F.count_if(is_valid() & ~_has_times()).alias("bad_time"),
-        F.min(start_hour).alias("first_hour"),
-        F.max(start_hour).alias("last_hour"),
+        sessions, F.count_if(is_valid() & ~_has_times()).alias("bad_time")
     ).first()
-
-    facts = loadable_facts(conform_fact(valid_sessions(sessions)))
-    existing = warehouse.read(spark, FACT).where(
-        F.col("start_time_id").between(
-            F.lit(summary["first_hour"]).cast("int"), F.lit(summary["last_hour"]).cast("int")
-        )
+    found = materialize(
+        loadable_facts(conform_fact(valid_sessions(sessions), carry=(bucket,))), "facts"
     )
-    fresh = materialize(new_facts(facts, existing), "facts")
-    hours = merge_time_dim(warehouse.read(spark, "dim_time"), session_time_ids(fresh), holidays)
-    new_hours = warehouse.append(materialize(hours, "hours"), "dim_time")
-    added = warehouse.append(fresh, FACT)
-    _write_quarantine(sessions, warehouse)
+    hours = merge_time_dim(warehouse.read(spark, "dim_time"), session_time_ids(found), holidays)
+    new_hours = warehouse.append(ordered(hours, "time_id"), "dim_time")
+    held = quarantine_sessions(sessions, F.when(~_has_times(), F.lit("bad_time")))
+    added, removed = _replace(spark, sessions, found, held, warehouse, whole_buckets)
     return SessionLoad(
         total_sessions=summary["total_sessions"],
         valid_sessions=summary["valid_sessions"],
         invalid_sessions=summary["invalid_sessions"],
         rejected_facts=summary["bad_time"],
         new_facts=added,
+        removed_facts=removed,
         new_hours=new_hours,
     )
 
@@ -102,22 +181,72 @@ def _has_times() -> Column:
     return time_id(F.col("start_time")).isNotNull() & time_id(F.col("stop_time")).isNotNull()
 
 
-def _write_quarantine(sessions: DataFrame, warehouse: Warehouse) -> None:
-    """Replace the quarantined sessions of the buckets at hand: incomplete ones, and complete
-    ones without a usable time."""
+def _replace(
+    spark: SparkSession,
+    sessions: DataFrame,
+    found: DataFrame,
+    held: DataFrame,
+    warehouse: Warehouse,
+    whole_buckets: bool,
+) -> tuple[int, int]:
+    """Write the next version of the buckets at hand; returns numbers of new and removed facts.
+
+    A bucket whose last fact went has a version without a file. Over JDBC only facts of new
+    sessions are appended, and just the quarantine has versions.
+    """
     bucket = schemas.BUCKET_COLUMN
-    if bucket not in sessions.columns:
-        sessions = sessions.withColumn(bucket, F.lit(None).cast("bigint"))
-    held = quarantine_sessions(sessions, F.when(~_has_times(), F.lit("bad_time")))
-    held.hint("rebalance", bucket).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(bucket).parquet(warehouse.path(QUARANTINE))
+    touched = materialize(sessions.select(bucket).distinct(), "buckets")
+    versions = open_table(spark, warehouse.path(VERSIONS), schemas.SESSION_VERSION)
+    last = versions.agg(F.max("seq")).first()[0]
+    seq, load_id = (0 if last is None else last + 1), f"l{uuid.uuid4().hex}"
+    if warehouse.jdbc is not None:
+        added, removed = _append_over_jdbc(spark, found.drop(bucket), warehouse), 0
+    else:
+        before = materialize(
+            _valid_rows(spark, warehouse, FACT, schemas.FACT_SESSION, touched), "facts-before"
+        )
+        added = new_facts(found, before).count()
+        again = before.alias("row").join(sessions.alias("other"), same_session("row", "other"), "left_semi")
+        removed = _absent(again, found).count()
+        carried = before.limit(0) if whole_buckets else _absent(before, sessions)
+        _write_version(found.unionByName(carried), warehouse.path(FACT), load_id, "session_id")
+    held = held.select(*[n for n in schemas.QUARANTINED_SESSION.fieldNames()])
+    if not whole_buckets:
+        earlier = _valid_rows(spark, warehouse, QUARANTINE, schemas.QUARANTINED_SESSION, touched)
+        held = held.unionByName(_absent(materialize(earlier, "held-before"), sessions))
+    _write_version(held, warehouse.path(QUARANTINE), load_id, "session_id")
+    touched.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").parquet(
+        f"{warehouse.path(VERSIONS)}/seq={seq}"
+    )
+    return added, removed
 
 
-def open_quarantine(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    """Quarantined sessions that have not been loaded since."""
-    held = open_table(spark, warehouse.path(QUARANTINE), schemas.QUARANTINED_SESSION)
-    return new_facts(held, warehouse.read(spark, FACT))
+def _absent(rows: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Rows whose session is not among ``sessions``."""
+    return rows.alias("row").join(
+        sessions.select(*schemas.SESSION_KEY).alias("other"), same_session("row", "other"), "left_anti"
+    )
+
+
+def _write_version(rows: DataFrame, path: str, load_id: str, order: str) -> None:
+    bucket = schemas.BUCKET_COLUMN
+    (
+        ordered(rows.withColumn("load_id", F.lit(load_id)).hint("rebalance", bucket), bucket, order)
+        .write.mode("append")
+        .partitionBy(bucket, "load_id")
+        .parquet(path)
+    )
+
+
+def _append_over_jdbc(spark: SparkSession, found: DataFrame, warehouse: Warehouse) -> int:
+    """Insert facts of sessions that the warehouse doesn't have. Only the stretch between the
+    first and last start hour at hand is read, by the database, in parallel."""
+    span = found.agg(F.min("start_time_id"), F.max("start_time_id")).first()
+    if span[0] is None:
+        return 0
+    where = f"start_time_id BETWEEN {span[0]} AND {span[1]}"
+    existing = warehouse.read(spark, FACT, where, ("start_time_id", span[0], span[1]))
+    return warehouse.append(new_facts(found, existing), FACT)
 
 
 def load_published(
@@ -125,30 +254,32 @@ def load_published(
 ) -> SessionLoad | None:
     """Load what was published since the last call; None when there is nothing new.
 
-    New commits name the buckets that changed. Both events of a session are in one bucket, so
-    assembling those buckets from main, all commits of them, completes sessions whose stop
-    came later than their start. Untouched buckets are not read. The commits are marked as
-    processed last; if the job dies before, the next call repeats it to the same effect.
+    New commits name the buckets that changed. All events of a session are in one bucket, so
+    assembling those buckets from main, all commits of them, gives what one load of everything
+    would: sessions whose stop came later are completed, late ones updated, spoilt ones taken
+    back. Untouched buckets are not read. The commits are marked as processed last; if the job
+    dies before, the next call repeats it to the same effect.
     """
     bucket = schemas.BUCKET_COLUMN
     folder = warehouse.path(PROCESSED)
-    processed = open_table(spark, folder, schemas.PROCESSED_COMMIT)
-    commits = merge_commits(
-        new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
-    )
-    fresh = materialize(commits.select("commit_id", bucket), "new-commits")
-    if fresh.isEmpty():
-        return None
-    events = main_events(spark, lake, buckets=fresh)
-    result = load_sessions(events, warehouse, holidays, carry=(bucket,))
-    append_table(fresh.select("commit_id"), folder)
-    return result
+    with intermediates_removed(spark):
+        processed = open_table(spark, folder, schemas.PROCESSED_COMMIT)
+        commits = merge_commits(
+            new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
+        )
+        fresh = materialize(commits.select("commit_id", bucket), "new-commits")
+        if fresh.isEmpty():
+            return None
+        events = main_events(spark, lake, buckets=fresh)
+        result = load_sessions(events, warehouse, holidays, whole_buckets=True)
+        append_table(fresh.select("commit_id"), folder)
+        return result
 
 
 def warehouse_view(spark: SparkSession, warehouse: Warehouse, unmatched: str = "null") -> DataFrame:
     """The star view over the warehouse's tables."""
     return star_view(
-        warehouse.read(spark, FACT),
+        facts(spark, warehouse),
         warehouse.read(spark, "dim_station"),
         warehouse.read(spark, "dim_vehicle"),
         warehouse.read(spark, "dim_time"),

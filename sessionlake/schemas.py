@@ -21,11 +21,13 @@ BRANCH_PREFIX = "batch_"
 DATA_FILE_SUFFIX = ".parquet"
 STREAM_TRIGGER = "5 seconds"
 STREAM_STARTING_OFFSETS = "earliest"
-STREAM_MAX_OFFSETS = 1000
-STREAM_FAIL_ON_DATA_LOSS = "false"
+STREAM_FAIL_ON_DATA_LOSS = "true"
+# A small demonstration's stream: few messages at a time, and lost ones are passed over.
+DEMO_MAX_OFFSETS = 1000
+DEMO_FAIL_ON_DATA_LOSS = "false"
 WAREHOUSE_BATCH_SIZE = 10000
 
-# --- Events ---
+# --- Fixed values: the message and the lake's event ---
 
 # The message as it travels on the stream, one JSON object per value.
 EVENT_MESSAGE = T.StructType(
@@ -53,9 +55,15 @@ EVENT = T.StructType(
 # The bucket is BIGINT: the top bucket of an INT session number does not fit an INT.
 LAKE_EVENT = T.StructType(EVENT.fields + [T.StructField(BUCKET_COLUMN, T.LongType())])
 
+# A batch that is staged again gets another attempt; only the logged one is read.
 STAGED_EVENT = T.StructType(
     LAKE_EVENT.fields
-    + [T.StructField("raw", T.StringType()), T.StructField("batch_id", T.LongType())]
+    + [
+        T.StructField("raw", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("attempt", T.StringType()),
+    ]
 )
 
 MAIN_EVENT = T.StructType(LAKE_EVENT.fields + [T.StructField("commit_id", T.StringType())])
@@ -80,6 +88,7 @@ BRANCH_COMMIT = T.StructType(
         T.StructField("message", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("n_rows", T.LongType()),
+        T.StructField("attempt", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -92,6 +101,50 @@ MAIN_COMMIT = T.StructType(
     ]
 )
 
+# The files that each merge commit took in.
+MAIN_FILE = T.StructType(
+    [
+        T.StructField("commit_id", T.StringType()),
+        T.StructField(BUCKET_COLUMN, T.LongType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
+# After a publish: batches up to this one have nothing left to publish.
+PUBLISH_STATE = T.StructType(
+    [
+        T.StructField("done_batch_id", T.LongType()),
+        T.StructField("head", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
+BATCH_AUDIT = T.StructType(
+    [
+        T.StructField(BUCKET_COLUMN, T.LongType()),
+        *[
+            T.StructField(n, T.LongType())
+            for n in (
+                "n_rows", "malformed_rows", "null_keys", "start_events", "stop_events",
+                "other_events", "untyped_events", "repeated_events", "batch_id",
+            )
+        ],
+    ]
+)
+
+# Which load of a bucket's sessions is the valid one.
+SESSION_VERSION = T.StructType(
+    [
+        T.StructField(BUCKET_COLUMN, T.LongType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 PROCESSED_COMMIT = T.StructType([T.StructField("commit_id", T.StringType())])
 
 # --- Sessions held back ---
@@ -110,7 +163,7 @@ QUARANTINED_SESSION = T.StructType(
     ]
 )
 
-# --- Source documents ---
+# --- Fixed values: source documents ---
 
 STATION_DOCUMENT = T.StructType(
     [
@@ -172,7 +225,7 @@ VEHICLE_FILE = _text_columns(
     "top_speed", "acceleration",
 )
 
-# --- Star schema ---
+# --- Fixed values: star schema ---
 
 DIM_TIME = T.StructType(
     [

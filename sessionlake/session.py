@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Adaptive execution does the sizing: it coalesces small shuffle partitions, splits skewed
 # join and rebalance partitions, and turns a join into a broadcast only after it has
@@ -21,10 +23,6 @@ SETTINGS = {
 }
 
 
-# Rows of a key list (commit ids, file paths) that may be broadcast: some tens of megabytes.
-BROADCAST_ROWS = 100_000
-
-
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """Session with the engine's defaults; ``settings`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -37,43 +35,70 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+# Where the intermediates of the job at hand go, if it removes them when it is done.
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without that setting; it then uses a temporary folder.
+    Only a local-mode session may go without that setting; it then uses a temporary folder. On
+    a cluster the folder must name its store (``hdfs://``, ``s3a://``, ``file://`` for a mounted
+    one): a bare path may mean another disk on each machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
     if not folder:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="sessionlake-"))
         folder = context.getCheckpointDir()
+    elif not local and "://" not in folder and not folder.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir must name its store on a cluster: {folder!r}")
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/sessionlake/{purpose}-{uuid.uuid4().hex}"
+    parent = _scratch.get() or f"{shared_folder(spark)}/sessionlake"
+    return f"{parent}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    address = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return address.getFileSystem(spark._jsc.hadoopConfiguration()), address
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store it names."""
+    files, address = _file_system(spark, path)
+    return files.exists(address)
+
+
+@contextlib.contextmanager
+def intermediates_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove what the job inside has materialized, when it ends, well or not. Frames that are
+    returned from it mustn't read intermediates any more."""
+    if _scratch.get() is not None:  # part of a larger job
+        yield
+        return
+    folder = new_folder(spark, "job")
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        files, address = _file_system(spark, folder)
+        files.delete(address, True)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts lineage in a way that survives lost executors, and keeps later reads columnar.
+    Cuts lineage in a way that survives lost executors, and keeps later reads columnar. The
+    size of what is read is known then, so Spark broadcasts it if it is small enough.
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a key list may be broadcast. It should be cheap to count, such as a written
-    table."""
-    return keys.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of a narrow key list after counting that it is small; else leave the
-    join to Spark."""
-    return F.broadcast(keys) if is_small(keys, max_rows) else keys

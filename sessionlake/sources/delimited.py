@@ -28,19 +28,10 @@ def split_fields(line: Column) -> Column:
     return F.transform(F.split(F.array_join(pieces, ""), _MARK, -1), strip_blanks)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of a delimited file as text columns, by position. The first line of each file is
-    its header. Lines whose number of fields differs from the schema's are dropped; an empty
-    field is an empty string, not NULL.
-
-    The CSV source only supplies lines here (it knows how to skip the header of a file that
-    is split over many tasks); fields are cut by :func:`split_fields`, so column pruning
-    cannot change which lines count as malformed.
-    """
-    names = schema.fieldNames()
-    lines = (
+def _lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    return (
         spark.read.schema("line STRING")
-        .option("header", True)
+        .option("header", header)
         .option("enforceSchema", True)
         .option("sep", _MARK)
         .option("quote", "")
@@ -48,9 +39,49 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
         .option("lineSep", "\n")
         .csv(path)
     )
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a delimited file as text columns, by position. The first line of each file is
+    its header, which says how many fields a line has; lines with another number are dropped.
+    The layout takes the first ones; a header with fewer is an error. An empty field is an
+    empty string, not NULL. The files of one folder share a header; one that differs is an error.
+
+    The CSV source only supplies lines here (it knows how to skip the header of a file that
+    is split over many tasks); fields are cut by :func:`split_fields`, so column pruning
+    cannot change which lines count as malformed.
+    """
+    names = schema.fieldNames()
+    headers = _headers(spark, path)
+    if not headers:
+        return spark.createDataFrame([], schema)
+    if len(headers) > 1:
+        raise ValueError(f"{path}: files with different headers: {sorted(headers)[:2]}")
+    arity = headers.pop()
+    if arity < len(names):
+        raise ValueError(f"{path}: the header has {arity} fields, the layout needs {len(names)}")
     fields = F.col("fields")
     return (
-        lines.select(split_fields(F.col("line")).alias("fields"))
-        .where(F.size(fields) == len(names))
+        _lines(spark, path, header=True)
+        .select(split_fields(F.col("line")).alias("fields"))
+        .where(F.size(fields) == arity)
         .select(*[fields[i].alias(name) for i, name in enumerate(names)])
     )
+
+
+def _headers(spark: SparkSession, path: str) -> set[int]:
+    """Numbers of fields of the files' first lines. A file's first line is the first row of its
+    first block, so one row of each file is looked at."""
+    first = (
+        _lines(spark, path, header=False)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("place"),
+            split_fields(F.col("line")).alias("fields"),
+        )
+        .where(F.col("start") == 0)
+        .groupBy("file")
+        .agg(F.min_by(F.size("fields"), "place").alias("arity"))
+    )
+    return {row["arity"] for row in first.select("arity").distinct().collect()}

@@ -12,15 +12,13 @@ from pyspark.sql import types as T
 def read_documents(
     spark: SparkSession,
     fmt: str,
-    options: Mapping[str, str] | None = None,
-    schema: T.StructType | None = None,
+    options: Mapping[str, str],
+    schema: T.StructType,
 ) -> DataFrame:
     """A whole document collection through any Spark data source (``json``, ``parquet``, or
-    an installed connector). With a schema, the source is not scanned to infer one."""
-    reader = spark.read.format(fmt).options(**dict(options or {}))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load()
+    an installed connector). The schema is required: inferring one scans the collection, and
+    what it finds depends on the documents at hand."""
+    return spark.read.format(fmt).options(**dict(options)).schema(schema).load()
 
 
 def station_ids(docs: DataFrame, n: int, id_column: str = "_id") -> DataFrame:

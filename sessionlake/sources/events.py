@@ -10,14 +10,24 @@ from pyspark.sql import types as T
 
 from sessionlake import schemas
 
-# Spark's message-broker source; its rate, start and loss policy, unless the caller overrides.
+# Spark's message-broker source, unless the caller overrides: from the first message, as many
+# at a time as there are, and a stop when some were lost.
 BROKER_FORMAT = "kafka"
 BROKER_OPTIONS = {
     "startingOffsets": schemas.STREAM_STARTING_OFFSETS,
-    "maxOffsetsPerTrigger": str(schemas.STREAM_MAX_OFFSETS),
     "failOnDataLoss": schemas.STREAM_FAIL_ON_DATA_LOSS,
 }
 
+# For a demonstration on one machine, to be passed on purpose: at most 1000 messages for each
+# trigger, and expired ones are passed over.
+DEMO_BROKER_OPTIONS = {
+    "maxOffsetsPerTrigger": str(schemas.DEMO_MAX_OFFSETS),
+    "failOnDataLoss": schemas.DEMO_FAIL_ON_DATA_LOSS,
+}
+
+# An event's columns are named as in the message, but for this one.
+_MESSAGE_NAMES = {"vehicle_id": "ev_id"}
+
 
 def stream_options(fmt: str, options: Mapping[str, str]) -> dict[str, str]:
     """Source options with the defaults of the broker format filled in."""
@@ -37,13 +47,12 @@ def read_events(
 
 def encode_events(events: DataFrame) -> DataFrame:
     """Events as JSON bytes in ``value``; absent fields are written as null."""
+    columns = {m: c for c, m in _MESSAGE_NAMES.items()}
     message = F.struct(
-        "session_id",
-        F.col("session_number").cast("int").alias("session_number"),
-        "station_id",
-        F.col("vehicle_id").alias("ev_id"),
-        "event_type",
-        "payload",
+        *[
+            F.col(columns.get(f.name, f.name)).cast(f.dataType).alias(f.name)
+            for f in schemas.EVENT_MESSAGE.fields
+        ]
     )
     return events.select(
         F.to_json(message, {"ignoreNullFields": "false"}).cast("binary").alias("value")
@@ -57,12 +66,7 @@ def decode_events(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
     data = F.from_json(text, schemas.EVENT_MESSAGE)
     raw = [text.alias("raw")] if keep_raw else []
     return messages.select(data.alias("data"), *raw).select(
-        F.col("data.event_type").alias("event_type"),
-        F.col("data.session_id").alias("session_id"),
-        F.col("data.session_number").alias("session_number"),
-        F.col("data.station_id").alias("station_id"),
-        F.col("data.ev_id").alias("vehicle_id"),
-        F.col("data.payload").alias("payload"),
+        *[F.col(f"data.{_MESSAGE_NAMES.get(n, n)}").alias(n) for n in schemas.EVENT.fieldNames()],
         *(["raw"] if keep_raw else []),
     )
 

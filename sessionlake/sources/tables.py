@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionlake import schemas
-from sessionlake.session import broadcast_if_small
-
-# More partition folders than this are not named one by one to a reader.
-DIRECT_READ_FOLDERS = 1000
+from sessionlake.session import path_exists
 
 
 def jdbc_options(table: str, options: Mapping[str, str]) -> dict[str, str]:
@@ -22,21 +19,39 @@ def jdbc_options(table: str, options: Mapping[str, str]) -> dict[str, str]:
     return {"dbtable": table, "batchsize": str(schemas.WAREHOUSE_BATCH_SIZE), **options}
 
 
+def jdbc_read_options(
+    table: str,
+    options: Mapping[str, str],
+    where: str | None = None,
+    partition: tuple[str, object, object] | None = None,
+) -> dict[str, str]:
+    """Options of a JDBC read.
+
+    ``where``, in the warehouse's own SQL, is evaluated there: Spark's filters don't get past
+    the casts to the schema's types. ``partition`` (column, lowest, highest value) cuts
+    the read into as many tasks as ``numPartitions`` says; without it one connection reads all.
+    """
+    found = jdbc_options(table, options)
+    if where is not None:
+        found["dbtable"] = f"(SELECT * FROM {table} WHERE {where}) AS {table}_part"
+    if partition is not None:
+        column, low, high = partition
+        found |= {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high)}
+        found.setdefault("numPartitions", "16")
+    return found
+
+
 def append_table(
     df: DataFrame,
     table: str,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
-    skip_empty: bool = True,
 ) -> int:
-    """Append to a table and return the number of rows written.
+    """Append to a table and return the number of rows written, as the write counts them.
 
-    ``table`` is a table name for ``jdbc`` and a folder for file formats. Rows are counted by
-    the write itself. The empty-input check plans ``df`` a second time, so pass frames that
-    are cheap to start: a scan, or a written intermediate.
+    ``table`` is a table name for ``jdbc`` and a folder for file formats. Nothing is inserted
+    where there are no rows; ``df`` is run once, however dear it is.
     """
-    if skip_empty and df.isEmpty():
-        return 0
     observation = Observation(f"append {table}")
     observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if fmt == "jdbc":
@@ -49,29 +64,11 @@ def append_table(
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet table with a known schema, created empty when it is not there yet."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_partitions(
-    spark: SparkSession, path: str, schema: T.StructType, column: str, values: DataFrame
-) -> DataFrame:
-    """Rows of a partitioned table whose partition ``column`` is among ``values``.
-
-    A load touches few partitions of a large table, so their folders are named to the reader
-    and the rest of the table is not even listed. Beyond ``DIRECT_READ_FOLDERS`` values the
-    table is read as a whole and cut down by a semi join. ``values`` should be a written
-    list; its values must exist in the table, as those of a commit log do.
-    """
-    wanted = values.select(column).distinct()
-    found = [row[0] for row in wanted.take(DIRECT_READ_FOLDERS + 1)]
-    if not found:
+    """A parquet table with a known schema; empty as long as nothing has been written. Reading
+    writes nothing."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", path)
-    if len(found) <= DIRECT_READ_FOLDERS:
-        return reader.parquet(*[f"{path}/{column}={value}" for value in sorted(found)])
-    return reader.parquet(path).join(broadcast_if_small(wanted), column, "left_semi")
+    return spark.read.schema(schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -86,11 +83,21 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def read(
+        self,
+        spark: SparkSession,
+        name: str,
+        where: str | None = None,
+        partition: tuple[str, object, object] | None = None,
+    ) -> DataFrame:
+        """A table, or with ``where`` the rows that fulfil an SQL condition; ``partition`` as in
+        :func:`jdbc_read_options`."""
         schema = schemas.TABLES[name]
         if self.jdbc is None:
-            return open_table(spark, self.path(name), schema)
-        loaded = spark.read.format("jdbc").options(**jdbc_options(name, self.jdbc)).load()
+            rows = open_table(spark, self.path(name), schema)
+            return rows if where is None else rows.where(where)
+        options = jdbc_read_options(name, self.jdbc, where, partition)
+        loaded = spark.read.format("jdbc").options(**options).load()
         return loaded.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
@@ -99,3 +106,8 @@ class Warehouse:
         if self.jdbc is None:
             return append_table(df, self.path(name))
         return append_table(df, name, "jdbc", self.jdbc)
+
+
+def ordered(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Rows in an order that lets readers skip row groups, kept within each file."""
+    return df.sortWithinPartitions(*columns)
