@@ -36,19 +36,19 @@ WORDS = 5
 THRESHOLD = 80
 
 # Documents of a block; a task searches one pair of blocks of a family at a time.
-BLOCK = 512
+BLOCK = 256
 
 # Shingles below the middle of the hash range are counted and come first in the order; they are
 # more than any document's share of short lists, unless most of it is common text.
 _COUNTED = np.uint64(1) << np.uint64(63)
 
-# Counts are kept as levels (base-2 logarithms) of 2^26 cells of the hash range, whatever the
+# Counts are kept as levels (base-2 logarithms) of 2^25 cells of the hash range, whatever the
 # input. Shingles of one cell have the level of the commonest, which only changes the order.
 _KEY_BITS = 40
-_CELL_BITS = 26
+_CELL_BITS = 25
 _LAST = 255
 
-_HELD = 2_000_000
+_HELD = 1_000_000
 
 
 def required(n: int, m: int, threshold: int = THRESHOLD) -> int:
@@ -106,7 +106,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     after[:-1] = solid[1:]
     after[inner - 1] = False
     end = np.flatnonzero(solid & ~after) + 1
-    base, inverse = _powers(1 << max(22, int(len(data)).bit_length()))
+    base, inverse = _powers(1 << max(20, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * base[: len(data)], out=sums[1:])
     words = _mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
@@ -145,13 +145,16 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 # --- step 1: lengths of the inverted lists ----------------------------------------------
 
 
+_KEY_BYTES = _KEY_BITS // 8
+
+
 def _pack(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _KEY_BITS // 8].tobytes()
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // (_KEY_BITS // 8), 8), dtype=np.uint8)
-    out[:, : _KEY_BITS // 8] = np.frombuffer(blob, np.uint8).reshape(len(out), -1)
+    out = np.zeros((len(blob) // _KEY_BYTES, 8), dtype=np.uint8)
+    out[:, :_KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, _KEY_BYTES)
     return out.view("<u8").ravel()
 
 
@@ -187,7 +190,7 @@ def list_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
                 ["stretch", "once", "more", "times"],
             )
 
-        for rows in small_slices(batches):
+        for rows in small_slices(batches, max_bytes=1 << 20):
             for ids in shingle_sets(rows.column("text"), words):
                 ids = ids[: np.searchsorted(ids, _COUNTED)]
                 held.append(ids >> np.uint64(63 - _KEY_BITS))
@@ -256,7 +259,7 @@ def document_sets(
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
-        for rows in small_slices(batches):
+        for rows in small_slices(batches, max_bytes=1 << 20):
             n, own, key, short, whole = [], [], [], [], []
             for ids in shingle_sets(rows.column("text"), words):
                 level = _levels_of(ids, levels)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import importable, small_slices
+from sessionlake.llm.common import Remembered, importable, small_slices
 from sessionlake.session import materialize
 
 # The kinds in the contract's order, and its patterns. Those of the e-mail
@@ -162,7 +162,9 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(sketch.value).astype(bool)
-        known: dict[str, bool] = {}
+        wanted = Remembered(
+            lambda word: bool(marks[zlib.crc32(word.encode("utf-8")) & (_SKETCH_BITS - 1)]), 150_000
+        )
         n: Counter = Counter()
 
         def out() -> pa.RecordBatch:
@@ -171,16 +173,9 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
             return batch
 
         for rows in small_slices(batches):
-            if len(known) > 1_000_000:
-                known.clear()
             for text in rows.column("text").to_pylist():
-                for word in set(_WORD.findall(text.lower())) if text else ():
-                    wanted = known.get(word)
-                    if wanted is None:
-                        h = zlib.crc32(word.encode("utf-8")) & (_SKETCH_BITS - 1)
-                        wanted = known[word] = bool(marks[h])
-                    if wanted:
-                        n[word] += 1
+                if text:
+                    n.update(filter(wanted.__getitem__, set(_WORD.findall(text.lower()))))
             if len(n) > _HELD_WORDS:
                 yield out()
         if n:
@@ -246,6 +241,10 @@ def private_spans(docs: DataFrame) -> DataFrame:
     )
 
 
+def _equals(value: int):
+    return lambda x: x == value
+
+
 def span_digest(docs: DataFrame) -> DataFrame:
     """The contract's columns for every row of ``docs``."""
 
@@ -257,8 +256,9 @@ def span_digest(docs: DataFrame) -> DataFrame:
     names = F.array(*map(F.lit, KINDS))
     base = written(F.col("spans"), lambda s: F.get(names, s["kind"]))
     more = written(F.col("terms"), lambda s: F.lit(TERM))
+    kinds = F.transform("spans", lambda s: s["kind"])
     counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{name}")
         for k, name in enumerate(KINDS)
     ]
     return private_spans(docs).select(

@@ -299,12 +299,11 @@ def top_k(
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 50 = 0
 ), r AS (
