@@ -14,33 +14,49 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sessionlake.llm.common import id_and_text, importable, small_slices
+from sessionlake.llm.common import Remembered, id_and_text, importable, small_slices
 
 _NEVER = 1 << 60
 
-# A worker forgets its remembered pieces beyond this number and starts again; results don't
-# depend on it.
-REMEMBERED = 1_500_000
+# Pieces, and prefixes of pieces, that a worker remembers in each of two generations; pairs of
+# tokens that it remembers before it starts again. Results don't depend on them.
+REMEMBERED = 100_000
+_REMEMBERED_PREFIXES = 60_000
+_REMEMBERED_PAIRS = 120_000
 
-# Bytes of a piece whose prefixes are remembered for other pieces with the same beginning.
-_STEM = 7
+# Longer pieces are encoded by an array over their prefixes instead of remembered ones.
+_WORD_BYTES = 64
+
+
+# Latin letters up to U+024F; the plain texts below have no others.
+_LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+
+# Constructs of such patterns and, for plain texts, the same with classes spelt out.
+_PLAIN_FORMS = (
+    ("'s|'t|'re|'ve|'m|'ll|'d|", "'(?:[stmd]|re|ve|ll)|"),
+    (r"[^\s\p{L}\p{N}]", f"[^\t\n\r {_LATIN}0-9]"),
+    (r"\p{L}", f"[{_LATIN}]"),
+    (r"\p{N}", "[0-9]"),
+    (r"\s", "[\t\n\r ]"),
+    (r"\S", "[^\t\n\r ]"),
+)
 
 
 class Splitter:
     """Cut texts into the matches of a pattern that is written for the `regex` library.
 
-    Texts of plain Latin characters, for which the standard library's classes mean the same,
-    take its faster engine; every other text takes `regex`.
+    Plain texts, of ASCII without control characters, Latin letters and common signs, take the
+    standard library's faster engine with the classes spelt out; other texts take `regex`.
     """
 
     def __init__(self, pattern: str):
         self._full = regex.compile(pattern)
-        plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)")
-        plain = plain.replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
-        self._fast = None if r"\p" in plain else re.compile(plain)
-        # ASCII, and the letters and common signs up to U+024F; without the Latin-1 digits
-        # and fractions, and without controls, which the two libraries class differently.
-        self._other = re.compile("[^\t\n\r\x20-\x7e\xa1\xab\xb7\xbb\xbf-ɏ‘’“”–—…]")
+        plain = pattern
+        for construct, form in _PLAIN_FORMS:
+            plain = plain.replace(construct, form)
+        self._fast = None if re.search(r"\\[a-zA-Z]", plain) else re.compile(plain)
+        # without the Latin-1 digits and fractions, and the letters among its signs
+        self._other = re.compile("[^\t\n\r\x20-\x7e\xa1\xab\xb7\xbb\xbf-\u024f‘’“”–—…]")
 
     def is_plain(self, text: str) -> bool:
         return self._fast is not None and not self._other.search(text)
@@ -66,9 +82,9 @@ class Ranks:
         self._edges: dict[tuple[int, bool], list[int]] = {}
         self.pairs: dict[int, bool] = {}
         #: Tokens that merging their own bytes gives (only they can be part of an encoding),
-        #: and -1 for other beginnings of such tokens.
+        #: and -1 for other endings of such tokens.
         usable = {b: r for b, r in tokens.items() if len(b) == 1 or self.halves(r)}
-        self.starts = {b[:n]: -1 for b in usable for n in range(1, len(b))} | usable
+        self.ends = {b[n:]: -1 for b in usable for n in range(1, len(b))} | usable
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; none for a byte or if none does."""
@@ -86,34 +102,32 @@ class Ranks:
             self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
         return self._halves[token]
 
+    def ending(self, data: bytes, end: int) -> list[tuple[int, int]]:
+        """(start, token) of the tokens that end at ``end``, the longest first."""
+        found, get = [], self.ends.get
+        start = end - 1
+        while start >= 0:
+            token = get(data[start:end])
+            if token is None:
+                break
+            if token >= 0:
+                found.append((start, token))
+            start -= 1
+        return found[::-1]
+
     def extend(self, last: list[int], data: bytes) -> None:
         """Lengthen ``last``, the last tokens of the first prefixes of ``data``, to all of it.
 
-        From each start, in order, every token that begins there is tried behind the last
-        token of the prefix before. A prefix is reached by one token only.
+        The last token of a prefix is the one that ends there and may follow the last token of
+        the prefix before it; there is exactly one.
         """
-        done, size = len(last), len(data)
-        if done == size:
-            return
-        last += [_NEVER] * (size - done)
-        get, pairs, fits = self.starts.get, self.pairs.get, self.side_by_side
-        for start in range(max(0, done - self.longest), size):
-            before = last[start - 1] if start else -1
-            if before == _NEVER:
-                raise ValueError("the vocabulary lacks a byte of the text")
-            for end in range(max(start, done) + 1, size + 1):
-                token = get(data[start:end])
-                if token is None:
+        for end in range(len(last) + 1, len(data) + 1):
+            for start, token in self.ending(data, end):
+                if not start or self.side_by_side(last[start - 1], token):
+                    last.append(token)
                     break
-                if token < 0 or last[end - 1] != _NEVER:
-                    continue
-                if start:
-                    holds = pairs(before << 32 | token)
-                    if not (fits(before, token) if holds is None else holds):
-                        continue
-                last[end - 1] = token
-        if last[-1] == _NEVER:
-            raise ValueError("the vocabulary lacks a byte of the text")
+            else:
+                raise ValueError("the vocabulary lacks a byte of the text")
 
     def split(self, last: list[int]) -> list[int]:
         """The tokens of a whole string, from the last tokens of its prefixes."""
@@ -139,7 +153,7 @@ class Ranks:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= _REMEMBERED_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._border_holds(left, right)
         return known
@@ -205,36 +219,6 @@ class PrefixEncoder:
         return self.ranks.split(self.last)
 
 
-class _Pieces(dict):
-    """Ids of the pieces met so far, as bytes; a new one is encoded when asked for."""
-
-    def __init__(self, ranks: Ranks):
-        super().__init__()
-        self._ranks = ranks
-        self._stems: dict[bytes, list[int]] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8")
-        token = self._ranks.rank.get(data)
-        ids = [token] if token is not None else self._ranks.split(self._prefixes(data))
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self._stems.clear()
-        out = self[piece] = array("I", ids).tobytes()
-        return out
-
-    def _prefixes(self, data: bytes) -> list[int]:
-        """Words share their beginnings: a beginning's prefixes are done once."""
-        stem = data[:_STEM]
-        known = self._stems.get(stem)
-        if known is None:
-            known = self._stems[stem] = []
-            self._ranks.extend(known, stem)
-        last = known.copy()
-        self._ranks.extend(last, data)
-        return last
-
-
 class ByteBpe:
     """Text to ids and back. Pieces, the matches of the pattern, are encoded one by one; a
     piece that is a token is that token."""
@@ -242,7 +226,31 @@ class ByteBpe:
     def __init__(self, tokens: dict[bytes, int], pattern: str):
         self.ranks = Ranks(tokens)
         self.splitter = Splitter(pattern)
-        self._pieces = _Pieces(self.ranks)
+        self._last = Remembered(self._last_token, _REMEMBERED_PREFIXES)
+        self._pieces = Remembered(self._encode_piece, REMEMBERED)
+
+    def _encode_piece(self, piece: str) -> bytes:
+        data, ranks = piece.encode("utf-8"), self.ranks
+        token = ranks.rank.get(data)
+        if token is not None:
+            return array("I", [token]).tobytes()
+        if len(data) > _WORD_BYTES:
+            return array("I", PrefixEncoder(ranks, data).tokens()).tobytes()
+        ids = []
+        while data:
+            token = self._last[data]
+            ids.append(token)
+            data = data[: -len(ranks.bytes[token])]
+        return array("I", ids[::-1]).tobytes()
+
+    def _last_token(self, data: bytes) -> int:
+        """The last token of a prefix. Words share their beginnings, so the prefix before the
+        token is mostly known from another word."""
+        ranks = self.ranks
+        for start, token in ranks.ending(data, len(data)):
+            if not start or ranks.side_by_side(self._last[data[:start]], token):
+                return token
+        raise ValueError("the vocabulary lacks a byte of the text")
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; none for null."""

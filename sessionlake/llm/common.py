@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,14 +57,39 @@ def held_out(id_col: str, parts: int, part: int):
     )
 
 
+class Remembered(dict):
+    """Results of a function, for the arguments met lately.
+
+    Two generations of ``most`` entries bound the memory: a full one becomes the old one, and
+    what is asked for again moves to the new one. Results don't depend on what is remembered.
+    """
+
+    def __init__(self, function: Callable, most: int):
+        super().__init__()
+        self._function, self._most, self._old = function, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self._most:
+            self._old = dict(self)
+            self.clear()
+        value = self._old.get(key)
+        if value is None:
+            value = self._function(key)
+        self[key] = value
+        return value
+
+
 def small_slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows whose texts hold about ``max_bytes``.
 
     Every row is in one slice, whole; a longer text makes a slice of its own. This bounds the
-    memory of array code over a slice by the longest text, not by Arrow's batch size.
+    memory of array code over a slice by the longest text, not by Arrow's batch size. Workers
+    live on between tasks, so batches are taken from the system's memory, which freed ones go
+    back to; Arrow's own pool would keep it.
     """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
             continue
