@@ -13,12 +13,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import free_name, held_out, id_and_text, importable, small_slices
+from sessionlake.llm.common import (
+    Remembered,
+    free_name,
+    held_out,
+    id_and_text,
+    importable,
+    small_slices,
+)
 
 # Bounds of the sample that classifiers are fitted on: confirmed toxic documents, and documents
 # taken without regard to labels, the latter for each classifier.
-POSITIVE_SAMPLE = 4_000
-UNLABELLED_SAMPLE = 4_000
+POSITIVE_SAMPLE = 2_500
+UNLABELLED_SAMPLE = 3_000
 CLASSIFIERS = 4
 
 THRESHOLD = 0.7
@@ -26,7 +33,7 @@ THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 _BUCKETS = 1 << 22
 _PREFIXES = (3, 4, 5, 6)
-_REMEMBERED = 1_000_000
+_REMEMBERED = 200_000
 
 
 def _features_of(word: str) -> tuple[int, ...]:
@@ -39,20 +46,14 @@ class Featurizer:
     """The distinct features of a text; words met before are remembered."""
 
     def __init__(self):
-        self._words: dict[str, tuple[int, ...]] = {}
+        self._words = Remembered(_features_of, _REMEMBERED)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=np.int32)
-        known = self._words
-        if len(known) > _REMEMBERED:
-            known.clear()
         found: set[int] = set()
         for word in set(_WORD.findall(text.lower())):
-            features = known.get(word)
-            if features is None:
-                features = known[word] = _features_of(word)
-            found.update(features)
+            found.update(self._words[word])
         return np.array(sorted(found), dtype=np.int32)
 
 
@@ -84,14 +85,13 @@ def select_features(
     The share in positives must be twice that in the unlabelled, by four standard errors, and
     at least three positives must have it. The clearest ``most`` are used.
     """
-    empty = np.zeros(0, dtype=np.int32)
-    p_ids, p_n = np.unique(np.concatenate([*positive, empty]), return_counts=True)
-    u_ids, u_n = np.unique(np.concatenate([*unlabelled, empty]), return_counts=True)
-    p_ids, p_n = p_ids[p_n >= 3], p_n[p_n >= 3]
-    at = np.searchsorted(u_ids, p_ids)
-    found = (at < len(u_ids)) & (u_ids[np.minimum(at, max(len(u_ids) - 1, 0))] == p_ids) if len(u_ids) else np.zeros(len(p_ids), bool)
-    n_u = np.where(found, u_n[np.minimum(at, max(len(u_ids) - 1, 0))] if len(u_ids) else 0, 0)
-    share_p, share_u = p_n / max(len(positive), 1), (n_u + 0.5) / (len(unlabelled) + 1)
+    counts = np.zeros((2, _BUCKETS), dtype=np.int32)
+    for n, docs in zip(counts, (positive, unlabelled), strict=True):
+        for ids in docs:
+            n[ids] += 1  # a document has a feature once
+    p_ids = np.flatnonzero(counts[0] >= 3).astype(np.int32)
+    share_p = counts[0][p_ids] / max(len(positive), 1)
+    share_u = (counts[1][p_ids] + 0.5) / (len(unlabelled) + 1)
     error = np.sqrt(share_u * (1 - np.minimum(share_u, 0.999)) * (1 / max(len(positive), 1) + 1 / (len(unlabelled) + 1)))
     z = (share_p - share_u) / error
     good = (z >= 4) & (share_p >= 2 * share_u)
@@ -120,13 +120,14 @@ def fit_nnpu(
     rate: float = 0.2,
     decay: float = 1e-6,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk with the sigmoid loss.
+    """Weights and bias that minimise the non-negative risk.
 
-    With class prior ``prior``, the risk is ``prior * E_p[l(+)] + max(0, E_u[l(-)] -
+    With class prior ``prior``, the risk is ``prior * E_p[k(+)] + max(0, E_u[l(-)] -
     prior * E_p[l(-)])``: the unlabelled text stands for the negatives once the toxic share
     is taken off. Where that difference falls below 0, the step follows its opposite, so that
-    the classifier doesn't profit from fitting the sample's positives as negatives. The loss is
-    bounded, so the sample's own share of toxic documents needn't hit the prior exactly.
+    the classifier doesn't profit from fitting the sample's positives as negatives. ``k`` is the
+    logistic loss, so that no positive is given up; ``l`` is the sigmoid loss, which is bounded,
+    so that the sample's own share of toxic documents needn't hit the prior exactly.
     """
     x = [_incidence(positive, features), _incidence(unlabelled, features)]
     n = [max(len(positive), 1), max(len(unlabelled), 1)]
@@ -148,7 +149,7 @@ def fit_nnpu(
         sp, su = _sigmoid(margins(0)), _sigmoid(margins(1))
         negative = su.mean() - prior * sp.mean()
         of_negative = gradient(1, su * (1 - su)) - prior * gradient(0, sp * (1 - sp))
-        of_positive = prior * gradient(0, -sp * (1 - sp))
+        of_positive = prior * gradient(0, sp - 1)
         grad = of_positive + of_negative if negative >= 0 else -of_negative
         grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
@@ -271,22 +272,15 @@ class Scorer:
 
     def __init__(self, model: Model):
         self._model = model
-        self._index = {int(f): i for i, f in enumerate(model.features)}
-        self._words: dict[str, tuple[int, ...]] = {}
+        index = {int(f): i for i, f in enumerate(model.features)}
+        self._words = Remembered(
+            lambda word: tuple(index[f] for f in _features_of(word) if f in index), _REMEMBERED
+        )
 
     def __call__(self, text: str | None) -> float:
         hits: set[int] = set()
         if text:
-            known = self._words
-            if len(known) > _REMEMBERED:
-                known.clear()
-            for word in set(_WORD.findall(text.lower())):
-                own = known.get(word)
-                if own is None:
-                    index = self._index
-                    own = known[word] = tuple(index[f] for f in _features_of(word) if f in index)
-                if own:
-                    hits.update(own)
+            hits.update(*filter(None, map(self._words.__getitem__, set(_WORD.findall(text.lower())))))
         return self._model.score(sorted(hits))
 
 
