@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -13,13 +15,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.byte_bpe import REMEMBERED, Splitter
+from sessionlake.llm.byte_bpe import Splitter
 from sessionlake.llm.common import id_and_text, importable, small_slices
 from sessionlake.session import new_folder
 
 # A file row holds about this many ids; a longer document has a row of its own.
 SEGMENT_IDS = 1 << 20
 
+# A worker forgets its pieces beyond this number (some 200 MB) and starts again.
+REMEMBERED = 1_300_000
+
 # Every so many set bits, the select directory notes a position.
 SELECT_STEP = 256
 
@@ -120,25 +125,22 @@ class PieceTokenizer:
         self._pieces: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.id_bytes}"
+        kind = "H" if self.id_bytes == 2 else "I"
         return [
-            np.array(e.ids, dtype=kind).tobytes()
+            array(kind, e.ids).tobytes()
             for e in self._library.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, ``id_bytes`` bytes each; none for null."""
-        plain = [t if t and self._splitter.is_plain(t) else "" for t in texts]
-        split = [self._splitter.split(t) if t else [] for t in plain]
+        plain = [bool(t) and self._splitter.is_plain(t) for t in texts]
+        split = [self._splitter.split(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         known = self._pieces
         if len(known) >= REMEMBERED:
             known.clear()
-        new = set().union(*split).difference(known)
-        if new:
-            new = list(new)
-            known.update(zip(new, self._encode(new), strict=True))
-        get = known.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in split]
+        new = list(set().union(*split).difference(known))
+        known.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
         whole = [i for i, t in enumerate(texts) if t and not plain[i]]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
@@ -263,9 +265,11 @@ def document_ids(segment: dict, i: int) -> np.ndarray:
     return np.frombuffer(body, f"<u{width}").astype(np.uint32)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the files: doc_id, start, n_tokens, ``ids`` (4 bytes each)."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Every document of the files: doc_id, start, n_tokens, the CRC of its ids as 4-byte
+    integers, and those ``ids`` unless they are not asked for."""
     importable(spark)
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,25 +280,22 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 ids = np.frombuffer(segment["ids"], f"<u{width}").astype("<u4")
                 numbers = np.frombuffer(segment["doc_ids"], "<i8")
                 nulls = np.unpackbits(np.frombuffer(segment["null_ids"], np.uint8), bitorder="little", count=len(numbers))
-                yield pa.record_batch(
-                    [
-                        pa.array(numbers, pa.int64(), mask=nulls.astype(bool)),
-                        pa.array(ends[:-1] + segment["start"], pa.int64()),
-                        pa.array(np.diff(ends), pa.int64()),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
-
-    return read_segments(spark, path).mapInArrow(
-        documents, "doc_id long, start long, n_tokens long, ids binary"
-    )
+                bodies = [ids[a:b].data for a, b in zip(ends, ends[1:], strict=False)]
+                columns = [
+                    pa.array(numbers, pa.int64(), mask=nulls.astype(bool)),
+                    pa.array(ends[:-1] + segment["start"], pa.int64()),
+                    pa.array(np.diff(ends), pa.int64()),
+                    pa.array(list(map(zlib.crc32, bodies)), pa.int64()),
+                ]
+                if with_ids:
+                    columns.append(pa.array([b.tobytes() for b in bodies], pa.binary()))
+                yield pa.record_batch(columns, [c.split()[0] for c in schema.split(", ")])
+
+    return read_segments(spark, path).mapInArrow(documents, schema)
 
 
 def token_file_digest(docs: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
     """Write token files to the shared folder, read them back, return the contract's columns."""
     path = new_folder(docs.sparkSession, "token-files")
     write_token_files(docs, path, tokenizer_path, pattern)
-    return read_token_files(docs.sparkSession, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
-    )
+    return read_token_files(docs.sparkSession, path, with_ids=False)
