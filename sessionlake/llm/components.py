@@ -11,7 +11,7 @@ from sessionlake.session import materialize
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node`` and ``component`` (the smallest node of it) for every node of an edge.
 
-    Alternates two steps until nothing changes: every node's larger neighbours are tied to its
+    Alternates two steps until only stars are left: every node's larger neighbours are tied to its
     smallest neighbour, then its smaller ones are. Each keeps the components and
     brings the graph nearer to stars around the smallest nodes, in a number of rounds that
     grows with the logarithm of the longest path. A node's edges are never gathered; what each
@@ -36,19 +36,20 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             )
         )
 
+    # u > v in every pair
     now = materialize(
         tidy(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))), "components"
     )
-    mark = None
-    while True:
-        # u > v in every pair
+    while not _is_star_forest(now):
         large = tie(both_ways(now), larger=True)
         now = materialize(tie(large, larger=False), "components")
-        state = now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")
-        ).first()
-        if state == mark:
-            break
-        mark = state
     ends = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(ends)
+
+
+def _is_star_forest(pairs: DataFrame) -> bool:
+    """Whether every node ``u`` has one ``v``, which is no other pair's ``u``."""
+    centres = pairs.select(F.col("v").alias("centre")).distinct()
+    if not pairs.join(centres, F.col("u") == F.col("centre"), "left_semi").isEmpty():
+        return False
+    return pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
