@@ -17,7 +17,7 @@ from sessionlake.llm.common import held_out, id_and_text, importable, small_slic
 from sessionlake.session import materialize
 
 # Characters of labelled text per language that an automaton is built from: a bounded sample.
-SAMPLE_CHARS = 80_000
+SAMPLE_CHARS = 40_000
 
 # The sample has an excerpt of each of its documents, so that no long one fills it.
 EXCERPT_CHARS = 800
@@ -135,7 +135,7 @@ class Model:
         languages = sorted(automata)
         roots = np.cumsum([0] + [len(automata[name]) for name in languages])
         parts = [
-            np.where(automata[name] > 0, automata[name] + root, 0).astype(np.int32)
+            np.where(automata[name] > 0, automata[name] + np.int32(root), np.int32(0))
             for name, root in zip(languages, roots, strict=False)
         ]
         moves = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
@@ -248,7 +248,7 @@ def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     order = sorted(ranked, key=lambda c: (-ranked[c], c))
     alphabet = np.array(order[: _SYMBOLS - 2], dtype=np.int64)
 
-    halves = [_build(sample.filter(F.col("at") % 2 == k), alphabet, sample_chars // 2) for k in (0, 1)]
+    halves = [_build(sample.filter(F.col("at") % 2 == k), alphabet, sample_chars // 4) for k in (0, 1)]
     judges = spark.sparkContext.broadcast(halves)
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
