@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import Remembered, importable, small_slices
+from sessionlake.llm.exact_dedup import with_possible_repeats
 from sessionlake.session import materialize
 
 # The kinds in the contract's order, and its patterns. Those of the e-mail
@@ -32,7 +33,7 @@ _WORD = re.compile(r"[^\W\d_]{3,}")
 # Words this near to a protected entity, on either side, are its context.
 CONTEXT_CHARS = 80
 
-# A pair of term and entity must share this many different contexts to be an estimate.
+# A pair of term and entity must share this many different texts to be an estimate.
 MIN_CONTEXTS = 2
 
 # Share of an entity's information that a term may disclose, before it is generalised, and
@@ -92,54 +93,52 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 def context_terms(
     text: str, spans: list[tuple[int, int, int, str]], reach: int = CONTEXT_CHARS
-) -> list[tuple[str, int, int, str, int]]:
-    """(term, start, end, entity, context) of the whole words near each span, outside of all
-    spans. The context is a hash of the text around, so that copies count once."""
+) -> list[tuple[str, int, int, str]]:
+    """(term, start, end, entity) of the whole words near each span, outside of all spans."""
     taken = sorted((a, b) for _, a, b, _ in spans)
     out = []
     for kind, start, end, entity in spans:
         left, right = max(0, start - reach), min(len(text), end + reach)
-        around = zlib.crc32((text[left:start].lower() + "\0" + text[end:right].lower()).encode("utf-8", "replace"))
         for a, b in ((left, start), (end, right)):
             for m in _WORD.finditer(text, a, b):
                 s, e = m.span()
                 if (s == a > 0 and text[a - 1].isalpha()) or (e == b < len(text) and text[b].isalpha()):
                     continue
                 if not any(x < e and s < y for x, y in taken):
-                    out.append((m.group().lower(), s, e, f"{KINDS[kind]}:{entity}", around))
+                    out.append((m.group().lower(), s, e, f"{KINDS[kind]}:{entity}"))
     return out
 
 
 _FOUND = (
     "doc_id long, text_key long, spans array<struct<kind:int,start:int,end:int>>,"
-    " terms array<struct<term:string,start:int,end:int,entity:string,context:long>>"
+    " entities array<string>, terms array<struct<term:string,start:int,end:int,entity:string>>"
 )
 
 
 def find_entities(docs: DataFrame, reach: int = CONTEXT_CHARS) -> DataFrame:
-    """Base spans and context terms of every row of ``docs`` (``doc_id``, ``text``)."""
+    """Base spans, entities and context terms of every row of ``docs`` (``doc_id``, ``text``)."""
     importable(docs.sparkSession)
     span = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-    term = pa.struct(
-        [("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("entity", pa.string()), ("context", pa.int64())]
-    )
+    term = pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("entity", pa.string())])
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in small_slices(batches):
-            spans, terms = [], []
+            spans, entities, terms = [], [], []
             for text in rows.column("text").to_pylist():
                 found = base_spans(text) if text else []
                 spans.append([dict(kind=k, start=a, end=b) for k, a, b, _ in found])
+                entities.append(sorted({f"{KINDS[k]}:{e}" for k, _, _, e in found}))
                 near = context_terms(text, found, reach) if found else []
-                terms.append([dict(term=t, start=a, end=b, entity=e, context=c) for t, a, b, e, c in near])
+                terms.append([dict(term=t, start=a, end=b, entity=e) for t, a, b, e in near])
             yield pa.record_batch(
                 [
                     rows.column("doc_id"),
                     rows.column("text_key"),
                     pa.array(spans, pa.list_(span)),
+                    pa.array(entities, pa.list_(pa.string())),
                     pa.array(terms, pa.list_(term)),
                 ],
-                ["doc_id", "text_key", "spans", "terms"],
+                ["doc_id", "text_key", "spans", "entities", "terms"],
             )
 
     text = F.col("text").cast("string")
@@ -147,13 +146,26 @@ def find_entities(docs: DataFrame, reach: int = CONTEXT_CHARS) -> DataFrame:
     return rows.mapInArrow(find, _FOUND)
 
 
-def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents of the whole corpus each term occurs: ``term``, ``n``.
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """Each different text of ``docs`` once, null and empty ones left out: ``text_key``, ``text``.
+
+    Only texts that may repeat shuffle, copies of one task as one row.
+    """
+    flag = "maybe"
+    rows = docs.select(F.col("text").cast("string").alias("text")).filter("text <> ''")
+    flagged = with_possible_repeats(rows.select(F.xxhash64("text").alias("text_key"), "text"), "text_key", flag)
+    repeats = flagged.filter(F.col(flag)).select("text_key", "text").dropDuplicates(["text_key"])
+    return flagged.filter(~F.col(flag)).select("text_key", "text").unionByName(materialize(repeats, "pii-repeats"))
+
+
+def text_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """In how many rows of ``texts`` each term occurs: ``term``, ``n``; the empty term has the
+    number of rows. Other terms than those of ``terms`` may be there by chance.
 
     Workers keep words whose hash is marked in a bit map of fixed size, so the terms needn't
-    be sent to them, and count them before anything moves; chance hits are joined away.
+    be sent to them, and count them before anything moves.
     """
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     importable(spark)
     hashes = terms.select((F.crc32(F.col("term").cast("binary")) % _SKETCH_BITS).cast("int").alias("h")).distinct()
     marked = np.zeros(_SKETCH_BITS, dtype=bool)
@@ -174,43 +186,44 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         for rows in small_slices(batches):
             for text in rows.column("text").to_pylist():
-                if text:
-                    n.update(filter(wanted.__getitem__, set(_WORD.findall(text.lower()))))
+                n[""] += 1
+                n.update(filter(wanted.__getitem__, set(_WORD.findall(text.lower()))))
             if len(n) > _HELD_WORDS:
                 yield out()
         if n:
             yield out()
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term", "left_semi")
+    counted = texts.select("text").mapInArrow(count, "term string, n long")
+    return materialize(counted.groupBy("term").agg(F.sum("n").alias("n")), "pii-counts")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of term and entity, with the share of the entity's information that the term tells.
 
-    With N documents, an entity e in n(e) different contexts has the information
-    ``log(N / n(e))``; a term t in n(t) documents that shares n(t, e) of the contexts reveals
-    ``log(N n(t, e) / (n(t) n(e)))`` of it. Pairs of at least `MIN_CONTEXTS` shared contexts
-    and a share of at least `GENERALISE` are returned: entity, term, share.
+    All counts are of different texts of the whole corpus, so copies count once. With N texts,
+    an entity e in n(e) of them has the information ``log(N / n(e))``; a term t in n(t) texts
+    that is near it in n(t, e) reveals ``log(N n(t, e) / (n(t) n(e)))`` of it. Pairs that share
+    at least `MIN_CONTEXTS` texts and a share of at least `GENERALISE` are returned: entity,
+    term, share.
     """
-    near = found.select(F.explode("terms").alias("t")).select("t.entity", "t.context", "t.term").distinct()
+    near = found.select("text_key", F.explode("terms").alias("t")).select("t.entity", "text_key", "t.term").distinct()
     near = materialize(near, "pii-contexts")
     pairs = materialize(
         near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= MIN_CONTEXTS),
         "pii-pairs",
     )
-    entities = near.groupBy("entity").agg(F.countDistinct("context").alias("contexts"))
-    terms = pairs.select("term").distinct()
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("share"))
-    total = docs.count()
-    counts = document_counts(docs, terms)
-    told = F.log(total * F.col("both") / (F.col("n") * F.col("contexts")))
-    share = told / F.log(F.lit(float(total)) / F.col("contexts"))
+    entities = found.select("text_key", F.explode("entities").alias("entity")).distinct().groupBy("entity")
+    entities = entities.agg(F.count(F.lit(1)).alias("texts"))
+    counts = text_counts(distinct_texts(docs), pairs.select("term").distinct())
+    total = counts.filter("term = ''").first()["n"]
+    told = F.log(total * F.col("both") / (F.col("n") * F.col("texts")))
+    share = told / F.log(F.lit(float(total)) / F.col("texts"))
     return (
         pairs.join(entities, "entity")
         .join(counts, "term")
-        .filter(F.col("contexts") < total)
+        .filter(F.col("texts") < total)
         .select("entity", "term", share.alias("share"))
         .filter(F.col("share") >= GENERALISE)
     )
