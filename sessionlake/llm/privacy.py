@@ -28,10 +28,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
-_WORD = re.compile(r"[^\W\d_]{3,}")
-
-# Words this near to a protected entity, on either side, are its context.
-CONTEXT_CHARS = 80
+# Words, numbers and handles, of three characters or more.
+_WORD = re.compile(r"[^\W_]\w+[^\W_]")
 
 # A pair of term and entity must share this many different texts to be an estimate.
 MIN_CONTEXTS = 2
@@ -43,6 +41,9 @@ GENERALISE, REMOVE = 0.5, 0.8
 _SKETCH_BITS = 1 << 22
 _HELD_WORDS = 200_000
 
+# Up to so many disclosing terms, workers look terms up; more are joined with the texts' words.
+HELD_TERMS = 500_000
+
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Matches of local part, sign and domain, by the signs: the local part is what stands
@@ -91,35 +92,40 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
-def context_terms(
-    text: str, spans: list[tuple[int, int, int, str]], reach: int = CONTEXT_CHARS
-) -> list[tuple[str, int, int, str]]:
-    """(term, start, end, entity) of the whole words near each span, outside of all spans."""
+def _entities(spans: list[tuple[int, int, int, str]]) -> list[str]:
+    return sorted({f"{KINDS[kind]}:{entity}" for kind, _, _, entity in spans})
+
+
+def words_outside(text: str, spans: list[tuple[int, int, int, str]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of the words of a text that don't overlap any of its spans."""
     taken = sorted((a, b) for _, a, b, _ in spans)
-    out = []
-    for kind, start, end, entity in spans:
-        left, right = max(0, start - reach), min(len(text), end + reach)
-        for a, b in ((left, start), (end, right)):
-            for m in _WORD.finditer(text, a, b):
-                s, e = m.span()
-                if (s == a > 0 and text[a - 1].isalpha()) or (e == b < len(text) and text[b].isalpha()):
-                    continue
-                if not any(x < e and s < y for x, y in taken):
-                    out.append((m.group().lower(), s, e, f"{KINDS[kind]}:{entity}"))
-    return out
+    k = busy = 0
+    for m in _WORD.finditer(text):
+        start, end = m.span()
+        while k < len(taken) and taken[k][0] < end:
+            busy = max(busy, taken[k][1])
+            k += 1
+        if start >= busy:
+            yield m.group(), start, end
+
+
+def text_terms(text: str, spans: list[tuple[int, int, int, str]]) -> set[str]:
+    """The different words of a text outside of its spans, in lower case."""
+    words = {w for w, _, _ in words_outside(text, spans)} if spans else set(_WORD.findall(text))
+    return {w.lower() for w in words}
 
 
 _FOUND = (
     "doc_id long, text_key long, spans array<struct<kind:int,start:int,end:int>>,"
-    " entities array<string>, terms array<struct<term:string,start:int,end:int,entity:string>>"
+    " entities array<string>, terms array<string>"
 )
 
 
-def find_entities(docs: DataFrame, reach: int = CONTEXT_CHARS) -> DataFrame:
-    """Base spans, entities and context terms of every row of ``docs`` (``doc_id``, ``text``)."""
+def find_entities(docs: DataFrame) -> DataFrame:
+    """Base spans and entities of every row of ``docs`` (``doc_id``, ``text``), and the terms of
+    those rows that have an entity."""
     importable(docs.sparkSession)
     span = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-    term = pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("entity", pa.string())])
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in small_slices(batches):
@@ -127,16 +133,15 @@ def find_entities(docs: DataFrame, reach: int = CONTEXT_CHARS) -> DataFrame:
             for text in rows.column("text").to_pylist():
                 found = base_spans(text) if text else []
                 spans.append([dict(kind=k, start=a, end=b) for k, a, b, _ in found])
-                entities.append(sorted({f"{KINDS[k]}:{e}" for k, _, _, e in found}))
-                near = context_terms(text, found, reach) if found else []
-                terms.append([dict(term=t, start=a, end=b, entity=e) for t, a, b, e in near])
+                entities.append(_entities(found))
+                terms.append(sorted(text_terms(text, found)) if found else [])
             yield pa.record_batch(
                 [
                     rows.column("doc_id"),
                     rows.column("text_key"),
                     pa.array(spans, pa.list_(span)),
                     pa.array(entities, pa.list_(pa.string())),
-                    pa.array(terms, pa.list_(term)),
+                    pa.array(terms, pa.list_(pa.string())),
                 ],
                 ["doc_id", "text_key", "spans", "entities", "terms"],
             )
@@ -158,25 +163,32 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return flagged.filter(~F.col(flag)).select("text_key", "text").unionByName(materialize(repeats, "pii-repeats"))
 
 
+def _sketch(terms: DataFrame):
+    """A broadcast bit map of fixed size with the hashes of ``terms``, so that the terms needn't
+    be sent to the workers. Other words may be marked by chance."""
+    hashes = terms.select((F.crc32(F.col("term").cast("binary")) % _SKETCH_BITS).cast("int").alias("h")).distinct()
+    marked = np.zeros(_SKETCH_BITS, dtype=bool)
+    marked[hashes.toArrow()["h"].to_numpy()] = True  # at most as many as the map has bits
+    return terms.sparkSession.sparkContext.broadcast(np.packbits(marked))
+
+
+def _marked(sketch) -> Remembered:
+    marks = np.unpackbits(sketch.value).astype(bool)
+    return Remembered(lambda word: bool(marks[zlib.crc32(word.lower().encode("utf-8")) & (_SKETCH_BITS - 1)]), 150_000)
+
+
 def text_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """In how many rows of ``texts`` each term occurs: ``term``, ``n``; the empty term has the
     number of rows. Other terms than those of ``terms`` may be there by chance.
 
-    Workers keep words whose hash is marked in a bit map of fixed size, so the terms needn't
-    be sent to them, and count them before anything moves.
+    Workers count the words that the bit map marks, before anything moves. Words in base spans
+    don't count.
     """
-    spark = texts.sparkSession
-    importable(spark)
-    hashes = terms.select((F.crc32(F.col("term").cast("binary")) % _SKETCH_BITS).cast("int").alias("h")).distinct()
-    marked = np.zeros(_SKETCH_BITS, dtype=bool)
-    marked[hashes.toArrow()["h"].to_numpy()] = True  # at most as many as the map has bits
-    sketch = spark.sparkContext.broadcast(np.packbits(marked))
+    importable(texts.sparkSession)
+    sketch = _sketch(terms)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(sketch.value).astype(bool)
-        wanted = Remembered(
-            lambda word: bool(marks[zlib.crc32(word.encode("utf-8")) & (_SKETCH_BITS - 1)]), 150_000
-        )
+        wanted = _marked(sketch)
         n: Counter = Counter()
 
         def out() -> pa.RecordBatch:
@@ -187,7 +199,7 @@ def text_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
         for rows in small_slices(batches):
             for text in rows.column("text").to_pylist():
                 n[""] += 1
-                n.update(filter(wanted.__getitem__, set(_WORD.findall(text.lower()))))
+                n.update(filter(wanted.__getitem__, text_terms(text, base_spans(text))))
             if len(n) > _HELD_WORDS:
                 yield out()
         if n:
@@ -197,26 +209,35 @@ def text_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return materialize(counted.groupBy("term").agg(F.sum("n").alias("n")), "pii-counts")
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of term and entity, with the share of the entity's information that the term tells.
 
     All counts are of different texts of the whole corpus, so copies count once. With N texts,
     an entity e in n(e) of them has the information ``log(N / n(e))``; a term t in n(t) texts
-    that is near it in n(t, e) reveals ``log(N n(t, e) / (n(t) n(e)))`` of it. Pairs that share
+    that stands with it in n(t, e) reveals ``log(N n(t, e) / (n(t) n(e)))`` of it. Pairs that share
     at least `MIN_CONTEXTS` texts and a share of at least `GENERALISE` are returned: entity,
     term, share.
     """
-    near = found.select("text_key", F.explode("terms").alias("t")).select("t.entity", "text_key", "t.term").distinct()
-    near = materialize(near, "pii-contexts")
+    named = found.filter("size(entities) > 0").select("text_key", "entities", "terms").dropDuplicates(["text_key"])
+    named = materialize(named, "pii-named")
+    holds = named.select("text_key", F.explode("entities").alias("entity"))
+    # an entity in fewer texts has no pair; the terms of texts with such ones only aren't paired
+    entities = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= MIN_CONTEXTS)
+    entities = materialize(entities, "pii-entities")
+    held = holds.join(entities, "entity").groupBy("text_key").agg(F.collect_list("entity").alias("entities"))
     pairs = materialize(
-        near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= MIN_CONTEXTS),
+        named.select("text_key", "terms")
+        .join(held, "text_key")
+        .select(F.explode("entities").alias("entity"), "terms")
+        .select("entity", F.explode("terms").alias("term"))
+        .groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("both"))
+        .filter(F.col("both") >= MIN_CONTEXTS),
         "pii-pairs",
     )
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("share"))
-    entities = found.select("text_key", F.explode("entities").alias("entity")).distinct().groupBy("entity")
-    entities = entities.agg(F.count(F.lit(1)).alias("texts"))
-    counts = text_counts(distinct_texts(docs), pairs.select("term").distinct())
+    counts = text_counts(texts, pairs.select("term").distinct())
     total = counts.filter("term = ''").first()["n"]
     told = F.log(total * F.col("both") / (F.col("n") * F.col("texts")))
     share = told / F.log(F.lit(float(total)) / F.col("texts"))
@@ -229,27 +250,124 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def private_spans(docs: DataFrame) -> DataFrame:
+def term_places(texts: DataFrame, terms: DataFrame, everywhere: bool) -> DataFrame:
+    """Where in ``texts`` words stand that the bit map of ``terms`` marks: ``text_key``,
+    ``entities`` of the text, ``term``, ``places`` (start, end). Texts without an entity are
+    left out unless ``everywhere``."""
+    importable(texts.sparkSession)
+    sketch = _sketch(terms)
+    place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = _marked(sketch)
+        for rows in small_slices(batches):
+            keys, entities, words, places = [], [], [], []
+            for key, text in zip(rows.column("text_key").to_pylist(), rows.column("text").to_pylist(), strict=True):
+                spans = base_spans(text)
+                if not (spans or everywhere):
+                    continue
+                at: dict[str, list] = {}
+                for word, start, end in words_outside(text, spans):
+                    if wanted[word]:
+                        at.setdefault(word.lower(), []).append((start, end))
+                keys += [key] * len(at)
+                entities += [[] if everywhere else _entities(spans)] * len(at)
+                words += at.keys()
+                places += at.values()
+            starts = pa.array([a for p in places for a, _ in p], pa.int32())
+            ends = pa.array([b for p in places for _, b in p], pa.int32())
+            offsets = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
+            yield pa.record_batch(
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array(entities, pa.list_(pa.string())),
+                    pa.array(words, pa.string()),
+                    pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([starts, ends], fields=list(place))),
+                ],
+                ["text_key", "entities", "term", "places"],
+            )
+
+    return texts.select("text_key", "text").mapInArrow(
+        find, "text_key long, entities array<string>, term string, places array<struct<start:int,end:int>>"
+    )
+
+
+def _looked_up(docs: DataFrame, shares: DataFrame) -> DataFrame:
+    """The result of `private_spans` everywhere, by a table of ``term``, ``share`` in each worker:
+    no row moves."""
+    table = shares.toArrow()  # at most HELD_TERMS rows
+    known = docs.sparkSession.sparkContext.broadcast(
+        dict(zip(table["term"].to_pylist(), table["share"].to_pylist(), strict=True))
+    )
+    span = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+    term = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("share", pa.float64())])
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share_of = known.value.get
+        for rows in small_slices(batches):
+            spans, starts, ends, shares, offsets = [], [], [], [], [0]
+            for text in rows.column("text").to_pylist():
+                found = base_spans(text) if text else []
+                spans.append([dict(kind=k, start=a, end=b) for k, a, b, _ in found])
+                for word, start, end in words_outside(text or "", found):
+                    share = share_of(word.lower())
+                    if share is not None:
+                        starts.append(start)
+                        ends.append(end)
+                        shares.append(share)
+                offsets.append(len(starts))
+            values = [pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(shares, pa.float64())]
+            terms = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, fields=list(term))
+            )
+            yield pa.record_batch(
+                [rows.column("doc_id"), rows.column("text_key"), pa.array(spans, pa.list_(span)), terms],
+                ["doc_id", "text_key", "spans", "terms"],
+            )
+
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(
+        find,
+        "doc_id long, text_key long, spans array<struct<kind:int,start:int,end:int>>,"
+        " terms array<struct<start:int,end:int,share:double>>",
+    )
+
+
+def private_spans(docs: DataFrame, everywhere: bool = False, held_terms: int = HELD_TERMS) -> DataFrame:
     """All spans of every row of ``docs``: the base ones, and occurrences of disclosing terms.
 
-    Returns doc_id, text_key, spans (kind, start, end) and terms (start, end, share). A term is
-    marked where it stands in the context of an entity that it discloses. Null and empty texts
-    have no spans; repeated rows have the same.
+    Returns doc_id, text_key, spans (kind, start, end) and terms (start, end, share). With
+    ``everywhere``, a disclosing term is marked wherever it stands, with the largest share of
+    its entities; else in texts that name an entity that it discloses. Null and empty texts have
+    no spans; repeated rows have the same. The result doesn't depend on ``held_terms``.
     """
     found = materialize(find_entities(docs), "pii-found")
-    telling = materialize(disclosing_terms(docs, found), "pii-terms")
-    marked = (
-        found.select("doc_id", "text_key", F.explode("terms").alias("t"))
-        .select("doc_id", "text_key", "t.term", "t.entity", "t.start", "t.end")
-        .join(telling, ["entity", "term"])
-        .groupBy("doc_id", "text_key", "start", "end")
-        .agg(F.max("share").alias("share"))
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("marked"))
+    texts = distinct_texts(docs)
+    telling = materialize(disclosing_terms(texts, found), "pii-terms")
+    shares = telling.groupBy("term").agg(F.max("share").alias("share"))
+    if everywhere and telling.select("term").distinct().count() <= held_terms:
+        return _looked_up(docs, shares)
+    places = term_places(texts, telling.select("term").distinct(), everywhere)
+    if everywhere:
+        told = places.join(shares, "term")
+    else:
+        told = (
+            places.join(telling, "term")
+            .filter(F.array_contains("entities", F.col("entity")))
+            .groupBy("text_key", "term")
+            .agg(F.max("share").alias("share"), F.first("places").alias("places"))
+        )
+    spans = F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.col("share")))
+    # written, so that the join below has two plain shuffles and Spark can split a hot text
+    marked = materialize(
+        told.select("text_key", spans.alias("marked"))
+        .groupBy(F.col("text_key").alias("_key"))
+        .agg(F.sort_array(F.flatten(F.collect_list("marked"))).alias("marked")),
+        "pii-marked",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    return found.join(marked, same, "left").select(
+    return found.join(marked, F.col("text_key") == F.col("_key"), "left").select(
         "doc_id", "text_key", "spans", F.coalesce("marked", none).alias("terms")
     )
 
@@ -259,7 +377,7 @@ def _equals(value: int):
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns for every row of ``docs``."""
+    """The contract's columns for every row of ``docs``; disclosing terms in all texts."""
 
     def written(spans, kind):
         return F.transform(
@@ -274,7 +392,7 @@ def span_digest(docs: DataFrame) -> DataFrame:
         F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{name}")
         for k, name in enumerate(KINDS)
     ]
-    return private_spans(docs).select(
+    return private_spans(docs, everywhere=True).select(
         "doc_id",
         *counts,
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
@@ -296,17 +414,17 @@ def sanitise_text(text: str, spans: list, terms: list) -> str:
     return "".join([*out, text[done:]])
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """``doc_id`` and ``text`` of every row of ``docs`` with all spans sanitised.
 
-    A null text stays null. Only documents that have a span are joined with their spans.
+    ``everywhere`` is that of `private_spans`. A null text stays null. Only documents that have a span are joined with their spans.
     """
     importable(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     spans = (
-        private_spans(docs)
-        .filter("size(spans) > 0")
+        private_spans(docs, everywhere)
+        .filter("size(spans) > 0 or size(terms) > 0")
         .dropDuplicates(["doc_id", "text_key"])
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans", "terms")
     )
@@ -315,7 +433,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches):
             texts = [
-                sanitise_text(r["text"], r["spans"], r["terms"]) if r["spans"] and r["text"] else r["text"]
+                sanitise_text(r["text"], r["spans"], r["terms"]) if r["spans"] is not None and r["text"] else r["text"]
                 for r in batch.to_pylist()
             ]
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
