@@ -15,6 +15,7 @@ from sessionlake.llm import (
     mixing,
     ngram_join,
     privacy,
+    runs,
     sharding,
     token_files,
     topk,
@@ -71,6 +72,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("ids")
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.run_digest(load(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
