@@ -12,6 +12,7 @@ from sessionlake.llm import (
     byte_bpe,
     exact_dedup,
     language_id,
+    lexical,
     mixing,
     ngram_join,
     privacy,
@@ -72,6 +73,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("ids")
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank_documents(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.run_digest(load(spark, folder, "documents"))
 
@@ -87,10 +92,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lexical": op11_lexical,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op5_topk": topk.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_lexical": lexical.ORACLE,
 }
