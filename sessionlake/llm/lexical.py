@@ -280,14 +280,16 @@ def rank_documents(
     the tasks in runs of about ``query_entries`` terms, so what is sent has a fixed size.
     """
     asked = materialize(query_terms(items), "query-terms")
-    wanted = asked.select("term").unionByName(
-        docs.sparkSession.createDataFrame([(None,)], "term string")
-    ).distinct()
-    index = build_index(docs, block_bytes=block_bytes)
     # the row of documents has no term and is wanted too
+    no_term = docs.sparkSession.createDataFrame([(None,)], "term string")
+    # written, so that Spark knows its size: a small one is sent to the lists, which stay in place
+    wanted = materialize(
+        asked.select("term").unionByName(no_term).distinct().withColumnRenamed("term", "_term"),
+        "wanted-terms",
+    )
+    index = build_index(docs, block_bytes=block_bytes)
     lists = materialize(
-        index.join(wanted.withColumnRenamed("term", "_term"), F.col("term").eqNullSafe(F.col("_term")), "left_semi"),
-        "inverted-lists",
+        index.join(wanted, F.col("term").eqNullSafe(F.col("_term")), "left_semi"), "inverted-lists"
     )
     n_docs, n_terms = lists.filter("term is null").agg(
         F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + F.signum(n).cast("long"))),

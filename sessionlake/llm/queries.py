@@ -15,6 +15,7 @@ from sessionlake.llm import (
     lexical,
     mixing,
     ngram_join,
+    passages,
     privacy,
     runs,
     sharding,
@@ -77,6 +78,10 @@ def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.rank_documents(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op12_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.passage_digest(load(spark, folder, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.run_digest(load(spark, folder, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_lexical": op11_lexical,
+    "op12_passages": op12_passages,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -100,4 +106,5 @@ ORACLES: dict[str, str] = {
     "op5_topk": topk.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op11_lexical": lexical.ORACLE,
+    "op12_passages": passages.ORACLE,
 }
