@@ -29,7 +29,6 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +56,9 @@ _MOST = 255
 # No id: after all others.
 _NO_ID = np.iinfo(np.int64).max
 
+# Texts move compressed.
+_CODEC = "zstd"
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,6 +69,19 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _word_codes(words: pa.Array) -> np.ndarray:
+    """A hash of the bytes of each word (none is empty)."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    starts = ends[:-1]
+    symbols = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    place = np.arange(ends[0], ends[-1]) - np.repeat(starts, np.diff(ends))
+    powers = np.cumprod(np.full(int(place.max()) + 1, _MULTIPLIER))
+    return _mixed(np.add.reduceat(symbols * powers[place], starts - ends[0]))
+
+
 def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
     """A hash of each ``size`` codes in a row."""
     n = max(len(codes) - size + 1, 0)
@@ -86,8 +101,7 @@ class Pieces:
     def __init__(self, texts: pa.Array, window: int, anchor: int):
         self.bounds, self.words = split_words(texts)
         numbers, spellings = numbered(self.words)
-        code = np.array([xxhash.xxh3_64_intdigest(w or "") for w in spellings.to_pylist()], np.uint64)
-        self.codes = code[numbers] if len(numbers) else np.empty(0, np.uint64)
+        self.codes = _word_codes(spellings)[numbers]
         anchors = _rolled(self.codes, anchor)
         span = window - anchor + 1
         ends = self.bounds[1:]
@@ -130,7 +144,22 @@ def _by_bucket(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield b, slice(i, j)
 
 
-_BLOCKS = "block long, ids array<long>, texts array<string>, bucket long, keys binary, counts binary"
+def _packed(texts: pa.Array) -> tuple[bytes, bytes]:
+    """Texts as one compressed run of bytes and their ends in it; null as empty."""
+    texts = pc.fill_null(texts, "")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    plain = data[int(ends[0]) : int(ends[-1])].to_pybytes() if data else b""
+    return pa.compress(plain, _CODEC, asbytes=True), (ends[1:] - ends[0]).astype(np.int32).tobytes()
+
+
+def _texts(data: bytes, ends: bytes) -> pa.Array:
+    bounds = np.concatenate([[0], np.frombuffer(ends, np.int32)]).astype(np.int32)
+    plain = pa.decompress(data, int(bounds[-1]), _CODEC)
+    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds.tobytes()), plain])
+
+
+_BLOCKS = "block long, ids array<long>, texts binary, ends binary, bucket long, keys binary, counts binary"
 
 
 def _blocks(docs: DataFrame, buckets: int, window: int, anchor: int, block_bytes: int) -> DataFrame:
@@ -156,16 +185,18 @@ def _blocks(docs: DataFrame, buckets: int, window: int, anchor: int, block_bytes
             found = [(b, keys[s].astype(np.uint32).tobytes(), held[s].tobytes()) for b, s in _by_bucket(keys)]
             n = len(found)
             whole = pa.array([0] + [len(ids)] * (n + 1), pa.int32())
+            data, ends = _packed(texts)
             yield pa.record_batch(
                 [
                     pa.array([block] * (n + 1), pa.int64()),
                     pa.ListArray.from_arrays(whole, ids),
-                    pa.ListArray.from_arrays(whole, texts),
+                    pa.array([data] + [None] * n, pa.binary()),
+                    pa.array([ends] + [None] * n, pa.binary()),
                     pa.array([None] + [f[0] for f in found], pa.int64()),
                     pa.array([None] + [f[1] for f in found], pa.binary()),
                     pa.array([None] + [f[2] for f in found], pa.binary()),
                 ],
-                ["block", "ids", "texts", "bucket", "keys", "counts"],
+                ["block", "ids", "texts", "ends", "bucket", "keys", "counts"],
             )
             block += 1
 
@@ -212,7 +243,7 @@ def _unpacked(replies: list[dict]) -> np.ndarray:
 
 
 _DEALT = (
-    "block long, bucket long, pieces array<string>, owners array<long>,"
+    "block long, bucket long, pieces binary, ends binary, owners binary,"
     " first binary, count binary, slot binary, own binary"
 )
 
@@ -234,7 +265,7 @@ def _deal(buckets: int, window: int, anchor: int) -> Callable:
 def _dealt(row: pa.RecordBatch, buckets: int, window: int, anchor: int) -> pa.RecordBatch:
     block = row.column("block")[0].as_py()
     ids = pc.fill_null(row.column("ids")[0].values, _NO_ID).to_numpy().astype(np.int64)
-    pieces = Pieces(row.column("texts")[0].values, window, anchor)
+    pieces = Pieces(_texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py()), window, anchor)
     keys = _keys(pieces.anchor, buckets)
     distinct, at = np.unique(keys, return_inverse=True)
     replies = row.column("replies")[0].as_py()
@@ -265,26 +296,30 @@ def _dealt(row: pa.RecordBatch, buckets: int, window: int, anchor: int) -> pa.Re
     texts, owners, home = texts.take(pa.array(order)), owner[order], home[order]
     own = ids[of] == owner[number]
     there, starts = np.unique(home, return_index=True)
-    ends = [*starts.tolist(), len(home)] if len(there) else [0]
-    n = len(there)
-    lists = pa.array([0, *ends], pa.int32()) if n else pa.array([0, 0], pa.int32())
-    nothing = pa.nulls(n, pa.binary())
+    bounds = [*starts.tolist(), len(home)]
+    dealt = [
+        (int(b), *_packed(texts.slice(i, j - i)), owners[i:j].tobytes())
+        for b, i, j in zip(there.tolist(), bounds[:-1], bounds[1:], strict=True)
+    ]
+    n = len(dealt)
+
+    def theirs(k, kind):
+        return pa.array([None] + [d[k] for d in dealt], kind)
 
     def mine(values, kind):
-        return pa.concat_arrays([pa.array([values.astype(kind).tobytes()], pa.binary()), nothing])
+        return pa.array([values.astype(kind).tobytes()] + [None] * n, pa.binary())
 
     return pa.record_batch(
         [
             pa.array([block] * (n + 1), pa.int64()),
-            pa.array([None, *there.astype(np.int64).tolist()], pa.int64()),
-            pa.ListArray.from_arrays(lists, texts.cast(pa.string())),
-            pa.ListArray.from_arrays(lists, pa.array(owners)),
+            theirs(0, pa.int64()),
+            *[theirs(k, pa.binary()) for k in (1, 2, 3)],
             mine(first, np.uint32),
             mine(count, np.uint8),
             mine(slot[number] if len(number) else number, np.uint32),
             mine(np.packbits(own), np.uint8),
         ],
-        ["block", "bucket", "pieces", "owners", "first", "count", "slot", "own"],
+        ["block", "bucket", "pieces", "ends", "owners", "first", "count", "slot", "own"],
     )
 
 
@@ -393,10 +428,10 @@ def _parse(window: int) -> Callable[[pa.Table], pa.Table]:
     id than the smallest one that has the piece in that block."""
 
     def parse(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lists = table.column("pieces").chunk(0) if table.num_rows else pa.array([], pa.list_(pa.string()))
-        number, texts = numbered(pc.list_flatten(lists))
-        owners = pc.list_flatten(table.column("owners").combine_chunks()).to_numpy().astype(np.int64)
+        blobs = [(p.as_py(), e.as_py()) for p, e in zip(table.column("pieces"), table.column("ends"), strict=True)]
+        held = [_texts(*blob) for blob in blobs]
+        owners = np.frombuffer(b"".join(o.as_py() for o in table.column("owners")), np.int64)
+        number, texts = numbered(pa.concat_arrays(held))
         first = np.full(len(texts), _NO_ID)
         np.minimum.at(first, number, owners)
         # in order of document, as far as the order of parsing goes
@@ -406,7 +441,7 @@ def _parse(window: int) -> Callable[[pa.Table], pa.Table]:
         mask[order] = reference.covered(window)
         # a smaller document has the whole piece: all its windows repeat
         found = np.where(owners > first[number], -1, mask[number]).astype(np.uint16)
-        ends = np.cumsum([0] + pc.list_value_length(lists).to_pylist()).tolist()
+        ends = np.cumsum([0] + [len(t) for t in held]).tolist()
         masks = [found[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]
         return pa.table(
             {
@@ -431,7 +466,8 @@ def _remove(window: int) -> Callable:
 
 
 def _removed(row: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    ids, texts = row.column("ids")[0].values, row.column("texts")[0].values
+    ids = row.column("ids")[0].values
+    texts = _texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py())
     bounds, words = split_words(texts)
     first, count, slot, own = (
         np.frombuffer(row.column(name)[0].as_py() or b"", kind)
@@ -503,7 +539,7 @@ def remove_repeated(
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(size // (_BYTES_PER_ANCHOR * bucket_anchors)) + 1
     cut = materialize(_blocks(rows, buckets, window, anchor, block_bytes), "passage-blocks")
-    blocks = cut.filter("bucket IS NULL").select("block", "ids", "texts")
+    blocks = cut.filter("bucket IS NULL").select("block", "ids", "texts", "ends")
     anchors = cut.filter("bucket IS NOT NULL").select("block", "bucket", "keys", "counts")
     kinds = anchors.groupBy("bucket").applyInArrow(
         _count_anchors(hot), "block long, bucket long, kinds binary, n int"
@@ -512,7 +548,7 @@ def remove_repeated(
     dealt = materialize(
         asked.mapInArrow(_deal(buckets, window, anchor), _DEALT), "passage-pieces"
     )
-    pieces = dealt.filter("bucket IS NOT NULL").select("block", "bucket", "pieces", "owners")
+    pieces = dealt.filter("bucket IS NOT NULL").select("block", "bucket", "pieces", "ends", "owners")
     masks = pieces.groupBy("bucket").applyInArrow(_parse(window), "block long, bucket long, masks binary")
     places = dealt.filter("bucket IS NULL").select("block", "first", "count", "slot", "own")
     answered = _with_replies(places, masks, "masks", "bucket", "masks")
@@ -524,9 +560,14 @@ def remove_repeated(
 
 
 def _with_replies(blocks: DataFrame, replies: DataFrame, name: str, *columns: str) -> DataFrame:
-    """``blocks`` with what the buckets said about each, as structs of ``columns``."""
-    together = replies.groupBy(F.col("block").alias("_of")).agg(
-        F.collect_list(F.struct(*columns)).alias(name)
+    """``blocks`` with what the buckets said about each, as structs of ``columns``.
+
+    Replies are written, so that Spark knows their size and sends small ones to the blocks, which
+    then stay where they are.
+    """
+    together = materialize(
+        replies.groupBy(F.col("block").alias("_of")).agg(F.collect_list(F.struct(*columns)).alias(name)),
+        "passage-replies",
     )
     return blocks.join(together, F.col("block") == F.col("_of"), "left").drop("_of")
 
