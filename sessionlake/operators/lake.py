@@ -6,13 +6,16 @@ each commit, the paths visible at it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionlake import schemas
 from sessionlake.session import materialize
 
+# Fixed value: how Spark names the folder of a partition without a value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def new_commits(commit_log: DataFrame, processed: DataFrame, branch: str) -> DataFrame:
     """Commits on ``branch`` that are not in ``processed`` (column commit_id)."""
@@ -67,6 +70,19 @@ def snapshot_path(root: str, commit: Column, path: Column) -> Column:
     return F.concat_ws("/", F.lit(root.rstrip("/")), commit, path)
 
 
+def check_files(
+    spark: SparkSession,
+    root: str,
+    files: DataFrame,
+    schema: T.StructType,
+    commit_column: str | None = None,
+) -> None:
+    """Raise FileNotFoundError unless every listed file is there, with as many rows as the list
+    says. Only the folders of listed files are opened, and of their files just the row counts.
+    Arguments are those of :func:`read_at`."""
+    _found(spark, root, files, schema, commit_column)
+
+
 def read_at(
     spark: SparkSession,
     root: str,
@@ -76,16 +92,35 @@ def read_at(
 ) -> DataFrame:
     """All rows of all the data files listed in ``files`` (column path, relative to ``root``).
 
-    One way for any number of files: the tables that the files belong to are read, cut down by
-    a semi join on the listed partitions (which Spark turns into partition pruning) and by one
-    on the path each row came from. The list itself stays distributed; the driver sees the
-    tables' folders and partition columns only. A listed file that is not there, or has no row
-    while the list's ``n_rows`` says so, fails the call: nothing is left out silently. An empty
-    list gives an empty frame of ``schema``.
+    One way for any number of files: the tables that the files belong to are cut down to the
+    listed partitions by a semi join on the partition columns, which Spark turns into partition
+    pruning as long as the list is small enough to be sent to all tasks, and then by one on the
+    file that each row came from. The list itself stays distributed; the driver sees the tables'
+    folders and partition columns only. A listed file that is not there, or that doesn't have
+    the list's ``n_rows`` (where there is such a column), fails the call: nothing is left out
+    silently. An empty list gives an empty frame of ``schema``.
 
     In a store that shows each commit as a folder of its own, ``commit_column`` names the column
     of ``files`` with the commit to read each file at; paths are then relative to that folder.
     """
+    columns = [f.name for f in _struct(schema).fields]
+    parts = [
+        rows.join(found.select("_file"), "_file", "left_semi").select(*columns)
+        for rows, found in _found(spark, root, files, schema, commit_column)
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _found(
+    spark: SparkSession, root: str, files: DataFrame, schema, commit_column: str | None
+) -> list[tuple[DataFrame, DataFrame]]:
+    """For each table with listed files: the rows of the listed partitions, with their file's
+    address, and the addresses of the listed files, which are all there."""
     root = root.rstrip("/")
     path = F.col("path") if commit_column is None else F.concat_ws("/", commit_column, "path")
     expected = F.col("n_rows") if "n_rows" in files.columns else F.lit(None).cast("bigint")
@@ -94,53 +129,60 @@ def read_at(
     )
     folder = F.regexp_extract("path", "^((?:[^/=]+/)*)", 1)
     columns = F.regexp_extract_all("path", F.lit("([^/=]+)="), 1)
-    tables = wanted.select(folder.alias("folder"), columns.alias("columns")).distinct().collect()
-    if not tables:
-        return spark.createDataFrame([], schema)
-    parts = []
-    for table in sorted(tables, key=lambda t: (t["folder"], t["columns"])):
-        listed = wanted.where((folder == table["folder"]) & (columns == F.array(*map(F.lit, table["columns"]))))
-        address = f"{root}/{table['folder']}".rstrip("/")
-        rows = _rows_with_file(spark, address, schema, root)
-        present = rows.groupBy("path").agg(F.count(F.lit(1)).alias("_rows"))
-        missing = (
-            listed.join(present, "path", "left")
-            .where(F.coalesce("_rows", F.lit(0)) < F.coalesce("_expected", F.lit(1)))
-            .take(1)
+    # partitions of no value are a folder with a fixed name, which equality can't find
+    values = F.regexp_extract_all("path", F.lit("=([^/]*)/"), 1)
+    nulls = F.transform(values, lambda v: v == NULL_PARTITION)
+    place = {"folder": folder, "columns": columns, "nulls": nulls}
+    tables = wanted.select(*[c.alias(n) for n, c in place.items()]).distinct().collect()
+    out = []
+    for table in sorted(tables):
+        here = (folder == table["folder"]) & (columns == F.array(*map(F.lit, table["columns"])))
+        listed = wanted.where(here & (nulls == F.array(*map(F.lit, table["nulls"]))))
+        rows = _listed_partitions(spark, root, listed, schema, table)
+        counted = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+        found = materialize(
+            listed.join(counted.withColumn("path", relative_path(root, "_file")), "path", "left"),
+            "file-rows",
         )
-        if missing:
-            raise FileNotFoundError(
-                f"{root}/{missing[0]['path']}: {missing[0]['_rows'] or 0} rows found, "
-                f"{missing[0]['_expected'] or 'some'} expected"
-            )
-        kept = rows
-        if table["columns"]:
-            values = [
-                F.nullif(
-                    F.url_decode(F.replace(F.regexp_extract("path", f"(?:^|/){c}=([^/]*)", 1), F.lit("+"), F.lit("%2B"))),
-                    F.lit("__HIVE_DEFAULT_PARTITION__"),
-                ).cast(kept.schema[c].dataType).alias(f"_{c}")
-                for c in table["columns"]
-            ]
-            folders = listed.select(*values).distinct()
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in table["columns"]]
-            kept = kept.join(folders, same, "left_semi")
-        parts.append(kept.join(listed, "path", "left_semi").select(*[f.name for f in _struct(schema).fields]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        _raise_if_short(root, found)
+        out.append((rows, found))
     return out
 
 
-def _struct(schema) -> T.StructType:
-    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+def _listed_partitions(spark: SparkSession, root: str, listed: DataFrame, schema, table: Row) -> DataFrame:
+    address = f"{root}/{table['folder']}".rstrip("/")
+    rows = spark.read.schema(schema).parquet(address)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"))
+    empty = [c for c, null in zip(table["columns"], table["nulls"], strict=True) if null]
+    named = [c for c in table["columns"] if c not in empty]
+    for column in empty:
+        rows = rows.where(F.col(column).isNull())
+    if not named:
+        return rows
+    values = [
+        F.url_decode(F.replace(F.regexp_extract("path", f"(?:^|/){c}=([^/]*)", 1), F.lit("+"), F.lit("%2B")))
+        .cast(rows.schema[c].dataType)
+        .alias(f"_{c}")
+        for c in named
+    ]
+    partitions = listed.select(*values).distinct()
+    # plain equality: from a null-safe one Spark makes no partition pruning
+    return rows.join(partitions, [F.col(c) == F.col(f"_{c}") for c in named], "left_semi")
+
+
+def _raise_if_short(root: str, found: DataFrame) -> None:
+    there, expected = F.coalesce("_rows", F.lit(0)), F.col("_expected")
+    wrong = F.when(expected.isNull(), there == 0).otherwise(there != expected)
+    missing = found.where(wrong).take(1)
+    if missing:
+        raise FileNotFoundError(
+            f"{root}/{missing[0]['path']}: {missing[0]['_rows'] or 0} rows found, "
+            f"{missing[0]['_expected'] or 'some'} expected"
+        )
 
 
-def _rows_with_file(spark: SparkSession, address: str, schema, root: str) -> DataFrame:
-    """A table's rows with the path, below ``root``, of the file that each is in."""
-    rows = spark.read.schema(schema).parquet(address)
-    with_file = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    return with_file.withColumn("path", relative_path(root, "_file"))
+def _struct(schema) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
 def relative_path(root: str, address: str) -> Column:
@@ -178,16 +220,10 @@ def branch_commit_id(batch_id: Column, bucket: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def unpublished(branch_files: DataFrame, main_files: DataFrame) -> DataFrame:
-    """Log entries of staged files whose batch and bucket no publish has taken in yet."""
-    taken = main_files.select("batch_id", schemas.BUCKET_COLUMN).distinct()
-    return branch_files.join(taken, ["batch_id", schemas.BUCKET_COLUMN], "left_anti")
-
-
 def merges_for(
     commits: DataFrame, base: str | None, seq: int, branch: str = schemas.MAIN_BRANCH
 ) -> DataFrame:
-    """One two-parent merge commit per bucket of ``commits`` (unpublished branch commits).
+    """One two-parent merge commit per bucket of ``commits`` (branch commits that are not in main).
 
     All buckets of one publish share its ``seq`` and base, so a publish is visible as a
     whole or not at all. Ids depend on the parents only: a retry makes the same commits.
@@ -206,9 +242,52 @@ def merges_for(
         F.concat(F.lit("Merge bucket "), F.col(bucket).cast("string")).alias("message"),
         F.col(bucket),
         F.col("tip_batch_id"),
+        F.lit(None).cast("bigint").alias("to_seq"),
     )
 
 
+def rollback_commits(
+    changed: DataFrame,
+    head: str,
+    target: str,
+    seq: int,
+    to_seq: int,
+    branch: str = schemas.MAIN_BRANCH,
+) -> DataFrame:
+    """One two-parent commit per bucket in ``changed``: of the head of main and the commit that
+    it is taken back to, which is of ``to_seq``."""
+    bucket = schemas.BUCKET_COLUMN
+    name = F.col(bucket).cast("string")
+    text = F.concat_ws("|", F.lit("rollback"), F.lit(head), F.lit(target), name)
+    return changed.select(
+        F.sha2(text, 256).alias("commit_id"),
+        F.lit(seq).cast("bigint").alias("seq"),
+        F.lit(branch).alias("branch"),
+        F.array(F.lit(head), F.lit(target)).alias("parents"),
+        F.concat(F.lit("Take back bucket "), name).alias("message"),
+        bucket,
+        F.lit(None).cast("bigint").alias("tip_batch_id"),
+        F.lit(to_seq).cast("bigint").alias("to_seq"),
+    )
+
+
+def visible_seqs(
+    rollbacks: list[tuple[int, int]], at_seq: int | None = None
+) -> list[tuple[int, int | None]]:
+    """Which publishes are in main after ``at_seq`` (None: the last one), as ranges of their
+    numbers, both ends included; None is an open end.
+
+    ``rollbacks`` has (seq, to_seq): after ``seq`` main is as it was after ``to_seq``, with all its
+    own rollbacks, and what is published later adds to that.
+    """
+    spans, upper = [], at_seq
+    for seq, to_seq in sorted(rollbacks, reverse=True):
+        if upper is None or seq <= upper:
+            spans.append((seq + 1, upper))
+            upper = to_seq
+    return [*spans, (0, upper)]
+
+
 def published_files(files: DataFrame, merges: DataFrame) -> DataFrame:
     """The staged files that the merges take in, as rows of the log of main: publishing
     moves no event."""

@@ -11,6 +11,7 @@ from sessionlake import schemas
 from sessionlake.functions import parse_instant
 
 _COUNTERS = ("sessions_count", "start_events", "completion_events")
+_MEASURES = ("start_time", "stop_time", "energy_delivered", "duration_minutes")
 
 
 def _payload(key: str, default: str | None) -> Column:
@@ -43,29 +44,66 @@ def assemble_sessions(
     hot session collapses to a row per input task. ``string`` compares the raw text.
     ``carry`` names further columns to keep (their maximum).
     """
-    if measure_mode not in ("numeric", "string"):
-        raise ValueError(f"unknown measure_mode {measure_mode!r}")
-    numeric = measure_mode == "numeric"
-
-    def highest(name: str, typed: Column) -> Column:
-        return F.max(typed if numeric else F.col(name)).alias(name)
-
+    counts, maxima = _counts(), _maxima(measure_mode)
     return (
         project_session_events(events)
         .groupBy(*schemas.SESSION_KEY)
         .agg(
-            F.count(F.lit(1)).alias("sessions_count"),
-            highest("start_time", parse_instant(F.col("start_time"))),
-            highest("stop_time", parse_instant(F.col("stop_time"))),
-            highest("energy_delivered", F.col("energy_delivered").try_cast("double")),
-            highest("duration_minutes", F.col("duration_minutes").try_cast("double")),
-            F.count_if(F.col("event_type") == schemas.START_EVENT).alias("start_events"),
-            F.count_if(F.col("event_type") == schemas.STOP_EVENT).alias("completion_events"),
+            counts.pop("sessions_count").alias("sessions_count"),
+            *[c.alias(n) for n, c in {**maxima, **counts}.items()],
             *[F.max(name).alias(name) for name in carry],
         )
     )
 
 
+def _counts() -> dict[str, Column]:
+    return {
+        "sessions_count": F.count(F.lit(1)),
+        "start_events": F.count_if(F.col("event_type") == schemas.START_EVENT),
+        "completion_events": F.count_if(F.col("event_type") == schemas.STOP_EVENT),
+    }
+
+
+def _maxima(measure_mode: str) -> dict[str, Column]:
+    """Highest times and measures of projected events."""
+    if measure_mode not in ("numeric", "string"):
+        raise ValueError(f"unknown measure_mode {measure_mode!r}")
+    if measure_mode == "string":
+        return {n: F.max(n) for n in _MEASURES}
+    return {
+        "start_time": F.max(parse_instant(F.col("start_time"))),
+        "stop_time": F.max(parse_instant(F.col("stop_time"))),
+        "energy_delivered": F.max(F.col("energy_delivered").try_cast("double")),
+        "duration_minutes": F.max(F.col("duration_minutes").try_cast("double")),
+    }
+
+
+def partial_sessions(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What some of a session's events add to it: one row per session and ``by``, with counts and
+    the maxima of times and measures, typed and (``..._text``) as they came."""
+    columns = {**_counts(), **_maxima("numeric")}
+    columns |= {f"{n}_text": c for n, c in _maxima("string").items()}
+    return (
+        project_session_events(events)
+        .groupBy(*schemas.SESSION_KEY, *by)
+        .agg(*[c.alias(n) for n, c in columns.items()])
+    )
+
+
+def merge_partials(
+    partials: DataFrame, measure_mode: str = "numeric", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Sessions from their partial aggregates: as :func:`assemble_sessions` of all the events."""
+    suffix = {"numeric": "", "string": "_text"}[measure_mode]
+    total, *kinds = [F.sum(n).alias(n) for n in _COUNTERS]
+    return partials.groupBy(*schemas.SESSION_KEY).agg(
+        total,
+        *[F.max(f"{n}{suffix}").alias(n) for n in _MEASURES],
+        *kinds,
+        *[F.max(name).alias(name) for name in carry],
+    )
+
+
 def is_valid() -> Column:
     """Exactly one start and at least one stop."""
     return (F.col("start_events") == 1) & (F.col("completion_events") >= 1)

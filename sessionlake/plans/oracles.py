@@ -82,6 +82,15 @@ def _facts(sessions: str) -> str:
   FROM ({sessions}) WHERE {_VALID}"""
 
 
+_BATCH = "CASE WHEN ts >= TIMESTAMP '2024-01-16 12:00:00' THEN 1 ELSE 0 END"
+
+# The sessions and facts of the first of two batches.
+_FIRST_SESSIONS = _sessions(
+    f"(SELECT * FROM m1 WHERE {_BATCH} = 0)",
+    "TRY_CAST(energy_delivered AS DOUBLE)",
+    "TRY_CAST(duration_minutes AS DOUBLE)",
+)
+_FIRST_FACT = f"WITH {_M1}, fact AS ({_facts(_FIRST_SESSIONS)})"
 _M1_FACT = f"WITH {_M1}, fact AS ({_facts(_M1_SESSIONS)})"
 _M2_FACT = f"WITH {_M2}, fact AS ({_facts(_M2_SESSIONS)})"
 
@@ -227,7 +236,6 @@ _EVENT_FIELDS = (
     "event_type, session_id, session_number, station_id, vehicle_id, "
     "event_time, energy_delivered, duration_minutes"
 )
-_BATCH = "CASE WHEN ts >= TIMESTAMP '2024-01-16 12:00:00' THEN 1 ELSE 0 END"
 _BRANCH_COMMITS = f"""
 commits AS (
   SELECT batch_id, session_number_range,
@@ -305,6 +313,15 @@ FROM part"""
 ORACLES: dict[str, str] = {
     "encode_decode_events": f"WITH {_M1} SELECT {_EVENT_FIELDS} FROM m1n",
     "session_numbers": f"WITH {_M1} SELECT session_id, first_ts, session_number FROM numbers",
+    "session_numbers_in_two": f"""WITH {_M1},
+        seen AS (
+          SELECT session_id, min(CASE WHEN event_id % 3 = 0 THEN ts END) AS first_0,
+            min(CASE WHEN event_id % 3 <> 0 THEN ts END) AS first_1
+          FROM m1 GROUP BY session_id)
+        SELECT session_id, CAST(first_0 IS NULL AS BIGINT) AS batch_id,
+          row_number() OVER (ORDER BY first_0 IS NULL, coalesce(first_0, first_1), session_id)
+            AS session_number
+        FROM seen""",
     "range_bucket": """SELECT o_orderkey,
         CAST(greatest(ceil((o_orderkey - 5) / 1000.0), 1) * 1000 AS BIGINT) AS bucket
         FROM orders""",
@@ -452,6 +469,19 @@ ORACLES: dict[str, str] = {
           CASE WHEN load = 0 THEN (SELECT count(*) FROM ({_HOURS})) ELSE 0 END AS new_hours
         FROM counts, range(2) loads(load)""",
     "load_in_two": f"{_M1_FACT} SELECT * FROM fact",
+    "load_from_partials": f"{_M1_FACT} SELECT * FROM fact",
+    "rollback_facts": f"{_FIRST_FACT} SELECT * FROM fact",
+    "rollback_publish": f"""{_FIRST_FACT},
+        held AS (
+          SELECT session_number_range, count(*) AS n_held, min(session_id) AS first_held
+          FROM ({_FIRST_SESSIONS})
+          JOIN (SELECT DISTINCT session_id, session_number_range FROM m1n) USING (session_id)
+          WHERE NOT ({_VALID}) GROUP BY session_number_range)
+        SELECT e.*, n_held, first_held
+        FROM (SELECT session_number_range, count(*) AS n_events,
+                count(DISTINCT session_id) AS n_sessions
+              FROM m1n WHERE {_BATCH} = 0 GROUP BY session_number_range) e
+        LEFT JOIN held USING (session_number_range)""",
     "quarantine_in_two": f"""WITH {_M1}
         SELECT {_SESSION_COLUMNS}, session_number_range,
           concat_ws(',', CASE WHEN start_events = 0 THEN 'no_start' END,

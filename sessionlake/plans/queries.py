@@ -11,7 +11,16 @@ from pyspark.sql import types as T
 
 from sessionlake import fixtures, schemas
 from sessionlake.functions import leading_int, range_bucket, surrogate_id, time_id, time_id_to_ts
-from sessionlake.operators import dimensions, facts, lake, quality, sessions, star, timedim
+from sessionlake.operators import (
+    dimensions,
+    facts,
+    lake,
+    numbering,
+    quality,
+    sessions,
+    star,
+    timedim,
+)
 from sessionlake.plans import publishing, warehouse
 from sessionlake.session import materialize, new_folder
 from sessionlake.sources import delimited, documents, events, tables
@@ -73,6 +82,18 @@ def session_numbers(spark, sf_dir):
     )
 
 
+@_query
+def session_numbers_in_two(spark, sf_dir):
+    """Sessions numbered from two batches that share sessions, the first batch given twice: the
+    second goes on where the first ended."""
+    folder = new_folder(spark, "numbers")
+    source = fixtures.m1_events(spark, sf_dir)
+    later = F.col("event_id") % 3 == 0
+    for batch_id, part in ((0, source.where(later)), (1, source.where(~later)), (0, source)):
+        numbering.number_new(part.select("session_id", "ts"), folder, batch_id, ["session_id"], ["ts"])
+    return numbering.session_numbers(spark, folder, source.schema, ["session_id"])
+
+
 @_query
 def range_bucket_query(spark, sf_dir):
     number = F.col("o_orderkey") - 5
@@ -516,6 +537,54 @@ def quarantine_in_two(spark, sf_dir):
     return warehouse.open_quarantine(spark, _load_in_two(spark, sf_dir))
 
 
+@_query
+def load_from_partials(spark, sf_dir):
+    """The same two publishes, loaded from what each adds to its sessions."""
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+
+    def publish_and_load(root: str) -> None:
+        publishing.publish_staged(spark, root)
+        warehouse.load_from_partials(spark, root, target)
+
+    _stage_in_two(spark, sf_dir, publish_and_load)
+    return _plain(warehouse.facts(spark, target))
+
+
+def _rolled_back(spark: SparkSession, sf_dir: str) -> tuple[str, tables.Warehouse]:
+    """A lake with two publishes, both loaded, taken back to the first one and loaded again."""
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+
+    def publish_and_load(root: str) -> None:
+        publishing.publish_staged(spark, root)
+        warehouse.load_from_partials(spark, root, target)
+
+    root = _stage_in_two(spark, sf_dir, publish_and_load)
+    first = publishing.main_commits(spark, root).where("seq = 0").agg(F.min("commit_id")).first()[0]
+    publishing.rollback_published(spark, root, first)
+    warehouse.load_published(spark, root, target)
+    return root, target
+
+
+@_query
+def rollback_publish(spark, sf_dir):
+    """Events and sessions held back, by bucket, after the second of two publishes was taken back."""
+    root, target = _rolled_back(spark, sf_dir)
+    bucket = schemas.BUCKET_COLUMN
+    found = publishing.main_events(spark, root).groupBy(bucket).agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("session_id").alias("n_sessions")
+    )
+    held = warehouse.open_quarantine(spark, target).groupBy(bucket).agg(
+        F.count(F.lit(1)).alias("n_held"), F.min("session_id").alias("first_held")
+    )
+    return found.join(held, bucket, "left")
+
+
+@_query
+def rollback_facts(spark, sf_dir):
+    """The facts that are left after that."""
+    return _plain(warehouse.facts(spark, _rolled_back(spark, sf_dir)[1]))
+
+
 @_query
 def dimension_load(spark, sf_dir):
     """Every source row twice, loaded twice: one dimension row each."""

@@ -6,6 +6,8 @@ bucket and never changed::
     fact_charging_sessions/session_number_range=N/load_id=L/*.parquet
     session_quarantine/session_number_range=N/load_id=L/*.parquet
     session-versions/seq=S/*.parquet        which load of a bucket is the valid one
+    session-partials/session_number_range=N/seq=S/*.parquet   what publish S adds to sessions
+    partial-commits/*.parquet               the commits whose partials are written
 
 The versions are written last, so facts and quarantine of a load become visible together. A
 warehouse behind JDBC can only be appended to; there, sessions that are loaded stay as they are.
@@ -33,24 +35,37 @@ from sessionlake.operators.quality import assert_unique
 from sessionlake.operators.sessions import (
     assemble_sessions,
     is_valid,
+    merge_partials,
+    partial_sessions,
     quarantine_sessions,
     session_quality,
     valid_sessions,
 )
 from sessionlake.operators.star import star_view
 from sessionlake.operators.timedim import merge_time_dim, session_time_ids
-from sessionlake.plans.publishing import main_commits, main_events
+from sessionlake.plans.publishing import (
+    events_of,
+    logged_files,
+    main_commits,
+    main_events,
+    visible,
+)
 from sessionlake.session import intermediates_removed, materialize
 from sessionlake.sources.tables import Warehouse, append_table, open_table, ordered
 
 QUARANTINE = "session_quarantine"
 VERSIONS = "session-versions"
 PROCESSED = "processed_commits"
+PARTIALS = "session-partials"
+PARTIAL_COMMITS = "partial-commits"
 FACT = "fact_charging_sessions"
 
 # Bucket of sessions whose events carry none.
 NO_BUCKET = -1
 
+# What ids of loads start with.
+LOAD_PREFIX = "l"
+
 _PLACE = [T.StructField(schemas.BUCKET_COLUMN, T.LongType()), T.StructField("load_id", T.StringType())]
 
 
@@ -86,9 +101,11 @@ def load_dimension(rows: DataFrame, warehouse: Warehouse, name: str) -> int:
 def _versions(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The valid load of each bucket."""
     versions = open_table(spark, warehouse.path(VERSIONS), schemas.SESSION_VERSION)
-    return versions.groupBy(schemas.BUCKET_COLUMN).agg(
+    valid = versions.groupBy(schemas.BUCKET_COLUMN).agg(
         F.max_by("load_id", "seq").alias("load_id")
     )
+    # always true; Spark prunes partitions by a join only if its other side has a condition
+    return valid.where(F.col("load_id").startswith(LOAD_PREFIX))
 
 
 def _valid_rows(
@@ -125,35 +142,38 @@ def load_sessions(
     events: DataFrame,
     warehouse: Warehouse,
     holidays: DataFrame | None = None,
-    whole_buckets: bool = False,
+    buckets: DataFrame | None = None,
 ) -> SessionLoad:
     """Assemble sessions from events and load the complete ones; hold back the others.
 
     ``events`` has all events of the sessions at hand: their facts and quarantine entries are
     replaced, so a late stop updates its session and a second start takes its fact back. With
-    ``whole_buckets`` it has all events of its buckets, and those are replaced without a look
-    at what they had; otherwise their other sessions are carried over. Running a load again
-    changes nothing.
+    ``buckets`` it has all events of those, and what they had is replaced, in a bucket without
+    events too; otherwise the other sessions of a bucket are carried over. Running a load
+    again changes nothing.
 
     The aggregate over the events runs once: its result is written, and counts, time ids, facts
     and quarantine are all taken from that much smaller table. The time dimension goes first,
     so a fact never refers to an hour that is not there.
     """
     with intermediates_removed(events.sparkSession):
-        return _load(events, warehouse, holidays, whole_buckets)
+        return load_assembled(_assembled(events), warehouse, holidays, buckets)
 
 
-def _load(
-    events: DataFrame, warehouse: Warehouse, holidays: DataFrame | None, whole_buckets: bool
-) -> SessionLoad:
-    spark, bucket = events.sparkSession, schemas.BUCKET_COLUMN
+def _assembled(events: DataFrame) -> DataFrame:
+    bucket = schemas.BUCKET_COLUMN
     if bucket not in events.columns:
         events = events.withColumn(bucket, F.lit(None).cast("bigint"))
+    return assemble_sessions(events, carry=(bucket,))
+
+
+def load_assembled(
+    sessions: DataFrame, warehouse: Warehouse, holidays: DataFrame | None, buckets: DataFrame | None
+) -> SessionLoad:
+    """Load assembled sessions with their bucket, as :func:`load_sessions` does."""
+    spark, bucket = sessions.sparkSession, schemas.BUCKET_COLUMN
     sessions = materialize(
-        assemble_sessions(events, carry=(bucket,)).withColumn(
-            bucket, F.coalesce(bucket, F.lit(NO_BUCKET).cast("bigint"))
-        ),
-        "sessions",
+        sessions.withColumn(bucket, F.coalesce(bucket, F.lit(NO_BUCKET).cast("bigint"))), "sessions"
     )
     summary = session_quality(
         sessions, F.count_if(is_valid() & ~_has_times()).alias("bad_time")
@@ -164,7 +184,7 @@ def _load(
     hours = merge_time_dim(warehouse.read(spark, "dim_time"), session_time_ids(found), holidays)
     new_hours = warehouse.append(ordered(hours, "time_id"), "dim_time")
     held = quarantine_sessions(sessions, F.when(~_has_times(), F.lit("bad_time")))
-    added, removed = _replace(spark, sessions, found, held, warehouse, whole_buckets)
+    added, removed = _replace(spark, sessions, found, held, warehouse, buckets)
     return SessionLoad(
         total_sessions=summary["total_sessions"],
         valid_sessions=summary["valid_sessions"],
@@ -187,7 +207,7 @@ def _replace(
     found: DataFrame,
     held: DataFrame,
     warehouse: Warehouse,
-    whole_buckets: bool,
+    buckets: DataFrame | None,
 ) -> tuple[int, int]:
     """Write the next version of the buckets at hand; returns numbers of new and removed facts.
 
@@ -195,10 +215,11 @@ def _replace(
     sessions are appended, and just the quarantine has versions.
     """
     bucket = schemas.BUCKET_COLUMN
-    touched = materialize(sessions.select(bucket).distinct(), "buckets")
+    touched = sessions if buckets is None else buckets
+    touched = materialize(touched.select(bucket).distinct(), "buckets")
     versions = open_table(spark, warehouse.path(VERSIONS), schemas.SESSION_VERSION)
     last = versions.agg(F.max("seq")).first()[0]
-    seq, load_id = (0 if last is None else last + 1), f"l{uuid.uuid4().hex}"
+    seq, load_id = (0 if last is None else last + 1), f"{LOAD_PREFIX}{uuid.uuid4().hex}"
     if warehouse.jdbc is not None:
         added, removed = _append_over_jdbc(spark, found.drop(bucket), warehouse), 0
     else:
@@ -206,12 +227,15 @@ def _replace(
             _valid_rows(spark, warehouse, FACT, schemas.FACT_SESSION, touched), "facts-before"
         )
         added = new_facts(found, before).count()
-        again = before.alias("row").join(sessions.alias("other"), same_session("row", "other"), "left_semi")
+        if buckets is None:
+            carried = _absent(before, sessions)
+            again = before.alias("row").join(sessions.alias("other"), same_session("row", "other"), "left_semi")
+        else:
+            carried, again = before.limit(0), before
         removed = _absent(again, found).count()
-        carried = before.limit(0) if whole_buckets else _absent(before, sessions)
         _write_version(found.unionByName(carried), warehouse.path(FACT), load_id, "session_id")
     held = held.select(*[n for n in schemas.QUARANTINED_SESSION.fieldNames()])
-    if not whole_buckets:
+    if buckets is None:
         earlier = _valid_rows(spark, warehouse, QUARANTINE, schemas.QUARANTINED_SESSION, touched)
         held = held.unionByName(_absent(materialize(earlier, "held-before"), sessions))
     _write_version(held, warehouse.path(QUARANTINE), load_id, "session_id")
@@ -257,25 +281,86 @@ def load_published(
     New commits name the buckets that changed. All events of a session are in one bucket, so
     assembling those buckets from main, all commits of them, gives what one load of everything
     would: sessions whose stop came later are completed, late ones updated, spoilt ones taken
-    back. Untouched buckets are not read. The commits are marked as processed last; if the job
+    back, and those that a rollback took out of main go. Untouched buckets are not read. The commits are marked as processed last; if the job
     dies before, the next call repeats it to the same effect.
     """
-    bucket = schemas.BUCKET_COLUMN
-    folder = warehouse.path(PROCESSED)
     with intermediates_removed(spark):
-        processed = open_table(spark, folder, schemas.PROCESSED_COMMIT)
-        commits = merge_commits(
-            new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
-        )
-        fresh = materialize(commits.select("commit_id", bucket), "new-commits")
+        fresh = _new_commits(spark, lake, warehouse)
         if fresh.isEmpty():
             return None
         events = main_events(spark, lake, buckets=fresh)
-        result = load_sessions(events, warehouse, holidays, whole_buckets=True)
-        append_table(fresh.select("commit_id"), folder)
+        result = load_sessions(events, warehouse, holidays, buckets=fresh)
+        append_table(fresh.select("commit_id"), warehouse.path(PROCESSED))
+        return result
+
+
+def _new_commits(spark: SparkSession, lake: str, warehouse: Warehouse) -> DataFrame:
+    """Commits of main that weren't loaded yet, with their bucket."""
+    processed = open_table(spark, warehouse.path(PROCESSED), schemas.PROCESSED_COMMIT)
+    commits = merge_commits(
+        new_commits(main_commits(spark, lake), processed, schemas.MAIN_BRANCH), strict=True
+    )
+    return materialize(commits.select("commit_id", schemas.BUCKET_COLUMN), "new-commits")
+
+
+def load_from_partials(
+    spark: SparkSession,
+    lake: str,
+    warehouse: Warehouse,
+    holidays: DataFrame | None = None,
+    measure_mode: str = "numeric",
+) -> SessionLoad | None:
+    """Load what was published since the last call, as :func:`load_published` does, without
+    reading events a second time. None when there is nothing new.
+
+    What each publish adds to its sessions is aggregated once, from its own events, and kept by
+    bucket and publish. The sessions of a bucket that changed are merged from that, of all publishes
+    that main consists of now: a late stop reads the new events and the small partials of its
+    bucket, however many events the lake or the bucket has. A rollback only leaves some out. Both
+    kinds of load can take turns on one warehouse; publishes that this one has not seen yet
+    are aggregated first. Writing a publish's partials again changes nothing.
+    """
+    bucket = schemas.BUCKET_COLUMN
+    with intermediates_removed(spark):
+        fresh = _new_commits(spark, lake, warehouse)
+        if fresh.isEmpty():
+            return None
+        touched = materialize(fresh.select(bucket).distinct(), "touched-buckets")
+        _store_partials(spark, lake, warehouse, touched)
+        partials = open_table(spark, warehouse.path(PARTIALS), schemas.SESSION_PARTIAL)
+        here = partials.where(visible(spark, lake)).join(touched, bucket, "left_semi")
+        sessions = merge_partials(here, measure_mode, carry=(bucket,))
+        result = load_assembled(sessions, warehouse, holidays, touched)
+        append_table(fresh.select("commit_id"), warehouse.path(PROCESSED))
         return result
 
 
+def _store_partials(spark: SparkSession, lake: str, warehouse: Warehouse, buckets: DataFrame) -> None:
+    """Aggregate the events of all publishes of the buckets that have no partials yet."""
+    bucket = schemas.BUCKET_COLUMN
+    stored = open_table(spark, warehouse.path(PARTIAL_COMMITS), schemas.PROCESSED_COMMIT)
+    commits = (
+        main_commits(spark, lake)
+        .where("to_seq IS NULL")
+        .join(buckets, bucket, "left_semi")
+        .join(stored, "commit_id", "left_anti")
+    )
+    commits = materialize(commits.select("commit_id", "seq"), "without-partials")
+    if commits.isEmpty():
+        return
+    files = logged_files(spark, lake).join(commits.select("commit_id"), "commit_id", "left_semi")
+    events = events_of(spark, lake, files).join(commits, "commit_id")
+    (
+        partial_sessions(events, by=(bucket, "seq"))
+        .hint("rebalance", bucket, "seq")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(bucket, "seq")
+        .parquet(warehouse.path(PARTIALS))
+    )
+    append_table(commits.select("commit_id"), warehouse.path(PARTIAL_COMMITS))
+
+
 def warehouse_view(spark: SparkSession, warehouse: Warehouse, unmatched: str = "null") -> DataFrame:
     """The star view over the warehouse's tables."""
     return star_view(

@@ -98,6 +98,8 @@ MAIN_COMMIT = T.StructType(
     + [
         T.StructField(BUCKET_COLUMN, T.LongType()),
         T.StructField("tip_batch_id", T.LongType()),
+        # of a rollback: from seq on main is as it was at to_seq, until more is published
+        T.StructField("to_seq", T.LongType()),
     ]
 )
 
@@ -114,7 +116,7 @@ MAIN_FILE = T.StructType(
     ]
 )
 
-# After a publish: batches up to this one have nothing left to publish.
+# After a publish: batches up to done_batch_id are published but for the refused ones.
 PUBLISH_STATE = T.StructType(
     [
         T.StructField("done_batch_id", T.LongType()),
@@ -122,6 +124,11 @@ PUBLISH_STATE = T.StructType(
         T.StructField("seq", T.LongType()),
     ]
 )
+REFUSED = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", BUCKET_COLUMN, "seq")])
+
+# The files that run of compaction left of all publishes up to up_to_seq.
+COMPACTED_FILE = T.StructType([*MAIN_FILE.fields, T.StructField("run", T.LongType())])
+COMPACTION = T.StructType([T.StructField(n, T.LongType()) for n in ("up_to_seq", "run")])
 
 BATCH_AUDIT = T.StructType(
     [
@@ -145,6 +152,29 @@ SESSION_VERSION = T.StructType(
     ]
 )
 
+# What a batch of a ledger of session numbers has given.
+NUMBER_RANGE = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("last_number", "n_new", "batch_id")]
+)
+
+# What one publish adds to a session: counts and maxima, typed and as text, that merge.
+SESSION_PARTIAL = T.StructType(
+    [
+        *[T.StructField(n, T.StringType()) for n in ("session_id", "station_id", "vehicle_id")],
+        *[T.StructField(n, T.LongType()) for n in ("sessions_count", "start_events", "completion_events")],
+        T.StructField("start_time", T.TimestampNTZType()),
+        T.StructField("stop_time", T.TimestampNTZType()),
+        T.StructField("energy_delivered", T.DoubleType()),
+        T.StructField("duration_minutes", T.DoubleType()),
+        *[
+            T.StructField(f"{n}_text", T.StringType())
+            for n in ("start_time", "stop_time", "energy_delivered", "duration_minutes")
+        ],
+        T.StructField(BUCKET_COLUMN, T.LongType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 PROCESSED_COMMIT = T.StructType([T.StructField("commit_id", T.StringType())])
 
 # --- Sessions held back ---
