@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ def star_view(
     vehicle: DataFrame,
     time: DataFrame,
     unmatched: str = "null",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """41-column view over the star schema.
 
@@ -31,6 +34,7 @@ def star_view(
     size is below the threshold, and otherwise uses a merge join whose hot keys adaptive
     execution splits. Pass dimensions as stored tables, or write them first with
     ``materialize``: a derived one's size is only measured after the facts have been shuffled.
+    ``carry`` names further columns of the facts to keep behind the view's.
     """
     if unmatched not in ("null", "default"):
         raise ValueError(f"unknown value for unmatched: {unmatched!r}")
@@ -75,4 +79,5 @@ def star_view(
             for role in ("start", "end")
             for a in schemas.VIEW_TIME_ATTRIBUTES
         ],
+        *carry,
     )

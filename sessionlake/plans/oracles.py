@@ -84,6 +84,38 @@ def _facts(sessions: str) -> str:
 
 _BATCH = "CASE WHEN ts >= TIMESTAMP '2024-01-16 12:00:00' THEN 1 ELSE 0 END"
 
+_DECILES = ", ".join(f"0.{k}" for k in range(1, 10))
+
+
+def _station_path(path: str, kind: str, n_values: str = "n", found: str | None = None, status: str = "ok") -> str:
+    found = f"'{kind}'" if found is None else found
+    return f"SELECT '$.{path}' AS path, {found} AS found, '{kind}' AS expected, {n_values} AS n_values, '{status}' AS status FROM s"
+
+
+# What the paths of station documents have, by the counts in `s`.
+_STATION_PATHS = " UNION ALL ".join(
+    [
+        "SELECT '$' AS path, 'object' AS found, 'object' AS expected, n AS n_values, 'ok' AS status FROM s",
+        *[_station_path(p, "text") for p in ("_id", "availability", "chargerType", "maintenanceFrequency", "operator")],
+        _station_path("stationId", "text", "stations"),
+        _station_path("address", "text", "named"),
+        _station_path("costPerKwh", "number", "costs"),
+        _station_path("distanceToCity", "number"),
+        *[_station_path(p, "integer") for p in ("chargingCapacity", "installationYear")],
+        _station_path("renewableEnergySource", "boolean"),
+        _station_path("location", "object"),
+        _station_path("location.type", "text"),
+        _station_path("location.coordinates", "array"),
+        _station_path("location.coordinates[]", "number", "2 * n"),
+        _station_path("connectorTypes", "array"),
+        _station_path("connectorTypes[]", "text", "n + even"),
+        _station_path("parkingSpots", "integer", "even"),
+        _station_path("usageStats", "integer", "0", "NULL", "absent"),
+        _station_path("rating", "number", "n", "'number|text'", "conflict"),
+        "SELECT '$.note', 'text', NULL, notes, 'unknown' FROM s",
+    ]
+)
+
 # The sessions and facts of the first of two batches.
 _FIRST_SESSIONS = _sessions(
     f"(SELECT * FROM m1 WHERE {_BATCH} = 0)",
@@ -469,6 +501,60 @@ ORACLES: dict[str, str] = {
           CASE WHEN load = 0 THEN (SELECT count(*) FROM ({_HOURS})) ELSE 0 END AS new_hours
         FROM counts, range(2) loads(load)""",
     "load_in_two": f"{_M1_FACT} SELECT * FROM fact",
+    "repeats_across_batches": f"""WITH {_M1},
+        main AS (SELECT *, session_id || '|' || event_type || '|' || event_time AS event
+                 FROM m1n WHERE {_BATCH} = 0),
+        staged AS (
+          SELECT session_number_range, session_id || '|' || event_type || '|' || event_time AS event
+          FROM m1n WHERE {_BATCH} = 1 OR event_id % 5 = 0),
+        found AS (
+          SELECT session_number_range,
+            CAST(count(*) FILTER (event IN (SELECT event FROM main)) AS BIGINT) AS published_repeats,
+            count(*) AS n_staged
+          FROM staged GROUP BY session_number_range)
+        SELECT session_number_range, published_repeats,
+          CASE WHEN n_first IS NULL AND published_repeats > 0 THEN NULL
+            ELSE coalesce(n_first, 0) + CASE WHEN published_repeats = 0 THEN n_staged ELSE 0 END
+            END AS n_main
+        FROM found LEFT JOIN (SELECT session_number_range, count(*) AS n_first FROM main
+                              GROUP BY session_number_range) USING (session_number_range)""",
+    "batch_drift": f"""WITH {_M1},
+        measured AS (
+          SELECT {_BATCH} AS batch, session_number_range // 1000 % 2 = 1 AS enlarged,
+            TRY_CAST(energy_delivered AS DOUBLE)
+              * CASE WHEN {_BATCH} = 1 AND session_number_range // 1000 % 2 = 1 THEN 10 ELSE 1 END
+              AS energy,
+            TRY_CAST(duration_minutes AS DOUBLE) AS duration
+          FROM m1n),
+        deciles AS (
+          SELECT enlarged, unnest([{_DECILES}]) AS p,
+            unnest(quantile_disc(energy, [{_DECILES}])) AS energy,
+            unnest(quantile_disc(duration, [{_DECILES}])) AS duration
+          FROM measured WHERE batch = 1 GROUP BY enlarged),
+        ranks AS (
+          SELECT d.enlarged, d.p, avg((m.energy <= d.energy)::INT) AS e, avg((m.energy < d.energy)::INT) AS e_below,
+            avg((m.duration <= d.duration)::INT) AS t, avg((m.duration < d.duration)::INT) AS t_below
+          FROM deciles d, measured m WHERE m.batch = 0 GROUP BY d.enlarged, d.p, d.energy, d.duration)
+        SELECT enlarged, max(greatest(e_below - p, p - e, 0)) > 0.2 AS energy_moved,
+          max(greatest(t_below - p, p - t, 0)) > 0.2 AS duration_moved
+        FROM ranks GROUP BY enlarged""",
+    "document_schema": f"""WITH s AS (
+          SELECT count(*) AS n, count(*) FILTER (s_suppkey % 7 = 0) AS notes,
+            count(*) FILTER (s_suppkey % 2 = 0) AS even, count(n_name) AS named,
+            count(s_name) AS stations, count(s_acctbal) AS costs,
+            count(*) FILTER (s_suppkey % 5 = 0) > 0 AS some_text
+          FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
+        paths AS ({_STATION_PATHS})
+        SELECT path, found, expected, CAST(n_values AS BIGINT) AS n_values,
+          CAST(0 AS BIGINT) AS n_nulls, status
+        FROM paths""",
+    "star_view_kept": _star(_M1_FACT),
+    "commit_feed": f"{_M1_FACT} SELECT * FROM fact",
+    "changes_between": f"""WITH {_M1}
+        SELECT {_EVENT_FIELDS}, session_number_range, CAST(0 AS BIGINT) AS n_added,
+          count(*) AS n_removed
+        FROM m1n WHERE {_BATCH} = 1 AND event_id % 3 <> 0
+        GROUP BY ALL""",
     "load_from_partials": f"{_M1_FACT} SELECT * FROM fact",
     "rollback_facts": f"{_FIRST_FACT} SELECT * FROM fact",
     "rollback_publish": f"""{_FIRST_FACT},

@@ -19,6 +19,7 @@ reader may need is ever changed in place.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -38,6 +39,7 @@ from sessionlake.operators.lake import (
 )
 from sessionlake.operators.quality import combined_audits
 from sessionlake.session import intermediates_removed, materialize
+from sessionlake.sources.tables import open_table
 from sessionlake.streaming import ingest
 
 MAIN_FILES = "main-files"
@@ -48,6 +50,9 @@ COMPACTED = "compacted-events"
 COMPACTED_FILES = "compacted-files"
 COMPACTIONS = "compactions"
 
+# A look at staged files, given as entries of their log: further columns for each bucket.
+Check = Callable[[SparkSession, str, DataFrame], DataFrame]
+
 # Events with the folders that they are in.
 _PLACED_EVENT = T.StructType(
     schemas.LAKE_EVENT.fields
@@ -125,18 +130,39 @@ def events_of(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
     )
 
 
-def publish_staged(spark: SparkSession, root: str, accept: str = "ok") -> int:
+def unindexed_events(spark: SparkSession, root: str, index: str) -> tuple[DataFrame, DataFrame] | None:
+    """The events, with ``seq``, of all publishes that are not in the table ``index`` below the
+    root (column seq) yet, and the numbers of these; None if there is none."""
+    done = open_table(spark, f"{root}/{index}", T.StructType([T.StructField("seq", T.LongType())]))
+    commits = main_commits(spark, root).where("to_seq IS NULL").join(done, "seq", "left_anti")
+    commits = materialize(commits.select("commit_id", "seq"), "not-indexed")
+    if commits.isEmpty():
+        return None
+    files = logged_files(spark, root).join(commits.select("commit_id"), "commit_id", "left_semi")
+    return events_of(spark, root, files).join(commits, "commit_id"), commits.select("seq").distinct()
+
+
+def staged_events_of(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """The events of entries of the log of staged files, with their bucket."""
+    return read_at(spark, root, files, _PLACED_EVENT).select(*schemas.LAKE_EVENT.fieldNames())
+
+
+def publish_staged(
+    spark: SparkSession, root: str, accept: str = "ok", checks: Sequence[Check] = ()
+) -> int:
     """Publish, bucket by bucket, what is staged and not published yet, if its audit passes.
     Returns the number of merge commits made. One publisher runs at a time.
 
     ``accept`` is an SQL condition on the audit's columns, by default its verdict. Rows that are
     no usable event were held back when they were staged, so they don't fail a bucket; a bucket
-    that fails another condition stays staged, and is looked at again next time. Files whose
+    that fails another condition stays staged, and is looked at again next time. ``checks`` add
+    columns for the condition, from a look at the staged events beside main
+    (:func:`published_repeats`, :func:`published_drift`); null where they found nothing. Files whose
     rows are not all there fail the publish before anything is logged. What a rollback took out
     of main stays out, until a rollback to a commit that has it.
     """
     with intermediates_removed(spark):
-        return _publish(spark, root.rstrip("/"), accept)
+        return _publish(spark, root.rstrip("/"), accept, checks)
 
 
 def _state(spark: SparkSession, root: str) -> tuple[int, int, str | None]:
@@ -155,7 +181,7 @@ def _refused(spark: SparkSession, root: str, seq: int) -> DataFrame:
     return refused.where(F.col("seq") == seq).select("batch_id", schemas.BUCKET_COLUMN)
 
 
-def _publish(spark: SparkSession, root: str, accept: str) -> int:
+def _publish(spark: SparkSession, root: str, accept: str, checks: Sequence[Check]) -> int:
     key = ["batch_id", schemas.BUCKET_COLUMN]
     bucket = schemas.BUCKET_COLUMN
     seq, done, head = _state(spark, root)
@@ -173,7 +199,12 @@ def _publish(spark: SparkSession, root: str, accept: str) -> int:
     if pending.isEmpty():
         return 0
     audits = pending_of(ingest.batch_audits(spark, root))
-    passed = combined_audits(audits, by=[bucket]).where(accept).select(bucket)
+    metrics = combined_audits(audits, by=[bucket])
+    for check in checks:
+        metrics = metrics.join(check(spark, root, pending), bucket, "left")
+    passed = metrics.where(accept).select(bucket)
+    if checks:  # they have read events, which once is enough for
+        passed = materialize(passed, "passed")
     accepted = materialize(pending.join(passed, bucket, "left_semi"), "accepted")
     merges = materialize(merges_for(accepted, head, seq), "merges")
     made = merges.count()
@@ -218,6 +249,31 @@ def rollback_published(spark: SparkSession, root: str, commit_id: str) -> int:
         return made
 
 
+def changes_between(spark: SparkSession, root: str, from_commit: str, to_commit: str) -> DataFrame:
+    """How main at ``to_commit`` differs from main at ``from_commit``: events (with bucket) and in
+    how many rows more (``n_added``) or fewer (``n_removed``) they are there; one of both is 0.
+
+    Rows are compared as a multiset, so an event that came again in another publish is no change.
+    Files that both have cancel out by the log and are not opened: what is read grows with the
+    publishes between the two commits, in either direction. Rows moved by compaction are the same.
+    """
+    then, now = (visible(spark, root, _seq_of(spark, root, c)) for c in (from_commit, to_commit))
+    files = logged_files(spark, root)
+    event = [f.name for f in schemas.LAKE_EVENT.fields]
+    parts = [
+        events_of(spark, root, files.where(here & ~there)).select(*event, F.lit(sign).alias("_sign"))
+        for here, there, sign in ((now, then, 1), (then, now, -1))
+    ]
+    # maps with equal entries are equal, in whatever order these came
+    key = [F.array_sort(F.map_entries(n)).alias(n) if n == "payload" else F.col(n) for n in event]
+    both = parts[0].unionByName(parts[1]).groupBy(*key).agg(F.sum("_sign").alias("_change"))
+    return both.where("_change <> 0").select(
+        *[F.map_from_entries(n).alias(n) if n == "payload" else n for n in event],
+        F.greatest("_change", F.lit(0)).alias("n_added"),
+        F.greatest(-F.col("_change"), F.lit(0)).alias("n_removed"),
+    )
+
+
 def compact_published(spark: SparkSession, root: str, up_to_seq: int | None = None) -> int:
     """Join the small files of published batches; returns the number of files replaced.
 

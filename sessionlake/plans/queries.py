@@ -21,7 +21,7 @@ from sessionlake.operators import (
     star,
     timedim,
 )
-from sessionlake.plans import publishing, warehouse
+from sessionlake.plans import drifting, feed, kept_view, publishing, repeats, warehouse
 from sessionlake.session import materialize, new_folder
 from sessionlake.sources import delimited, documents, events, tables
 from sessionlake.streaming import ingest
@@ -585,6 +585,107 @@ def rollback_facts(spark, sf_dir):
     return _plain(warehouse.facts(spark, _rolled_back(spark, sf_dir)[1]))
 
 
+def _one_published_one_staged(spark: SparkSession, sf_dir: str, second: DataFrame) -> str:
+    """A lake with the first half of the events published and another batch staged."""
+    root = new_folder(spark, "lake")
+    ingest.batch_writer(root)(_split(fixtures.m1_numbered(spark, sf_dir))[0], 0)
+    publishing.publish_staged(spark, root)
+    ingest.batch_writer(root)(second, 1)
+    return root
+
+
+@_query
+def repeats_across_batches(spark, sf_dir):
+    """The second half of the events with a fifth of the first half again: how many rows of each
+    bucket main has already. Buckets with repeats are then refused."""
+    numbered = fixtures.m1_numbered(spark, sf_dir)
+    first, second = _split(numbered)
+    again = _split(numbered.where(F.col("event_id") % 5 == 0))[0]
+    root = _one_published_one_staged(spark, sf_dir, second.unionByName(again))
+    staged = ingest.branch_files(spark, root).where("batch_id = 1")
+    found = materialize(repeats.published_repeats(spark, root, staged), "repeats")
+    publishing.publish_staged(spark, root, "ok AND published_repeats = 0", [repeats.published_repeats])
+    bucket = schemas.BUCKET_COLUMN
+    n_main = publishing.main_events(spark, root).groupBy(bucket).agg(F.count(F.lit(1)).alias("n_main"))
+    return found.join(n_main, bucket, "left").select(bucket, "published_repeats", "n_main")
+
+
+@_query
+def batch_drift(spark, sf_dir):
+    """The second half of the events beside the published first one, with energies in every other
+    bucket made ten times as large: where each measure has moved by more than a fifth."""
+    factor = F.when(range_bucket(F.col("session_number")) / schemas.BUCKET_WIDTH % 2 == 1, 10).otherwise(1)
+    energy = (F.col("payload")[schemas.PAYLOAD_ENERGY].cast("double") * factor).cast("string")
+    moved = F.map_concat(
+        F.map_filter("payload", lambda k, v: k != schemas.PAYLOAD_ENERGY),
+        F.create_map(F.lit(schemas.PAYLOAD_ENERGY), energy),
+    )
+    second = _split(fixtures.m1_numbered(spark, sf_dir))[1].withColumn("payload", moved)
+    root = _one_published_one_staged(spark, sf_dir, second)
+    staged = ingest.branch_files(spark, root).where("batch_id = 1")
+    odd = (F.col(schemas.BUCKET_COLUMN) / schemas.BUCKET_WIDTH % 2 == 1).alias("enlarged")
+    events_staged = publishing.staged_events_of(spark, root, staged).withColumn("enlarged", odd)
+    found = drifting.drift_from_main(spark, root, events_staged, by=("enlarged",))
+    return found.select(
+        "enlarged",
+        (F.col("energy_shift") > 0.2).alias("energy_moved"),
+        (F.col("duration_shift") > 0.2).alias("duration_moved"),
+    )
+
+
+@_query
+def document_schema(spark, sf_dir):
+    """Station documents as text, with a field that no schema has, one that is text in some, one
+    that is missing in some and one in all, held against the schema."""
+    docs = fixtures.station_docs(spark, sf_dir).withColumn("n", F.col("_id").cast("long"))
+    rating = F.when(F.col("n") % 5 == 0, F.lit("good"))
+    changed = docs.withColumns(
+        {
+            "note": F.when(F.col("n") % 7 == 0, "checked"),
+            "parkingSpots": F.when(F.col("n") % 2 == 0, F.col("parkingSpots")),
+        }
+    ).drop("usageStats", "n")
+    plain = F.to_json(F.struct(*[c for c in changed.columns]))
+    text = F.to_json(F.struct(*[c for c in changed.columns if c != "rating"], rating.alias("rating")))
+    with_n = changed.withColumn("n", F.col("_id").cast("long"))
+    lines = with_n.select(F.when(F.col("n") % 5 == 0, text).otherwise(plain).alias("value"))
+    return documents.document_schema(lines, schemas.STATION_DOCUMENT)
+
+
+@_query
+def commit_feed(spark, sf_dir):
+    """Facts loaded by a stream over the commits, which is started anew after each of two
+    publishes and goes on where it stopped."""
+    target, checkpoint = tables.Warehouse(new_folder(spark, "warehouse")), new_folder(spark, "feed")
+
+    def publish_and_follow(root: str) -> None:
+        publishing.publish_staged(spark, root)
+        following = feed.start_loading(spark, root, target, checkpoint, {"availableNow": True})
+        following.awaitTermination()
+
+    _stage_in_two(spark, sf_dir, publish_and_follow)
+    return _plain(warehouse.facts(spark, target))
+
+
+@_query
+def changes_between(spark, sf_dir):
+    """Two publishes, the second taken back and a third of its events published again: what main
+    has lost since."""
+    root = _stage_in_two(spark, sf_dir, lambda lake_root: publishing.publish_staged(spark, lake_root))
+    first, second = (
+        publishing.main_commits(spark, root).where(F.col("seq") == i).agg(F.min("commit_id")).first()[0]
+        for i in (0, 1)
+    )
+    publishing.rollback_published(spark, root, first)
+    again = fixtures.m1_numbered(spark, sf_dir).where(F.col("event_id") % 3 == 0)
+    ingest.batch_writer(root)(_split(again)[1], 2)
+    publishing.publish_staged(spark, root)
+    latest = publishing.main_commits(spark, root).agg(F.max_by("commit_id", "seq")).first()[0]
+    return publishing.changes_between(spark, root, second, latest).select(
+        *_EVENT_COLUMNS, *_payload_columns(), schemas.BUCKET_COLUMN, "n_added", "n_removed"
+    )
+
+
 @_query
 def dimension_load(spark, sf_dir):
     """Every source row twice, loaded twice: one dimension row each."""
@@ -739,6 +840,30 @@ def star_view_bulk(spark, sf_dir):
     return _plain_view(_star(spark, sf_dir, _m2_facts(spark, sf_dir), "null"))
 
 
+def _load_dimensions(spark: SparkSession, sf_dir: str, target: tables.Warehouse, condition: str) -> None:
+    stations = dimensions.conform_stations(fixtures.station_docs(spark, sf_dir))
+    vehicles = dimensions.conform_vehicles(fixtures.vehicle_docs(spark, sf_dir))
+    warehouse.load_dimension(stations.where(condition), target, "dim_station")
+    warehouse.load_dimension(vehicles, target, "dim_vehicle")
+
+
+@_query
+def star_view_kept(spark, sf_dir):
+    """The stored view after two loads, and after the stations with odd ids came last."""
+    target = tables.Warehouse(new_folder(spark, "warehouse"))
+    _load_dimensions(spark, sf_dir, target, "CAST(id AS BIGINT) % 2 = 0")
+
+    def publish_load_refresh(root: str) -> None:
+        publishing.publish_staged(spark, root)
+        warehouse.load_from_partials(spark, root, target)
+        kept_view.refresh_view(spark, target)
+
+    _stage_in_two(spark, sf_dir, publish_load_refresh)
+    _load_dimensions(spark, sf_dir, target, "true")
+    kept_view.refresh_view(spark, target)
+    return _plain_view(kept_view.kept_view(spark, target))
+
+
 @_query
 def stream_to_star(spark, sf_dir):
     """The whole way: ingest a stream, publish, load, and read the star view."""

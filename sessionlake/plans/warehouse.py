@@ -98,7 +98,7 @@ def load_dimension(rows: DataFrame, warehouse: Warehouse, name: str) -> int:
         return warehouse.append(ordered(fresh, "id"), name)
 
 
-def _versions(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+def valid_loads(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The valid load of each bucket."""
     versions = open_table(spark, warehouse.path(VERSIONS), schemas.SESSION_VERSION)
     valid = versions.groupBy(schemas.BUCKET_COLUMN).agg(
@@ -116,7 +116,7 @@ def _valid_rows(
     place = [f.name for f in _PLACE]
     plain = [f for f in schema.fields if f.name != schemas.BUCKET_COLUMN]
     rows = open_table(spark, warehouse.path(name), T.StructType(plain + _PLACE))
-    versions = _versions(spark, warehouse)
+    versions = valid_loads(spark, warehouse)
     if buckets is not None:
         versions = versions.join(buckets, schemas.BUCKET_COLUMN, "left_semi")
     return rows.join(versions, place, "left_semi").drop("load_id")
@@ -130,6 +130,13 @@ def facts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     return rows.select(*schemas.FACT_SESSION.fieldNames())
 
 
+def bucket_facts(
+    spark: SparkSession, warehouse: Warehouse, buckets: DataFrame | None = None
+) -> DataFrame:
+    """Facts with their bucket, of all buckets or the listed ones, from a warehouse of files."""
+    return _valid_rows(spark, warehouse, FACT, schemas.FACT_SESSION, buckets)
+
+
 def open_quarantine(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """Sessions held back, as of the last finished load."""
     held = _valid_rows(spark, warehouse, QUARANTINE, schemas.QUARANTINED_SESSION)

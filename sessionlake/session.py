@@ -76,6 +76,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(address)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, in whatever store its path names, unless it is there."""
+    files, address = _file_system(spark, path)
+    files.mkdirs(address)
+
+
 @contextlib.contextmanager
 def intermediates_removed(spark: SparkSession) -> Iterator[None]:
     """Remove what the job inside has materialized, when it ends, well or not. Frames that are
