@@ -29,6 +29,10 @@ REMEMBERED = 1_300_000
 SELECT_STEP = 256
 
 _BITS_SET = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+# Where the first, second, ... bit set in a byte is.
+_BIT_AT = np.array(
+    [([k for k in range(8) if byte >> k & 1] + [0] * 8)[:8] for byte in range(256)], dtype=np.int64
+)
 
 SEGMENT_SCHEMA = (
     "part int, seq int, part_start long, n_docs int, n_ids long, id_bytes int, ids binary,"
@@ -42,7 +46,8 @@ class EliasFano:
 
     The low bits of each number are stored as they are; the high ones as a bit string in which
     number ``i`` with high part ``h`` sets bit ``h + i``. `select` finds that bit through a
-    directory of every 256th set bit, so a number is read without decoding the others.
+    directory of every 256th set bit, so a number is read without decoding the others. The bit
+    string has three bits a number at most, so the directory's places fit 32 bits.
     """
 
     n: int
@@ -57,6 +62,8 @@ class EliasFano:
         n = len(values)
         if not n:
             return cls(0, 0, b"", b"", b"")
+        if n >= 1 << 30:
+            raise ValueError(f"{n} numbers are too many for one code")
         low_bits = max(0, (int(values[-1]) // n).bit_length() - 1)
         shifts = np.arange(low_bits, dtype=np.uint64)
         low = ((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel()
@@ -68,7 +75,7 @@ class EliasFano:
             low_bits,
             np.packbits(low, bitorder="little").tobytes(),
             np.packbits(high, bitorder="little").tobytes(),
-            set_[::SELECT_STEP].astype("<u8").tobytes(),
+            set_[::SELECT_STEP].astype("<u4").tobytes(),
         )
 
     def _low(self, i: int) -> int:
@@ -81,7 +88,8 @@ class EliasFano:
         """Number ``i``, from the directory, at most 255 set bits further, and its low bits."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        start = int.from_bytes(self.directory[8 * (i // SELECT_STEP) : 8 * (i // SELECT_STEP) + 8], "little")
+        entry = 4 * (i // SELECT_STEP)
+        start = int.from_bytes(self.directory[entry : entry + 4], "little")
         skip, byte = i % SELECT_STEP, start >> 3
         bits = self.high[byte] >> (start & 7) << (start & 7)
         while skip >= (ones := int(_BITS_SET[bits])):
@@ -93,15 +101,32 @@ class EliasFano:
         at = 8 * byte + (bits & -bits).bit_length() - 1
         return (at - i) << self.low_bits | self._low(i)
 
-    def all(self) -> np.ndarray:
-        """All numbers, for reading a whole file."""
-        if not self.n:
+    def select_many(self, wanted: np.ndarray) -> np.ndarray:
+        """The numbers at the places ``wanted``, as `select` finds each: from the directory's
+        byte on, by counts of the bits set up to each byte, and then within one byte."""
+        if not len(wanted):
             return np.zeros(0, dtype=np.int64)
-        high = np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little")
-        out = (np.flatnonzero(high)[: self.n] - np.arange(self.n)) << self.low_bits
+        if wanted.min() < 0 or wanted.max() >= self.n:
+            raise IndexError(int(wanted.max()))
+        bits = np.frombuffer(self.high, np.uint8)
+        upto = np.cumsum(_BITS_SET[bits], dtype=np.int64)
+        start = np.frombuffer(self.directory, "<u4")[wanted // SELECT_STEP].astype(np.int64) >> 3
+        byte = np.maximum(start, np.searchsorted(upto, wanted, side="right"))
+        before = upto[byte] - _BITS_SET[bits[byte]]
+        at = 8 * byte + _BIT_AT[bits[byte], wanted - before]
+        out = (at - wanted) << self.low_bits
         if self.low_bits:
-            low = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little", count=self.n * self.low_bits)
-            out = out + low.reshape(self.n, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
+            first = wanted * self.low_bits
+            low = np.frombuffer(self.low + bytes(8), np.uint8)
+            # the bytes that hold a number's low bits, and one more where these don't start a byte
+            word = np.zeros(len(wanted), np.uint64)
+            for k in range((self.low_bits + 7) // 8):
+                word |= low[(first >> 3) + k].astype(np.uint64) << np.uint64(8 * k)
+            word >>= (first & 7).astype(np.uint64)
+            k = (self.low_bits + 7) // 8
+            shift = (8 * k - (first & 7)).astype(np.uint64)
+            word |= low[(first >> 3) + k].astype(np.uint64) << shift
+            out |= (word & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
         return out.astype(np.int64)
 
 
@@ -110,8 +135,8 @@ class PieceTokenizer:
 
     The library encodes the matches of its pre-tokenizer's pattern one by one, so a text's ids
     are those of its pieces. Texts with characters whose class may differ between regular
-    expression engines are handed to the library whole. Strings of special tokens in a text
-    are ordinary text.
+    expression engines are handed to the library whole, and so are those that hold the text of an
+    added token: the library looks for these first, and gives them their own id.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -119,7 +144,8 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        added = self._library.get_added_tokens_decoder().values()
+        self._added = [token.content for token in added if token.content]
         self.id_bytes = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
         self._splitter = Splitter(pattern)
         self._pieces: dict[str, bytes] = {}
@@ -133,7 +159,9 @@ class PieceTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, ``id_bytes`` bytes each; none for null."""
-        plain = [bool(t) and self._splitter.is_plain(t) for t in texts]
+        plain = [
+            bool(t) and self._splitter.is_plain(t) and not any(a in t for a in self._added) for t in texts
+        ]
         split = [self._splitter.split(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         known = self._pieces
         if len(known) >= REMEMBERED:
@@ -275,7 +303,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
         for batch in batches:
             for row in range(batch.num_rows):
                 segment = batch.slice(row, 1).to_pylist()[0]
-                ends = boundaries(segment).all()
+                ends = boundaries(segment).select_many(np.arange(segment["n_docs"] + 1))
                 width = segment["id_bytes"]
                 ids = np.frombuffer(segment["ids"], f"<u{width}").astype("<u4")
                 numbers = np.frombuffer(segment["doc_ids"], "<i8")
