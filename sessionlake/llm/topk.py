@@ -22,9 +22,12 @@ RINGS = 16
 # Vectors of a block and queries that meet it in one task, at most.
 BLOCK = 4_096
 
-# Blocks that a query visits in a round, nearest first; after these rounds, all that remain.
+# Annuli that a query visits in a round, nearest first; after these rounds, all that remain.
 ROUNDS = (1, 4, 16)
 
+# Inner products are 64-bit integers; squared norms below this keep them so.
+_MOST = 2.0**62
+
 # Relative slack of a bound, far above the rounding of double sums.
 _SLACK = 1e-7
 
@@ -54,7 +57,8 @@ class Pivots:
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``vec_id`` and ``v``, the components as ``floor(scale * x)``.
 
-    Vectors that are null, empty, or have a null or non-finite component are left out.
+    Vectors that are null, empty, or have a null or non-finite component are left out, and so are
+    rows without an id.
     """
     x = F.col("x")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
@@ -62,7 +66,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
         vectors.select(
             F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x")
         )
-        .filter(x.isNotNull() & (F.size(x) > 0) & ~bad)
+        .filter(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~bad)
         .select("vec_id", F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("double")).alias("v"))
     )
 
@@ -136,7 +140,7 @@ def build_index(vectors: DataFrame, space: Pivots, width: int, rings: int, block
     return materialize(
         ringed.join(F.broadcast(sizes), ["pivot", "ring"])  # a row per annulus
         .withColumn("part", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "parts"))
-        .select("pivot", "ring", "part", "vec_id", "v", "dist"),
+        .select("pivot", "ring", "part", "parts", "vec_id", "v", "dist"),
         "topk-index",
     )
 
@@ -191,12 +195,16 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` highest integer inner products for every row whose id fulfils ``queries``.
 
-    A query meets the blocks nearest to it first. From the ``k``-th score so far follows a
-    radius; a block whose annulus can't reach into it, by the triangle inequality, is never
-    visited. After a few rounds of growing reach all blocks that still can are visited, so the
-    result is exact. Candidates are all rows with another id. Repeated rows are candidates
-    each; a repeated query id is one query, with the first of its vectors. Rows without
-    a usable vector take no part; an empty table gives an empty result.
+    A query meets the annuli nearest to it first. From the ``k``-th score so far follows a
+    radius; an annulus that can't reach into it, by the triangle inequality, is never
+    visited. After a few rounds of growing reach all annuli that still can are visited, so the
+    result is exact. Of each query there is a row for each annulus, whose number is fixed;
+    only annuli that are visited are expanded to their blocks.
+
+    Candidates are all rows with another id. Repeated rows are candidates each; a repeated
+    query id is one query, with the first of its vectors. Rows without an id or without a usable
+    vector take no part; an empty table gives an empty result. Vectors whose inner products could
+    pass 64-bit integers raise a ValueError.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id.
     """
@@ -211,10 +219,15 @@ def top_k(
     if shape["width"] is None:
         return spark.createDataFrame([], schema)
     width = shape["width"]
+    if shape["reach2"] >= _MOST:
+        raise ValueError(f"inner products may pass 64 bits: the largest squared norm is {shape['reach2']:g}")
     space = fit_pivots(whole, width, shape["reach2"], pivots, PIVOT_SAMPLE)
     index = build_index(whole, space, width, rings, block)
-    blocks = index.groupBy("pivot", "ring", "part").agg(
-        F.min("dist").alias("lo"), F.max("dist").alias("hi")
+    annuli = materialize(
+        index.groupBy("pivot", "ring").agg(
+            F.min("dist").alias("lo"), F.max("dist").alias("hi"), F.max("parts").alias("parts")
+        ),
+        "topk-annuli",
     )
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,13 +256,11 @@ def top_k(
     away = F.greatest(F.col("d") - F.col("hi"), F.col("lo") - F.col("d"), F.lit(0.0))
     routes = materialize(
         asked.select("query_id", "base2", F.posexplode("to_pivots").alias("pivot", "d"))
-        .join(blocks, "pivot")
-        .select("query_id", "base2", "pivot", "ring", "part", away.alias("away"))
+        .join(F.broadcast(annuli), "pivot")  # a row per annulus
+        .select("query_id", "base2", "pivot", "ring", "parts", away.alias("away"))
         .withColumn(
             "turn",
-            F.row_number().over(
-                Window.partitionBy("query_id").orderBy("away", "pivot", "ring", "part")
-            ),
+            F.row_number().over(Window.partitionBy("query_id").orderBy("away", "pivot", "ring")),
         ),
         "topk-routes",
     )
@@ -272,7 +283,8 @@ def top_k(
             open_ = open_.filter(F.col("turn") <= done + reach)
         # many queries of one block are dealt to several tasks, each with a copy of the block
         at = ["pivot", "ring", "part"]
-        open_ = materialize(open_.select("query_id", *at), "topk-open")
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+        open_ = materialize(open_.select("query_id", "pivot", "ring", parts), "topk-open")
         chunks = open_.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / block).alias("chunks"))
         chunk = F.pmod(F.xxhash64("query_id"), F.col("chunks")).alias("chunk")
         visits = open_.join(chunks, at).select("query_id", *at, chunk)
