@@ -115,15 +115,20 @@ class Ranks:
             start -= 1
         return found[::-1]
 
-    def extend(self, last: list[int], data: bytes) -> None:
+    def extend(self, last: list[int], data: bytes, whole: bool = True) -> None:
         """Lengthen ``last``, the last tokens of the first prefixes of ``data``, to all of it.
 
         The last token of a prefix is the one that ends there and may follow the last token of
-        the prefix before it; there is exactly one.
+        the prefix before it; there is exactly one. Unless ``data`` is the ``whole`` string, it
+        starts as many bytes before the first new one as the longest token has.
         """
         for end in range(len(last) + 1, len(data) + 1):
             for start, token in self.ending(data, end):
-                if not start or self.side_by_side(last[start - 1], token):
+                if start:
+                    fits = self.side_by_side(last[start - 1], token)
+                else:
+                    fits = whole
+                if fits:
                     last.append(token)
                     break
             else:
@@ -191,29 +196,39 @@ class PrefixEncoder:
         self.last: list[int] = []
         self.append(data)
 
+    def _window(self, at: int) -> tuple[int, list[int]]:
+        """Where the bytes start that decide the tokens from prefix ``at`` on, and the last tokens
+        of the prefixes from there up to ``at``: one byte more than the longest token has."""
+        low = max(0, at - self.ranks.longest - 1)
+        return low, self.last[low:at]
+
     def append(self, more: bytes) -> None:
+        """Add bytes at the end. The text before the longest token's length isn't looked at."""
+        at = len(self.last)
+        low, window = self._window(at)
+        self.ranks.extend(window, bytes(self.data[low:]) + more, low == 0)
         self.data += more
-        self.ranks.extend(self.last, bytes(self.data))
+        self.last += window[at - low :]
 
     def replace(self, start: int, end: int, new: bytes) -> None:
         """Exchange ``data[start:end]``; prefixes before the edit keep their tokens.
 
         Past the edit, prefixes are done again until as many in a row as the longest token has
-        bytes agree with the old ones; from there on the old ones hold.
+        bytes agree with the old ones; from there on the old ones hold and are moved as they are.
         """
-        old, tail = self.last, bytes(self.data[end:])
-        shift = start + len(new) - end
-        self.data, self.last = self.data[:start], old[:start]
-        self.append(new)
-        agree = 0
-        for i in range(len(tail)):
-            self.append(tail[i : i + 1])
-            at = len(self.last) - 1
-            agree = agree + 1 if self.last[at] == old[at - shift] else 0
-            if agree > self.ranks.longest:
-                self.data += tail[i + 1 :]
-                self.last += old[at - shift + 1 :]
-                return
+        low, window = self._window(start)
+        before, shift = start - low, len(new) - (end - start)
+        self.data[start:end] = new
+        self.ranks.extend(window, bytes(self.data[low : start + len(new)]), low == 0)
+        agree, at = 0, start + len(new)
+        while at < len(self.data) and agree <= self.ranks.longest:
+            near = max(0, at - self.ranks.longest - 1 - low)
+            tokens = window[near:]
+            self.ranks.extend(tokens, bytes(self.data[low + near : at + 1]), low + near == 0)
+            window.append(tokens[-1])
+            agree = agree + 1 if tokens[-1] == self.last[at - shift] else 0
+            at += 1
+        self.last[start : at - shift] = window[before:]
 
     def tokens(self) -> list[int]:
         return self.ranks.split(self.last)
