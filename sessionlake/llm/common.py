@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The white space of the contracts, as deleted or splitting characters.
@@ -50,6 +50,24 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def keep_chosen(docs: DataFrame, keys: list[Column], fates: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``fates`` lets go, and one of those that it keeps once.
+
+    ``keys`` tell rows apart as far as needed; ``fates`` has a column for each, in order, and a
+    last one: ``go`` or ``one``. Rows it doesn't name all stay. Only rows that are kept once are
+    shuffled; ``fates`` should be a written table, which Spark sends to the rows if it is small.
+    """
+    names = [free_name(docs, f"_key{i}") for i in range(len(keys))]
+    fate = free_name(docs, "_fate")
+    keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
+    side = fates.toDF(*[free_name(keyed, f"_fate_key{i}") for i in range(len(keys))], fate)
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(names, side.columns, strict=False)]
+    marked = keyed.join(side, same, "left")
+    stay = marked.filter(F.col(fate).isNull()).select(*docs.columns)
+    once = marked.filter(F.col(fate) == "one").dropDuplicates(names).select(*docs.columns)
+    return stay.unionByName(once)
+
+
 def held_out(id_col: str, parts: int, part: int):
     """Whether a row is kept from learning: crc32 of its id as text, modulo ``parts``."""
     return F.coalesce(

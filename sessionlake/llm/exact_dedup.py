@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import WHITE_SPACE, free_name
+from sessionlake.llm.common import WHITE_SPACE, free_name, keep_chosen
 from sessionlake.session import materialize
 
 # Spark's bitmap functions keep 32,768 bits in a bitmap.
@@ -66,23 +66,23 @@ def with_possible_repeats(
     at most ``bits / 8`` bytes, so that no row of ``docs`` moves.
     """
     bitmaps = materialize(repeat_filter(docs, digest, bits), "repeat-filter")
-    at, out = free_name(docs, "_at"), docs
-    out = out.withColumn(at, _slots(digest, bits))
-    tests = []
-    for i in (0, 1):
-        bucket, bitmap = free_name(docs, f"_bucket{i}"), free_name(docs, f"_bitmap{i}")
+    at = free_name(docs, "_at")
+    out = docs.withColumn(at, _slots(digest, bits))
+    hits = [free_name(docs, f"_hit{i}") for i in (0, 1)]
+    for i, hit in enumerate(hits):
+        place, bucket, bitmap = (free_name(docs, f"{n}{i}") for n in ("_place", "_bucket", "_bitmap"))
         side = bitmaps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))
-        out = out.withColumn(f"{at}{i}", F.col(at)[i]).join(
-            F.broadcast(side), (F.col(f"{at}{i}") / _BITMAP_BITS).cast("int") == F.col(bucket), "left"
+        out = out.withColumn(place, F.col(at)[i]).join(
+            F.broadcast(side), (F.col(place) / _BITMAP_BITS).cast("int") == F.col(bucket), "left"
         )
-        bit = F.col(f"{at}{i}") % _BITMAP_BITS
-        byte = F.conv(F.hex(F.expr(f"substring(`{bitmap}`, CAST(`{at}{i}` % {_BITMAP_BITS} DIV 8 + 1 AS INT), 1)")), 16, 10)
+        bit = F.col(place) % _BITMAP_BITS
+        byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
         # bit % 8 is 0 to 7: a division by a power of two takes the place of a column shift
         power = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (bit % 8 + 1).cast("int"))
-        tests.append(F.col(bitmap).isNotNull() & (byte.cast("int").bitwiseAND(power) != 0))
-        out = out.withColumn(flag if i else f"{flag}0", tests[-1])
-        out = out.drop(bucket, bitmap, f"{at}{i}")
-    return out.withColumn(flag, F.col(f"{flag}0") & F.col(flag)).drop(at, f"{flag}0")
+        out = out.withColumn(
+            hit, F.col(bitmap).isNotNull() & (byte.cast("int").bitwiseAND(power) != 0)
+        ).drop(bucket, bitmap, place)
+    return out.withColumn(flag, F.col(hits[0]) & F.col(hits[1])).drop(at, *hits)
 
 
 def _first(length: str, doc_id: str, row: str) -> Column:
@@ -147,28 +147,34 @@ def drop_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of equal texts, as `duplicate_groups` chooses it.
 
-    Rows that can't repeat stay where they are; only possible repeats are shuffled with all
-    their columns. Rows equal in text, length and id leave one row.
+    Null, empty and blank texts are equal; of rows equal in text, length and id one stays. An
+    empty table stays empty; other columns may have any names.
+
+    Texts are normalised and hashed twice: for the digests, which alone are written, filtered
+    and grouped, and to find the rows that go. Those are sent to the texts if they are few enough
+    by their size; rows that stay, of which others are equal to the last character, are shuffled.
     """
-    flag, sha, best = (free_name(docs, n) for n in ("_maybe", "_sha", "_best"))
-    digested = docs.withColumn(sha, text_digest(F.col(text_col).cast("string")))
-    flagged = with_possible_repeats(digested, sha, flag, bits)
-    maybe = flagged.filter(F.col(flag))
-    own = F.struct(
-        (-F.char_length(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("shorter"),
-        F.col(id_col).isNull().alias("no_id"),
-        F.col(id_col).alias("id"),
-    )
-    # written, so that the join below has two plain shuffles and Spark can split a hot group
-    groups = materialize(maybe.groupBy(sha).agg(F.min(own).alias(best)), "text-groups")
-    kept = (
-        maybe.join(groups, sha)
-        .filter(own.eqNullSafe(F.col(best)))
-        .repartition(sha)  # the rows that stay, of which equal ones are made one
-        .dropDuplicates([sha])
-        .select(*docs.columns)
+    text = F.col(text_col).cast("string")
+    key = [
+        text_digest(text),
+        F.col(id_col).cast("long"),
+        F.char_length(F.coalesce(text, F.lit(""))),
+    ]
+    rows = docs.select(*[c.alias(n) for c, n in zip(key, ("sha", "id", "length"), strict=True)])
+    digests = materialize(rows, "text-digests")
+    maybe = with_possible_repeats(digests, "sha", "maybe", bits).filter("maybe")
+    keyed = maybe.groupBy("sha", "id", "length").agg(F.count(F.lit(1)).alias("n"))
+    keyed = materialize(keyed, "text-keys")
+    own = F.struct((-F.col("length")).alias("shorter"), F.col("id").isNull().alias("no_id"), F.col("id"))
+    best = keyed.groupBy(F.col("sha").alias("_sha")).agg(F.min(own).alias("best"))
+    best = materialize(best, "text-groups")
+    fate = F.when(~own.eqNullSafe(F.col("best")), "go").when(F.col("n") > 1, "one")
+    fates = (
+        keyed.join(best, F.col("sha") == F.col("_sha"))
+        .select("sha", "id", "length", fate.alias("fate"))
+        .filter("fate IS NOT NULL")
     )
-    return flagged.filter(~F.col(flag)).select(*docs.columns).unionByName(kept)
+    return keep_chosen(docs, key, materialize(fates, "text-fates"))
 
 
 ORACLE = """

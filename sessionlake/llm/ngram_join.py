@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import free_name, importable, small_slices
+from sessionlake.llm.common import importable, keep_chosen, small_slices
 from sessionlake.llm.components import connected_components
 from sessionlake.session import materialize
 
@@ -428,11 +428,17 @@ def _search(threshold: int):
 # --- the join ---------------------------------------------------------------------------
 
 
+def _first_row():
+    """What the row that stays of a group has least: smallest id, null last, then first row."""
+    return F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))
+
+
 def near_duplicate_classes(
     docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, block: int = BLOCK
 ) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, n_shingles, component_id, text_key (a
-    hash of the text, which tells rows of the same id apart).
+    hash of the text, which tells rows of the same id apart) and stays, which one row of each
+    component has.
 
     ``component_id`` is the smallest doc_id that links lead to, its own included. Null, empty
     and blank texts have no shingles and link with nothing; texts of fewer words than a
@@ -448,7 +454,10 @@ def near_duplicate_classes(
     open_ = sets.filter("set_key is not null")
     # equal sets are one from here on: the first row stands for all
     classes = materialize(
-        open_.groupBy("set_key").agg(F.min("row").alias("node"), F.min("id").alias("least")), "ngram-classes"
+        open_.groupBy("set_key").agg(
+            F.min("row").alias("node"), F.min("id").alias("least"), F.min(_first_row()).alias("first")
+        ),
+        "ngram-classes",
     )
     nodes = materialize(
         open_.select("row", "n", "own", "short")
@@ -503,37 +512,43 @@ def near_duplicate_classes(
     )
     roots = connected_components(links, "a", "b")  # node, component: of linked nodes only
     labelled = classes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-        "set_key", "least", F.coalesce("component", "node").alias("component")
+        "set_key", "least", "first", F.coalesce("component", "node").alias("component")
+    )
+    least = labelled.groupBy("component").agg(
+        F.min("least").alias("component_id"), F.min("first").alias("first")
     )
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_key = labelled.select("set_key", "component").join(least, "component").select(
-        F.col("set_key").alias("_key"), "component_id"
+        F.col("set_key").alias("_key"), "component_id", "first"
+    )
+    joined = open_.join(by_key, F.col("set_key") == F.col("_key")).select(
+        "id", "text_key", "n", "component_id", (F.col("row") == F.col("first.row")).alias("stays")
+    )
+    alone = sets.filter("set_key is null").select(
+        "id", "text_key", "n", F.col("id").alias("component_id"), F.lit(True).alias("stays")
     )
-    joined = open_.join(by_key, F.col("set_key") == F.col("_key")).select("id", "text_key", "n", "component_id")
-    alone = sets.filter("set_key is null").select("id", "text_key", "n", F.col("id").alias("component_id"))
     return joined.unionByName(alone).select(
-        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id", "text_key"
+        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id", "text_key", "stays"
     )
 
 
 def keep_one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """``docs`` with the document of the smallest id of each group of near duplicates.
+    """``docs`` with one document of each group of near duplicates: that of the smallest id, null
+    last; of rows that share that one, any one of them.
 
-    Rows that link with nothing, null ids and blank texts all stay. Rows of the same id are one
-    document. Only the ids of rows that go are joined with ``docs``.
+    Rows that link with nothing all stay, null, empty and blank texts among them. Rows equal in id
+    and text are near duplicates like others. Only keys of rows that go are joined with ``docs``.
+    An empty table stays empty; other columns may have any names.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    id_name, key_name = free_name(docs, "_gone"), free_name(docs, "_gone_key")
-    gone = (
+    text = F.col(text_col).cast("string")
+    key = [F.col(id_col).cast("long"), F.xxhash64(text)]
+    narrow = docs.select(key[0].alias("doc_id"), text.alias("text"))
+    fate = F.when(~F.bool_or("stays"), "go").when(F.count_if(~F.col("stays")) > 0, "one")
+    fates = (
         near_duplicate_classes(narrow, words, threshold)
-        .filter("doc_id <> component_id")
-        .select(F.col("doc_id").alias(id_name), F.col("text_key").alias(key_name))
-        .distinct()
-    )
-    gone = materialize(gone, "ngram-gone")
-    same = (F.col(id_col).cast("long") == gone[id_name]) & (
-        F.xxhash64(F.col(text_col).cast("string")) == gone[key_name]
+        .groupBy("doc_id", "text_key")
+        .agg(fate.alias("fate"))
+        .filter("fate IS NOT NULL")
     )
-    return docs.join(gone, same, "left_anti")
+    return keep_chosen(docs, key, materialize(fates, "ngram-fates"))
