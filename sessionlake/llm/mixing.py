@@ -119,10 +119,45 @@ def min_cost_flow(
     return flow
 
 
-def _seeded(id_col: str, seed: int) -> Column:
-    """A document's place in the seeded order, 60 bits of a hash of seed and id."""
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
+def with_place(
+    docs: DataFrame, id_col: str, text_col: str, pattern: Column, name: str, seed: int = 0
+) -> DataFrame:
+    """``docs`` with each row's place in the seeded order: 60 bits of a hash of seed, id, text,
+    pattern and, among rows equal in all three, a number.
+
+    So rows of one id are spread like others. Which of some equal rows has which number doesn't
+    matter: their places are the same in every run. Only equal rows are shuffled, for their
+    numbers, which each task gives for itself behind those of the tasks before.
+    """
+    key, number = free_name(docs, "_mix_key"), free_name(docs, "_mix_number")
+    text = F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit("null"))
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    keyed = docs.withColumn(key, F.concat_ws(":", own, text, F.to_json(pattern)))
+    counts = keyed.groupBy(F.col(key).alias("_repeated")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counts.filter("n > 1").select("_repeated"), "mix-repeated")
+    alone = keyed.join(repeated, F.col(key) == F.col("_repeated"), "left_anti").withColumn(
+        number, F.lit(0).cast("long")
+    )
+    placed = _numbered(keyed.join(repeated, F.col(key) == F.col("_repeated"), "left_semi"), key, number)
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(key), F.col(number).cast("string"))
+    at = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+    return alone.unionByName(placed).withColumn(name, at).drop(key, number)
+
+
+def _numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Equal rows numbered 0, 1, ... for each ``key``, by tasks that see a part of them each."""
+    part, first = free_name(rows, "_mix_part"), free_name(rows, "_mix_first")
+    dealt = materialize(rows.withColumn(part, F.spark_partition_id()), "mix-equal-rows")
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(key, part).agg(F.count(F.lit(1)).alias(first))
+    starts = starts.withColumn(first, F.coalesce(F.sum(first).over(before), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy(key, part).orderBy(F.lit(0)))
+    return (
+        dealt.withColumn(name, within)
+        .join(starts, [key, part])
+        .withColumn(name, F.col(first) + F.col(name) - 1)
+        .drop(part, first)
+    )
 
 
 def pattern_of(docs: DataFrame, source_col: str) -> Column:
@@ -138,17 +173,14 @@ def pattern_of(docs: DataFrame, source_col: str) -> Column:
     return F.sort_array(F.array_distinct(F.coalesce(column.cast("array<string>"), none)))
 
 
-def cut_points(
-    sized: DataFrame, wanted: DataFrame, seed: int = 0, stretches: int = STRETCHES
-) -> DataFrame:
+def cut_points(sized: DataFrame, wanted: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     """How often each pattern's documents are taken: ``_passes`` times, and once more where
     the seeded place is below ``_cut``.
 
-    ``sized``: ``pattern``, ``doc_id``, ``size``; ``wanted``: as `plan_mix` returns it. The
+    ``sized``: ``pattern``, ``size``, ``at`` (the place); ``wanted``: as `plan_mix` returns it. The
     seeded order is cut into ``stretches`` of equal width. Their sums, a fixed number for each
     pattern, show in which one the wanted words end; only documents of that stretch are put in
-    order, up to the one whose middle is past the wanted words. Rows with the same id share a
-    place and are taken alike.
+    order, up to the one whose middle is past the wanted words.
     """
     span = (1 << 60) // stretches
     # One row per pattern; the driver has just made them, so they are a bounded broadcast.
@@ -160,8 +192,8 @@ def cut_points(
             .cast("long"),
         ).withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("_capacity"))
     )
-    placed = sized.select("pattern", "size", _seeded("doc_id", seed).alias("at")).withColumn(
-        "part", (F.col("at") / F.lit(span)).cast("int")
+    placed = sized.select("pattern", "size", "at").withColumn(
+        "part", F.floor(F.col("at") / F.lit(span)).cast("int")
     )
     before = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ends = (
@@ -194,16 +226,16 @@ def cut_points(
 
 
 def times_taken(
-    docs: DataFrame, pattern: Column, id_col: str, cuts: DataFrame, name: str, seed: int = 0
+    docs: DataFrame, pattern: Column, place: str, cuts: DataFrame, name: str
 ) -> DataFrame:
-    """``docs`` with the number of times each is taken. No document moves: ``cuts`` has one
-    row per pattern."""
+    """``docs`` with the number of times each is taken, from its ``place``. No document moves:
+    ``cuts`` has one row per pattern."""
     key, passes, cut = (free_name(docs, n) for n in ("_pattern_key", "_pattern_passes", "_pattern_cut"))
     side = cuts.select(
         F.col("pattern").alias(key), F.col("_passes").alias(passes), F.col("_cut").alias(cut)
     )
     joined = docs.join(F.broadcast(side), pattern == F.col(key), "left")
-    once_more = F.when(_seeded(id_col, seed) < F.col(cut), 1).otherwise(0)
+    once_more = F.when(F.col(place) < F.col(cut), 1).otherwise(0)
     return joined.withColumn(
         name, F.coalesce(F.col(passes) + once_more, F.lit(0)).cast("int")
     ).drop(key, passes, cut)
@@ -259,17 +291,18 @@ def plan_documents(
     passes: int = MAX_PASSES,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole plan of a mix: (sizes by document, targets by source, cuts by pattern)."""
+    narrow = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        pattern_of(docs, source_col).alias("pattern"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    placed = with_place(narrow, "doc_id", "text", F.col("pattern"), "at", seed)
     sized = materialize(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            pattern_of(docs, source_col).alias("pattern"),
-            word_count(F.col(text_col)).alias("size"),
-        ),
-        "mix-sizes",
+        placed.select("doc_id", "pattern", word_count(F.col("text")).alias("size"), "at"), "mix-sizes"
     )
     patterns = sized.groupBy("pattern").agg(F.sum("size").alias("words"))
     targets, wanted = plan_mix(docs.sparkSession, patterns, weights, passes)
-    return sized, targets, cut_points(sized, wanted, seed)
+    return sized, targets, cut_points(sized, wanted)
 
 
 def mix_sources(
@@ -282,12 +315,13 @@ def mix_sources(
 
     Returns doc_id, size, source_size, target, taken. Null texts and texts without words have
     size 0 and taken 0. A null source is a source, last in order. Repeated rows are documents
-    of their own that are taken alike. Whole documents are taken, so a source's words miss its
-    target by half a document (or half of one id's rows).
+    of their own, with places of their own, and so are rows of one id or none. Whole documents are
+    taken, so a source's words miss its target by half a document. An empty table gives
+    an empty result.
     """
     sized, targets, cuts = plan_documents(docs, weights=weights, seed=seed, passes=passes)
     by_pattern = targets.select(F.array("source").alias("_source"), "source_size", "target")
-    taken = times_taken(sized, F.col("pattern"), "doc_id", cuts, "times", seed)
+    taken = times_taken(sized, F.col("pattern"), "at", cuts, "times")
     return taken.join(F.broadcast(by_pattern), F.col("pattern") == F.col("_source")).select(
         "doc_id",
         "size",
@@ -306,10 +340,17 @@ def mixed(
     seed: int = 0,
     passes: int = MAX_PASSES,
 ) -> DataFrame:
-    """The documents of the mix: each row as often as it is taken, none that is not."""
+    """The documents of the mix: each row as often as it is taken, none that is not.
+
+    Rows are taken as `mix_sources` says, whatever their id; those without words have no size, so
+    any number of them fits, and they go with their place like others. An empty table stays empty;
+    other columns may have any names.
+    """
     _, _, cuts = plan_documents(docs, source_col, id_col, text_col, weights, seed, passes)
-    times = free_name(docs, "_times")
-    taken = times_taken(docs, pattern_of(docs, source_col), id_col, cuts, times, seed)
+    place = free_name(docs, "_place")
+    placed = with_place(docs, id_col, text_col, pattern_of(docs, source_col), place, seed)
+    times = free_name(placed, "_times")
+    taken = times_taken(placed, pattern_of(docs, source_col), place, cuts, times)
     copy = free_name(taken, "_copy")
     return taken.withColumn(
         copy, F.explode(F.array_repeat(F.lit(1), F.col(times)))
