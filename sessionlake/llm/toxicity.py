@@ -21,6 +21,7 @@ from sessionlake.llm.common import (
     importable,
     small_slices,
 )
+from sessionlake.session import materialize
 
 # Bounds of the sample that classifiers are fitted on: confirmed toxic documents, and documents
 # taken without regard to labels, the latter for each classifier.
@@ -111,6 +112,29 @@ def _incidence(docs: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray
     return np.concatenate([*rows, np.zeros(0, int)]), np.concatenate([*columns, np.zeros(0, int)])
 
 
+def risk(
+    theta: np.ndarray, x: list[tuple[np.ndarray, np.ndarray]], n: list[int], prior: float
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """The negatives' part of the risk (see `fit_nnpu`) at weights and bias ``theta``, and the
+    gradients of the positives' part and of it. ``x``: features of the positive and of the
+    unlabelled documents, as rows and columns; ``n``: numbers of documents."""
+
+    def margins(k: int) -> np.ndarray:
+        rows, columns = x[k]
+        return np.bincount(rows, theta[columns], minlength=n[k]) + theta[-1]
+
+    def gradient(k: int, slope: np.ndarray) -> np.ndarray:
+        rows, columns = x[k]
+        out = np.bincount(columns, slope[rows], minlength=len(theta))[: len(theta)]
+        out[-1] = slope.sum()
+        return out / n[k]
+
+    sp, su = _sigmoid(margins(0)), _sigmoid(margins(1))
+    negative = su.mean() - prior * sp.mean()
+    of_negative = gradient(1, su * (1 - su)) - prior * gradient(0, sp * (1 - sp))
+    return negative, prior * gradient(0, sp - 1), of_negative
+
+
 def fit_nnpu(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
@@ -135,21 +159,8 @@ def fit_nnpu(
     theta[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
 
-    def margins(k: int) -> np.ndarray:
-        rows, columns = x[k]
-        return np.bincount(rows, theta[columns], minlength=n[k]) + theta[-1]
-
-    def gradient(k: int, slope: np.ndarray) -> np.ndarray:
-        rows, columns = x[k]
-        out = np.bincount(columns, slope[rows], minlength=len(features) + 1)[: len(theta)]
-        out[-1] = slope.sum()
-        return out / n[k]
-
     for step in range(1, steps + 1):
-        sp, su = _sigmoid(margins(0)), _sigmoid(margins(1))
-        negative = su.mean() - prior * sp.mean()
-        of_negative = gradient(1, su * (1 - su)) - prior * gradient(0, sp * (1 - sp))
-        of_positive = prior * gradient(0, sp - 1)
+        negative, of_positive, of_negative = risk(theta, x, n, prior)
         grad = of_positive + of_negative if negative >= 0 else -of_negative
         grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
@@ -166,14 +177,42 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray, float]]) -> Model:
     return Model(features, weights, np.array([p[2] for p in parts]))
 
 
-def _order(id_col: str, salt: int):
-    return F.xxhash64(F.lit(salt), F.col(id_col))
+def _order(salt: int, *columns: str):
+    return F.xxhash64(F.lit(salt), *columns)
 
 
-def _cutoff(ids: DataFrame, salt: int, rows: int) -> int | None:
-    """The place of the ``rows``-th id in a seeded order, or of the last one."""
-    top = ids.select(_order("doc_id", salt).alias("at")).orderBy("at").limit(rows)
-    return top.agg(F.max("at")).first()[0]
+def _cutoff(places: DataFrame, rows: int) -> int | None:
+    """The ``rows``-th different number of column ``at``, or the last one."""
+    return places.select("at").distinct().orderBy("at").limit(rows).agg(F.max("at")).first()[0]
+
+
+def _draw(docs: DataFrame, toxic: DataFrame, n_positive: int, n_unlabelled: int) -> DataFrame:
+    """``at``, ``text``, ``positive``, ``drawn``: at most ``n_positive`` rows with an id in ``toxic``
+    and ``n_unlabelled`` drawn from all.
+
+    Rows are drawn by id and text, and rows equal in both are one; so a repeated id doesn't fill the
+    sample, nor does a repeated row.
+    """
+    placed = toxic.withColumn("at", _order(0, "doc_id"))
+    # at most `n_positive` ids: a broadcast of a fixed bound
+    few = placed.filter(F.col("at") <= _cutoff(placed, n_positive)).select("doc_id")
+    few = F.broadcast(few.withColumn("positive", F.lit(True)))
+    texts = id_and_text(docs).withColumn("at", _order(1, "doc_id", "text")).join(few, "doc_id", "left")
+    places = materialize(texts.select("at", "positive"), "toxicity-places")
+    last_positive = _cutoff(places.filter("positive"), n_positive)
+    last_drawn = _cutoff(places, n_unlabelled)
+    positive = F.coalesce(F.col("positive") & (F.col("at") <= F.lit(last_positive)), F.lit(False))
+    return (
+        texts.withColumn("positive", positive)
+        .withColumn("drawn", F.col("at") <= F.lit(last_drawn))
+        .filter("positive or drawn")
+        .groupBy("at")
+        .agg(
+            F.bool_or("positive").alias("positive"),
+            F.bool_or("drawn").alias("drawn"),
+            F.min("text").alias("text"),
+        )
+    )
 
 
 def train(
@@ -189,8 +228,9 @@ def train(
     ``docs``: ``doc_id``, ``text``; ``labels``: ``doc_id``, ``toxic`` (1: confirmed toxic),
     both without the held-out rows. ``prior``: share of toxic documents; by default their
     share among the labelled ones. Every model has the same positives and its own unlabelled
-    documents, which are drawn from all ``docs`` and so contain hidden positives. Without
-    a toxic example the model scores everything 0.
+    documents, which are drawn from all ``docs`` and so contain hidden positives. Samples are of
+    different rows: those equal in id and text count once, and rows without an id are drawn like
+    others, but never confirmed. Without a toxic example the model scores everything 0.
     """
     importable(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
@@ -203,16 +243,7 @@ def train(
         prior = counts["toxic"] / counts["n"]
     prior = float(min(max(prior, 1e-4), 0.9))
     toxic = known.filter("toxic = 1").select("doc_id")
-    cut = _cutoff(toxic, 0, positive_sample)
-    # at most `positive_sample` ids: a broadcast of a fixed bound
-    toxic = F.broadcast(toxic.filter(_order("doc_id", 0) <= cut).withColumn("positive", F.lit(True)))
-    texts = id_and_text(docs)
-    drawn = _cutoff(texts, 1, unlabelled_sample * classifiers)
-    sample = (
-        texts.join(toxic, "doc_id", "left")
-        .withColumn("drawn", _order("doc_id", 1) <= F.lit(drawn))
-        .filter("positive or drawn")
-    )
+    sample = _draw(docs, toxic, positive_sample, unlabelled_sample * classifiers)
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Featurizer()
@@ -233,7 +264,7 @@ def train(
             {"ids": [ids.astype(np.int32).tobytes()], "weights": [weights.tobytes()], "bias": [bias]}
         )
 
-    member = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(classifiers)).cast("int")
+    member = F.pmod(F.xxhash64(F.lit(2), "at"), F.lit(classifiers)).cast("int")
     schema = "positive boolean, drawn boolean, member int, features binary"
     prepared = (
         sample.select(
@@ -254,7 +285,7 @@ def train(
         )
         .withColumn("drawn", F.col("was_drawn") & (F.col("member") == F.col("model")))
     )
-    # a group holds at most both samples' bounds
+    # all groups together hold the unlabelled sample once, and each the positive one
     fitted = (
         prepared.select("model", "positive", "drawn", "features")
         .groupBy("model")
@@ -323,7 +354,9 @@ def drop_toxic(
 ) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more.
 
-    Columns stay as they are, whatever their names; rows are scored where they lie.
+    Columns stay as they are, whatever their names; rows are scored where they lie. Null and
+    empty texts get the score of no features, which a model of any use keeps; an empty table
+    stays empty, and repeated rows share their fate.
     """
     importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
