@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,12 +21,10 @@ SAMPLE_CHARS = 40_000
 # The sample has an excerpt of each of its documents, so that no long one fills it.
 EXCERPT_CHARS = 800
 
-# The parse starts anew after so many characters, so that long texts are parsed in pieces side
-# by side; every piece of every text is parsed.
+# Long texts are walked in pieces of so many characters, side by side; see `phrase_counts`.
 PIECE = 2048
 
-_SYMBOLS = 64
-_SPACE, _OTHER = 0, _SYMBOLS - 1
+_SPACE = 0
 
 UNDETERMINED = "und"
 
@@ -43,19 +40,16 @@ def _codes(text: str) -> np.ndarray:
 
 
 def alphabet_of(texts: Iterable[str]) -> np.ndarray:
-    """The commonest letters of the texts, as code points; at most 62."""
-    counts: Counter = Counter()
-    for text in texts:
-        codes = _codes(text)
-        values, n = np.unique(codes[_letters()[codes]], return_counts=True)
-        counts.update(dict(zip(values.tolist(), n.tolist(), strict=True)))
-    order = sorted(counts, key=lambda c: (-counts[c], c))
-    return np.array(order[: _SYMBOLS - 2], dtype=np.int64)
+    """All letters of the texts, as code points in order."""
+    found = [np.unique(_codes(t)) for t in texts]
+    codes = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
+    return codes[_letters()[codes]].astype(np.int64)
 
 
 def symbol_table(alphabet: np.ndarray) -> np.ndarray:
-    """Code point to symbol: 0 for what is no letter, 63 for letters outside the alphabet."""
-    table = np.where(_letters(), _OTHER, _SPACE).astype(np.uint8)
+    """Code point to symbol: 0 for what is no letter, then the letters of the alphabet, however
+    many, and the last one for all other letters, which are in no labelled text."""
+    table = np.where(_letters(), len(alphabet) + 1, _SPACE).astype(np.int32)
     table[alphabet] = np.arange(1, len(alphabet) + 1)
     return table
 
@@ -71,10 +65,11 @@ def symbols(text: str, table: np.ndarray) -> np.ndarray:
 
 
 def suffix_automaton(sequences: list[np.ndarray]) -> np.ndarray:
-    """Transitions of the automaton of all substrings of the sequences: state by symbol.
+    """Transitions of the automaton of all substrings of the sequences, in rows of state, symbol
+    and target, by state.
 
-    State 0 is the root; 0 as a target means that no such substring exists. No match crosses
-    from one sequence to the next: the construction starts each at the root.
+    State 0 is the root. No match crosses from one sequence to the next: the construction starts
+    each at the root.
     """
     moves: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
@@ -114,11 +109,48 @@ def suffix_automaton(sequences: list[np.ndarray]) -> np.ndarray:
         last = 0
         for symbol in sequence.tolist():
             last = extend(last, symbol)
-    table = np.zeros((len(moves), _SYMBOLS), dtype=np.int32)
-    for state, out in enumerate(moves):
-        if out:
-            table[state, list(out)] = list(out.values())
-    return table
+    rows = [(state, c, to) for state, out in enumerate(moves) for c, to in sorted(out.items())]
+    return np.array(rows, dtype=np.int32).reshape(-1, 3)
+
+
+def _packed(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions in one array without their many gaps: that of state ``s`` by symbol ``c`` is at
+    ``base[s] + c``, where ``owner`` names the state and ``target`` the next one. States with
+    most transitions are placed first, each not far below the last one, where all of its places
+    are free; those with one transition then fill the gaps from the start."""
+    n_states = int(rows[:, [0, 2]].max(initial=0)) + 1
+    starts = np.searchsorted(rows[:, 0], np.arange(n_states + 1))
+    width = int(rows[:, 1].max(initial=0)) + 1
+    taken = bytearray(2 * len(rows) + 2 * width)
+    base = np.zeros(n_states, np.int32)
+    last = lowest = 0
+    for state in np.argsort(-np.diff(starts), kind="stable").tolist():
+        mine = rows[starts[state] : starts[state + 1], 1].tolist()
+        if not mine:
+            break
+        at = lowest if len(mine) == 1 else max(0, last - 4 * width)
+        while True:
+            at = taken.find(0, at)  # a free place for the first transition
+            if at < 0 or at + width > len(taken):
+                at = max(at, 0)
+                taken.extend(bytes(len(taken)))
+                at = taken.find(0, at)
+            offset = at - mine[0]
+            if offset >= 0 and not any(taken[offset + c] for c in mine):
+                break
+            at += 1
+        for c in mine:
+            taken[offset + c] = 1
+        base[state] = offset
+        if len(mine) == 1:
+            lowest = at
+        else:
+            last = max(last, at)
+    owner = np.full(len(taken) + width, -1, np.int32)
+    target = np.zeros(len(taken) + width, np.int32)
+    place = base[rows[:, 0]] + rows[:, 1]
+    owner[place], target[place] = rows[:, 0], rows[:, 2]
+    return base, owner, target
 
 
 @dataclass
@@ -127,78 +159,131 @@ class Model:
 
     languages: list[str]
     alphabet: np.ndarray
-    moves: np.ndarray  # flat: state * symbols + symbol -> state, in one numbering
+    base: np.ndarray
+    owner: np.ndarray
+    target: np.ndarray
     roots: np.ndarray
+    anew: np.ndarray  # language by symbol: where a phrase that starts with it begins
 
     @classmethod
     def of(cls, automata: dict[str, np.ndarray], alphabet: np.ndarray) -> Model:
-        languages = sorted(automata)
-        roots = np.cumsum([0] + [len(automata[name]) for name in languages])
-        parts = [
-            np.where(automata[name] > 0, automata[name] + np.int32(root), np.int32(0))
-            for name, root in zip(languages, roots, strict=False)
-        ]
-        moves = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
-        return cls(languages, alphabet, moves, roots[:-1].astype(np.int32))
+        languages, width = sorted(automata), len(alphabet) + 2
+        bases, owners, targets, roots, state, place = [], [], [], [], 0, 0
+        for name in languages:
+            base, owner, target = _packed(automata[name])
+            bases.append(base + np.int32(place))
+            owners.append(np.where(owner >= 0, owner + np.int32(state), np.int32(-1)))
+            targets.append(target + np.int32(state))
+            roots.append(state)
+            state, place = state + len(base), place + len(owner)
+        empty = np.zeros(0, np.int32)
+        # any symbol may be looked up from the last base
+        owners.append(np.full(width, -1, np.int32))
+        targets.append(np.zeros(width, np.int32))
+        base, owner, target = (np.concatenate(x) if x else empty for x in (bases, owners, targets))
+        starts = np.array(roots, np.int32)
+        first = base[starts][:, None] + np.arange(width) if roots else np.zeros((0, width), np.int64)
+        anew = np.where(owner[first] == starts[:, None], target[first], starts[:, None])
+        return cls(languages, alphabet, base, owner, target, starts, anew.astype(np.int32))
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, language by text, and where a phrase has ended before the symbol."""
+        at = self.base[state] + symbol
+        ended = self.owner[at] != state
+        return np.where(ended, self.anew[:, symbol], self.target[at]), ended
 
 
 def phrase_counts(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """How many phrases each text (as symbols) needs in each language: text by language.
 
     A phrase is the longest stretch from where the last one ended that occurs in the language's
-    text. All pieces of all texts walk all automata together, a symbol at a time.
+    text. All pieces of all texts walk all automata together, a symbol at a time, each from the
+    root. Then the pieces of a text are put together, in order: the walk that really comes from
+    the piece before goes along with the one from the root until both are in the same state; from
+    there on the latter holds.
     """
     counts = np.zeros((len(texts), len(model.languages)), dtype=np.int64)
-    pieces = [(i, t[a : a + PIECE]) for i, t in enumerate(texts) for a in range(0, len(t), PIECE)]
-    pieces.sort(key=lambda p: -len(p[1]))
+    pieces = [(i, a // PIECE, t[a : a + PIECE]) for i, t in enumerate(texts) for a in range(0, len(t), PIECE)]
+    pieces.sort(key=lambda p: -len(p[2]))
     if not pieces or not model.languages:
         return counts
-    lengths = np.array([len(p) for _, p in pieces])
+    lengths = np.array([len(p) for _, _, p in pieces])
     grid = np.zeros((int(lengths[0]), len(pieces)), dtype=np.int32)
-    for k, (_, piece) in enumerate(pieces):
+    for k, (_, _, piece) in enumerate(pieces):
         grid[: len(piece), k] = piece
-    roots = model.roots[:, None]
-    restart = roots * _SYMBOLS
-    state = np.repeat(roots, len(pieces), axis=1)
-    n = np.zeros(state.shape, dtype=np.int32)
-    moves, live = model.moves, len(pieces)
+    final = np.repeat(model.roots[:, None], len(pieces), axis=1)
+    n = np.zeros(final.shape, dtype=np.int64)
+    live = len(pieces)
     alive = np.searchsorted(-lengths, -np.arange(len(grid)), side="left")
+    state = final.copy()
     for step in range(len(grid)):
         if alive[step] < live:
+            final[:, alive[step] : live] = state[:, alive[step] :]
             live = int(alive[step])
             state = np.ascontiguousarray(state[:, :live])
-        symbol = grid[step, :live]
-        to = moves[state * _SYMBOLS + symbol]
-        ended = to == 0
+        state, ended = model.step(state, grid[step, :live])
         n[:, :live] += ended
-        first = moves[restart + symbol]
-        state = np.where(ended, np.where(first == 0, roots, first), to)
-    owner = np.array([i for i, _ in pieces])
+    final[:, :live] = state
+    _join_pieces(model, pieces, grid, lengths, n, final)
+    owner = np.array([i for i, _, _ in pieces])
     for k in range(len(model.languages)):
-        counts[:, k] = np.bincount(owner, n[k] + 1, minlength=len(texts))
+        counts[:, k] = np.bincount(owner, n[k], minlength=len(texts))
+    counts[[len(t) > 0 for t in texts]] += 1
     return counts
 
 
+def _join_pieces(
+    model: Model, pieces: list, grid: np.ndarray, lengths: np.ndarray, n: np.ndarray, final: np.ndarray
+) -> None:
+    """Correct ``n`` and ``final`` of all pieces but the first ones for where they really start."""
+    place = {(text, k): at for at, (text, k, _) in enumerate(pieces)}
+    turn = 1
+    follow = np.array(sorted(at for (_, k), at in place.items() if k == turn), np.int64)
+    while len(follow):
+        before = np.array([place[pieces[at][0], turn - 1] for at in follow])
+        real = final[:, before]
+        anew = np.repeat(model.roots[:, None], len(follow), axis=1)
+        apart, step = real != anew, 0
+        while apart.any() and step < int(lengths[follow].max()):
+            inside = apart & (step < lengths[follow])
+            symbol = grid[step, follow]
+            real_next, real_ended = model.step(real, symbol)
+            anew_next, anew_ended = model.step(anew, symbol)
+            n[:, follow] += np.where(inside, real_ended.astype(np.int64) - anew_ended, 0)
+            real, anew = np.where(inside, real_next, real), np.where(inside, anew_next, anew)
+            apart &= real != anew
+            step += 1
+        final[:, follow] = np.where(apart, real, final[:, follow])
+        turn += 1
+        follow = np.array(sorted(at for (_, k), at in place.items() if k == turn), np.int64)
+
+
 def _sample(docs: DataFrame, sample_chars: int) -> DataFrame:
     """``lang``, ``at`` (a seeded order), ``text``: excerpts of about three times the wanted
-    characters per language, so that a language's rows stay bounded."""
+    characters per language, so that a language's rows stay bounded.
+
+    Rows are drawn by id and text, and rows equal in both count once; so neither a repeated id nor
+    a repeated row fills the sample.
+    """
     spark = docs.sparkSession
     labelled = docs.select("doc_id", "text", "lang").filter("lang is not null and length(text) > 0")
+    own = F.xxhash64("doc_id", "text")
+    labelled = labelled.withColumn("at", F.pmod(F.xxhash64(F.lit(7), own), F.lit(1 << 60)))
     size = F.least(F.char_length("text"), F.lit(EXCERPT_CHARS))
     # one number per language
-    totals = labelled.groupBy("lang").agg(F.sum(size).alias("n")).collect()
+    totals = labelled.groupBy("lang", "at").agg(F.max(size).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     shares = spark.createDataFrame(
-        [(r["lang"], min(1.0, 3.0 * sample_chars / r["n"])) for r in totals], "lang string, share double"
+        [(r["lang"], min(1.0, 3.0 * sample_chars / r["n"])) for r in totals.collect()],
+        "lang string, share double",
     )
-    start = F.pmod(
-        F.xxhash64(F.lit(8), "doc_id"), F.greatest(F.char_length("text") - EXCERPT_CHARS, F.lit(0)) + 1
-    ) + 1
-    at = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30))
+    spare = F.greatest(F.char_length("text") - EXCERPT_CHARS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64(F.lit(8), "doc_id"), spare) + 1
     return (
         labelled.join(F.broadcast(shares), "lang")
-        .withColumn("at", at)
-        .filter(F.col("at") / F.lit(float(1 << 30)) <= F.col("share"))
+        .filter(F.col("at") / F.lit(float(1 << 60)) <= F.col("share"))
         .select("lang", "at", F.substring("text", start.cast("int"), F.lit(EXCERPT_CHARS)).alias("text"))
+        .groupBy("lang", "at")
+        .agg(F.min("text").alias("text"))
     )
 
 
@@ -222,16 +307,15 @@ def _build(sample: DataFrame, alphabet: np.ndarray, sample_chars: int) -> Model:
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "moves": [automaton.tobytes()]})
 
     built = sample.groupBy("lang").applyInPandas(build, "lang string, moves binary").collect()
-    return Model.of(
-        {r["lang"]: np.frombuffer(r["moves"], np.int32).reshape(-1, _SYMBOLS) for r in built}, alphabet
-    )
+    return Model.of({r["lang"]: np.frombuffer(r["moves"], np.int32).reshape(-1, 3) for r in built}, alphabet)
 
 
 def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Build an automaton per language from labelled documents (``doc_id``, ``text``, ``lang``).
 
     Excerpts of documents are taken in a seeded order until ``sample_chars`` characters are
-    reached. Labelled documents quote other languages; so excerpts that automata of the other
+    reached, rows of equal id and text as one. The alphabet is all letters of the sample. Labelled
+    documents quote other languages; so excerpts that automata of the other
     half of the sample take for another language are left out first, unless that is all of
     a language. Rows without a language or a text teach nothing.
     """
@@ -242,11 +326,8 @@ def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     def letters(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"letters": [alphabet_of(_trimmed(rows, sample_chars)).tolist()]})
 
-    ranked: Counter = Counter()
-    for row in sample.groupBy("lang").applyInPandas(letters, "letters array<long>").collect():
-        ranked.update({c: _SYMBOLS - i for i, c in enumerate(row["letters"])})
-    order = sorted(ranked, key=lambda c: (-ranked[c], c))
-    alphabet = np.array(order[: _SYMBOLS - 2], dtype=np.int64)
+    found = sample.groupBy("lang").applyInPandas(letters, "letters array<long>").collect()
+    alphabet = np.unique(np.array([c for row in found for c in row["letters"]], dtype=np.int64))
 
     halves = [_build(sample.filter(F.col("at") % 2 == k), alphabet, sample_chars // 4) for k in (0, 1)]
     judges = spark.sparkContext.broadcast(halves)
