@@ -6,28 +6,40 @@ so the T - 1 longest inverted lists of its shingles can be skipped at first: who
 it is in one of the n - T + 1 shortest ones. Those are merged; the long lists are only probed
 for the documents that the merge brought up. The plan has four steps:
 
-1. Count in how many documents each shingle is, which orders the lists by length.
+1. Count in how many documents each shingle is, which orders the lists by length. Blocks of
+   documents send their shingles to be counted, and learn the counts of just these.
 2. Keep of each document its shortest lists. A list with one document links nothing, so
    a document whose shortest lists are all its own is done.
-3. Give each list to the family of its least edited document. Two documents that can link are
-   in one family at least, and near copies share few families.
-4. Search each family by blocks, with DivideSkip over the whole shingle sets.
+3. Give each list to the family of its least edited document, its leader. Two documents that can
+   link are in one family at least, and near copies share few families.
+4. Compare each member of a family with its leader. Members that don't link with it are searched for
+   in the family by blocks, with DivideSkip over the whole shingle sets.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.blocks import (
+    bucket_keys,
+    by_bucket,
+    pack_bytes,
+    pack_keys,
+    pack_texts,
+    unpack_bytes,
+    unpack_keys,
+    unpack_texts,
+    with_replies,
+)
 from sessionlake.llm.common import importable, keep_chosen, small_slices
 from sessionlake.llm.components import connected_components
 from sessionlake.session import materialize
@@ -35,20 +47,20 @@ from sessionlake.session import materialize
 WORDS = 5
 THRESHOLD = 80
 
-# Documents of a block; a task searches one pair of blocks of a family at a time.
+# Documents of a block of a family; a task searches one pair of blocks at a time.
 BLOCK = 256
 
 # Shingles below the middle of the hash range are counted and come first in the order; they are
 # more than any document's share of short lists, unless most of it is common text.
 _COUNTED = np.uint64(1) << np.uint64(63)
-
-# Counts are kept as levels (base-2 logarithms) of 2^25 cells of the hash range, whatever the
-# input. Shingles of one cell have the level of the commonest, which only changes the order.
-_KEY_BITS = 40
-_CELL_BITS = 25
 _LAST = 255
 
-_HELD = 1_000_000
+# Text of a block of documents, unless a single one is longer; counted shingles of a bucket, as
+# expected from the size of the text.
+BLOCK_BYTES = 1 << 20
+BUCKET_SHINGLES = 1 << 19
+_BYTES_PER_SHINGLE = 13
+_MOST = 255
 
 
 def required(n: int, m: int, threshold: int = THRESHOLD) -> int:
@@ -145,85 +157,73 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 # --- step 1: lengths of the inverted lists ----------------------------------------------
 
 
-_KEY_BYTES = _KEY_BITS // 8
-
-
-def _pack(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
-
-
-def _unpack(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // _KEY_BYTES, 8), dtype=np.uint8)
-    out[:, :_KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, _KEY_BYTES)
-    return out.view("<u8").ravel()
-
-
-def list_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """The level of every cell of the counted range: 0 where no shingle is in two documents.
-
-    Each task adds up equal shingles before it sends them, in chunks by stretch of the hash
-    range; a stretch's task sees all counts of its shingles. The number of stretches follows
-    the size of the input, so that a stretch stays small.
-    """
-    spark = docs.sparkSession
-    importable(spark)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(20, max(4, int(size >> 24).bit_length()))
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n = 0
-
-        def out() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(_KEY_BITS - bits))
-            stretch, once, more, times = [], [], [], []
-            for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(keys)], strict=True)):
-                if a < b:
-                    single = counts[a:b] == 1
-                    stretch.append(k)
-                    once.append(_pack(keys[a:b][single]))
-                    more.append(_pack(keys[a:b][~single]))
-                    times.append(counts[a:b][~single].astype("<u4").tobytes())
-            return pa.record_batch(
-                [pa.array(stretch, pa.int32())] + [pa.array(c, pa.binary()) for c in (once, more, times)],
-                ["stretch", "once", "more", "times"],
+_BLOCKS = (
+    "block long, ids array<long>, text_keys array<long>, texts binary, ends binary,"
+    " bucket long, n int, keys binary, counts binary"
+)
+
+
+def _counted(sets: list[np.ndarray], buckets: int) -> list[np.ndarray]:
+    """The keys of each set's counted shingles, in the order of the set."""
+    return [bucket_keys(ids[: np.searchsorted(ids, _COUNTED)] << np.uint64(1), buckets) for ids in sets]
+
+
+def _blocks(docs: DataFrame, words: int, buckets: int, block_bytes: int) -> DataFrame:
+    """Rows of two kinds: without a bucket a block of documents, whole; with a bucket the
+    counted shingles of a block that are dealt to it, each once, and in how many of its documents
+    each is (255 at most)."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for rows in small_slices(batches, max_bytes=block_bytes):
+            texts = rows.column("text")
+            keys = _counted(shingle_sets(texts, words), buckets)
+            keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+            counts = np.minimum(counts, _MOST)
+            found = [
+                (b, s.stop - s.start, pack_keys(keys[s].astype(np.uint32)), pack_bytes(counts[s]))
+                for b, s in by_bucket(keys)
+            ]
+            n = len(found)
+            whole = pa.array([0] + [rows.num_rows] * (n + 1), pa.int32())
+            data, ends = pack_texts(texts)
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.record_batch(
+                [
+                    pa.array([block] * (n + 1), pa.int64()),
+                    pa.ListArray.from_arrays(whole, rows.column("doc_id")),
+                    pa.ListArray.from_arrays(whole, rows.column("text_key")),
+                    pa.array([data] + [None] * n, pa.binary()),
+                    pa.array([ends] + [None] * n, pa.binary()),
+                    *[pa.array([None] + [f[k] for f in found], kind) for k, kind in enumerate(kinds)],
+                ],
+                ["block", "ids", "text_keys", "texts", "ends", "bucket", "n", "keys", "counts"],
             )
-
-        for rows in small_slices(batches, max_bytes=1 << 20):
-            for ids in shingle_sets(rows.column("text"), words):
-                ids = ids[: np.searchsorted(ids, _COUNTED)]
-                held.append(ids >> np.uint64(63 - _KEY_BITS))
-                n += len(ids)
-            if n >= _HELD:
-                yield out()
-                held, n = [], 0
-        if n:
-            yield out()
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        once, more = _unpack(b"".join(rows["once"])), _unpack(b"".join(rows["more"]))
-        times = np.frombuffer(b"".join(rows["times"]), "<u4").astype(np.int64)
-        keys, at = np.unique(np.concatenate([once, more]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([np.ones(len(once)), times])).astype(np.int64)
-        many = counts > 1
-        k = int(rows["stretch"].iloc[0])
-        cells = np.zeros(1 << (_CELL_BITS - bits), dtype=np.uint8)
-        cell = (keys[many] >> np.uint64(_KEY_BITS - _CELL_BITS)).astype(np.int64) - (k << (_CELL_BITS - bits))
-        np.maximum.at(cells, cell, np.floor(np.log2(counts[many])).astype(np.uint8))
-        return pd.DataFrame({"stretch": [k], "cells": [zlib.compress(cells.tobytes(), 1)]})
-
-    text = docs.select(F.col("text").cast("string").alias("text"))
-    found = (
-        text.mapInArrow(count, "stretch int, once binary, more binary, times binary")
-        .groupBy("stretch")
-        .applyInPandas(add, "stretch int, cells binary")
+            block += 1
+
+    return docs.mapInArrow(cut, _BLOCKS)
+
+
+def _levels(table: pa.Table) -> pa.Table:
+    """Of one bucket: the level of each shingle of each block, the base-2 logarithm of the number
+    of documents that have it; 0 for one document."""
+    sizes = table.column("n").to_pylist()
+    columns = [zip(table.column(c), sizes, strict=True) for c in ("keys", "counts")]
+    keys = np.concatenate([unpack_keys(k.as_py(), n) for k, n in columns[0]])
+    counts = np.concatenate([unpack_bytes(c.as_py(), n) for c, n in columns[1]])
+    distinct, at = np.unique(keys, return_inverse=True)
+    total = np.bincount(at, counts, minlength=len(distinct))
+    level = np.floor(np.log2(total)).astype(np.uint8)[at]
+    ends = np.cumsum([0, *sizes]).tolist()
+    packed = [pack_bytes(level[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    return pa.table(
+        {
+            "block": table.column("block"),
+            "bucket": table.column("bucket"),
+            "n": table.column("n"),
+            "levels": pa.array(packed, pa.binary()),
+        }
     )
-    levels = np.zeros(1 << _CELL_BITS, dtype=np.uint8)
-    for row in found.collect():  # the cells, of fixed number
-        part = np.frombuffer(zlib.decompress(row["cells"]), np.uint8)
-        levels[row["stretch"] * len(part) : (row["stretch"] + 1) * len(part)] = part
-    return levels
 
 
 # --- step 2: the shortest lists of each document ----------------------------------------
@@ -231,13 +231,6 @@ def list_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
 _SETS = "id long, text_key long, n int, own double, set_key binary, short array<long>, shingles binary"
 
 
-def _levels_of(ids: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    out = np.full(len(ids), _LAST, dtype=np.uint8)
-    counted = int(np.searchsorted(ids, _COUNTED))
-    out[:counted] = levels[(ids[:counted] >> np.uint64(63 - _CELL_BITS)).astype(np.int64)]
-    return out
-
-
 def shortest_lists(ids: np.ndarray, level: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
     """Those shingles of a set among which a linking set must have one, without the set's own.
 
@@ -249,47 +242,67 @@ def shortest_lists(ids: np.ndarray, level: np.ndarray, threshold: int = THRESHOL
 
 
 def document_sets(
-    docs: DataFrame, levels: np.ndarray, words: int = WORDS, threshold: int = THRESHOLD
+    docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): the size of its set; and, where it may link
-    with another, its shortest lists, the whole set and the share of shingles that only it has."""
-    spark = docs.sparkSession
-    importable(spark)
-    shared = spark.sparkContext.broadcast(levels)
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
-        for rows in small_slices(batches, max_bytes=1 << 20):
-            n, own, key, short, whole = [], [], [], [], []
-            for ids in shingle_sets(rows.column("text"), words):
-                level = _levels_of(ids, levels)
-                near = shortest_lists(ids, level, threshold) if len(ids) else ids
-                n.append(len(ids))
-                open_ = len(near) > 0
-                counted = max(1, int((level < _LAST).sum()))
-                own.append(float((level == 0).sum()) / counted if open_ else None)
-                body = ids.astype("<u8").tobytes() if open_ else None
-                key.append(hashlib.blake2b(body, digest_size=16).digest() if open_ else None)
-                short.append(near.view(np.int64) if open_ else None)
-                whole.append(body)
-            yield pa.record_batch(
-                [
-                    rows.column("doc_id"),
-                    rows.column("text_key"),
-                    pa.array(n, pa.int32()),
-                    pa.array(own, pa.float64()),
-                    pa.array(key, pa.binary()),
-                    pa.array(short, pa.list_(pa.int64())),
-                    pa.array(whole, pa.binary()),
-                ],
-                ["id", "text_key", "n", "own", "set_key", "short", "shingles"],
-            )
+    with another, its shortest lists, the whole set and the share of shingles that only it has.
 
+    The number of buckets follows the size of the input, so that a bucket stays small.
+    """
+    importable(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")
     )
-    return rows.mapInArrow(sets, _SETS)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = int(size // (_BYTES_PER_SHINGLE * BUCKET_SHINGLES)) + 1
+    cut = materialize(_blocks(rows, words, buckets, block_bytes), "ngram-blocks")
+    blocks = cut.filter("bucket IS NULL").select("block", "ids", "text_keys", "texts", "ends")
+    keys = cut.filter("bucket IS NOT NULL").select("block", "bucket", "n", "keys", "counts")
+    levels = keys.groupBy("bucket").applyInArrow(_levels, "block long, bucket long, n int, levels binary")
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield _sets_of(batch.slice(i, 1), words, threshold, buckets)
+
+    asked = with_replies(blocks, levels, "replies", "bucket", "n", "levels")
+    return asked.mapInArrow(sets, _SETS)
+
+
+def _sets_of(row: pa.RecordBatch, words: int, threshold: int, buckets: int) -> pa.RecordBatch:
+    found = shingle_sets(unpack_texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py()), words)
+    keys = _counted(found, buckets)
+    distinct = np.unique(np.concatenate(keys))
+    replies = sorted(row.column("replies")[0].as_py() or [], key=lambda r: r["bucket"])
+    known = [unpack_bytes(r["levels"], r["n"]) for r in replies]
+    levels = np.concatenate([np.zeros(0, np.uint8), *known])
+    if len(levels) != len(distinct):
+        raise ValueError(f"{len(levels)} shingles counted, {len(distinct)} found")
+    n, own, key, short, whole = [], [], [], [], []
+    for ids, mine in zip(found, keys, strict=True):
+        level = np.full(len(ids), _LAST, np.uint8)
+        level[: len(mine)] = levels[np.searchsorted(distinct, mine)]
+        near = shortest_lists(ids, level, threshold) if len(ids) else ids
+        open_ = len(near) > 0
+        n.append(len(ids))
+        own.append(float((level == 0).sum()) / max(1, len(mine)) if open_ else None)
+        body = ids.astype("<u8").tobytes() if open_ else None
+        key.append(hashlib.blake2b(body, digest_size=16).digest() if open_ else None)
+        short.append(near.view(np.int64) if open_ else None)
+        whole.append(body)
+    return pa.record_batch(
+        [
+            row.column("ids")[0].values,
+            row.column("text_keys")[0].values,
+            pa.array(n, pa.int32()),
+            pa.array(own, pa.float64()),
+            pa.array(key, pa.binary()),
+            pa.array(short, pa.list_(pa.int64())),
+            pa.array(whole, pa.binary()),
+        ],
+        ["id", "text_key", "n", "own", "set_key", "short", "shingles"],
+    )
 
 
 # --- step 4: DivideSkip over the documents of two blocks --------------------------------
@@ -326,14 +339,12 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
-def search_block(
-    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, leader: int, threshold: int = THRESHOLD
+def search_pair(
+    sets: list[np.ndarray], queries: np.ndarray, targets: np.ndarray, threshold: int = THRESHOLD
 ) -> list[tuple[int, int]]:
-    """Links that join the documents of a pair of blocks, as positions: a spanning forest.
+    """Links between ``queries`` and ``targets``, as positions: a spanning forest.
 
-    ``left``, ``right``: which positions are in the first and in the second block; pairs of
-    a left and a right document, and pairs with the ``leader``, are decided. Documents that
-    links join already aren't compared, as only who is joined is asked.
+    Documents that links join already aren't compared, as only who is joined is asked.
     """
     parent = list(range(len(sets)))
     links: list[tuple[int, int]] = []
@@ -345,86 +356,137 @@ def search_block(
             i = parent[i]
         return i
 
-    def join(i: int, j: int) -> None:
-        a, b = find(i), find(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            links.append((i, j))
-
-    def linked(i: int, j: int) -> bool:
-        need = required(size[i], size[j], threshold)
-        return need <= min(size[i], size[j]) and overlap(sets[i], sets[j]) >= need
-
-    for i in range(len(sets)):
-        if i != leader and linked(i, leader):
-            join(i, leader)
-    # of two documents that aren't joined, one is outside of the largest group
-    groups = np.array([find(i) for i in range(len(sets))])
-    values, counts = np.unique(groups, return_counts=True)
-    queries = np.flatnonzero(groups != values[np.argmax(counts)])
-    if not len(queries):
-        return links
-    owner = np.repeat(np.arange(len(sets)), size)
-    flat = np.concatenate(sets)
+    there = np.flatnonzero(targets)
+    owner = np.repeat(there, [size[j] for j in there])
+    flat = np.concatenate([sets[j] for j in there]) if len(there) else np.zeros(0, np.uint64)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    for i in queries.tolist():
-        if i == leader:
-            continue
+    for i in np.flatnonzero(queries).tolist():
         low = np.searchsorted(flat, sets[i], side="left")
         high = np.searchsorted(flat, sets[i], side="right")
-        wanted = (right & left[i]) | (left & right[i])
         need = least_shared(size[i], threshold)
 
-        def read(k: int, i: int = i, low=low, high=high, wanted=wanted) -> list[int]:
-            there = owner[low[k] : high[k]]
-            return there[wanted[there] & (there != i)].tolist() if len(there) > 1 else []
+        def read(k: int, low=low, high=high) -> list[int]:
+            return owner[low[k] : high[k]].tolist()
 
         def probe(j: int, count: int, i: int = i, need: int = need) -> bool:
             # `need - 1` lists were set aside; the rest can't bring more than `count`
             if count + need - 1 < required(size[i], size[j], threshold) or find(i) == find(j):
                 return False
-            return linked(i, j)
+            return linked(sets[i], sets[j], threshold)
 
         for j in divide_skip(high - low, read, need, probe):
-            join(i, j)
+            a, b = find(i), find(j)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((i, j))
     return links
 
 
+def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
+    need = required(len(a), len(b), threshold)
+    return need <= min(len(a), len(b)) and overlap(a, b) >= need
+
+
+def _with_leader(threshold: int):
+    """Whether each member of a family links with the leader."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in small_slices(batches, "shingles"):
+            sets, leads = (
+                [np.frombuffer(b, "<u8") for b in rows.column(c).to_pylist()] for c in ("shingles", "lead")
+            )
+            found = [linked(a, b, threshold) for a, b in zip(sets, leads, strict=True)]
+            yield pa.record_batch(
+                [rows.column("leader"), rows.column("id"), pa.array(found, pa.bool_())],
+                ["leader", "id", "linked"],
+            )
+
+    return compare
+
+
 def _search(threshold: int):
-    """Blocks come sorted by key, one after the other; each is searched when it is complete."""
+    """Pairs of blocks come sorted by key, one after the other; each is searched when it is
+    complete."""
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
+        at, rows = None, {}
 
         def done() -> pa.RecordBatch:
-            rows.sort(key=lambda r: r[0])
-            ids = [r[0] for r in rows]
-            sets = [np.frombuffer(r[2], "<u8") for r in rows]
-            i, j = at[1], at[2]
-            blocks = np.array([r[1] for r in rows])
-            lead = ids.index(at[0])
-            left, right = blocks == i, blocks == j
-            links = search_block(sets, left, right, lead, threshold)
+            ids = sorted(rows)
+            sets = [np.frombuffer(rows[i][2], "<u8") for i in ids]
+            queries, targets = (np.array([rows[i][k] for i in ids]) for k in (0, 1))
+            links = search_pair(sets, queries, targets, threshold)
             return pa.record_batch(
                 [pa.array([ids[a] for a, _ in links], pa.int64()), pa.array([ids[b] for _, b in links], pa.int64())],
                 ["a", "b"],
             )
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("leader", "i", "j", "id", "block", "shingles")]
-            for leader, i, j, id_, block, body in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("leader", "i", "j", "id", "query", "shingles")]
+            for leader, i, j, id_, query, body in zip(*columns, strict=True):
                 if (leader, i, j) != at:
                     if len(rows) > 1:
                         yield done()
-                    at, rows = (leader, i, j), []
-                rows.append((id_, block, body))
+                    at, rows = (leader, i, j), {}
+                before = rows.get(id_, (False, False))
+                rows[id_] = (before[0] or query, before[1] or not query, body)
         if len(rows) > 1:
             yield done()
 
     return search
 
 
+def _family_links(family: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """Links within families (``leader``, ``id``): enough of them to join what any pair joins.
+
+    Each member is compared with the leader, in a join that Spark can split. Who links with
+    it is joined to all others who do; so only pairs with a member that doesn't are left. These
+    members are dealt to blocks, which meet all blocks of their family.
+    """
+    whole = sets.select(F.col("row").alias("id"), "shingles")
+    lead = sets.select(F.col("row").alias("leader"), F.col("shingles").alias("lead"))
+    led = materialize(
+        family.filter("id <> leader")
+        .join(whole, "id")
+        .join(lead.join(family.select("leader").distinct(), "leader", "left_semi"), "leader")
+        .mapInArrow(_with_leader(threshold), "leader long, id long, linked boolean"),
+        "ngram-led",
+    )
+    links = led.filter("linked").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    loose = led.filter("not linked").select("leader", "id")
+    if loose.isEmpty():
+        return links
+    sizes = led.groupBy("leader").agg(
+        F.ceil(F.count_if(~F.col("linked")) / block).cast("int").alias("n_loose"),
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_all"),
+    )
+    sizes = materialize(sizes.filter("n_loose > 0"), "ngram-family-sizes")
+
+    def dealt(n: str):
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    queries = loose.join(sizes, "leader").select(
+        "leader", "id", dealt("n_loose").alias("i"), every("n_all").alias("j"), F.lit(True).alias("query")
+    )
+    targets = led.select("leader", "id").join(sizes, "leader").select(
+        "leader", "id", every("n_loose").alias("i"), dealt("n_all").alias("j"), F.lit(False).alias("query")
+    )
+    key = ["leader", "i", "j"]
+    found = (
+        queries.unionByName(targets)
+        .join(whole, "id")
+        .repartition(*key)
+        .sortWithinPartitions(*key)
+        .select(*key, "id", "query", "shingles")
+        .mapInArrow(_search(threshold), "a long, b long")
+    )
+    return links.unionByName(found)
+
+
 # --- the join ---------------------------------------------------------------------------
 
 
@@ -446,10 +508,8 @@ def near_duplicate_classes(
     other, but is never the smallest; rows with the same id and different texts are documents of
     their own. An empty table gives an empty result.
     """
-    levels = list_levels(docs, words)
     sets = materialize(
-        document_sets(docs, levels, words, threshold).withColumn("row", F.monotonically_increasing_id()),
-        "ngram-sets",
+        document_sets(docs, words, threshold).withColumn("row", F.monotonically_increasing_id()), "ngram-sets"
     )
     open_ = sets.filter("set_key is not null")
     # equal sets are one from here on: the first row stands for all
@@ -476,40 +536,7 @@ def near_duplicate_classes(
     family = materialize(
         postings.select("id", "shingle").join(lists, "shingle").select("leader", "id").distinct(), "ngram-family"
     )
-    sizes = family.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    sizes = materialize(sizes, "ngram-family-sizes")
-    own = F.when(F.col("id") == F.col("leader"), F.lit(-1)).otherwise(
-        F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # a document goes to every pair of blocks that its own is part of, the leader to all pairs
-    with_own = F.transform(
-        every, lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j"))
-    )
-    all_pairs = F.flatten(
-        F.transform(
-            every,
-            lambda i: F.transform(
-                F.filter(every, lambda j: j >= i), lambda j: F.struct(i.alias("i"), j.alias("j"))
-            ),
-        )
-    )
-    placed = (
-        family.join(sizes, "leader")
-        .withColumn("block", own)
-        .withColumn("pair", F.explode(F.when(F.col("block") < 0, all_pairs).otherwise(with_own)))
-        .select("leader", "id", "block", "pair.i", "pair.j")
-    )
-    importable(docs.sparkSession)
-    key = ["leader", "i", "j"]
-    links = materialize(
-        placed.join(open_.select(F.col("row").alias("id"), "shingles"), "id")
-        .repartition(*key)
-        .sortWithinPartitions(*key)
-        .select(*key, "id", "block", "shingles")
-        .mapInArrow(_search(threshold), "a long, b long"),
-        "ngram-links",
-    )
+    links = materialize(_family_links(family, open_, threshold, block), "ngram-links")
     roots = connected_components(links, "a", "b")  # node, component: of linked nodes only
     labelled = classes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         "set_key", "least", "first", F.coalesce("component", "node").alias("component")

@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.blocks import bucket_keys, by_bucket, pack_texts, unpack_texts, with_replies
 from sessionlake.llm.common import importable, small_slices
 from sessionlake.llm.words import join_words, numbered, split_words
 from sessionlake.session import materialize
@@ -56,9 +57,6 @@ _MOST = 255
 # No id: after all others.
 _NO_ID = np.iinfo(np.int64).max
 
-# Texts move compressed.
-_CODEC = "zstd"
-
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,35 +128,6 @@ def _argmin_rows(views: np.ndarray, rows: np.ndarray, step: int = 1 << 16) -> np
     )
 
 
-def _keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket in the upper half, 32 bits of the hash in the lower one."""
-    bucket = (hashes >> np.uint64(32)) % np.uint64(buckets)
-    return (bucket << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
-
-
-def _by_bucket(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """The buckets of sorted keys, and the stretch of each."""
-    buckets, starts = np.unique(keys >> np.uint64(32), return_index=True)
-    ends = [*starts[1:].tolist(), len(keys)]
-    for b, i, j in zip(buckets.tolist(), starts.tolist(), ends, strict=False):
-        yield b, slice(i, j)
-
-
-def _packed(texts: pa.Array) -> tuple[bytes, bytes]:
-    """Texts as one compressed run of bytes and their ends in it; null as empty."""
-    texts = pc.fill_null(texts, "")
-    _, offsets, data = texts.buffers()
-    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    plain = data[int(ends[0]) : int(ends[-1])].to_pybytes() if data else b""
-    return pa.compress(plain, _CODEC, asbytes=True), (ends[1:] - ends[0]).astype(np.int32).tobytes()
-
-
-def _texts(data: bytes, ends: bytes) -> pa.Array:
-    bounds = np.concatenate([[0], np.frombuffer(ends, np.int32)]).astype(np.int32)
-    plain = pa.decompress(data, int(bounds[-1]), _CODEC)
-    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds.tobytes()), plain])
-
-
 _BLOCKS = "block long, ids array<long>, texts binary, ends binary, bucket long, keys binary, counts binary"
 
 
@@ -172,7 +141,7 @@ def _blocks(docs: DataFrame, buckets: int, window: int, anchor: int, block_bytes
         for rows in small_slices(batches, max_bytes=block_bytes):
             ids, texts = rows.column("doc_id"), rows.column("text")
             pieces = Pieces(texts, window, anchor)
-            keys = _keys(pieces.anchor, buckets)
+            keys = bucket_keys(pieces.anchor, buckets)
             order = np.lexsort((pieces.of, keys))
             keys, of = keys[order], pieces.of[order]
             new_key = np.ones(len(keys), bool)
@@ -182,10 +151,10 @@ def _blocks(docs: DataFrame, buckets: int, window: int, anchor: int, block_bytes
             at = np.flatnonzero(new_key)
             held = np.add.reduceat(new.astype(np.int64), at) if len(at) else at
             held, keys = np.minimum(held, _MOST).astype(np.uint8), keys[at]
-            found = [(b, keys[s].astype(np.uint32).tobytes(), held[s].tobytes()) for b, s in _by_bucket(keys)]
+            found = [(b, keys[s].astype(np.uint32).tobytes(), held[s].tobytes()) for b, s in by_bucket(keys)]
             n = len(found)
             whole = pa.array([0] + [len(ids)] * (n + 1), pa.int32())
-            data, ends = _packed(texts)
+            data, ends = pack_texts(texts)
             yield pa.record_batch(
                 [
                     pa.array([block] * (n + 1), pa.int64()),
@@ -265,8 +234,8 @@ def _deal(buckets: int, window: int, anchor: int) -> Callable:
 def _dealt(row: pa.RecordBatch, buckets: int, window: int, anchor: int) -> pa.RecordBatch:
     block = row.column("block")[0].as_py()
     ids = pc.fill_null(row.column("ids")[0].values, _NO_ID).to_numpy().astype(np.int64)
-    pieces = Pieces(_texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py()), window, anchor)
-    keys = _keys(pieces.anchor, buckets)
+    pieces = Pieces(unpack_texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py()), window, anchor)
+    keys = bucket_keys(pieces.anchor, buckets)
     distinct, at = np.unique(keys, return_inverse=True)
     replies = row.column("replies")[0].as_py()
     kind = _unpacked(replies or [])
@@ -281,7 +250,7 @@ def _dealt(row: pa.RecordBatch, buckets: int, window: int, anchor: int) -> pa.Re
     first = np.concatenate([pieces.first[whole], windows])
     count = np.concatenate([pieces.count[whole], np.ones(len(windows), np.int64)])
     of = np.concatenate([pieces.of[whole], np.repeat(pieces.of[single], counts)])
-    bucket = np.concatenate([keys[whole], _keys(by_words[windows], buckets)]) >> np.uint64(32)
+    bucket = np.concatenate([keys[whole], bucket_keys(by_words[windows], buckets)]) >> np.uint64(32)
     sizes = count + window - 1
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     places = np.repeat(first, sizes) + _up_to(sizes)
@@ -298,7 +267,7 @@ def _dealt(row: pa.RecordBatch, buckets: int, window: int, anchor: int) -> pa.Re
     there, starts = np.unique(home, return_index=True)
     bounds = [*starts.tolist(), len(home)]
     dealt = [
-        (int(b), *_packed(texts.slice(i, j - i)), owners[i:j].tobytes())
+        (int(b), *pack_texts(texts.slice(i, j - i)), owners[i:j].tobytes())
         for b, i, j in zip(there.tolist(), bounds[:-1], bounds[1:], strict=True)
     ]
     n = len(dealt)
@@ -429,7 +398,7 @@ def _parse(window: int) -> Callable[[pa.Table], pa.Table]:
 
     def parse(table: pa.Table) -> pa.Table:
         blobs = [(p.as_py(), e.as_py()) for p, e in zip(table.column("pieces"), table.column("ends"), strict=True)]
-        held = [_texts(*blob) for blob in blobs]
+        held = [unpack_texts(*blob) for blob in blobs]
         owners = np.frombuffer(b"".join(o.as_py() for o in table.column("owners")), np.int64)
         number, texts = numbered(pa.concat_arrays(held))
         first = np.full(len(texts), _NO_ID)
@@ -467,7 +436,7 @@ def _remove(window: int) -> Callable:
 
 def _removed(row: pa.RecordBatch, window: int) -> pa.RecordBatch:
     ids = row.column("ids")[0].values
-    texts = _texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py())
+    texts = unpack_texts(row.column("texts")[0].as_py(), row.column("ends")[0].as_py())
     bounds, words = split_words(texts)
     first, count, slot, own = (
         np.frombuffer(row.column(name)[0].as_py() or b"", kind)
@@ -544,14 +513,14 @@ def remove_repeated(
     kinds = anchors.groupBy("bucket").applyInArrow(
         _count_anchors(hot), "block long, bucket long, kinds binary, n int"
     )
-    asked = _with_replies(blocks, kinds, "replies", "bucket", "kinds", "n")
+    asked = with_replies(blocks, kinds, "replies", "bucket", "kinds", "n")
     dealt = materialize(
         asked.mapInArrow(_deal(buckets, window, anchor), _DEALT), "passage-pieces"
     )
     pieces = dealt.filter("bucket IS NOT NULL").select("block", "bucket", "pieces", "ends", "owners")
     masks = pieces.groupBy("bucket").applyInArrow(_parse(window), "block long, bucket long, masks binary")
     places = dealt.filter("bucket IS NULL").select("block", "first", "count", "slot", "own")
-    answered = _with_replies(places, masks, "masks", "bucket", "masks")
+    answered = with_replies(places, masks, "masks", "bucket", "masks")
     of_block = answered.withColumnRenamed("block", "_block")
     return blocks.join(of_block, F.col("block") == F.col("_block"), "left").mapInArrow(
         _remove(window),
@@ -559,19 +528,6 @@ def remove_repeated(
     )
 
 
-def _with_replies(blocks: DataFrame, replies: DataFrame, name: str, *columns: str) -> DataFrame:
-    """``blocks`` with what the buckets said about each, as structs of ``columns``.
-
-    Replies are written, so that Spark knows their size and sends small ones to the blocks, which
-    then stay where they are.
-    """
-    together = materialize(
-        replies.groupBy(F.col("block").alias("_of")).agg(F.collect_list(F.struct(*columns)).alias(name)),
-        "passage-replies",
-    )
-    return blocks.join(together, F.col("block") == F.col("_of"), "left").drop("_of")
-
-
 def passage_digest(docs: DataFrame) -> DataFrame:
     """Per document: words, words that repeat, and the digest of the others."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
