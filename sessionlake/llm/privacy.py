@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import Remembered, importable, small_slices
@@ -38,7 +38,10 @@ MIN_CONTEXTS = 2
 # before it is removed.
 GENERALISE, REMOVE = 0.5, 0.8
 
-_SKETCH_BITS = 1 << 22
+# Bits of the map of terms: so many for each, within these bounds.
+_BITS_PER_TERM = 16
+_LEAST_BITS, _MOST_BITS = 1 << 22, 1 << 27
+_BITMAP_BITS = 8 * 4096
 _HELD_WORDS = 200_000
 
 # Up to so many disclosing terms, workers look terms up; more are joined with the texts' words.
@@ -116,11 +119,16 @@ def text_terms(text: str, spans: list[tuple[int, int, int, str]]) -> set[str]:
 
 
 _FOUND = (
-    "doc_id long, text_key long, spans array<struct<kind:int,start:int,end:int>>,"
+    "doc_id long, text_key string, spans array<struct<kind:int,start:int,end:int>>,"
     " entities array<string>, terms array<string>"
 )
 
 
+def _key(text: Column) -> Column:
+    """What tells texts apart: 128 bits; null for null."""
+    return F.md5(text.cast("binary"))
+
+
 def find_entities(docs: DataFrame) -> DataFrame:
     """Base spans and entities of every row of ``docs`` (``doc_id``, ``text``), and the terms of
     those rows that have an entity."""
@@ -147,7 +155,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
             )
 
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(text).alias("text_key"), text.alias("text"))
     return rows.mapInArrow(find, _FOUND)
 
 
@@ -158,23 +166,37 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     """
     flag = "maybe"
     rows = docs.select(F.col("text").cast("string").alias("text")).filter("text <> ''")
-    flagged = with_possible_repeats(rows.select(F.xxhash64("text").alias("text_key"), "text"), "text_key", flag)
+    flagged = with_possible_repeats(rows.select(_key(F.col("text")).alias("text_key"), "text"), "text_key", flag)
     repeats = flagged.filter(F.col(flag)).select("text_key", "text").dropDuplicates(["text_key"])
     return flagged.filter(~F.col(flag)).select("text_key", "text").unionByName(materialize(repeats, "pii-repeats"))
 
 
 def _sketch(terms: DataFrame):
-    """A broadcast bit map of fixed size with the hashes of ``terms``, so that the terms needn't
-    be sent to the workers. Other words may be marked by chance."""
-    hashes = terms.select((F.crc32(F.col("term").cast("binary")) % _SKETCH_BITS).cast("int").alias("h")).distinct()
-    marked = np.zeros(_SKETCH_BITS, dtype=bool)
-    marked[hashes.toArrow()["h"].to_numpy()] = True  # at most as many as the map has bits
-    return terms.sparkSession.sparkContext.broadcast(np.packbits(marked))
+    """A broadcast bit map with the hashes of ``terms``, so that the terms needn't be sent to the
+    workers: 16 bits a term, up to 16 MB. Other words may be marked by chance."""
+    n = terms.count() * _BITS_PER_TERM
+    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << max(0, n - 1).bit_length()))
+    at = F.crc32(F.col("term").cast("binary")) % bits
+    maps = (
+        terms.select(at.alias("at"))
+        .groupBy(F.floor(F.col("at") / _BITMAP_BITS).cast("int").alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("at") % _BITMAP_BITS).alias("map"))
+        .collect()  # as many as the map has parts
+    )
+    marks = bytearray(bits // 8)
+    for row in maps:
+        marks[row["part"] * 4096 : row["part"] * 4096 + 4096] = row["map"]
+    return terms.sparkSession.sparkContext.broadcast(bytes(marks))
 
 
 def _marked(sketch) -> Remembered:
-    marks = np.unpackbits(sketch.value).astype(bool)
-    return Remembered(lambda word: bool(marks[zlib.crc32(word.lower().encode("utf-8")) & (_SKETCH_BITS - 1)]), 150_000)
+    marks, last = sketch.value, 8 * len(sketch.value) - 1
+
+    def marked(word: str) -> bool:
+        at = zlib.crc32(word.lower().encode("utf-8")) & last
+        return bool(marks[at >> 3] >> (at & 7) & 1)
+
+    return Remembered(marked, 150_000)
 
 
 def text_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -279,7 +301,7 @@ def term_places(texts: DataFrame, terms: DataFrame, everywhere: bool) -> DataFra
             offsets = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
             yield pa.record_batch(
                 [
-                    pa.array(keys, pa.int64()),
+                    pa.array(keys, pa.string()),
                     pa.array(entities, pa.list_(pa.string())),
                     pa.array(words, pa.string()),
                     pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([starts, ends], fields=list(place))),
@@ -288,7 +310,7 @@ def term_places(texts: DataFrame, terms: DataFrame, everywhere: bool) -> DataFra
             )
 
     return texts.select("text_key", "text").mapInArrow(
-        find, "text_key long, entities array<string>, term string, places array<struct<start:int,end:int>>"
+        find, "text_key string, entities array<string>, term string, places array<struct<start:int,end:int>>"
     )
 
 
@@ -326,10 +348,10 @@ def _looked_up(docs: DataFrame, shares: DataFrame) -> DataFrame:
             )
 
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(text).alias("text_key"), text.alias("text"))
     return rows.mapInArrow(
         find,
-        "doc_id long, text_key long, spans array<struct<kind:int,start:int,end:int>>,"
+        "doc_id long, text_key string, spans array<struct<kind:int,start:int,end:int>>,"
         " terms array<struct<start:int,end:int,share:double>>",
     )
 
@@ -421,7 +443,7 @@ def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """
     importable(docs.sparkSession)
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), _key(text).alias("text_key"))
     spans = (
         private_spans(docs, everywhere)
         .filter("size(spans) > 0 or size(terms) > 0")
