@@ -579,3 +579,32 @@ def keep_one_of_each(
         .filter("fate IS NOT NULL")
     )
     return keep_chosen(docs, key, materialize(fates, "ngram-fates"))
+
+
+ORACLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh
+  FROM t
+), u AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS shingle FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), pairs AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM s
+  UNION
+  SELECT r.doc_id, b.b FROM reach r JOIN pairs b ON r.other = b.a
+)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM s JOIN reach ON reach.doc_id = s.doc_id GROUP BY s.doc_id, len(sh)
+"""

@@ -31,7 +31,8 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.near_duplicate_classes(load(spark, folder, "documents"))
+    found = ngram_join.near_duplicate_classes(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op3_privacy(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_ngram_join": ngram_join.ORACLE,
     "op5_topk": topk.ORACLE,
+    "op7_sharding": sharding.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op11_lexical": lexical.ORACLE,
     "op12_passages": passages.ORACLE,

@@ -111,3 +111,36 @@ def shard_digest(docs: DataFrame, shards: int = 16) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
 
+
+
+# The checksum of a text is worked out byte by byte, from the table of its polynomial.
+ORACLE = """
+WITH RECURSIVE bits AS (
+  SELECT range::UBIGINT AS byte, range::UBIGINT AS crc, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::UBIGINT) ELSE crc >> 1 END, k + 1
+  FROM bits WHERE k < 8
+), codes AS (
+  SELECT list(crc ORDER BY byte) AS code FROM bits WHERE k = 8
+), d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sums AS (
+  SELECT doc_id, CAST(length(h) // 2 + 1 AS BIGINT) AS size, CAST(xor(list_reduce(
+      list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::UBIGINT),
+      lambda crc, b: xor(crc >> 8, code[(xor(crc, b) & 255)::BIGINT + 1]), 4294967295::UBIGINT),
+      4294967295::UBIGINT) AS BIGINT) AS text_crc32
+  FROM d, codes
+), drawn AS (
+  SELECT doc_id, i, substr(md5('key:' || doc_id || ':' || i), 1, %(digits)d) AS u
+  FROM documents, (SELECT range AS i FROM range(17))
+), shards AS (
+  SELECT doc_id, CAST(arg_min(i, (-('0x' || u)::BIGINT, i)) FILTER (i < 16) AS INTEGER) AS shard,
+    CAST(arg_min(i, (-('0x' || u)::BIGINT, i)) AS INTEGER) AS grown_shard
+  FROM drawn GROUP BY doc_id
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY
+    ('0x' || substr(md5(doc_id || ':' || text_crc32), 1, 7))::BIGINT %% %(groups)d, doc_id, text_crc32) - 1 AS slot,
+  grown_shard
+FROM sums JOIN shards USING (doc_id)
+""" % {"digits": _HEX_DIGITS, "groups": SLOT_GROUPS}
