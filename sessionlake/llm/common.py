@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionlake.session import materialize
+
 # The white space of the contracts, as deleted or splitting characters.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,22 +52,49 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def keep_chosen(docs: DataFrame, keys: list[Column], fates: DataFrame) -> DataFrame:
+# Spark's bitmap functions keep 32,768 bits in a bitmap.
+BITMAP_BITS = 8 * 4096
+
+
+def bit_is_set(bitmap: Column, bit: Column) -> Column:
+    """Whether a bitmap has a bit; null where there is no bitmap."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    # a division by a power of two takes the place of a column shift
+    power = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (bit % 8 + 1).cast("int"))
+    return byte.cast("int").bitwiseAND(power) != 0
+
+
+def keep_chosen(docs: DataFrame, keys: list[Column], fates: DataFrame, bits: int = 1 << 27) -> DataFrame:
     """``docs`` without the rows that ``fates`` lets go, and one of those that it keeps once.
 
-    ``keys`` tell rows apart as far as needed; ``fates`` has a column for each, in order, and a
-    last one: ``go`` or ``one``. Rows it doesn't name all stay. Only rows that are kept once are
-    shuffled; ``fates`` should be a written table, which Spark sends to the rows if it is small.
+    ``keys`` tell rows apart as far as needed; ``fates``, a written table, has a column for each,
+    in order, and a last one: ``go`` or ``one``. Rows that it doesn't name all stay. A filter of
+    the keys, of at most ``bits / 8`` bytes, is sent to the rows; those that it doesn't hold stay
+    where they are, and only the others are written and joined.
     """
     names = [free_name(docs, f"_key{i}") for i in range(len(keys))]
-    fate = free_name(docs, "_fate")
-    keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
-    side = fates.toDF(*[free_name(keyed, f"_fate_key{i}") for i in range(len(keys))], fate)
-    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(names, side.columns, strict=False)]
-    marked = keyed.join(side, same, "left")
+    fate, hit, part, bitmap = (free_name(docs, n) for n in ("_fate", "_hit", "_part", "_bitmap"))
+    sides = [free_name(docs, f"_fate_key{i}") for i in range(len(keys))]
+    fates = fates.toDF(*sides, fate)
+
+    def place(columns: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(bits))
+
+    maps = (
+        fates.select(place(sides).alias(hit))
+        .groupBy(F.floor(F.col(hit) / BITMAP_BITS).cast("int").alias(part))
+        .agg(F.bitmap_construct_agg(F.col(hit) % BITMAP_BITS).alias(bitmap))
+    )
+    maps = F.broadcast(materialize(maps, "fate-filter"))  # at most bits / 32768 rows of 4 KB
+    keyed = docs.withColumns(dict(zip(names, keys, strict=True))).withColumn(hit, place(names))
+    tested = keyed.join(maps, F.floor(F.col(hit) / BITMAP_BITS).cast("int") == F.col(part), "left")
+    held = F.coalesce(bit_is_set(F.col(bitmap), F.col(hit) % BITMAP_BITS), F.lit(False))
+    named = materialize(tested.filter(held).select(*docs.columns, *names), "fate-named")
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(names, sides, strict=True)]
+    marked = named.join(fates, same, "left")
     stay = marked.filter(F.col(fate).isNull()).select(*docs.columns)
     once = marked.filter(F.col(fate) == "one").dropDuplicates(names).select(*docs.columns)
-    return stay.unionByName(once)
+    return tested.filter(~held).select(*docs.columns).unionByName(stay).unionByName(once)
 
 
 def held_out(id_col: str, parts: int, part: int):

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import WHITE_SPACE, free_name, keep_chosen
+from sessionlake.llm.common import BITMAP_BITS, WHITE_SPACE, bit_is_set, free_name, keep_chosen
 from sessionlake.session import materialize
 
-# Spark's bitmap functions keep 32,768 bits in a bitmap.
-_BITMAP_BITS = 8 * 4096
-
 # 2^27 bits: 16 MB of bitmaps at most, whatever the input.
 FILTER_BITS = 1 << 27
 
@@ -52,8 +49,8 @@ def repeat_filter(rows: DataFrame, digest: str, bits: int = FILTER_BITS) -> Data
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
-    return hit.groupBy((F.col("at") / _BITMAP_BITS).cast("int").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("at") % _BITMAP_BITS).alias("bitmap")
+    return hit.groupBy((F.col("at") / BITMAP_BITS).cast("int").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("bitmap")
     )
 
 
@@ -73,15 +70,10 @@ def with_possible_repeats(
         place, bucket, bitmap = (free_name(docs, f"{n}{i}") for n in ("_place", "_bucket", "_bitmap"))
         side = bitmaps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))
         out = out.withColumn(place, F.col(at)[i]).join(
-            F.broadcast(side), (F.col(place) / _BITMAP_BITS).cast("int") == F.col(bucket), "left"
+            F.broadcast(side), (F.col(place) / BITMAP_BITS).cast("int") == F.col(bucket), "left"
         )
-        bit = F.col(place) % _BITMAP_BITS
-        byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
-        # bit % 8 is 0 to 7: a division by a power of two takes the place of a column shift
-        power = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (bit % 8 + 1).cast("int"))
-        out = out.withColumn(
-            hit, F.col(bitmap).isNotNull() & (byte.cast("int").bitwiseAND(power) != 0)
-        ).drop(bucket, bitmap, place)
+        held = bit_is_set(F.col(bitmap), F.col(place) % BITMAP_BITS)
+        out = out.withColumn(hit, F.coalesce(held, F.lit(False))).drop(bucket, bitmap, place)
     return out.withColumn(flag, F.col(hits[0]) & F.col(hits[1])).drop(at, *hits)
 
 
@@ -150,9 +142,9 @@ def drop_duplicates(
     Null, empty and blank texts are equal; of rows equal in text, length and id one stays. An
     empty table stays empty; other columns may have any names.
 
-    Texts are normalised and hashed twice: for the digests, which alone are written, filtered
-    and grouped, and to find the rows that go. Those are sent to the texts if they are few enough
-    by their size; rows that stay, of which others are equal to the last character, are shuffled.
+    Digests alone are written, filtered and grouped, to find the rows that go. Of the texts only those
+    are moved that a filter of fixed size takes for one of a row that goes, or that others are equal
+    to in length and id.
     """
     text = F.col(text_col).cast("string")
     key = [
