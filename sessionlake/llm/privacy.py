@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import Remembered, importable, small_slices
+from sessionlake.llm.common import BITMAP_BITS, Remembered, importable, keep_chosen, small_slices
 from sessionlake.llm.exact_dedup import with_possible_repeats
 from sessionlake.session import materialize
 
@@ -41,7 +41,6 @@ GENERALISE, REMOVE = 0.5, 0.8
 # Bits of the map of terms: so many for each, within these bounds.
 _BITS_PER_TERM = 16
 _LEAST_BITS, _MOST_BITS = 1 << 22, 1 << 27
-_BITMAP_BITS = 8 * 4096
 _HELD_WORDS = 200_000
 
 # Up to so many disclosing terms, workers look terms up; more are joined with the texts' words.
@@ -162,13 +161,21 @@ def find_entities(docs: DataFrame) -> DataFrame:
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """Each different text of ``docs`` once, null and empty ones left out: ``text_key``, ``text``.
 
-    Only texts that may repeat shuffle, copies of one task as one row.
+    Keys are filtered and counted to find those that several rows have; only texts of these are
+    shuffled, copies of one task as one row.
     """
-    flag = "maybe"
     rows = docs.select(F.col("text").cast("string").alias("text")).filter("text <> ''")
-    flagged = with_possible_repeats(rows.select(_key(F.col("text")).alias("text_key"), "text"), "text_key", flag)
-    repeats = flagged.filter(F.col(flag)).select("text_key", "text").dropDuplicates(["text_key"])
-    return flagged.filter(~F.col(flag)).select("text_key", "text").unionByName(materialize(repeats, "pii-repeats"))
+    rows = rows.select(_key(F.col("text")).alias("text_key"), "text")
+    keys = materialize(rows.select("text_key"), "pii-keys")
+    repeated = (
+        with_possible_repeats(keys, "text_key", "maybe")
+        .filter("maybe")
+        .groupBy("text_key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("text_key", F.lit("one").alias("fate"))
+    )
+    return keep_chosen(rows, [F.col("text_key")], materialize(repeated, "pii-repeated"))
 
 
 def _sketch(terms: DataFrame):
@@ -179,8 +186,8 @@ def _sketch(terms: DataFrame):
     at = F.crc32(F.col("term").cast("binary")) % bits
     maps = (
         terms.select(at.alias("at"))
-        .groupBy(F.floor(F.col("at") / _BITMAP_BITS).cast("int").alias("part"))
-        .agg(F.bitmap_construct_agg(F.col("at") % _BITMAP_BITS).alias("map"))
+        .groupBy(F.floor(F.col("at") / BITMAP_BITS).cast("int").alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("map"))
         .collect()  # as many as the map has parts
     )
     marks = bytearray(bits // 8)
