@@ -64,37 +64,50 @@ def bit_is_set(bitmap: Column, bit: Column) -> Column:
     return byte.cast("int").bitwiseAND(power) != 0
 
 
+def key_filter(hashes: DataFrame, bits: int = 1 << 27) -> DataFrame:
+    """A filter of the numbers in the one column of ``hashes``, as a written table of at most
+    ``bits / 32768`` bitmaps of 4 KB; see `with_held`."""
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    maps = (
+        hashes.select(at.alias("at"))
+        .groupBy(F.floor(F.col("at") / BITMAP_BITS).cast("int").alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("bitmap"))
+    )
+    return materialize(maps, "key-filter")
+
+
+def with_held(rows: DataFrame, key: Column, maps: DataFrame, name: str, bits: int = 1 << 27) -> DataFrame:
+    """``rows`` with a boolean: may the filter hold ``key``? False is certain. The filter is sent to
+    the rows, which don't move."""
+    at, part, bitmap = (free_name(rows, n) for n in ("_at", "_part", "_bitmap"))
+    side = F.broadcast(maps.toDF(part, bitmap))  # of a fixed size
+    placed = rows.withColumn(at, F.pmod(key, F.lit(bits)))
+    joined = placed.join(side, F.floor(F.col(at) / BITMAP_BITS).cast("int") == F.col(part), "left")
+    held = F.coalesce(bit_is_set(F.col(bitmap), F.col(at) % BITMAP_BITS), F.lit(False))
+    return joined.withColumn(name, held).drop(at, part, bitmap)
+
+
 def keep_chosen(docs: DataFrame, keys: list[Column], fates: DataFrame, bits: int = 1 << 27) -> DataFrame:
     """``docs`` without the rows that ``fates`` lets go, and one of those that it keeps once.
 
     ``keys`` tell rows apart as far as needed; ``fates``, a written table, has a column for each,
     in order, and a last one: ``go`` or ``one``. Rows that it doesn't name all stay. A filter of
-    the keys, of at most ``bits / 8`` bytes, is sent to the rows; those that it doesn't hold stay
-    where they are, and only the others are written and joined.
+    the keys is sent to the rows; those that it doesn't hold stay where they are, and only the
+    others are written and joined.
     """
     names = [free_name(docs, f"_key{i}") for i in range(len(keys))]
-    fate, hit, part, bitmap = (free_name(docs, n) for n in ("_fate", "_hit", "_part", "_bitmap"))
+    fate, held = (free_name(docs, n) for n in ("_fate", "_held"))
     sides = [free_name(docs, f"_fate_key{i}") for i in range(len(keys))]
     fates = fates.toDF(*sides, fate)
-
-    def place(columns: list[str]) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(bits))
-
-    maps = (
-        fates.select(place(sides).alias(hit))
-        .groupBy(F.floor(F.col(hit) / BITMAP_BITS).cast("int").alias(part))
-        .agg(F.bitmap_construct_agg(F.col(hit) % BITMAP_BITS).alias(bitmap))
-    )
-    maps = F.broadcast(materialize(maps, "fate-filter"))  # at most bits / 32768 rows of 4 KB
-    keyed = docs.withColumns(dict(zip(names, keys, strict=True))).withColumn(hit, place(names))
-    tested = keyed.join(maps, F.floor(F.col(hit) / BITMAP_BITS).cast("int") == F.col(part), "left")
-    held = F.coalesce(bit_is_set(F.col(bitmap), F.col(hit) % BITMAP_BITS), F.lit(False))
+    keyed = docs.withColumns(dict(zip(names, keys, strict=True)))
+    maps = key_filter(fates.select(F.xxhash64(*sides)), bits)
+    tested = with_held(keyed, F.xxhash64(*names), maps, held, bits)
     named = materialize(tested.filter(held).select(*docs.columns, *names), "fate-named")
     same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(names, sides, strict=True)]
     marked = named.join(fates, same, "left")
     stay = marked.filter(F.col(fate).isNull()).select(*docs.columns)
     once = marked.filter(F.col(fate) == "one").dropDuplicates(names).select(*docs.columns)
-    return tested.filter(~held).select(*docs.columns).unionByName(stay).unionByName(once)
+    return tested.filter(~F.col(held)).select(*docs.columns).unionByName(stay).unionByName(once)
 
 
 def held_out(id_col: str, parts: int, part: int):

@@ -40,7 +40,7 @@ from sessionlake.llm.blocks import (
     unpack_texts,
     with_replies,
 )
-from sessionlake.llm.common import importable, keep_chosen, small_slices
+from sessionlake.llm.common import importable, keep_chosen, key_filter, small_slices, with_held
 from sessionlake.llm.components import connected_components
 from sessionlake.session import materialize
 
@@ -50,6 +50,9 @@ THRESHOLD = 80
 # Documents of a block of a family; a task searches one pair of blocks at a time.
 BLOCK = 256
 
+# Members of a family that one task compares with its leader.
+DEAL = 4_096
+
 # Shingles below the middle of the hash range are counted and come first in the order; they are
 # more than any document's share of short lists, unless most of it is common text.
 _COUNTED = np.uint64(1) << np.uint64(63)
@@ -389,16 +392,24 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
 
 
 def _with_leader(threshold: int):
-    """Whether each member of a family links with the leader."""
+    """Whether each member of a family links with the leader. Rows come sorted by family and deal,
+    the leader first."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in small_slices(batches, "shingles"):
-            sets, leads = (
-                [np.frombuffer(b, "<u8") for b in rows.column(c).to_pylist()] for c in ("shingles", "lead")
-            )
-            found = [linked(a, b, threshold) for a, b in zip(sets, leads, strict=True)]
+        at, lead = None, np.zeros(0, np.uint64)
+        for rows in batches:
+            columns = [rows.column(c).to_pylist() for c in ("leader", "deal", "id", "shingles")]
+            members, found = [], []
+            for leader, deal, id_, body in zip(*columns, strict=True):
+                own = np.frombuffer(body, "<u8")
+                if (leader, deal) != at:
+                    at, lead = (leader, deal), own
+                else:
+                    members.append((leader, id_))
+                    found.append(linked(own, lead, threshold))
+            leaders, ids = zip(*members, strict=True) if members else ((), ())
             yield pa.record_batch(
-                [rows.column("leader"), rows.column("id"), pa.array(found, pa.bool_())],
+                [pa.array(leaders, pa.int64()), pa.array(ids, pa.int64()), pa.array(found, pa.bool_())],
                 ["leader", "id", "linked"],
             )
 
@@ -440,19 +451,29 @@ def _search(threshold: int):
 def _family_links(family: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
     """Links within families (``leader``, ``id``): enough of them to join what any pair joins.
 
-    Each member is compared with the leader, in a join that Spark can split. Who links with
-    it is joined to all others who do; so only pairs with a member that doesn't are left. These
-    members are dealt to blocks, which meet all blocks of their family.
+    Each member is compared with the leader; a large family is dealt to several tasks, each with
+    a copy of its leader. Who links with it is joined to all others who do; so only pairs
+    with a member that doesn't are left. These members are dealt to blocks, which meet all blocks
+    of their family. Sets are moved for members of the families at hand only.
     """
-    whole = sets.select(F.col("row").alias("id"), "shingles")
-    lead = sets.select(F.col("row").alias("leader"), F.col("shingles").alias("lead"))
-    led = materialize(
-        family.filter("id <> leader")
-        .join(whole, "id")
-        .join(lead.join(family.select("leader").distinct(), "leader", "left_semi"), "leader")
-        .mapInArrow(_with_leader(threshold), "leader long, id long, linked boolean"),
-        "ngram-led",
+    deals = family.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / DEAL).cast("int").alias("deals"))
+    deals = materialize(deals, "ngram-family-deals")
+    every_deal = F.sequence(F.lit(0), F.col("deals") - 1)
+    own = F.array(F.pmod(F.xxhash64("id"), F.col("deals")).cast("int"))
+    is_leader = F.col("id") == F.col("leader")
+    dealt_out = family.join(deals, "leader").select(
+        "leader", "id", F.explode(F.when(is_leader, every_deal).otherwise(own)).alias("deal")
+    )
+    key = ["leader", "deal"]
+    led = (
+        dealt_out.join(_sets_of_ids(sets, family), "id")
+        .withColumn("member", F.col("id") != F.col("leader"))
+        .repartition(*key)
+        .sortWithinPartitions(*key, "member")
+        .select(*key, "id", "shingles")
+        .mapInArrow(_with_leader(threshold), "leader long, id long, linked boolean")
     )
+    led = materialize(led, "ngram-led")
     links = led.filter("linked").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     loose = led.filter("not linked").select("leader", "id")
     if loose.isEmpty():
@@ -478,7 +499,7 @@ def _family_links(family: DataFrame, sets: DataFrame, threshold: int, block: int
     key = ["leader", "i", "j"]
     found = (
         queries.unionByName(targets)
-        .join(whole, "id")
+        .join(_sets_of_ids(sets, led.join(sizes, "leader", "left_semi")), "id")
         .repartition(*key)
         .sortWithinPartitions(*key)
         .select(*key, "id", "query", "shingles")
@@ -487,6 +508,13 @@ def _family_links(family: DataFrame, sets: DataFrame, threshold: int, block: int
     return links.unionByName(found)
 
 
+def _sets_of_ids(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``id`` and ``shingles`` of the documents that are among ``members``, and some others."""
+    maps = key_filter(members.select(F.xxhash64("id")))
+    rows = sets.select(F.col("row").alias("id"), "shingles")
+    return with_held(rows, F.xxhash64("id"), maps, "held").filter("held").drop("held")
+
+
 # --- the join ---------------------------------------------------------------------------
 
 
