@@ -40,6 +40,10 @@ HEADLINES = (
     "stream_ingest",
     "fact_load_idempotent",
     "load_in_two",
+    "load_from_partials",
+    "session_numbers_in_two",
+    "changes_between",
+    "document_schema",
     "stream_to_star",
 )
 
