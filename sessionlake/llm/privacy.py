@@ -12,7 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import BITMAP_BITS, Remembered, importable, keep_chosen, small_slices
+from sessionlake.llm.common import (
+    BITMAP_BITS,
+    Remembered,
+    importable,
+    key_filter,
+    small_slices,
+    with_held,
+)
 from sessionlake.llm.exact_dedup import with_possible_repeats
 from sessionlake.session import materialize
 
@@ -173,9 +180,12 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
         .groupBy("text_key")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("text_key", F.lit("one").alias("fate"))
+        .select(F.xxhash64("text_key").alias("hash"))
     )
-    return keep_chosen(rows, [F.col("text_key")], materialize(repeated, "pii-repeated"))
+    tested = with_held(rows, F.xxhash64("text_key"), key_filter(repeated), "held")
+    once = tested.filter("held").select("text_key", "text").dropDuplicates(["text_key"])
+    alone = tested.filter("not held").select("text_key", "text")
+    return alone.unionByName(materialize(once, "pii-repeats"))
 
 
 def _sketch(terms: DataFrame):
