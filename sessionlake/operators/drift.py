@@ -53,6 +53,11 @@ def _quantiles(sketch: Column, ranks: list[float]) -> Column:
     return F.when(F.kll_sketch_get_n_double(sketch) > 0, found)
 
 
+def _literal(values: list[float] | None) -> Column:
+    none = F.lit(None).cast("array<double>")
+    return none if values is None else F.array(*map(F.lit, values))
+
+
 def _shift(quantiles: Column, grid: Column) -> Column:
     """The greatest distance between a rank in the batch and that of the same value before."""
     def distance(value: Column, at: Column) -> Column:
@@ -73,14 +78,12 @@ def drift(batch: DataFrame, base: DataFrame) -> DataFrame:
     values. And ``n_stations``, about how many the batch has.
     """
     before = base.select(
-        *[_quantiles(F.col(f"{n}_sketch"), _GRID).alias(f"_{n}_grid") for n in _NAMES.values()]
-    )
-    # base is one row, so this is no product of two tables
-    both = batch.join(F.broadcast(before), F.lit(True))
+        *[_quantiles(F.col(f"{n}_sketch"), _GRID).alias(n) for n in _NAMES.values()]
+    ).first()
     shifts = {
-        f"{n}_shift": _shift(_quantiles(F.col(f"{n}_sketch"), DECILES), F.col(f"_{n}_grid"))
+        f"{n}_shift": _shift(_quantiles(F.col(f"{n}_sketch"), DECILES), _literal(before[n]))
         for n in _NAMES.values()
     }
     kept = [c for c in batch.columns if not c.endswith("_sketch")]
     stations = F.hll_sketch_estimate("station_sketch").alias("n_stations")
-    return both.select(*kept, *[c.alias(n) for n, c in shifts.items()], stations)
+    return batch.select(*kept, *[c.alias(n) for n, c in shifts.items()], stations)
