@@ -25,6 +25,9 @@ SEGMENT_IDS = 1 << 20
 # A worker forgets its pieces beyond this number (some 200 MB) and starts again.
 REMEMBERED = 1_300_000
 
+# So many words that are met for the first time are given to the library as one text.
+WORDS_AT_ONCE = 1000
+
 # Every so many set bits, the select directory notes a position.
 SELECT_STEP = 256
 
@@ -137,6 +140,9 @@ class PieceTokenizer:
     are those of its pieces. Texts with characters whose class may differ between regular
     expression engines are handed to the library whole, and so are those that hold the text of an
     added token: the library looks for these first, and gives them their own id.
+
+    Most pieces are words after a space. The library is given many of them as one text, which its
+    pattern cuts into them again; the ids of each begin with the one token that has the space.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -148,6 +154,9 @@ class PieceTokenizer:
         self._added = [token.content for token in added if token.content]
         self.id_bytes = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
         self._splitter = Splitter(pattern)
+        self._spaced = np.zeros(max(self._library.get_vocab().values(), default=-1) + 1, dtype=bool)
+        for token, i in self._library.get_vocab().items():
+            self._spaced[i] = token.startswith("Ġ")  # how byte-level vocabularies write a space
         self._pieces: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -157,6 +166,20 @@ class PieceTokenizer:
             for e in self._library.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        parts = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        joined = ["".join(part) for part in parts]
+        width, out = self.id_bytes, {}
+        for part, text, ids in zip(parts, joined, self._encode(joined), strict=True):
+            begin = (np.flatnonzero(self._spaced[np.frombuffer(ids, f"<u{width}")]) * width).tolist()
+            if len(begin) == len(part) and self._splitter.split(text) == part:
+                ends = [*begin[1:], len(ids)]
+                out.update((p, ids[a:b]) for p, a, b in zip(part, begin, ends, strict=True))
+        rest = [p for p in pieces if p not in out]
+        out.update(zip(rest, self._encode(rest), strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, ``id_bytes`` bytes each; none for null."""
         plain = [
@@ -167,7 +190,7 @@ class PieceTokenizer:
         if len(known) >= REMEMBERED:
             known.clear()
         new = list(set().union(*split).difference(known))
-        known.update(zip(new, self._encode(new), strict=True))
+        known.update(self._encode_pieces(new))
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
         whole = [i for i, t in enumerate(texts) if t and not plain[i]]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
