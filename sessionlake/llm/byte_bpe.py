@@ -14,7 +14,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sessionlake.llm.common import Remembered, id_and_text, importable, small_slices
+from sessionlake.llm.common import (
+    Remembered,
+    drop_tables_of_others,
+    id_and_text,
+    importable,
+    kept_by,
+    small_slices,
+)
 
 _NEVER = 1 << 60
 
@@ -281,9 +288,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines) if a}
 
 
+@kept_by("byte_bpe")
 @lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> ByteBpe:
-    """One per Python worker and vocabulary."""
+    """One per Python worker and vocabulary, until another operator's tasks come."""
     return ByteBpe(read_ranks(path), pattern)
 
 
@@ -296,6 +304,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     importable(docs.sparkSession)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("byte_bpe")
         bpe = tokenizer(ranks_path, pattern)
         for rows in small_slices(batches):
             ids = [bpe.encode(t) for t in rows.column("text").to_pylist()]
@@ -309,6 +318,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
     importable(encoded.sparkSession)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("byte_bpe")
         bpe = tokenizer(ranks_path, pattern)
         for rows in small_slices(batches, "ids"):
             data = [bpe.decode(i or b"") for i in rows.column("ids").to_pylist()]
@@ -326,6 +336,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     importable(docs.sparkSession)
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("byte_bpe")
         bpe = tokenizer(ranks_path, pattern)
         for rows in small_slices(batches):
             ids = [bpe.encode(text) for text in rows.column("text").to_pylist()]

@@ -6,6 +6,7 @@ import heapq
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -267,18 +268,24 @@ def plan_mix(
     for pattern, words in rows:
         capacity[pattern] = capacity.get(pattern, 0) + words
     flow = min_cost_flow(capacity, target, passes)
-    targets = spark.createDataFrame(
-        [(s, sizes[s], float(target[s])) for s in names],
-        "source string, source_size long, target double",
+    # Arrow tables reach Spark as they are; lists of rows would go through Python workers, of
+    # which each executor would start a second set for them
+    targets = pa.table(
+        {
+            "source": pa.array(names, pa.string()),
+            "source_size": pa.array([sizes[s] for s in names], pa.int64()),
+            "target": pa.array([float(target[s]) for s in names], pa.float64()),
+        }
     )
-    wanted = spark.createDataFrame(
-        [
-            (list(p), float(sum(flow.get(p, {}).values(), Fraction(0))), c)
-            for p, c in capacity.items()
-        ],
-        "pattern array<string>, _words double, _capacity long",
+    words = [float(sum(flow.get(p, {}).values(), Fraction(0))) for p in capacity]
+    wanted = pa.table(
+        {
+            "pattern": pa.array([list(p) for p in capacity], pa.list_(pa.string())),
+            "_words": pa.array(words, pa.float64()),
+            "_capacity": pa.array(list(capacity.values()), pa.int64()),
+        }
     )
-    return targets, wanted
+    return spark.createDataFrame(targets), spark.createDataFrame(wanted)
 
 
 def plan_documents(

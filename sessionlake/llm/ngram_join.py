@@ -40,7 +40,15 @@ from sessionlake.llm.blocks import (
     unpack_texts,
     with_replies,
 )
-from sessionlake.llm.common import importable, keep_chosen, key_filter, small_slices, with_held
+from sessionlake.llm.common import (
+    drop_tables_of_others,
+    importable,
+    keep_chosen,
+    kept_by,
+    key_filter,
+    small_slices,
+    with_held,
+)
 from sessionlake.llm.components import connected_components
 from sessionlake.session import materialize
 
@@ -95,6 +103,7 @@ _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _PLACE = _mix(np.arange(1001, 1033, dtype=np.uint64)) | np.uint64(1)
 
 
+@kept_by("ngram_join")
 @lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
@@ -177,6 +186,7 @@ def _blocks(docs: DataFrame, words: int, buckets: int, block_bytes: int) -> Data
     each is (255 at most)."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("ngram_join")
         block = TaskContext.get().partitionId() << 32
         for rows in small_slices(batches, max_bytes=block_bytes):
             texts = rows.column("text")
@@ -265,6 +275,7 @@ def document_sets(
     levels = keys.groupBy("bucket").applyInArrow(_levels, "block long, bucket long, n int, levels binary")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("ngram_join")
         for batch in batches:
             for i in range(batch.num_rows):
                 yield _sets_of(batch.slice(i, 1), words, threshold, buckets)
@@ -396,6 +407,7 @@ def _with_leader(threshold: int):
     the leader first."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("ngram_join")
         at, lead = None, np.zeros(0, np.uint64)
         for rows in batches:
             columns = [rows.column(c).to_pylist() for c in ("leader", "deal", "id", "shingles")]
@@ -421,6 +433,7 @@ def _search(threshold: int):
     complete."""
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("ngram_join")
         at, rows = None, {}
 
         def done() -> pa.RecordBatch:

@@ -8,13 +8,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import (
     Remembered,
+    drop_tables_of_others,
     free_name,
     held_out,
     id_and_text,
@@ -246,6 +246,7 @@ def train(
     sample = _draw(docs, toxic, positive_sample, unlabelled_sample * classifiers)
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("toxicity")
         of = Featurizer()
         for rows in small_slices(batches):
             ids = [of(t).tobytes() for t in rows.column("text").to_pylist()]
@@ -254,14 +255,19 @@ def train(
                 ["positive", "drawn", "member", "features"],
             )
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        arrays = [np.frombuffer(b, np.int32) for b in rows["features"]]
-        positive = [a for a, p in zip(arrays, rows["positive"], strict=True) if p]
-        unlabelled = [a for a, d in zip(arrays, rows["drawn"], strict=True) if d]
+    def fit(rows: pa.Table) -> pa.Table:
+        drop_tables_of_others("toxicity")
+        arrays = [np.frombuffer(b, np.int32) for b in rows.column("features").to_pylist()]
+        positive = [a for a, p in zip(arrays, rows.column("positive").to_pylist(), strict=True) if p]
+        unlabelled = [a for a, d in zip(arrays, rows.column("drawn").to_pylist(), strict=True) if d]
         ids = select_features(positive, unlabelled)
         weights, bias = fit_nnpu(positive, unlabelled, prior, ids)
-        return pd.DataFrame(
-            {"ids": [ids.astype(np.int32).tobytes()], "weights": [weights.tobytes()], "bias": [bias]}
+        return pa.table(
+            {
+                "ids": pa.array([ids.astype(np.int32).tobytes()], pa.binary()),
+                "weights": pa.array([weights.tobytes()], pa.binary()),
+                "bias": pa.array([bias], pa.float64()),
+            }
         )
 
     member = F.pmod(F.xxhash64(F.lit(2), "at"), F.lit(classifiers)).cast("int")
@@ -289,7 +295,7 @@ def train(
     fitted = (
         prepared.select("model", "positive", "drawn", "features")
         .groupBy("model")
-        .applyInPandas(fit, "ids binary, weights binary, bias double")
+        .applyInArrow(fit, "ids binary, weights binary, bias double")
         .collect()
     )
     parts = [
@@ -322,6 +328,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("toxicity")
         scorer = Scorer(shared.value)
         for rows in small_slices(batches):
             scores = [scorer(t) for t in rows.column("text").to_pylist()]
@@ -363,6 +370,7 @@ def drop_toxic(
     name = free_name(docs, "_toxicity")
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables_of_others("toxicity")
         scorer = Scorer(shared.value)
         for rows in small_slices(batches, name):
             texts = rows.column(name).to_pylist()
